@@ -1,0 +1,72 @@
+"""End-to-end survey pipeline: each stage table is built once, materialised
+(reliable checkpoint in the cluster's checkpoint folder) and reused by the
+later stages, so every repair reads a written input instead of a growing
+lineage, and a lost executor only recomputes from the last written stage.
+
+Stage order (it is part of the semantics; each repair reads the previous one):
+
+  inputs -> station_table -> event start repair -> event end repair
+         -> gap fill -> unfreeze -> smoothing = stations_final
+  stations_final -> survey -> survey_point_local -> survey_point, survey_image
+                 -> image-name repair
+  pave + survey  -> pave_table -> pave gap fill -> pave unfreeze -> survey_pave
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pavespark.functions.measures import default_draw
+from pavespark.operators.joins import run_extent
+from pavespark.session import materialize
+from pavespark.sources import fixtures
+from pavespark.sources.fixtures import Inputs
+
+
+class SurveyPipeline:
+    def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True):
+        self.inputs = inputs
+        self.draw = draw
+        self.checkpoint = checkpoint
+
+    @classmethod
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, **kw) -> "SurveyPipeline":
+        return cls(fixtures.load(spark, sf_dir), **kw)
+
+    def _stage(self, df: DataFrame) -> DataFrame:
+        return materialize(df, self.checkpoint)
+
+    # ------------------------------------------------------------------ inputs
+    @cached_property
+    def laser(self) -> DataFrame:
+        return self._stage(self.inputs.laser)
+
+    @cached_property
+    def key(self) -> DataFrame:
+        return self._stage(self.inputs.key)
+
+    @cached_property
+    def pic(self) -> DataFrame:
+        return self.inputs.pic
+
+    @cached_property
+    def pave(self) -> DataFrame:
+        return self.inputs.pave
+
+    @cached_property
+    def extent(self) -> DataFrame:
+        return run_extent(self.laser)
+
+    # ------------------------------------------------------------------ stations
+    @cached_property
+    def station_table(self) -> DataFrame:
+        from pavespark.plans.station import station_table
+        return self._stage(station_table(self.laser, self.key, self.pic, self.draw,
+                                         extent=self.extent))
+
+    @cached_property
+    def gps_status(self) -> DataFrame:
+        from pavespark.plans.station import gps_status
+        return gps_status(self.laser, self.pic, self.key, extent=self.extent)
