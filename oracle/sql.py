@@ -75,3 +75,20 @@ data0 AS (
 
 def q(*fragments, select: str) -> str:
     return "WITH " + FIXTURE_CTES + "".join(fragments) + "\n" + select
+
+ORD = ("chainage NULLS LAST, event_str NULLS LAST, chainage_pic NULLS LAST, "
+       "frame_number NULLS LAST")
+GAP_CTES = f""",
+isl AS (
+  SELECT *, row_number() OVER (PARTITION BY file_name, date, link_id ORDER BY {ORD})
+          - row_number() OVER (PARTITION BY file_name, lat, lon, link_id ORDER BY {ORD}) AS grp2
+  FROM data0),
+islands AS (
+  SELECT file_name, link_id, date, grp2, min(chainage) AS min, max(chainage) AS max,
+         count(*) AS c_p, count(*) * 5 AS meter
+  FROM isl WHERE lon = 0 OR lat = 0 GROUP BY ALL),
+gps_lost AS (
+  SELECT DISTINCT a.file_name, a.min, a.max, a.c_p, a.meter, a.link_id, a.date, a.grp2, b.chainage,
+         a.min - 6 AS new_p_min, a.max + 6 AS new_p_max
+  FROM islands a JOIN data0 b ON b.file_name = a.file_name AND b.chainage BETWEEN a.min AND a.max
+  WHERE b.chainage % 25 = 0 AND (b.lon = 0 OR b.lat = 0) AND b.status = 'มีGPSlost')"""

@@ -110,3 +110,50 @@ def q_station_table(spark, sf_dir) -> DataFrame:
 
 
 _ = F
+
+
+# ---------------------------------------------------------------------- reports
+def _reports():
+    from pavespark.plans import reports as R
+    return R
+
+
+@register("report_zero_coords")
+def q_report_zero_coords(spark, sf_dir) -> DataFrame:
+    return _reports().zero_coords(pipe(spark, sf_dir).inputs.key)
+
+
+@register("report_duplicate_links")
+def q_report_duplicate_links(spark, sf_dir) -> DataFrame:
+    return _reports().duplicate_links(pipe(spark, sf_dir).station_table)
+
+
+@register("report_ramp_id")
+def q_report_ramp_id(spark, sf_dir) -> DataFrame:
+    return _reports().ramp_id_check(pipe(spark, sf_dir).station_table)
+
+
+@register("report_gps_lost")
+def q_report_gps_lost(spark, sf_dir) -> DataFrame:
+    return _reports().gps_lost_groups(pipe(spark, sf_dir).station_table)
+
+
+@register("report_gps_duplicates")
+def q_report_gps_duplicates(spark, sf_dir) -> DataFrame:
+    return _reports().gps_duplicates(pipe(spark, sf_dir).station_table)
+
+
+@register("report_missing_measures")
+def q_report_missing_measures(spark, sf_dir) -> DataFrame:
+    return _reports().missing_measures(pipe(spark, sf_dir).station_table)
+
+
+@register("report_lane_consistency")
+def q_report_lane_consistency(spark, sf_dir) -> DataFrame:
+    return _reports().lane_consistency(pipe(spark, sf_dir).station_table)
+
+
+# ------------------------------------------------------------------------ gaps
+@register("gps_gaps")
+def q_gps_gaps(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).gps_lost

@@ -70,3 +70,21 @@ class SurveyPipeline:
     def gps_status(self) -> DataFrame:
         from pavespark.plans.station import gps_status
         return gps_status(self.laser, self.pic, self.key, extent=self.extent)
+
+    # ------------------------------------------------------------------ gaps
+    STATION_TIES = ("event_str", "chainage_pic", "frame_number")
+
+    @cached_property
+    def gps_lost(self) -> DataFrame:
+        """REP-1: lost 25 m stations of lost-status links, with their island and window."""
+        from pyspark.sql import functions as F
+
+        from pavespark import constants as K
+        from pavespark.functions import predicates as P
+        from pavespark.operators.linear import gap_rows, lost_islands
+        data = self.station_table
+        islands = lost_islands(data, "chainage", self.STATION_TIES, K.STATION_SPACING_M)
+        targets = data.where(P.on_grid("chainage") & P.gps_lost()
+                             & (F.col("status") == K.STATUS_LOST))
+        return self._stage(gap_rows(islands, targets, "chainage", K.GAP_MARGIN_M,
+                                    extent=self.extent))
