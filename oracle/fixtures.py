@@ -36,7 +36,7 @@ ZERO = "(k = 5 OR (r % 6 = 0 AND k = 0))"
 KM_A = "('1' || CAST(2 + k AS VARCHAR) || '+000')"
 KM_B = "('1' || CAST(2 + k AS VARCHAR) || '+475')"
 PS = f"ceil({EV_STR} / 5)"
-PE = f"ceil({EV_END} / 5)"
+PE = f"(ceil({EV_END} / 5) + CASE WHEN k = 3 THEN 1 ELSE 0 END)"
 
 FIXTURE_CTES = f"""
 ev AS (

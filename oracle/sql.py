@@ -92,3 +92,165 @@ gps_lost AS (
          a.min - 6 AS new_p_min, a.max + 6 AS new_p_max
   FROM islands a JOIN data0 b ON b.file_name = a.file_name AND b.chainage BETWEEN a.min AND a.max
   WHERE b.chainage % 25 = 0 AND (b.lon = 0 OR b.lat = 0) AND b.status = 'มีGPSlost')"""
+
+
+def _eq(a, b, cols):
+    return " AND ".join(f"{a}.{c} = {b}.{c}" for c in cols)
+
+
+def interp(name, pts, tgts, gid, tid=()):
+    """Point at fraction f along each group's line, segment form.
+    pts: gid + (ch, x, y); tgts: gid + tid + f. Output CTE ``name``: tgts.* + lon, lat."""
+    g = ", ".join(gid)
+    keys = list(gid) + list(tid)
+    k = ", ".join(f"t.{c}" for c in keys)
+    return f""",
+{name}_p AS (SELECT {g}, ch, x, y, row_number() OVER (PARTITION BY {g} ORDER BY ch, x, y) AS seq
+             FROM {pts}),
+{name}_s AS (
+  SELECT a.*, b.x AS x0, b.y AS y0, sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2) AS len
+  FROM {name}_p a JOIN {name}_p b ON {_eq('a', 'b', gid)} AND b.seq = a.seq - 1),
+{name}_t AS (SELECT {g}, sum(len) AS total FROM {name}_s GROUP BY {g}),
+{name}_c AS (
+  SELECT s.*, s.len / t.total AS fr,
+         sum(s.len / t.total) OVER (PARTITION BY {", ".join('s.' + c for c in gid)} ORDER BY s.seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cend
+  FROM {name}_s s JOIN {name}_t t ON {_eq('s', 't', gid)} WHERE t.total > 0),
+{name}_e AS (
+  SELECT {g}, arg_min(x, seq) AS fx, arg_min(y, seq) AS fy, arg_max(x, seq) AS lx,
+         arg_max(y, seq) AS ly, count(*) AS n
+  FROM {name}_p GROUP BY {g}),
+{name}_h AS (
+  SELECT {k}, arg_min(c.x0 + (t.f - (c.cend - c.fr)) / c.fr * (c.x - c.x0), c.seq) AS hx,
+         arg_min(c.y0 + (t.f - (c.cend - c.fr)) / c.fr * (c.y - c.y0), c.seq) AS hy
+  FROM {tgts} t JOIN {name}_c c ON {_eq('t', 'c', gid)} AND t.f < c.cend AND c.fr > 0
+  GROUP BY {k}),
+{name} AS (
+  SELECT t.*,
+    CASE WHEN e.n IS NULL THEN NULL WHEN t.f = 0 OR e.n = 1 THEN e.fx WHEN t.f = 1 THEN e.lx
+         WHEN h.hx IS NULL THEN e.lx ELSE h.hx END AS lon,
+    CASE WHEN e.n IS NULL THEN NULL WHEN t.f = 0 OR e.n = 1 THEN e.fy WHEN t.f = 1 THEN e.ly
+         WHEN h.hx IS NULL THEN e.ly ELSE h.hy END AS lat
+  FROM {tgts} t LEFT JOIN {name}_e e ON {_eq('t', 'e', gid)}
+  LEFT JOIN {name}_h h ON {_eq('t', 'h', keys)})"""
+
+
+def event_pts(name, src):
+    cols = "event_name, link_id, section_id, km_start, km_end, length, lane_no, date, file_name"
+    return f""",
+{name} AS (
+  SELECT DISTINCT event_str AS chainage, {cols}, lon_str AS lon, lat_str AS lat, 'str' AS direction
+  FROM {src}
+  UNION
+  SELECT DISTINCT event_end AS chainage, {cols}, lon_end AS lon, lat_end AS lat, 'end' AS direction
+  FROM {src})"""
+
+
+KST_CTES = """,
+kst AS (
+  SELECT DISTINCT s.file_name, s.chainage, s.lon, s.lat
+  FROM pkey k JOIN laser s ON s.file_name = k.file_name
+   AND s.chainage BETWEEN k.event_str - 5 AND k.event_end + 5
+  WHERE replace(k.link_id, ' ', '') <> '' AND s.lon IS NOT NULL AND s.lat IS NOT NULL)"""
+
+NEAR = "sqrt((e.lon - b.lon) ^ 2 + (e.lat - b.lat) ^ 2) <= 0.00004"
+
+
+def event_fix(src, dst, end):
+    return event_pts(f"{dst}_ev", src) + f""",
+{dst}_e AS (
+  SELECT DISTINCT e.file_name, e.chainage AS e
+  FROM {dst}_ev e JOIN kst b ON b.file_name = e.file_name AND {NEAR}
+  WHERE e.chainage <> b.chainage),
+{dst}_nb AS (
+  SELECT c.file_name, c.e, l.chainage AS ch, l.lon AS x, l.lat AS y
+  FROM {dst}_e c JOIN laser l ON l.file_name = c.file_name
+   AND c.e BETWEEN l.chainage - 5 AND l.chainage + 5
+  WHERE l.lat <> 0 AND l.lon <> 0),
+{dst}_g AS (
+  SELECT file_name, e, CAST(CAST(e - min(ch) AS FLOAT) /
+         CASE WHEN CAST(max(ch) - min(ch) AS FLOAT) = 0 THEN CAST(0.0001 AS FLOAT)
+              ELSE CAST(max(ch) - min(ch) AS FLOAT) END AS DOUBLE) AS f
+  FROM {dst}_nb GROUP BY file_name, e),
+{dst}_tg AS (SELECT * FROM {dst}_g WHERE f BETWEEN 0 AND 1)""" + interp(
+        f"{dst}_ip", f"{dst}_nb", f"{dst}_tg", ["file_name", "e"]) + f""",
+{dst} AS (
+  SELECT d.* REPLACE (
+    CASE WHEN i.e IS NOT NULL THEN CAST(CAST(i.lat AS FLOAT) AS DOUBLE) ELSE d.lat_{end} END AS lat_{end},
+    CASE WHEN i.e IS NOT NULL THEN CAST(CAST(i.lon AS FLOAT) AS DOUBLE) ELSE d.lon_{end} END AS lon_{end})
+  FROM {src} d LEFT JOIN {dst}_ip i ON i.file_name = d.file_name AND i.e = d.event_{end})"""
+
+
+EVENT_FIX_CTES = KST_CTES + event_fix("data0", "data1", "str") + event_fix("data1", "data2", "end")
+
+GAP_WINDOW_CTES = """,
+gw AS (
+  SELECT a.file_name, a.chainage AS gps_lost_ch, a.c_p, a.meter, a.link_id, a.date,
+         b.chainage AS ch, b.geom_lon AS x, b.geom_lat AS y
+  FROM gps_lost a JOIN data2 b ON b.file_name = a.file_name
+   AND b.chainage BETWEEN a.new_p_min AND a.new_p_max
+  WHERE b.lon <> 0 AND b.geom_lat > 0 AND b.status = 'มีGPSlost'),
+gwg AS (
+  SELECT file_name, gps_lost_ch, c_p, meter, link_id, date, min(ch) AS chainage_str,
+         max(ch) AS chainage_end
+  FROM gw GROUP BY ALL)"""
+
+_GID = ["file_name", "gps_lost_ch", "c_p", "meter", "link_id", "date"]
+
+
+def _set_point(src, fix, on):
+    return f"""
+  SELECT d.* REPLACE (
+    CASE WHEN g.lon IS NOT NULL OR g.hit THEN CAST(CAST(g.lon AS FLOAT) AS DOUBLE) ELSE d.lon END AS lon,
+    CASE WHEN g.lon IS NOT NULL OR g.hit THEN CAST(CAST(g.lat AS FLOAT) AS DOUBLE) ELSE d.lat END AS lat,
+    CASE WHEN g.lon IS NOT NULL OR g.hit THEN g.lon ELSE d.geom_lon END AS geom_lon,
+    CASE WHEN g.lon IS NOT NULL OR g.hit THEN g.lat ELSE d.geom_lat END AS geom_lat)
+  FROM {src} d LEFT JOIN {fix} g ON {on}"""
+
+
+GAP_FILL_CTES = GAP_WINDOW_CTES + """,
+gtg AS (
+  SELECT file_name, gps_lost_ch, c_p, meter, link_id, date,
+         CAST(CAST(gps_lost_ch - chainage_str AS FLOAT) / CAST(chainage_end - chainage_str AS FLOAT)
+              AS DOUBLE) AS f
+  FROM gwg WHERE CAST(chainage_end - chainage_str AS FLOAT) > 0),
+gtg2 AS (SELECT * FROM gtg WHERE f BETWEEN 0 AND 1)""" + interp("gip", "gw", "gtg2", _GID) + """,
+gfix AS (
+  SELECT file_name, date, link_id, gps_lost_ch, lon, lat, true AS hit FROM (
+    SELECT *, row_number() OVER (PARTITION BY file_name, date, link_id, gps_lost_ch
+                                 ORDER BY c_p, lon, lat) AS rn FROM gip) WHERE rn = 1),
+data3 AS (""" + _set_point("data2", "gfix", "g.file_name = d.file_name AND g.date = d.date AND "
+                           "g.link_id = d.link_id AND g.gps_lost_ch = d.chainage") + ")"
+
+_FG = ["file_name", "link_id", "gx", "gy", "min_c", "max_c"]
+FROZEN_CTES = """,
+fz_grid AS (SELECT * FROM data3 WHERE chainage % 25 = 0 AND (lon <> 0 OR lat <> 0)),
+fz AS (SELECT DISTINCT file_name, geom_lon, geom_lat FROM (
+        SELECT file_name, link_id, geom_lon, geom_lat FROM fz_grid GROUP BY ALL HAVING count(*) > 1)),
+fm AS (
+  SELECT DISTINCT g.file_name, g.link_id, g.chainage, g.geom_lon, g.geom_lat
+  FROM fz_grid g JOIN fz f ON f.file_name = g.file_name AND f.geom_lon = g.geom_lon
+   AND f.geom_lat = g.geom_lat
+  WHERE g.status = 'มีGPSlost'),
+fg AS (SELECT file_name, link_id, geom_lon, geom_lat, min(chainage) - 25 AS min_c,
+              max(chainage) + 25 AS max_c FROM fm GROUP BY ALL),
+fa AS (
+  SELECT g.file_name, g.link_id, g.geom_lon AS gx, g.geom_lat AS gy, g.min_c, g.max_c,
+         d.chainage AS ch, d.geom_lon AS x, d.geom_lat AS y
+  FROM fg g JOIN data3 d ON d.file_name = g.file_name AND (d.chainage = g.min_c OR d.chainage = g.max_c)),
+fl AS (SELECT file_name, link_id, gx, gy, min_c, max_c FROM fa GROUP BY ALL
+       HAVING count(DISTINCT ch) = 2),
+ft AS (
+  SELECT l.file_name, l.link_id, l.gx, l.gy, l.min_c, l.max_c, m.chainage,
+         CAST(CAST(m.chainage - l.min_c AS FLOAT) / CAST(l.max_c - l.min_c AS FLOAT) AS DOUBLE) AS f
+  FROM fm m JOIN fl l ON m.file_name = l.file_name AND m.link_id = l.link_id
+   AND m.geom_lon = l.gx AND m.geom_lat = l.gy
+  WHERE CAST(m.chainage - l.min_c AS FLOAT) > 0
+    AND CAST(m.chainage - l.min_c AS FLOAT) < CAST(l.max_c - l.min_c AS FLOAT))""" + interp(
+    "fip", "fa", "ft", _FG, ["chainage"]) + """,
+ffix AS (
+  SELECT file_name, link_id, chainage, lon, lat, true AS hit FROM (
+    SELECT *, row_number() OVER (PARTITION BY file_name, link_id, chainage ORDER BY lon, lat) AS rn
+    FROM fip) WHERE rn = 1),
+data4 AS (""" + _set_point("data3", "ffix", "g.file_name = d.file_name AND g.link_id = d.link_id "
+                           "AND g.chainage = d.chainage") + ")"

@@ -157,3 +157,79 @@ def q_report_lane_consistency(spark, sf_dir) -> DataFrame:
 @register("gps_gaps")
 def q_gps_gaps(spark, sf_dir) -> DataFrame:
     return pipe(spark, sf_dir).gps_lost
+
+
+# --------------------------------------------------------------------- geometry
+def _rep():
+    from pavespark.operators import repair as R
+    return R
+
+
+@register("event_points")
+def q_event_points(spark, sf_dir) -> DataFrame:
+    return _rep().event_points(pipe(spark, sf_dir).station_table)
+
+
+@register("event_near_station")
+def q_event_near_station(spark, sf_dir) -> DataFrame:
+    p = pipe(spark, sf_dir)
+    R = _rep()
+    return R.event_near_station(R.event_points(p.station_table), p.station_groups,
+                                p.keyed_stations)
+
+
+@register("line_interpolate")
+def q_line_interpolate(spark, sf_dir) -> DataFrame:
+    """GEO-5 over whole tables: the point at 37 % of each link's line of present grid stations."""
+    from pavespark.operators.geometry import interpolate, line_agg
+    d = pipe(spark, sf_dir).station_table
+    lines = (d.where(P.on_grid("chainage") & P.gps_present())
+              .groupBy("file_name", "link_id", "event_str")
+              .agg(line_agg("chainage", "geom_lon", "geom_lat").alias("line")))
+    pt = interpolate("line", F.lit(0.37))
+    return lines.select("file_name", "link_id", "event_str", pt["lon"].alias("lon"),
+                        pt["lat"].alias("lat"))
+
+
+# ---------------------------------------------------------------------- repairs
+def _keyed_coords(df: DataFrame, end: str) -> DataFrame:
+    return df.select("file_name", "link_id", "event_str", "event_end", f"lat_{end}",
+                     f"lon_{end}").distinct()
+
+
+@register("repair_event_start")
+def q_repair_event_start(spark, sf_dir) -> DataFrame:
+    return _keyed_coords(pipe(spark, sf_dir).events_start_fixed, "str")
+
+
+@register("repair_event_end")
+def q_repair_event_end(spark, sf_dir) -> DataFrame:
+    return _keyed_coords(pipe(spark, sf_dir).events_fixed, "end")
+
+
+@register("report_event_mismatch")
+def q_report_event_mismatch(spark, sf_dir) -> DataFrame:
+    p = pipe(spark, sf_dir)
+    R = _rep()
+    return R.event_mismatch(R.event_points(p.events_fixed), p.station_groups)
+
+
+@register("report_gap_at_seam")
+def q_report_gap_at_seam(spark, sf_dir) -> DataFrame:
+    p = pipe(spark, sf_dir)
+    return _rep().gap_at_seam(p.gps_lost, p.events_fixed, extent=p.extent)
+
+
+def _station_points(df: DataFrame) -> DataFrame:
+    return df.select("file_name", "link_id", "date", "event_str", "chainage", "lon", "lat",
+                     "geom_lon", "geom_lat")
+
+
+@register("repair_gps_gaps")
+def q_repair_gps_gaps(spark, sf_dir) -> DataFrame:
+    return _station_points(pipe(spark, sf_dir).gaps_filled)
+
+
+@register("repair_gps_frozen")
+def q_repair_gps_frozen(spark, sf_dir) -> DataFrame:
+    return _station_points(pipe(spark, sf_dir).unfrozen)

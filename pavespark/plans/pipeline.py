@@ -88,3 +88,36 @@ class SurveyPipeline:
                              & (F.col("status") == K.STATUS_LOST))
         return self._stage(gap_rows(islands, targets, "chainage", K.GAP_MARGIN_M,
                                     extent=self.extent))
+
+    # ------------------------------------------------------------------ repairs
+    @cached_property
+    def keyed_stations(self) -> DataFrame:
+        from pavespark.operators.repair import keyed_stations
+        return keyed_stations(self.laser, self.key, extent=self.extent)
+
+    @cached_property
+    def station_groups(self) -> DataFrame:
+        from pavespark.operators.repair import station_groups
+        return self._stage(station_groups(self.keyed_stations))
+
+    @cached_property
+    def events_start_fixed(self) -> DataFrame:
+        from pavespark.operators.repair import repair_event_coords
+        return self._stage(repair_event_coords(self.station_table, self.laser, self.station_groups,
+                                               "str", extent=self.extent))
+
+    @cached_property
+    def events_fixed(self) -> DataFrame:
+        from pavespark.operators.repair import repair_event_coords
+        return self._stage(repair_event_coords(self.events_start_fixed, self.laser,
+                                               self.station_groups, "end", extent=self.extent))
+
+    @cached_property
+    def gaps_filled(self) -> DataFrame:
+        from pavespark.operators.repair import repair_gps_gaps
+        return self._stage(repair_gps_gaps(self.events_fixed, self.gps_lost, extent=self.extent))
+
+    @cached_property
+    def unfrozen(self) -> DataFrame:
+        from pavespark.operators.repair import repair_gps_frozen
+        return self._stage(repair_gps_frozen(self.gaps_filled))

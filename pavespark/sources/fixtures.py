@@ -98,7 +98,7 @@ def keycode(ev: DataFrame) -> DataFrame:
     swap = "(k in (3, 4) and not (r % 5 = 0 and k = 4))"
     zero = "(r % 6 = 0 and k = 0)"
     p_s = f"ceil(({ev_str}) / 5)"
-    p_e = f"ceil(({ev_end}) / 5)"
+    p_e = f"(ceil(({ev_end}) / 5) + case when k = 3 then 1 else 0 end)"
     return k.select(
         E(f"cast({ev_str} as double)").alias("CHAINAGE_START"),
         E(f"cast({ev_end} as double)").alias("CHAINAGE_END"),
