@@ -233,3 +233,119 @@ def q_repair_gps_gaps(spark, sf_dir) -> DataFrame:
 @register("repair_gps_frozen")
 def q_repair_gps_frozen(spark, sf_dir) -> DataFrame:
     return _station_points(pipe(spark, sf_dir).unfrozen)
+
+
+# -------------------------------------------------------------------- smoothing
+@register("smooth_measures")
+def q_smooth_measures(spark, sf_dir) -> DataFrame:
+    from pavespark.functions.measures import MEASURES
+    return pipe(spark, sf_dir).stations_final.select("file_name", "link_id", "event_str",
+                                                     "chainage", *MEASURES)
+
+
+# ------------------------------------------------------------------ deliverables
+def _dl():
+    from pavespark.plans import deliverables as D
+    return D
+
+
+@register("survey")
+def q_survey(spark, sf_dir) -> DataFrame:
+    s = pipe(spark, sf_dir).survey
+    return s.withColumn("the_geom", _dl().line_text("the_geom"))
+
+
+@register("link_line")
+def q_link_line(spark, sf_dir) -> DataFrame:
+    s = pipe(spark, sf_dir).survey
+    return s.select("file_name", "survey_id", "link_id", "event_name",
+                    F.posexplode("the_geom").alias("seq", "pt")).select(
+        "file_name", "survey_id", "link_id", "event_name", "seq",
+        F.col("pt.chainage").alias("chainage"), F.col("pt.lon").alias("lon"),
+        F.col("pt.lat").alias("lat"))
+
+
+@register("link_length")
+def q_link_length(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey.select("file_name", "survey_id", "link_id", "event_name",
+                                             "distance_gps")
+
+
+@register("survey_point_local")
+def q_survey_point_local(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey_point_local
+
+
+@register("point_km")
+def q_point_km(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey_point_local.select("file_name", "link_id", "survey_id",
+                                                         "chainage", "order_row", "km")
+
+
+@register("survey_point")
+def q_survey_point(spark, sf_dir) -> DataFrame:
+    return _dl().survey_point(pipe(spark, sf_dir).survey_point_local)
+
+
+@register("survey_image")
+def q_survey_image(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey_image
+
+
+@register("report_image_duplicates")
+def q_report_image_duplicates(spark, sf_dir) -> DataFrame:
+    return _dl().image_duplicates(pipe(spark, sf_dir).survey_image)
+
+
+@register("repair_image_names")
+def q_repair_image_names(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey_image_fixed
+
+
+@register("image_folders")
+def q_image_folders(spark, sf_dir) -> DataFrame:
+    p = pipe(spark, sf_dir)
+    return _dl().image_folders(p.survey_image_fixed, p.survey_pave)
+
+
+@register("image_copy_manifest")
+def q_image_copy_manifest(spark, sf_dir) -> DataFrame:
+    p = pipe(spark, sf_dir)
+    return _dl().image_copy_manifest(p.survey_image_fixed, p.survey_pave)
+
+
+# ---------------------------------------------------------------------- pavement
+@register("pave_event_join")
+def q_pave_event_join(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).pave_table.select("file_name", "link_id", "event_str", "event_end",
+                                                 "chainage_pic", "frame_number")
+
+
+@register("pave_table")
+def q_pave_table(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).pave_table
+
+
+@register("pave_gps_gaps")
+def q_pave_gps_gaps(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).pave_gps_lost
+
+
+def _pave_points(df: DataFrame) -> DataFrame:
+    return df.select("file_name", "link_id", "event_str", "survey_id", "chainage_pic", "lon",
+                     "lat", "geom_lon", "geom_lat")
+
+
+@register("repair_pave_gaps")
+def q_repair_pave_gaps(spark, sf_dir) -> DataFrame:
+    return _pave_points(pipe(spark, sf_dir).pave_gaps_filled)
+
+
+@register("repair_pave_frozen")
+def q_repair_pave_frozen(spark, sf_dir) -> DataFrame:
+    return _pave_points(pipe(spark, sf_dir).pave_final)
+
+
+@register("survey_pave")
+def q_survey_pave(spark, sf_dir) -> DataFrame:
+    return pipe(spark, sf_dir).survey_pave

@@ -121,3 +121,57 @@ class SurveyPipeline:
     def unfrozen(self) -> DataFrame:
         from pavespark.operators.repair import repair_gps_frozen
         return self._stage(repair_gps_frozen(self.gaps_filled))
+
+    @cached_property
+    def stations_final(self) -> DataFrame:
+        """REP-6 on the repaired stations: the final station table."""
+        from pavespark.operators.smoothing import smooth_measures
+        return self._stage(smooth_measures(self.unfrozen))
+
+    # ------------------------------------------------------------------ deliverables
+    @cached_property
+    def survey(self) -> DataFrame:
+        from pavespark.plans.deliverables import survey
+        return self._stage(survey(self.stations_final))
+
+    @cached_property
+    def survey_point_local(self) -> DataFrame:
+        from pavespark.plans.deliverables import survey_point_local
+        return self._stage(survey_point_local(self.stations_final, self.laser, self.survey))
+
+    @cached_property
+    def survey_image(self) -> DataFrame:
+        from pavespark.plans.deliverables import survey_image
+        return self._stage(survey_image(self.survey_point_local, self.stations_final))
+
+    @cached_property
+    def survey_image_fixed(self) -> DataFrame:
+        from pavespark.plans.deliverables import repair_image_names
+        return self._stage(repair_image_names(self.survey_image))
+
+    @cached_property
+    def pave_table(self) -> DataFrame:
+        from pavespark.plans.deliverables import pave_table
+        return self._stage(pave_table(self.stations_final, self.pave, self.survey,
+                                      extent=self.extent))
+
+    @cached_property
+    def pave_gps_lost(self) -> DataFrame:
+        from pavespark.plans.deliverables import pave_gps_lost
+        return self._stage(pave_gps_lost(self.pave_table, extent=self.extent))
+
+    @cached_property
+    def pave_gaps_filled(self) -> DataFrame:
+        from pavespark.plans.deliverables import repair_pave_gaps
+        return self._stage(repair_pave_gaps(self.pave_table, self.pave_gps_lost, self.survey,
+                                            extent=self.extent))
+
+    @cached_property
+    def pave_final(self) -> DataFrame:
+        from pavespark.plans.deliverables import repair_pave_frozen
+        return self._stage(repair_pave_frozen(self.pave_gaps_filled, self.survey))
+
+    @cached_property
+    def survey_pave(self) -> DataFrame:
+        from pavespark.plans.deliverables import survey_pave
+        return self._stage(survey_pave(self.pave_final))
