@@ -114,14 +114,15 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     measures (in-link smoothed rows, or raw laser rows just past the link end)."""
     inlink = data.where(F.col("chainage").between(F.col("event_str"), F.col("event_end")))
     a = inlink.select("chainage", "event_str", "event_end", "link_id", "date", RUN)
-    b_in = inlink.select(RUN, "chainage", *MEASURES, "ramp_id")
+    b_in = inlink.select(RUN, "chainage", *[F.col(m).cast("double").alias(m) for m in MEASURES],
+                         "ramp_id")
     raw = laser.select(F.col(RUN).alias("_lr"), F.col("chainage").alias("_lc"),
                        *[F.col(m).alias(f"_l_{m}") for m in MEASURES])
     ahead = (data.join(raw, (F.col(RUN) == F.col("_lr"))
                        & (F.col("chainage") == F.col("_lc") - 5))
                  .where(F.col("_lc") > F.col("event_end"))
                  .select(RUN, F.col("_lc").alias("chainage"),
-                         *[F.col(f"_l_{m}").cast(data.schema[m].dataType).alias(m) for m in MEASURES],
+                         *[F.col(f"_l_{m}").cast("double").alias(m) for m in MEASURES],
                          "ramp_id"))
     b = b_in.unionByName(ahead).distinct()
     b = b.select(F.col(RUN).alias("_br"), F.col("chainage").alias("_bc"),
