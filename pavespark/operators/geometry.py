@@ -33,41 +33,49 @@ def line_agg(chainage="chainage", lon="lon", lat="lat") -> Column:
     return F.array_sort(F.collect_list(point_struct(chainage, lon, lat)))
 
 
-def interpolate(line, fraction) -> Column:
-    """GEO-5: point at ``fraction`` of the planar 2-D length; STRUCT<lon, lat>."""
-    pts = F.col(line) if isinstance(line, str) else line
+def add_point_at(df: DataFrame, line: str, fraction, out: str) -> DataFrame:
+    """GEO-5: add ``out`` = STRUCT<lon, lat>, the point at ``fraction`` of the planar
+    2-D length of ``line``. Linear in the number of points: segment lengths and the
+    total are computed once per row as columns, then one left fold finds the segment."""
+    pts = F.col(line)
     f = F.col(fraction) if isinstance(fraction, str) else fraction
+    n = F.size(pts)
+    idx = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
 
     def seg(i):
         a, b = F.get(pts, i - 1), F.get(pts, i)
         return F.sqrt((b["lon"] - a["lon"]) ** 2 + (b["lat"] - a["lat"]) ** 2)
 
-    n = F.size(pts)
-    idx = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    total = F.aggregate(idx, F.lit(0.0), lambda acc, i: acc + seg(i))
+    d = df.withColumn("_ip_f", f.cast("double"))
+    d = d.withColumn("_ip_seg", F.transform(idx, seg))
+    d = d.withColumn("_ip_tot", F.aggregate("_ip_seg", F.lit(0.0), lambda acc, x: acc + x))
     init = F.struct(F.lit(0.0).alias("cum"), F.lit(False).alias("done"),
                     F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    ff, tot = F.col("_ip_f"), F.col("_ip_tot")
 
     def step(acc, i):
-        fr = F.try_divide(seg(i), total)
+        fr = F.try_divide(F.get(F.col("_ip_seg"), i - 1), tot)
         a, b = F.get(pts, i - 1), F.get(pts, i)
-        t = F.try_divide(f - acc["cum"], fr)
-        hit = F.coalesce((~acc["done"]) & (f < acc["cum"] + fr), F.lit(False))
+        t = F.try_divide(ff - acc["cum"], fr)
+        hit = F.coalesce((~acc["done"]) & (ff < acc["cum"] + fr), F.lit(False))
         return F.when(hit, F.struct((acc["cum"] + fr).alias("cum"), F.lit(True).alias("done"),
                                     (a["lon"] + t * (b["lon"] - a["lon"])).alias("x"),
                                     (a["lat"] + t * (b["lat"] - a["lat"])).alias("y"))) \
                 .otherwise(F.struct((acc["cum"] + fr).alias("cum"), acc["done"].alias("done"),
                                     acc["x"].alias("x"), acc["y"].alias("y")))
 
-    walked = F.aggregate(idx, init, step)
+    d = d.withColumn("_ip_w", F.aggregate(idx, init, step))
+    w = F.col("_ip_w")
     first, last = F.get(pts, 0), F.get(pts, n - 1)
-    pick_first = (f == 0) | (n == 1)
-    pick_last = (f == 1) | (total == 0) | ~walked["done"]
-    lon = (F.when(n == 0, F.lit(None)).when(pick_first, first["lon"])
-            .when(pick_last, last["lon"]).otherwise(walked["x"]))
-    lat = (F.when(n == 0, F.lit(None)).when(pick_first, first["lat"])
-            .when(pick_last, last["lat"]).otherwise(walked["y"]))
-    return F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
+    pick_first = (ff == 0) | (n == 1)
+    pick_last = (ff == 1) | (tot == 0) | ~w["done"]
+
+    def pick(field, acc_field):
+        return (F.when(n == 0, F.lit(None)).when(pick_first, first[field])
+                 .when(pick_last, last[field]).otherwise(w[acc_field])).cast("double")
+
+    d = d.withColumn(out, F.struct(pick("lon", "x").alias("lon"), pick("lat", "y").alias("lat")))
+    return d.drop("_ip_f", "_ip_seg", "_ip_tot", "_ip_w")
 
 
 def _segment_m(a, b) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pavespark import constants as K
 from pavespark.functions import predicates as P
-from pavespark.operators.geometry import interpolate, line_agg
+from pavespark.operators.geometry import add_point_at, line_agg
 from pavespark.operators.joins import near_join, range_join
 
 RUN = "file_name"
@@ -138,9 +138,9 @@ def event_position_fixes(data: DataFrame, laser: DataFrame, groups: DataFrame,
     span = P.as_real(F.col("b_max") - F.col("b_min"))
     den = F.when(span == 0, P.as_real(F.lit(0.0001))).otherwise(span)
     g = g.withColumn("f", _real_fraction(F.col("e") - F.col("b_min"), den))
-    g = g.where((F.col("f") >= 0) & (F.col("f") <= 1))
-    pt = interpolate("line", "f")
-    return g.select(RUN, F.col("e").alias("chainage"), pt["lon"].alias("lon"), pt["lat"].alias("lat"))
+    g = add_point_at(g.where((F.col("f") >= 0) & (F.col("f") <= 1)), "line", "f", "pt")
+    return g.select(RUN, F.col("e").alias("chainage"), F.col("pt.lon").alias("lon"),
+                    F.col("pt.lat").alias("lat"))
 
 
 def repair_event_coords(data: DataFrame, laser: DataFrame, groups: DataFrame, end: str,
@@ -182,9 +182,9 @@ def gap_fixes(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
           .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
                                           F.col("chainage_end") - F.col("chainage_str")))
           .where((F.col("f") >= 0) & (F.col("f") <= 1)))
-    pt = interpolate("line", "f")
+    w = add_point_at(w, "line", "f", "pt")
     fixes = w.select(RUN, "date", "link_id", "gps_lost_ch", "c_p",
-                     pt["lon"].alias("new_lon"), pt["lat"].alias("new_lat"))
+                     F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "date", "link_id", "gps_lost_ch"], ["c_p", "new_lon", "new_lat"])
 
 
@@ -227,9 +227,9 @@ def frozen_fixes(data: DataFrame) -> DataFrame:
     p1 = P.as_real(F.col("chainage") - F.col("min_c"))
     p2 = P.as_real(F.col("max_c") - F.col("min_c"))
     m = m.where((p1 > 0) & (p1 < p2)).withColumn("f", P.as_real(p1 / p2))
-    pt = interpolate("line", "f")
-    fixes = m.select(RUN, "link_id", "chainage", pt["lon"].alias("new_lon"),
-                     pt["lat"].alias("new_lat"))
+    m = add_point_at(m, "line", "f", "pt")
+    fixes = m.select(RUN, "link_id", "chainage", F.col("pt.lon").alias("new_lon"),
+                     F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "link_id", "chainage"], ["new_lon", "new_lat"])
 
 

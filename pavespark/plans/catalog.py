@@ -24,8 +24,18 @@ def register(name):
     return deco
 
 
+_PIPES: dict = {}
+
+
 def pipe(spark: SparkSession, sf_dir: str) -> SurveyPipeline:
-    return SurveyPipeline.from_fixtures(spark, sf_dir)
+    """One pipeline per (application, data directory): stages already written by an
+    earlier query of the same session are reused, not recomputed."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PIPES:
+        if len(_PIPES) >= 4:
+            _PIPES.pop(next(iter(_PIPES)))
+        _PIPES[key] = SurveyPipeline.from_fixtures(spark, sf_dir)
+    return _PIPES[key]
 
 
 # ----------------------------------------------------------------------- sources
@@ -181,14 +191,14 @@ def q_event_near_station(spark, sf_dir) -> DataFrame:
 @register("line_interpolate")
 def q_line_interpolate(spark, sf_dir) -> DataFrame:
     """GEO-5 over whole tables: the point at 37 % of each link's line of present grid stations."""
-    from pavespark.operators.geometry import interpolate, line_agg
+    from pavespark.operators.geometry import add_point_at, line_agg
     d = pipe(spark, sf_dir).station_table
     lines = (d.where(P.on_grid("chainage") & P.gps_present())
               .groupBy("file_name", "link_id", "event_str")
               .agg(line_agg("chainage", "geom_lon", "geom_lat").alias("line")))
-    pt = interpolate("line", F.lit(0.37))
-    return lines.select("file_name", "link_id", "event_str", pt["lon"].alias("lon"),
-                        pt["lat"].alias("lat"))
+    lines = add_point_at(lines, "line", F.lit(0.37), "pt")
+    return lines.select("file_name", "link_id", "event_str", F.col("pt.lon").alias("lon"),
+                        F.col("pt.lat").alias("lat"))
 
 
 # ---------------------------------------------------------------------- repairs

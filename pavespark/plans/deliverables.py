@@ -15,7 +15,7 @@ from pavespark import constants as K
 from pavespark.functions import codes as C
 from pavespark.functions import predicates as P
 from pavespark.functions.measures import MEASURES
-from pavespark.operators.geometry import interpolate, length_km, line_agg
+from pavespark.operators.geometry import add_point_at, length_km, line_agg
 from pavespark.operators.joins import range_join
 from pavespark.operators.linear import gap_rows, lost_islands
 from pavespark.operators.repair import _one_per_key, _real_fraction, apply_corrections
@@ -313,10 +313,10 @@ def pave_gap_fixes(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
     lines = survey_df.select(F.col("survey_id").alias("b_survey"), "the_geom",
                              F.col("link_id").alias("s_link"))
     g = g.join(lines, "b_survey").where((F.col("f") >= 0) & (F.col("f") <= 1))
-    pt = interpolate("the_geom", "f")
+    g = add_point_at(g, "the_geom", "f", "pt")
     fixes = g.select(RUN, "date", "link_id", "gps_lost_ch",
                      (F.col("s_link") != F.col("link_id")).alias("other_link"), "b_survey", "c_p",
-                     pt["lon"].alias("new_lon"), pt["lat"].alias("new_lat"))
+                     F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "date", "link_id", "gps_lost_ch"],
                         ["other_link", "b_survey", "c_p", "new_lon", "new_lat"])
 
@@ -346,9 +346,9 @@ def pave_frozen_fixes(pave_df: DataFrame, survey_df: DataFrame) -> DataFrame:
     p1 = P.as_real(F.col("chainage_pic") - F.col("event_str"))
     p2 = P.as_real(F.col("event_end") - F.col("event_str"))
     j = j.withColumn("f", P.as_real(F.try_divide(p1, p2))).where((F.col("f") > 0) & (F.col("f") < 1))
-    pt = interpolate("the_geom", "f")
+    j = add_point_at(j, "the_geom", "f", "pt")
     fixes = j.select(RUN, "link_id", "event_str", "chainage_pic", "survey_id",
-                     pt["lon"].alias("new_lon"), pt["lat"].alias("new_lat"))
+                     F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "link_id", "event_str", "chainage_pic"],
                         ["survey_id", "new_lon", "new_lat"])
 
