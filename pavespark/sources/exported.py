@@ -79,7 +79,8 @@ def pave_extract(video_pave: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SRC-5 / SRC-6
-RUN_FROM_PATH = r"survey_data/[^/]+/([^/]+?)(?:_edit[^/]*)?/[^/]+$"
+# run folder = second path component below survey_data, text before "_edit"
+RUN_FROM_PATH = r"survey_data/[^/]+/([^/]+?)(?:_edit[^/]*)?/"
 
 
 def read_loaded_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -90,7 +91,8 @@ def read_loaded_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
-    """SRC-6: every run below ``<root>/survey_data/<date>/<run>[_edit...]/<table>.csv``.
+    """SRC-6: every run below ``<root>/survey_data/<date>/<run>[_edit...]/<table>.csv``
+    (a file, or a folder of part files as Spark writes them).
 
     One distributed read; the run name is taken from each file's path, so a
     folder with thousands of runs is still a single scan.
@@ -99,8 +101,8 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataF
     no_run = type(schema)([f for f in schema.fields if f.name != RUN])
     df = (spark.read.schema(no_run).option("header", "false").option("nullValue", "")
           .csv(f"{root.rstrip('/')}/survey_data/*/*/{table}.csv"))
-    return df.select(*cols, F.regexp_extract(F.col("_metadata.file_path"), RUN_FROM_PATH, 1)
-                     .alias(RUN))
+    path = F.url_decode(F.col("_metadata.file_path"))
+    return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))
 
 
 def loaded_laser(df: DataFrame) -> DataFrame:
