@@ -18,9 +18,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Broadcasts are only requested through checked sizes (see
-    # operators.joins.size_checked_broadcast); keep Spark's own threshold low.
-    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    # Broadcast only on *measured* sizes: no static broadcast from plan estimates
+    # (an exploded interval side is estimated at its input size), AQE converts a
+    # join to broadcast when the runtime shuffle output of a side is below 32 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
 
 
