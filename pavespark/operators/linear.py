@@ -22,7 +22,7 @@ from pavespark.operators.windows import ordered_index
 RUN = "file_name"
 
 
-def island_ids(df: DataFrame, x: str, ties: Sequence[str], chunk_m: float = 1000.0,
+def island_ids(df: DataFrame, x: str, ties: Sequence[str], chunk_m: float = 10000.0,
                link: str = "link_id", date: str = "date") -> DataFrame:
     """WIN-1: ``grp2`` = row_number(run, date, link by x) - row_number(run, lat, lon, link by x)."""
     order = [F.col(x).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]

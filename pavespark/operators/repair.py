@@ -114,7 +114,8 @@ def event_mismatch(events: DataFrame, groups: DataFrame, grid_only: bool = False
     out = (pairs.groupBy("chainage", "direction", "event_name", "link_id", "lon", "lat", RUN)
                 .agg(F.min("g_min").alias("chainage_data"))
                 .select(RUN, "chainage", "chainage_data", "direction", "event_name", "link_id"))
-    return out.where(P.on_grid("chainage")) if grid_only else out
+    out = out.where(P.on_grid("chainage")) if grid_only else out
+    return out.orderBy(RUN, "chainage", "link_id")
 
 
 def _real_fraction(num: Column, den: Column) -> Column:
@@ -172,7 +173,8 @@ def gap_at_seam(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
     """RPT-7: gap windows holding a single valid chainage (nothing to interpolate)."""
     w = gap_windows(gps_lost, data, extent)
     return (w.where(F.col("chainage_end") - F.col("chainage_str") == 0)
-             .select(RUN, "gps_lost_ch", "link_id", "chainage_str", "chainage_end"))
+             .select(RUN, "gps_lost_ch", "link_id", "chainage_str", "chainage_end")
+             .orderBy(RUN, "gps_lost_ch"))
 
 
 def gap_fixes(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:

@@ -40,7 +40,7 @@ def from_cents(c: Column) -> Column:
 
 
 def smooth_measures(data: DataFrame, before: int = 4, after: int = 4, block: int = 4096,
-                    chunk_m: float = 1000.0) -> DataFrame:
+                    chunk_m: float = 10000.0) -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in ORDER]
     chunk = F.coalesce(F.floor(F.col("chainage") / chunk_m), F.lit(1 << 40))
     d = ordered_index(data, [RUN], order, name="_sidx", chunk=chunk)

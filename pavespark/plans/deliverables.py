@@ -148,7 +148,7 @@ def survey_point_local(data: DataFrame, laser: DataFrame, survey_df: DataFrame)
                          F.col("km_start").alias("s_km_start"))
     j = pts.join(s, [RUN, "link_id"], "left")
     order = _asc("chainage", *POINT_TIES)
-    chunk = F.coalesce(F.floor(F.col("chainage") / 1000), F.lit(1 << 40))
+    chunk = F.coalesce(F.floor(F.col("chainage") / 10000), F.lit(1 << 40))
     j = ordered_index(j, [RUN, "date", "link_id"], order, name="order_row", chunk=chunk)
     j = ordered_index(j, [RUN, "date", "survey_id", "link_id"], order, name="_pos", chunk=chunk)
     step = F.col("_pos") * K.REPORT_INTERVAL_M
@@ -203,7 +203,7 @@ def repair_image_names(images: DataFrame) -> DataFrame:
     d = images.join(dup, [RUN, "filename"], "left_semi")
     order = _asc("img_id", "link_id", "survey_id", "filename", "directory")
     d = ordered_index(d, [RUN], order, name="_i",
-                      chunk=F.coalesce(F.floor(F.col("img_id") / 1000), F.lit(1 << 40)))
+                      chunk=F.coalesce(F.floor(F.col("img_id") / 10000), F.lit(1 << 40)))
     prev = d.select(F.col(RUN).alias("_pr"), (F.col("_i") + 1).alias("_pi"),
                     F.col("img_id").alias("img_bf"))
     d = d.join(prev, (F.col(RUN) == F.col("_pr")) & (F.col("_i") == F.col("_pi")))
@@ -295,6 +295,27 @@ def pave_gps_lost(pave_df: DataFrame, extent=None) -> DataFrame:
     return gap_rows(islands, targets, "chainage_pic", K.PAVE_GAP_MARGIN_M, extent=extent)
 
 
+def pave_gap_fixes_window(pave_df: DataFrame, lost: DataFrame, extent=None) -> DataFrame:
+    """REP-8, ``mode="window"``: interpolate along the window's own images with valid
+    GPS, like the station gap fill (fraction of the valid images' span)."""
+    b = (pave_df.where(F.col("chainage_pic").isNotNull() & P.gps_valid())
+                .select(RUN, F.col("chainage_pic").alias("b"), "geom_lon", "geom_lat"))
+    a = lost.select(RUN, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter", "link_id",
+                    "date", "new_p_min", "new_p_max")
+    j = range_join(b, a, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN], extent=extent)
+    g = (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date")
+          .agg(F.min("b").alias("chainage_str"), F.max("b").alias("chainage_end"),
+               line_agg("b", "geom_lon", "geom_lat").alias("line")))
+    g = (g.where(P.as_real(F.col("chainage_end") - F.col("chainage_str")) > 0)
+          .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
+                                          F.col("chainage_end") - F.col("chainage_str")))
+          .where((F.col("f") >= 0) & (F.col("f") <= 1)))
+    g = add_point_at(g, "line", "f", "pt")
+    fixes = g.select(RUN, "date", "link_id", "gps_lost_ch", "c_p",
+                     F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
+    return _one_per_key(fixes, [RUN, "date", "link_id", "gps_lost_ch"], ["c_p", "new_lon", "new_lat"])
+
+
 def pave_gap_fixes(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
                    extent=None) -> DataFrame:
     """REP-8: fraction inside the gap window (all images of the window), applied to the
@@ -327,8 +348,13 @@ def _set_pave_point():
 
 
 def repair_pave_gaps(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
-                     extent=None) -> DataFrame:
-    fixes = pave_gap_fixes(pave_df, lost, survey_df, extent)
+                     extent=None, mode: str = "reference") -> DataFrame:
+    """REP-8. ``mode="reference"``: window fraction on the link's survey line (as the
+    reference); ``mode="window"``: along the window's own valid images."""
+    if mode == "window":
+        fixes = pave_gap_fixes_window(pave_df, lost, extent)
+    else:
+        fixes = pave_gap_fixes(pave_df, lost, survey_df, extent)
     return apply_corrections(pave_df, fixes, {RUN: RUN, "date": "date", "link_id": "link_id",
                                               "chainage_pic": "gps_lost_ch"}, _set_pave_point())
 

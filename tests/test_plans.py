@@ -81,3 +81,15 @@ def test_repairs_touch_only_targets(p):
     assert changed.count() > 0
     # only stations that had lost GPS on lost-status links were filled
     assert changed.where((F.col("a") != 0) | (F.col("status") != "มีGPSlost")).count() == 0
+
+
+def test_pave_gap_window_mode(p):
+    from pyspark.sql import functions as F
+    ref = D.repair_pave_gaps(p.pave_table, p.pave_gps_lost, p.survey)
+    win = D.repair_pave_gaps(p.pave_table, p.pave_gps_lost, p.survey, mode="window")
+    lost = p.pave_table.where((F.col("lon") == 0) | (F.col("lat") == 0)).count()
+    assert lost > 0
+    for df in (ref, win):
+        assert df.count() == p.pave_table.count()
+        left = df.where(F.col("chainage_pic").isNotNull() & ((F.col("lon") == 0) | (F.col("lat") == 0)))
+        assert left.count() < lost

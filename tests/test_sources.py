@@ -37,3 +37,17 @@ def test_read_loaded_csv_empty_is_null(spark):
     df = exported.read_loaded_csv(spark, path, schemas.PIC_CSV)
     rows = sorted(tuple(r) for r in df.collect())
     assert rows == [(5.0, "1", "run a"), (10.0, None, "run a")]
+
+
+def test_write_stage_partitioned_by_run(spark):
+    inp = load(spark, SF_SMALL)
+    out = os.path.join(tempfile.mkdtemp(prefix="pavespark-stage-"), "laser")
+    exported.write_stage(inp.laser, out)
+    runs = sorted(d for d in os.listdir(out) if d.startswith("file_name="))
+    assert len(runs) == 2
+    back = spark.read.parquet(out)
+    assert back.count() == inp.laser.count()
+    # partition pruning: one run's folder only
+    one = back.where(F.col("file_name") == "20240101 0001")
+    assert "PartitionFilters: [isnotnull(file_name" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 500
