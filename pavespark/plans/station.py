@@ -45,18 +45,9 @@ def station_link_join(stations: DataFrame, key: DataFrame, tolerance: float = 0.
                       keys=[RUN], extent=extent)
 
 
-def gps_status(laser: DataFrame, pic: DataFrame, key: DataFrame,
-               extent: DataFrame | None = None) -> DataFrame:
-    """AGG-1: lost 25 m stations per (run, date, link) within the key range +-5 m.
-
-    Links with lost stations get the lost status and their count; links
-    without any get the not-lost status with their count of present stations.
-    More than 10 lost stations -> "do not proceed" (the row is kept).
-    """
-    joined = (station_link_join(attach_pictures(laser, pic), pave_keys(key),
-                                tolerance=K.STATUS_TOLERANCE_M, rounded=False, extent=extent)
-              .where(P.on_grid("chainage"))
-              .withColumn("date", P.survey_date("survey_date")))
+def _status_from_candidates(cand: DataFrame) -> DataFrame:
+    """AGG-1 over station x link candidates already restricted to [event_str-5, event_end+5]."""
+    joined = cand.where(P.on_grid("chainage")).withColumn("date", P.survey_date("survey_date"))
     keys = [RUN, "date", "link_id"]
     lost = (joined.where(P.gps_lost() & F.col("link_id").isNotNull())
                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
@@ -72,17 +63,42 @@ def gps_status(laser: DataFrame, pic: DataFrame, key: DataFrame,
                F.lit(K.STATUS_DO_NOT_PROCEED)).otherwise(F.lit(K.STATUS_PROCEED)))
 
 
+def gps_status(laser: DataFrame, pic: DataFrame, key: DataFrame,
+               extent: DataFrame | None = None) -> DataFrame:
+    """AGG-1: lost 25 m stations per (run, date, link) within the key range +-5 m.
+
+    Links with lost stations get the lost status and their count; links
+    without any get the not-lost status with their count of present stations.
+    More than 10 lost stations -> "do not proceed" (the row is kept).
+    """
+    cand = station_link_join(attach_pictures(laser, pic), pave_keys(key),
+                             tolerance=K.STATUS_TOLERANCE_M, rounded=False, extent=extent)
+    return _status_from_candidates(cand)
+
+
 def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default_draw,
                   extent: DataFrame | None = None) -> DataFrame:
-    """TAB-1 ``data_suvey``. ``geom_lon/geom_lat`` carry the point geometry."""
+    """TAB-1 ``data_suvey``. ``geom_lon/geom_lat`` carry the point geometry.
+
+    One range join of the stations against the links over the union of both
+    bounds ([rint(event_str), rint(event_end)] for the table, +-5 m unrounded for
+    the GPS status), so the station table is shuffled once for both uses; the
+    clamp changes only IRI, which the status does not read.
+    """
     if extent is None:
         extent = run_extent(laser)
     stations = attach_pictures(iri_clamp(laser, draw), pic)
-    a = station_link_join(stations, pave_keys(key), extent=extent)
-    a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + F.col("chainage") - F.col("event_str")))
+    tol = K.STATUS_TOLERANCE_M
+    es, ee = F.col("event_str"), F.col("event_end")
+    lo = F.least(P.pg_int("event_str").cast("double"), es - tol)
+    hi = F.greatest(P.pg_int("event_end").cast("double"), ee + tol)
+    cand = range_join(stations, pave_keys(key), "chainage", lo, hi, keys=[RUN], extent=extent)
+    c = F.col("chainage")
+    status = _status_from_candidates(cand.where(c.between(es - tol, ee + tol)))
+    a = cand.where(c.between(P.pg_int("event_str"), P.pg_int("event_end")))
+    a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + c - es))
           .withColumn("date", P.survey_date("survey_date"))
           .withColumn("geom_lon", F.col("lon")).withColumn("geom_lat", F.col("lat")))
-    status = gps_status(laser, pic, key, extent=extent).select(RUN, "link_id", "status", "status_type")
-    out = a.join(status, [RUN, "link_id"], "inner")
+    out = a.join(status.select(RUN, "link_id", "status", "status_type"), [RUN, "link_id"], "inner")
     return out.select("km2", "date", *KEY_COLS, *LASER_COLS, RUN, "chainage_pic", "frame_number",
                       "geom_lon", "geom_lat", "status", "status_type")
