@@ -19,31 +19,47 @@ def lat(p):
 
 
 def link(k):
-    return (f"(CASE WHEN {k} % 2 = 0 THEN '1' ELSE '3' END || lpad(CAST(r AS VARCHAR), 4, '0') || "
+    return (f"(CASE WHEN {k} % 2 = 0 THEN '1' ELSE '3' END || lpad(CAST(q AS VARCHAR), 4, '0') || "
             f"lpad(CAST({k} AS VARCHAR), 2, '0') || '0201' || CASE WHEN {k} < 3 THEN 'L' ELSE 'R' END || "
-            f"CAST(1 + (r + {k}) % 6 AS VARCHAR) || CASE WHEN (r + {k}) % 2 = 0 THEN 'CC' ELSE 'AC' END || '01')")
+            f"CAST(1 + (q + {k}) % 6 AS VARCHAR) || CASE WHEN (q + {k}) % 2 = 0 THEN 'CC' ELSE 'AC' END || '01')")
 
 
 def real(x):
     return f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
 
 
-EV_STR = "(CASE WHEN k = 5 THEN 0 WHEN k = 6 THEN 2480 ELSE 500 * k - 2 * (k % 2) END)"
-EV_END = ("(CASE WHEN k = 5 THEN 2495 WHEN k = 6 THEN 2495 "
-          "ELSE 500 * k + 475 + CASE WHEN k = 1 AND r % 2 = 0 THEN 25 ELSE 0 END END)")
-SWAP = "(k IN (3, 4) AND NOT (r % 5 = 0 AND k = 4))"
-ZERO = "(k = 5 OR (r % 6 = 0 AND k = 0))"
-KM_A = "('1' || CAST(2 + k AS VARCHAR) || '+000')"
-KM_B = "('1' || CAST(2 + k AS VARCHAR) || '+475')"
+EV_STR = "(2500 * b + CASE WHEN k = 5 THEN 0 WHEN k = 6 THEN 2480 ELSE 500 * k - 2 * (k % 2) END)"
+EV_END = ("(2500 * b + CASE WHEN k = 5 THEN 2495 WHEN k = 6 THEN 2495 "
+          "ELSE 500 * k + 475 + CASE WHEN k = 1 AND q % 2 = 0 THEN 25 ELSE 0 END END)")
+SWAP = "(k IN (3, 4) AND NOT (q % 5 = 0 AND k = 4))"
+ZERO = "(k = 5 OR (q % 6 = 0 AND k = 0))"
+KM_A = "('1' || CAST(2 + k + 5 * b AS VARCHAR) || '+000')"
+KM_B = "('1' || CAST(2 + k + 5 * b AS VARCHAR) || '+475')"
 PS = f"ceil({EV_STR} / 5)"
 PE = f"(ceil({EV_END} / 5) + CASE WHEN k = 3 THEN 1 ELSE 0 END)"
 
-FIXTURE_CTES = f"""
+def layout_ri(layout=None):
+    """Run and station index per event for a layout (default: PAVESPARK_LAYOUT)."""
+    import os
+    if (layout or os.environ.get("PAVESPARK_LAYOUT", "uniform")) == "hot":
+        hot = "((event_id // 500) % 3 = 0)"
+        return (f"(CASE WHEN {hot} THEN 0 ELSE event_id // 500 END)",
+                f"(CASE WHEN {hot} THEN ((event_id // 500) // 3) * 500 + event_id % 500 "
+                f"ELSE event_id % 500 END)")
+    return "(event_id // 500)", "(event_id % 500)"
+
+
+def ev_cte(layout=None):
+    r, i = layout_ri(layout)
+    return f"""
 ev AS (
-  SELECT event_id AS e, event_id // 500 AS r, event_id % 500 AS i,
+  SELECT event_id AS e, {r} AS r, {i} AS i,
          CAST(round(value * 100) AS BIGINT) AS w,
-         '20240101 ' || lpad(CAST(event_id // 500 + 1 AS VARCHAR), 4, '0') AS file_name
-  FROM events),
+         '20240101 ' || lpad(CAST({r} + 1 AS VARCHAR), 4, '0') AS file_name
+  FROM events),"""
+
+
+FIXTURE_CTES = ev_cte() + f"""
 gps_x AS (
   SELECT file_name, CAST(5 * i AS DOUBLE) AS chainage_x,
          CASE WHEN {LOST} THEN 0.0 ELSE {lon(P)} END AS lon_x,
@@ -73,7 +89,7 @@ laser AS (
   LEFT JOIN iri_x a ON a.file_name = g.file_name AND a.chainage_x = g.chainage_x
   LEFT JOIN tpl_x t ON t.file_name = g.file_name AND t.chainage_x = g.chainage_x
   LEFT JOIN mpd_x m ON m.file_name = g.file_name AND m.chainage_x = g.chainage_x),
-kev AS (SELECT r, i AS k, file_name FROM ev WHERE i < 7),
+kev AS (SELECT r, i % 500 AS k, i // 500 AS b, r + i // 500 AS q, file_name FROM ev WHERE i % 500 < 7),
 keyt AS (
   SELECT {real(EV_STR)} AS event_str, {real(EV_END)} AS event_end,
          lpad(CAST(k AS VARCHAR), 2, '0') AS event_num,
@@ -81,20 +97,20 @@ keyt AS (
          CASE WHEN k = 5 THEN 'other' WHEN k = 6 THEN 'construction'
               ELSE 'link ' || CAST(k AS VARCHAR) END AS event_name,
          CASE WHEN k = 5 THEN NULL WHEN k = 6 THEN 'construction'
-              WHEN k = 2 AND r % 9 = 0 THEN {link('0')} ELSE {link('k')} END AS link_id,
-         CASE WHEN k = 5 THEN NULL ELSE CAST(1000 * r + k AS VARCHAR) END AS section_id,
+              WHEN k = 2 AND q % 9 = 0 THEN {link('0')} ELSE {link('k')} END AS link_id,
+         CASE WHEN k = 5 THEN NULL ELSE CAST(1000 * r + 10 * b + k AS VARCHAR) END AS section_id,
          CASE WHEN k = 5 THEN '10+000' WHEN k = 6 THEN '17+000' WHEN {SWAP} THEN {KM_B} ELSE {KM_A} END AS km_start,
          CASE WHEN k = 5 THEN '12+495' WHEN k = 6 THEN '17+015' WHEN {SWAP} THEN {KM_A} ELSE {KM_B} END AS km_end,
          CASE WHEN k = 5 THEN '2.495' WHEN k = 6 THEN '0.015' ELSE '0.475' END AS length,
-         CASE WHEN k = 5 THEN NULL WHEN r % 7 = 0 AND k = 1 THEN NULL WHEN k = 2 THEN 'F1'
+         CASE WHEN k = 5 THEN NULL WHEN q % 7 = 0 AND k = 1 THEN NULL WHEN k = 2 THEN 'F1'
               WHEN k = 3 THEN 'R' ELSE '1' END AS lane_no,
-         CASE WHEN r % 3 = 2 THEN '20240101' ELSE '2024-01-01' END AS survey_date,
+         CASE WHEN q % 3 = 2 THEN '20240101' ELSE '2024-01-01' END AS survey_date,
          {real(f"CASE WHEN {ZERO} THEN 0.0 ELSE {lat(PS)} END")} AS lat_str,
          {real(f"CASE WHEN {ZERO} THEN 0.0 ELSE {lat(PE)} END")} AS lat_end,
          {real(f"CASE WHEN {ZERO} THEN 0.0 ELSE {lon(PS)} END")} AS lon_str,
          {real(f"CASE WHEN {ZERO} THEN 0.0 ELSE {lon(PE)} END")} AS lon_end,
          file_name,
-         CASE WHEN k IN (1, 3) AND r % 4 <> 0 THEN 'RP' || CAST(k AS VARCHAR) END AS ramp_id
+         CASE WHEN k IN (1, 3) AND q % 4 <> 0 THEN 'RP' || CAST(k AS VARCHAR) END AS ramp_id
   FROM kev),
 pic AS (
   SELECT {real('5 * i')} AS chainage_pic, CAST(i AS VARCHAR) AS frame_number, file_name

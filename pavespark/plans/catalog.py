@@ -30,7 +30,8 @@ _PIPES: dict = {}
 def pipe(spark: SparkSession, sf_dir: str) -> SurveyPipeline:
     """One pipeline per (application, data directory): stages already written by an
     earlier query of the same session are reused, not recomputed."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    from pavespark.sources.fixtures import layout_name
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), layout_name())
     if key not in _PIPES:
         if len(_PIPES) >= 4:
             _PIPES.pop(next(iter(_PIPES)))

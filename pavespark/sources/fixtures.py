@@ -12,6 +12,7 @@ key rows.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,33 @@ from pavespark.sources import exported
 E = F.expr
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+LAYOUTS = ("uniform", "hot")
+
+
+def layout_name(layout: str | None = None) -> str:
+    """``uniform``: 500 stations per run. ``hot``: every third 500-event block joins
+    run 1, which then holds a third of all stations along one long chainage (the
+    skew case: one run, one key, a third of all rows)."""
+    name = layout or os.environ.get("PAVESPARK_LAYOUT", "uniform")
+    if name not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    return name
+
+
+def events(spark: SparkSession, sf_dir: str, layout: str | None = None) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "value")
+    if layout_name(layout) == "hot":
+        hot = "((event_id div 500) % 3 = 0)"
+        r = f"case when {hot} then 0 else event_id div 500 end"
+        i = f"case when {hot} then ((event_id div 500) div 3) * 500 + event_id % 500 else event_id % 500 end"
+    else:
+        r, i = "event_id div 500", "event_id % 500"
     return ev.select(
         F.col("event_id").alias("e"),
-        E("event_id div 500").alias("r"),
-        E("event_id % 500").alias("i"),
+        E(r).alias("r"),
+        E(i).alias("i"),
         E("cast(round(value * 100) as bigint)").alias("w"),
-        E("concat('20240101 ', lpad(cast(event_id div 500 + 1 as string), 4, '0'))")
-        .alias("file_name"),
+        E(f"concat('20240101 ', lpad(cast(({r}) + 1 as string), 4, '0'))").alias("file_name"),
     )
 
 
@@ -80,23 +99,27 @@ def mpd(ev: DataFrame) -> DataFrame:
         "file_name")
 
 
-LINK_ID_K = ("concat(case when {k} % 2 = 0 then '1' else '3' end, lpad(cast(r as string), 4, '0'), "
+LINK_ID_K = ("concat(case when {k} % 2 = 0 then '1' else '3' end, lpad(cast(q as string), 4, '0'), "
              "lpad(cast({k} as string), 2, '0'), '0201', case when {k} < 3 then 'L' else 'R' end, "
-             "cast(1 + (r + {k}) % 6 as string), case when (r + {k}) % 2 = 0 then 'CC' else 'AC' end, "
+             "cast(1 + (q + {k}) % 6 as string), case when (q + {k}) % 2 = 0 then 'CC' else 'AC' end, "
              "'01')")
 
 
 def keycode(ev: DataFrame) -> DataFrame:
-    k = ev.where("i < 7").withColumnRenamed("i", "k")
+    """Key rows: per 2500 m block b of a run, links k=0..4, one non-pavement row (k=5)
+    and one construction row (k=6); faults vary with q = r + b."""
+    k = (ev.where("i % 500 < 7").withColumn("k", E("i % 500")).withColumn("b", E("i div 500"))
+           .withColumn("q", E("r + i div 500")))
     link_k = LINK_ID_K.format(k="k")
     link_0 = LINK_ID_K.format(k="0")
-    ev_str = "case when k = 5 then 0 when k = 6 then 2480 else 500 * k - 2 * (k % 2) end"
-    ev_end = ("case when k = 5 then 2495 when k = 6 then 2495 "
-              "else 500 * k + 475 + case when k = 1 and r % 2 = 0 then 25 else 0 end end")
-    km_a = "concat('1', cast(2 + k as string), '+000')"
-    km_b = "concat('1', cast(2 + k as string), '+475')"
-    swap = "(k in (3, 4) and not (r % 5 = 0 and k = 4))"
-    zero = "(r % 6 = 0 and k = 0)"
+    off = "2500 * b"
+    ev_str = f"{off} + case when k = 5 then 0 when k = 6 then 2480 else 500 * k - 2 * (k % 2) end"
+    ev_end = (f"{off} + case when k = 5 then 2495 when k = 6 then 2495 "
+              "else 500 * k + 475 + case when k = 1 and q % 2 = 0 then 25 else 0 end end")
+    km_a = "concat('1', cast(2 + k + 5 * b as string), '+000')"
+    km_b = "concat('1', cast(2 + k + 5 * b as string), '+475')"
+    swap = "(k in (3, 4) and not (q % 5 = 0 and k = 4))"
+    zero = "(q % 6 = 0 and k = 0)"
     p_s = f"ceil(({ev_str}) / 5)"
     p_e = f"(ceil(({ev_end}) / 5) + case when k = 3 then 1 else 0 end)"
     return k.select(
@@ -107,21 +130,21 @@ def keycode(ev: DataFrame) -> DataFrame:
         E("case when k = 5 then 'other' when k = 6 then 'construction' "
           "else concat('link ', cast(k as string)) end").alias("EVENT_DESC"),
         E(f"case when k = 5 then null when k = 6 then 'construction' "
-          f"when k = 2 and r % 9 = 0 then {link_0} else {link_k} end").alias("link_id"),
-        E("case when k = 5 then null else cast(1000 * r + k as string) end").alias("section_id"),
+          f"when k = 2 and q % 9 = 0 then {link_0} else {link_k} end").alias("link_id"),
+        E("case when k = 5 then null else cast(1000 * r + 10 * b + k as string) end").alias("section_id"),
         E(f"case when k = 5 then '10+000' when k = 6 then '17+000' "
           f"when {swap} then {km_b} else {km_a} end").alias("km_start"),
         E(f"case when k = 5 then '12+495' when k = 6 then '17+015' "
           f"when {swap} then {km_a} else {km_b} end").alias("km_end"),
         E("case when k = 5 then '2.495' when k = 6 then '0.015' else '0.475' end").alias("length"),
-        E("case when k = 5 then null when r % 7 = 0 and k = 1 then null when k = 2 then 'F1' "
+        E("case when k = 5 then null when q % 7 = 0 and k = 1 then null when k = 2 then 'F1' "
           "when k = 3 then 'R' else '1' end").alias("lane_no"),
-        E("case when r % 3 = 2 then '20240101' else '2024-01-01' end").alias("survey_date"),
+        E("case when q % 3 = 2 then '20240101' else '2024-01-01' end").alias("survey_date"),
         E(f"case when k = 5 or {zero} then 0d else {_lat(p_s)} end").alias("LATITUDE_START"),
         E(f"case when k = 5 or {zero} then 0d else {_lat(p_e)} end").alias("LATITUDE_END"),
         E(f"case when k = 5 or {zero} then 0d else {_lon(p_s)} end").alias("LONGITUDE_START"),
         E(f"case when k = 5 or {zero} then 0d else {_lon(p_e)} end").alias("LONGITUDE_END"),
-        E("case when k in (1, 3) and r % 4 <> 0 then concat('RP', cast(k as string)) end")
+        E("case when k in (1, 3) and q % 4 <> 0 then concat('RP', cast(k as string)) end")
         .alias("ramp_id"),
         "file_name")
 
@@ -155,8 +178,8 @@ class Inputs:
     pave: DataFrame
 
 
-def load(spark: SparkSession, sf_dir: str) -> Inputs:
-    ev = events(spark, sf_dir)
+def load(spark: SparkSession, sf_dir: str, layout: str | None = None) -> Inputs:
+    ev = events(spark, sf_dir, layout)
     return Inputs(
         laser=exported.laser_extract(gps(ev), iri(ev), tpl(ev), mpd(ev)),
         key=exported.key_extract(keycode(ev)),
