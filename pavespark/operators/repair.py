@@ -190,7 +190,7 @@ def gap_fixes(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
     return _one_per_key(fixes, [RUN, "date", "link_id", "gps_lost_ch"], ["c_p", "new_lon", "new_lat"])
 
 
-def _set_point(c):
+def _set_point():
     return {"lat": lambda g: P.as_real(g("new_lat")), "lon": lambda g: P.as_real(g("new_lon")),
             "geom_lon": lambda g: g("new_lon"), "geom_lat": lambda g: g("new_lat")}
 
@@ -199,7 +199,7 @@ def repair_gps_gaps(data: DataFrame, gps_lost: DataFrame, extent=None) -> DataFr
     """REP-4: lost 25 m stations take the point interpolated along their gap window."""
     fixes = gap_fixes(gps_lost, data, extent)
     return apply_corrections(data, fixes, {RUN: RUN, "date": "date", "link_id": "link_id",
-                                           "chainage": "gps_lost_ch"}, _set_point(None))
+                                           "chainage": "gps_lost_ch"}, _set_point())
 
 
 # --------------------------------------------------------------------- unfreeze
@@ -239,4 +239,4 @@ def repair_gps_frozen(data: DataFrame) -> DataFrame:
     """REP-5: frozen grid stations of lost-status links are re-placed by interpolation."""
     fixes = frozen_fixes(data)
     return apply_corrections(data, fixes, {RUN: RUN, "link_id": "link_id", "chainage": "chainage"},
-                             _set_point(None))
+                             _set_point())

@@ -120,8 +120,6 @@ def q_station_table(spark, sf_dir) -> DataFrame:
     return pipe(spark, sf_dir).station_table
 
 
-_ = F
-
 
 # ---------------------------------------------------------------------- reports
 def _reports():
