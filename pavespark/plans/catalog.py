@@ -60,6 +60,24 @@ def q_pave_extract(spark, sf_dir) -> DataFrame:
     return pipe(spark, sf_dir).inputs.pave
 
 
+@register("interchange_roundtrip")
+def q_interchange_roundtrip(spark, sf_dir) -> DataFrame:
+    """SNK-2 + SRC-5: the station table written as header-less CSV (one folder per run)
+    into a new folder below the cluster's checkpoint directory, read back with the
+    fixed schema; runs come back from the folder names (partition discovery)."""
+    import uuid
+
+    from pavespark.session import ensure_checkpoint_dir
+    from pavespark.sources import exported, schemas
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/pavespark-interchange-{uuid.uuid4().hex}/access_valuelaser"
+    laser = pipe(spark, sf_dir).laser
+    exported.write_run_partitioned_csv(laser.select(*[f.name for f in schemas.LASER_CSV.fields]),
+                                       path)
+    return exported.loaded_laser(
+        exported.read_run_partitioned_csv(spark, path, schemas.LASER_CSV))
+
+
 # ------------------------------------------------------------------ projections
 @register("iri_clamp")
 def q_iri_clamp(spark, sf_dir) -> DataFrame:

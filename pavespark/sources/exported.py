@@ -103,6 +103,22 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataF
     return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))
 
 
+def write_run_partitioned_csv(df: DataFrame, path: str) -> None:
+    """SNK-2 for many runs: one distributed write, one folder per run
+    (``<path>/file_name=<run>/part-*.csv``)."""
+    (df.write.mode("errorifexists").partitionBy(RUN).option("header", "false")
+       .option("nullValue", "").csv(path))
+
+
+def read_run_partitioned_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """SRC-5 + run discovery for the layout above: fixed schema, run from the folder."""
+    # the run column is declared in the schema, so its type is never inferred from
+    # folder names (a run named 20240101 stays text)
+    df = (spark.read.schema(schema).option("header", "false").option("nullValue", "")
+          .option("mode", "FAILFAST").csv(path))
+    return df.select(*[F.col(f.name) for f in schema.fields])
+
+
 def loaded_laser(df: DataFrame) -> DataFrame:
     """Widen FLOAT columns of a loaded laser CSV to DOUBLE (values unchanged)."""
     return df.select(*[as_real(c).alias(c) if c in ("chainage", "lon", "lat") else F.col(c)

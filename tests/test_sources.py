@@ -51,3 +51,13 @@ def test_write_stage_partitioned_by_run(spark):
     one = back.where(F.col("file_name") == "20240101 0001")
     assert "PartitionFilters: [isnotnull(file_name" in one._jdf.queryExecution().executedPlan().toString()
     assert one.count() == 500
+
+
+def test_partitioned_csv_keeps_numeric_run_names_as_text(spark):
+    from pavespark.sources.schemas import PIC_CSV
+    path = os.path.join(tempfile.mkdtemp(prefix="pavespark-part-"), "pic")
+    df = spark.createDataFrame([(5.0, "1", "20240101"), (10.0, None, "20240102")], PIC_CSV)
+    exported.write_run_partitioned_csv(df, path)
+    back = exported.read_run_partitioned_csv(spark, path, PIC_CSV)
+    assert dict(back.dtypes)["file_name"] == "string"
+    assert sorted(tuple(r) for r in back.collect()) == [(5.0, "1", "20240101"), (10.0, None, "20240102")]
