@@ -23,7 +23,7 @@ from pavespark.sources import fixtures  # noqa: E402
 STAGES = [
     ("station_table", lambda p: p.station_table),
     ("gps_gaps", lambda p: p.gps_lost),
-    ("repair_event_start", lambda p: p.events_start_fixed),
+    ("repair_event_start", lambda p: p.links_start_fixed),
     ("repair_event_end", lambda p: p.events_fixed),
     ("repair_gps_gaps", lambda p: p.gaps_filled),
     ("repair_gps_frozen", lambda p: p.unfrozen),

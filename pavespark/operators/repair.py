@@ -240,3 +240,35 @@ def repair_gps_frozen(data: DataFrame) -> DataFrame:
     fixes = frozen_fixes(data)
     return apply_corrections(data, fixes, {RUN: RUN, "link_id": "link_id", "chainage": "chainage"},
                              _set_point())
+
+
+# ------------------------------------------------------- link-level event repair
+LINK_COORDS = ["lat_str", "lat_end", "lon_str", "lon_end"]
+
+
+def link_table(data: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Distinct link rows of the station table (key columns + run + date), with the
+    original keyed coordinates kept as ``_o_*`` so stations can be re-attached."""
+    cols = list(dict.fromkeys([*key_cols, RUN, "date"]))
+    links = data.select(*cols).distinct()
+    for c in LINK_COORDS:
+        links = links.withColumn(f"_o_{c}", F.col(c))
+    return links
+
+
+def attach_link_coords(data: DataFrame, links: DataFrame) -> DataFrame:
+    """Write repaired keyed coordinates back to every station of the link
+    (one null-safe join on the original key columns)."""
+    ident = [c for c in links.columns if not c.startswith("_o_") and c not in LINK_COORDS]
+    l = links.select(*[F.col(c).alias(f"_l_{c}") for c in ident],
+                     *[F.col(f"_o_{c}").alias(f"_l_o_{c}") for c in LINK_COORDS],
+                     *[F.col(c).alias(f"_l_n_{c}") for c in LINK_COORDS])
+    cond = None
+    for c in ident:
+        e = F.col(c).eqNullSafe(F.col(f"_l_{c}"))
+        cond = e if cond is None else cond & e
+    for c in LINK_COORDS:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_l_o_{c}"))
+    j = data.join(l, cond, "inner")
+    return j.select(*[F.col(f"_l_n_{c}").alias(c) if c in LINK_COORDS else F.col(c)
+                      for c in data.columns])

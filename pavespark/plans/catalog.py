@@ -231,14 +231,14 @@ def q_repair_event_start(spark, sf_dir) -> DataFrame:
 
 @register("repair_event_end")
 def q_repair_event_end(spark, sf_dir) -> DataFrame:
-    return _keyed_coords(pipe(spark, sf_dir).events_fixed, "end")
+    return _keyed_coords(pipe(spark, sf_dir).links_fixed, "end")
 
 
 @register("report_event_mismatch")
 def q_report_event_mismatch(spark, sf_dir) -> DataFrame:
     p = pipe(spark, sf_dir)
     R = _rep()
-    return R.event_mismatch(R.event_points(p.events_fixed), p.station_groups)
+    return R.event_mismatch(R.event_points(p.links_fixed), p.station_groups)
 
 
 @register("report_gap_at_seam")

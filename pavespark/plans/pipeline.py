@@ -101,17 +101,36 @@ class SurveyPipeline:
         return self._stage(station_groups(self.keyed_stations))
 
     @cached_property
-    def events_start_fixed(self) -> DataFrame:
+    def links(self) -> DataFrame:
+        """Distinct link rows of the station table (REP-2/3 work at this level)."""
+        from pavespark.operators.repair import link_table
+        from pavespark.plans.station import KEY_COLS
+        return self._stage(link_table(self.station_table, KEY_COLS))
+
+    @cached_property
+    def links_start_fixed(self) -> DataFrame:
+        """REP-2 on the link table: keyed start coordinates."""
         from pavespark.operators.repair import repair_event_coords
-        return self._stage(repair_event_coords(self.station_table, self.laser, self.station_groups,
+        return self._stage(repair_event_coords(self.links, self.laser, self.station_groups,
                                                "str", extent=self.extent))
 
     @cached_property
-    def events_fixed(self) -> DataFrame:
+    def links_fixed(self) -> DataFrame:
+        """REP-3 on the result of REP-2: keyed end coordinates."""
         from pavespark.operators.repair import repair_event_coords
-        return self._stage(repair_event_coords(self.events_start_fixed, self.laser,
+        return self._stage(repair_event_coords(self.links_start_fixed, self.laser,
                                                self.station_groups, "end", extent=self.extent))
 
+    @cached_property
+    def events_start_fixed(self) -> DataFrame:
+        return self.links_start_fixed
+
+    @cached_property
+    def events_fixed(self) -> DataFrame:
+        """Station table with both keyed coordinates repaired (one join back)."""
+        from pavespark.operators.repair import attach_link_coords
+        return self._stage(attach_link_coords(self.station_table, self.links_fixed))
+
     @cached_property
     def gaps_filled(self) -> DataFrame:
         from pavespark.operators.repair import repair_gps_gaps
