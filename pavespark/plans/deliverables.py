@@ -398,7 +398,8 @@ def survey_pave(pave_df: DataFrame) -> DataFrame:
     off = F.col("chainage_pic") - P.pg_int("event_str")
     km = (F.when(F.col("lane_group") < 0, F.col("km_start") - off)
            .when(F.col("lane_group") > 0, F.col("km_start") + off))
-    return d.select(directory.alias("directory"), F.col("image_name").alias("filename"),
+    return d.select(F.left(directory, F.lit(254)).alias("directory"),
+                    F.left("image_name", F.lit(254)).alias("filename"),
                     F.lit(0).alias("image_place"), "date",
                     F.col("frame_number").try_cast("double").alias("img_id"),
                     km.cast("double").alias("km"), F.lit(K.PAVE_PATH_FLAG).alias("imagepath"),

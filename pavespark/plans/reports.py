@@ -56,7 +56,9 @@ def _grid_coordinate_groups(data: DataFrame, where, having, scope: str) -> DataF
     return (data.where(P.on_grid_suffix("chainage") & where)
                 .groupBy(*g, "link_id", "lon", "lat")
                 .agg(F.min("chainage").alias("min"), F.max("chainage").alias("max"),
-                     F.count(F.lit(1)).alias("count"))
+                     # count(the_geom): a point with a NULL coordinate is NULL, not counted
+                     F.count(F.when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), 1))
+                     .alias("count"))
                 .where(having(F.col("count")))
                 .select(*g, "link_id", "min", "max", "count")
                 .orderBy(F.asc("min"), F.desc("count")))

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size coalesced partitions by the advisory size (64 MB), not by core count
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Broadcast only on *measured* sizes: no static broadcast from plan estimates
