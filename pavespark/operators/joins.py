@@ -60,9 +60,12 @@ def range_join(points: DataFrame, intervals: DataFrame, x: Column | str, lo: Col
     return out.drop("_x", "_b", "_rb", "_lo", "_hi", *rkeys.values())
 
 
-def run_extent(df: DataFrame, x: str = "chainage", keys: Sequence[str] = ("file_name",)) -> DataFrame:
-    """Per-run chainage extent (partial aggregation map-side; one row per run)."""
-    return df.groupBy(*keys).agg(F.min(x).alias("_xmin"), F.max(x).alias("_xmax"))
+def run_extent(df: DataFrame, x: str = "chainage", keys: Sequence[str] = ("file_name",),
+               margin: float = 1.0) -> DataFrame:
+    """Per-run extent of ``x`` widened by ``margin`` (partial aggregation map-side; one
+    row per run). The margin keeps rounded positions (``rint``) inside the extent."""
+    return df.groupBy(*keys).agg((F.floor(F.min(x)) - margin).alias("_xmin"),
+                                 (F.ceil(F.max(x)) + margin).alias("_xmax"))
 
 
 def near_join(small: DataFrame, big: DataFrame, eps: float, keys: Sequence[str],

@@ -5,8 +5,9 @@ lineage, and a lost executor only recomputes from the last written stage.
 
 Stage order (it is part of the semantics; each repair reads the previous one):
 
-  inputs -> station_table -> event start repair -> event end repair
-         -> gap fill -> unfreeze -> smoothing = stations_final
+  inputs -> station_table -> links -> event start repair -> event end repair
+         -> (stations with repaired keyed coordinates) -> gap fill -> unfreeze
+         -> smoothing = stations_final
   stations_final -> survey -> survey_point_local -> survey_point, survey_image
                  -> image-name repair
   pave + survey  -> pave_table -> pave gap fill -> pave unfreeze -> survey_pave
@@ -17,23 +18,34 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pavespark import constants as K
+from pavespark.functions import predicates as P
 from pavespark.functions.measures import default_draw
+from pavespark.operators import repair as R
 from pavespark.operators.joins import run_extent
+from pavespark.operators.linear import gap_rows, lost_islands
+from pavespark.operators.smoothing import smooth_measures
+from pavespark.plans import deliverables as D
+from pavespark.plans import station as ST
 from pavespark.session import materialize
 from pavespark.sources import fixtures
 from pavespark.sources.fixtures import Inputs
 
 
 class SurveyPipeline:
+    STATION_TIES = ("event_str", "chainage_pic", "frame_number")
+
     def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True):
         self.inputs = inputs
         self.draw = draw
         self.checkpoint = checkpoint
 
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str, **kw) -> "SurveyPipeline":
-        return cls(fixtures.load(spark, sf_dir), **kw)
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, layout: str | None = None,
+                      **kw) -> "SurveyPipeline":
+        return cls(fixtures.load(spark, sf_dir, layout), **kw)
 
     def _stage(self, df: DataFrame) -> DataFrame:
         return materialize(df, self.checkpoint)
@@ -57,31 +69,27 @@ class SurveyPipeline:
 
     @cached_property
     def extent(self) -> DataFrame:
+        """Per-run chainage extent of the stations (clips intervals joined to stations)."""
         return run_extent(self.laser)
 
+    @cached_property
+    def pave_extent(self) -> DataFrame:
+        """Per-run extent of the pavement images (clips intervals joined to images)."""
+        return run_extent(self.pave, "chainage_pic")
+
     # ------------------------------------------------------------------ stations
     @cached_property
     def station_table(self) -> DataFrame:
-        from pavespark.plans.station import station_table
-        return self._stage(station_table(self.laser, self.key, self.pic, self.draw,
-                                         extent=self.extent))
+        return self._stage(ST.station_table(self.laser, self.key, self.pic, self.draw,
+                                            extent=self.extent))
 
     @cached_property
     def gps_status(self) -> DataFrame:
-        from pavespark.plans.station import gps_status
-        return gps_status(self.laser, self.pic, self.key, extent=self.extent)
-
-    # ------------------------------------------------------------------ gaps
-    STATION_TIES = ("event_str", "chainage_pic", "frame_number")
+        return ST.gps_status(self.laser, self.pic, self.key, extent=self.extent)
 
     @cached_property
     def gps_lost(self) -> DataFrame:
         """REP-1: lost 25 m stations of lost-status links, with their island and window."""
-        from pyspark.sql import functions as F
-
-        from pavespark import constants as K
-        from pavespark.functions import predicates as P
-        from pavespark.operators.linear import gap_rows, lost_islands
         data = self.station_table
         islands = lost_islands(data, "chainage", self.STATION_TIES, K.STATION_SPACING_M)
         targets = data.where(P.on_grid("chainage") & P.gps_lost()
@@ -92,34 +100,28 @@ class SurveyPipeline:
     # ------------------------------------------------------------------ repairs
     @cached_property
     def keyed_stations(self) -> DataFrame:
-        from pavespark.operators.repair import keyed_stations
-        return keyed_stations(self.laser, self.key, extent=self.extent)
+        return R.keyed_stations(self.laser, self.key, extent=self.extent)
 
     @cached_property
     def station_groups(self) -> DataFrame:
-        from pavespark.operators.repair import station_groups
-        return self._stage(station_groups(self.keyed_stations))
+        return self._stage(R.station_groups(self.keyed_stations))
 
     @cached_property
     def links(self) -> DataFrame:
         """Distinct link rows of the station table (REP-2/3 work at this level)."""
-        from pavespark.operators.repair import link_table
-        from pavespark.plans.station import KEY_COLS
-        return self._stage(link_table(self.station_table, KEY_COLS))
+        return self._stage(R.link_table(self.station_table, ST.KEY_COLS))
 
     @cached_property
     def links_start_fixed(self) -> DataFrame:
         """REP-2 on the link table: keyed start coordinates."""
-        from pavespark.operators.repair import repair_event_coords
-        return self._stage(repair_event_coords(self.links, self.laser, self.station_groups,
-                                               "str", extent=self.extent))
+        return self._stage(R.repair_event_coords(self.links, self.laser, self.station_groups,
+                                                 "str", extent=self.extent))
 
     @cached_property
     def links_fixed(self) -> DataFrame:
         """REP-3 on the result of REP-2: keyed end coordinates."""
-        from pavespark.operators.repair import repair_event_coords
-        return self._stage(repair_event_coords(self.links_start_fixed, self.laser,
-                                               self.station_groups, "end", extent=self.extent))
+        return self._stage(R.repair_event_coords(self.links_start_fixed, self.laser,
+                                                 self.station_groups, "end", extent=self.extent))
 
     @cached_property
     def events_start_fixed(self) -> DataFrame:
@@ -128,69 +130,58 @@ class SurveyPipeline:
     @cached_property
     def events_fixed(self) -> DataFrame:
         """Station table with both keyed coordinates repaired (one join back)."""
-        from pavespark.operators.repair import attach_link_coords
-        return self._stage(attach_link_coords(self.station_table, self.links_fixed))
+        return self._stage(R.attach_link_coords(self.station_table, self.links_fixed))
 
     @cached_property
     def gaps_filled(self) -> DataFrame:
-        from pavespark.operators.repair import repair_gps_gaps
-        return self._stage(repair_gps_gaps(self.events_fixed, self.gps_lost, extent=self.extent))
+        """REP-4."""
+        return self._stage(R.repair_gps_gaps(self.events_fixed, self.gps_lost, extent=self.extent))
 
     @cached_property
     def unfrozen(self) -> DataFrame:
-        from pavespark.operators.repair import repair_gps_frozen
-        return self._stage(repair_gps_frozen(self.gaps_filled))
+        """REP-5."""
+        return self._stage(R.repair_gps_frozen(self.gaps_filled))
 
     @cached_property
     def stations_final(self) -> DataFrame:
         """REP-6 on the repaired stations: the final station table."""
-        from pavespark.operators.smoothing import smooth_measures
         return self._stage(smooth_measures(self.unfrozen))
 
     # ------------------------------------------------------------------ deliverables
     @cached_property
     def survey(self) -> DataFrame:
-        from pavespark.plans.deliverables import survey
-        return self._stage(survey(self.stations_final))
+        return self._stage(D.survey(self.stations_final))
 
     @cached_property
     def survey_point_local(self) -> DataFrame:
-        from pavespark.plans.deliverables import survey_point_local
-        return self._stage(survey_point_local(self.stations_final, self.laser, self.survey))
+        return self._stage(D.survey_point_local(self.stations_final, self.laser, self.survey))
 
     @cached_property
     def survey_image(self) -> DataFrame:
-        from pavespark.plans.deliverables import survey_image
-        return self._stage(survey_image(self.survey_point_local, self.stations_final))
+        return self._stage(D.survey_image(self.survey_point_local, self.stations_final))
 
     @cached_property
     def survey_image_fixed(self) -> DataFrame:
-        from pavespark.plans.deliverables import repair_image_names
-        return self._stage(repair_image_names(self.survey_image))
+        return self._stage(D.repair_image_names(self.survey_image))
 
     @cached_property
     def pave_table(self) -> DataFrame:
-        from pavespark.plans.deliverables import pave_table
-        return self._stage(pave_table(self.stations_final, self.pave, self.survey,
-                                      extent=self.extent))
+        return self._stage(D.pave_table(self.stations_final, self.pave, self.survey,
+                                        extent=self.pave_extent))
 
     @cached_property
     def pave_gps_lost(self) -> DataFrame:
-        from pavespark.plans.deliverables import pave_gps_lost
-        return self._stage(pave_gps_lost(self.pave_table, extent=self.extent))
+        return self._stage(D.pave_gps_lost(self.pave_table, extent=self.pave_extent))
 
     @cached_property
     def pave_gaps_filled(self) -> DataFrame:
-        from pavespark.plans.deliverables import repair_pave_gaps
-        return self._stage(repair_pave_gaps(self.pave_table, self.pave_gps_lost, self.survey,
-                                            extent=self.extent))
+        return self._stage(D.repair_pave_gaps(self.pave_table, self.pave_gps_lost, self.survey,
+                                              extent=self.pave_extent))
 
     @cached_property
     def pave_final(self) -> DataFrame:
-        from pavespark.plans.deliverables import repair_pave_frozen
-        return self._stage(repair_pave_frozen(self.pave_gaps_filled, self.survey))
+        return self._stage(D.repair_pave_frozen(self.pave_gaps_filled, self.survey))
 
     @cached_property
     def survey_pave(self) -> DataFrame:
-        from pavespark.plans.deliverables import survey_pave
-        return self._stage(survey_pave(self.pave_final))
+        return self._stage(D.survey_pave(self.pave_final))

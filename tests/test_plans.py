@@ -2,6 +2,7 @@
 exchange on station data; scans read only the needed columns."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pavespark.operators.repair import keyed_stations
 from pavespark.plans import deliverables as D
@@ -93,3 +94,32 @@ def test_pave_gap_window_mode(p):
         assert df.count() == p.pave_table.count()
         left = df.where(F.col("chainage_pic").isNotNull() & ((F.col("lon") == 0) | (F.col("lat") == 0)))
         assert left.count() < lost
+
+
+def test_pave_image_beyond_last_station_is_kept(spark):
+    """Pavement joins clip intervals to the images' own extent, not the stations'."""
+    from decimal import Decimal
+
+    from pavespark.sources import schemas as S
+    from pavespark.sources.fixtures import Inputs
+    run = "r1"
+    d = Decimal("1.00")
+    laser = spark.createDataFrame(
+        [(float(c), 100.5 + c * 1e-5, 13.7 + c * 1e-5, 2.0, 2.0, 2.0, d, d, d, d, d, d, run)
+         for c in range(0, 105, 5)],
+        "chainage double, lon double, lat double, iri_right double, iri_left double, iri double, "
+        "iri_lane decimal(8,2), rutt_right decimal(8,2), rutt_left decimal(8,2), rutting decimal(8,2), "
+        "texture decimal(8,2), etd_texture decimal(8,2), file_name string")
+    key = spark.createDataFrame(
+        [(0.0, 400.0, "01", "pavetype.", "link 0", "10000000201L1CC01", "1", "12+000", "12+400", "0.400",
+          "1", "2024-01-01", 13.7, 13.704, 100.5, 100.504, run, None)],
+        S.KEY_CSV).select(*[f.name for f in S.KEY_CSV.fields])
+    key = key.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.simpleString() == "float"
+                       else F.col(f.name) for f in S.KEY_CSV.fields])
+    pic = spark.createDataFrame([(float(c), str(c), run) for c in range(0, 105, 5)],
+                                "chainage_pic double, frame_number string, file_name string")
+    pave = spark.createDataFrame([(300.0, "100", 100.503, 13.703, run), (30.0, "10", 100.5003, 13.7003, run)],
+                                 "chainage_pic double, frame_number string, lon double, lat double, file_name string")
+    q = SurveyPipeline(Inputs(laser, key, pic, pave))
+    got = sorted(r[0] for r in q.pave_table.select("chainage_pic").collect())
+    assert got == [30, 300]
