@@ -123,3 +123,44 @@ def test_pave_image_beyond_last_station_is_kept(spark):
     q = SurveyPipeline(Inputs(laser, key, pic, pave))
     got = sorted(r[0] for r in q.pave_table.select("chainage_pic").collect())
     assert got == [30, 300]
+
+
+def test_ids_unique_and_start_at_two(p):
+    s = p.survey.select("survey_id")
+    assert s.distinct().count() == s.count()
+    assert s.agg(F.min("survey_id")).first()[0] == 2
+    sp = p.survey_point_local.select("survey_point_id")
+    assert sp.distinct().count() == sp.count()
+    assert sp.agg(F.min("survey_point_id")).first()[0] == 2
+
+
+def test_filled_points_inside_anchor_box(p):
+    from pavespark.operators.repair import gap_windows
+    w = gap_windows(p.gps_lost, p.events_fixed)
+    box = (w.select("file_name", "link_id", "date", "gps_lost_ch",
+                    F.expr("aggregate(line, 1e9d, (a, x) -> least(a, x.lon))").alias("x0"),
+                    F.expr("aggregate(line, -1e9d, (a, x) -> greatest(a, x.lon))").alias("x1"),
+                    F.expr("aggregate(line, 1e9d, (a, x) -> least(a, x.lat))").alias("y0"),
+                    F.expr("aggregate(line, -1e9d, (a, x) -> greatest(a, x.lat))").alias("y1")))
+    filled = (p.gaps_filled.join(p.events_fixed.select("file_name", "link_id", "date", "chainage",
+                                                       F.col("geom_lon").alias("old")),
+                                 ["file_name", "link_id", "date", "chainage"])
+              .where(F.col("old") != F.col("geom_lon")))
+    j = filled.join(box, (filled.file_name == box.file_name) & (filled.link_id == box.link_id)
+                    & (filled.date == box.date) & (filled.chainage == box.gps_lost_ch))
+    assert j.count() == filled.count() > 0
+    eps = 1e-12
+    outside = j.where((F.col("geom_lon") < F.col("x0") - eps) | (F.col("geom_lon") > F.col("x1") + eps)
+                      | (F.col("geom_lat") < F.col("y0") - eps) | (F.col("geom_lat") > F.col("y1") + eps))
+    assert outside.count() == 0
+
+
+def test_islands_partition_lost_rows(p):
+    from pavespark import constants as K
+    from pavespark.functions import predicates as P
+    from pavespark.operators.linear import lost_islands
+    d = p.station_table
+    isl = lost_islands(d, "chainage", SurveyPipeline.STATION_TIES, K.STATION_SPACING_M)
+    lost = d.where(P.gps_lost()).count()
+    assert isl.agg(F.sum("c_p")).first()[0] == lost
+    assert isl.where(F.col("meter") != F.col("c_p") * 5).count() == 0
