@@ -20,6 +20,7 @@ from pavespark.operators.joins import range_join
 from pavespark.operators.linear import gap_rows, lost_islands
 from pavespark.operators.repair import _one_per_key, _real_fraction, apply_corrections
 from pavespark.operators.windows import global_row_number, ordered_index
+from pavespark.session import materialize
 
 RUN = "file_name"
 SURVEY_GROUP = ["event_name", "link_id", "ramp_id", "section_id", "km_start", "km_end", "length",
@@ -146,7 +147,9 @@ def survey_point_local(data: DataFrame, laser: DataFrame, survey_df: DataFrame)
     pts = point_branch_start(data).unionByName(point_branch_grid(data, laser)).distinct()
     s = survey_df.select(RUN, "link_id", "survey_id", "survey_code", "run_code", "lane_group",
                          F.col("km_start").alias("s_km_start"))
-    j = pts.join(s, [RUN, "link_id"], "left")
+    # the points feed two row indexes and the global numbering (each reads its input
+    # twice): write them once instead of recomputing both branches every time
+    j = materialize(pts.join(s, [RUN, "link_id"], "left"))
     order = _asc("chainage", *POINT_TIES)
     chunk = F.coalesce(F.floor(F.col("chainage") / 10000), F.lit(1 << 40))
     j = ordered_index(j, [RUN, "date", "link_id"], order, name="order_row", chunk=chunk)
@@ -202,8 +205,8 @@ def repair_image_names(images: DataFrame) -> DataFrame:
     dup = image_duplicates(images).where(F.col("cc") > 1).select(RUN, "filename")
     d = images.join(dup, [RUN, "filename"], "left_semi")
     order = _asc("img_id", "link_id", "survey_id", "filename", "directory")
-    d = ordered_index(d, [RUN], order, name="_i",
-                      chunk=F.coalesce(F.floor(F.col("img_id") / 10000), F.lit(1 << 40)))
+    d = materialize(ordered_index(d, [RUN], order, name="_i",
+                                  chunk=F.coalesce(F.floor(F.col("img_id") / 10000), F.lit(1 << 40))))
     prev = d.select(F.col(RUN).alias("_pr"), (F.col("_i") + 1).alias("_pi"),
                     F.col("img_id").alias("img_bf"))
     d = d.join(prev, (F.col(RUN) == F.col("_pr")) & (F.col("_i") == F.col("_pi")))
