@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # let Spark remove stage checkpoints once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
