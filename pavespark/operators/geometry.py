@@ -29,7 +29,8 @@ def point_struct(chainage, lon, lat) -> Column:
 
 
 def line_agg(chainage="chainage", lon="lon", lat="lat") -> Column:
-    """AGG-5: ordered line of a group's points (ST_MakeLine ... ORDER BY chainage)."""
+    """AGG-5 / GEO-4: ordered line of a group's points (ST_MakeLine ... ORDER BY chainage);
+    SRT-4: the order inside the aggregate is ``array_sort``."""
     return F.array_sort(F.collect_list(point_struct(chainage, lon, lat)))
 
 

@@ -31,7 +31,8 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
 
 def apply_corrections(data: DataFrame, corr: DataFrame, on: dict,
                       assign: dict) -> DataFrame:
-    """Left-join corrections; ``on`` = {data_col: corr_col}; ``assign`` = {data_col: Column over corr}."""
+    """JN-18 (update ... from): left-join corrections; ``on`` = {data_col: corr_col};
+    ``assign`` = {data_col: fn(getter) -> Column over the correction columns}."""
     c = corr.withColumn("_hit", F.lit(True))
     ren = {}
     for col in c.columns:
@@ -51,7 +52,8 @@ def apply_corrections(data: DataFrame, corr: DataFrame, on: dict,
 
 # ----------------------------------------------------------------- event points
 def event_points(data: DataFrame) -> DataFrame:
-    """SET-2: distinct link start and end points (position and keyed coordinate)."""
+    """SET-2: distinct link start and end points (position and keyed coordinate);
+    AGG-2 (group by all columns) is ``distinct``; GEO-1/GEO-2: a point is its lon/lat pair."""
     s = data.select(F.col("event_str").alias("chainage"), *EVENT_COLS,
                     F.col("lon_str").alias("lon"), F.col("lat_str").alias("lat"),
                     F.lit("str").alias("direction"))
@@ -81,7 +83,7 @@ def station_groups(keyed: DataFrame) -> DataFrame:
 
 
 def event_station_pairs(events: DataFrame, groups: DataFrame) -> DataFrame:
-    """JN-7 candidates: event point within 0.00004 deg of a station coordinate group."""
+    """JN-7 / GEO-3 (st_dwithin): event point within 0.00004 deg of a station coordinate group."""
     ev = events.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     g = groups.withColumnRenamed("lon", "g_lon").withColumnRenamed("lat", "g_lat")
     return near_join(ev, g, K.NEAR_DISTANCE_DEG, [RUN], "lon", "lat", "g_lon", "g_lat")
@@ -109,7 +111,7 @@ def event_near_station(events: DataFrame, groups: DataFrame, stations: DataFrame
 
 
 def event_mismatch(events: DataFrame, groups: DataFrame, grid_only: bool = False) -> DataFrame:
-    """RPT-6: events whose keyed point sits on a station more than 6 m earlier."""
+    """RPT-6: events whose keyed point sits on a station more than 6 m earlier (SRT-2 order)."""
     pairs = event_station_pairs(events, groups).where(F.col("chainage") - F.col("g_min") > 6)
     out = (pairs.groupBy("chainage", "direction", "event_name", "link_id", "lon", "lat", RUN)
                 .agg(F.min("g_min").alias("chainage_data"))
@@ -132,6 +134,7 @@ def event_position_fixes(data: DataFrame, laser: DataFrame, groups: DataFrame,
                       .select(RUN, F.col("chainage").alias("e")).distinct())
     valid = laser.where(P.gps_valid()).select(RUN, F.col("chainage").alias("b"), "lon", "lat")
     nb = K.EVENT_NEIGHBOUR_M
+    # JN-8: valid stations within +-5 m of the event position
     near = range_join(valid, confirmed, "b", F.col("e") - nb, F.col("e") + nb, keys=[RUN],
                       extent=extent)
     g = near.groupBy(RUN, "e").agg(F.min("b").alias("b_min"), F.max("b").alias("b_max"),
@@ -157,11 +160,13 @@ def repair_event_coords(data: DataFrame, laser: DataFrame, groups: DataFrame, en
 def gap_windows(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
     """Valid stations of lost-status links inside each gap window, per lost station.
     Anchors match by run only: at a seam they may belong to the neighbouring link."""
+    # FIL-7 anchors: lon != 0, geometry latitude > 0, link status lost
     anchors = (data.where((F.col("lon") != 0) & (F.col("geom_lat") > 0)
                           & (F.col("status") == K.STATUS_LOST))
                    .select(RUN, F.col("chainage").alias("b"), "geom_lon", "geom_lat"))
     a = gps_lost.select(RUN, F.col("chainage").alias("gps_lost_ch"), "c_p", "meter", "link_id",
                         "date", "new_p_min", "new_p_max")
+    # JN-9: gap-window join, by run only (anchors may belong to the neighbouring link)
     j = range_join(anchors, a, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN],
                    extent=extent)
     return (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date")
@@ -206,17 +211,21 @@ def repair_gps_gaps(data: DataFrame, gps_lost: DataFrame, extent=None) -> DataFr
 def frozen_fixes(data: DataFrame) -> DataFrame:
     """REP-5 core. A coordinate repeated on >= 2 grid stations of any link is frozen.
     Grid stations of lost-status links sitting on a frozen coordinate are grouped by
-    (run, link, coordinate); the group is re-placed on the line between the stations
+    (run, link, coordinate) -- WIN-3's dense_rank over the geometry is only a group id, so the
+    coordinate itself is the key; the group is re-placed on the line between the stations
     25 m before its first and after its last member. Fewer than two anchors -> none."""
     grid = data.where(P.on_grid("chainage") & P.gps_present())
+    # AGG-6: coordinates repeated on >= 2 grid stations of a link
     frozen = (grid.groupBy(RUN, "link_id", "geom_lon", "geom_lat").agg(F.count(F.lit(1)).alias("n"))
                   .where(F.col("n") > 1).select(RUN, "geom_lon", "geom_lat").distinct())
+    # JN-11: geometry equi-join (as a semi join on the coordinate)
     members = (grid.where(F.col("status") == K.STATUS_LOST)
                    .join(frozen, [RUN, "geom_lon", "geom_lat"], "left_semi")
                    .select(RUN, "link_id", "chainage", "geom_lon", "geom_lat").distinct())
     groups = (members.groupBy(RUN, "link_id", "geom_lon", "geom_lat")
                      .agg((F.min("chainage") - K.REPORT_INTERVAL_M).alias("min_c"),
                           (F.max("chainage") + K.REPORT_INTERVAL_M).alias("max_c")))
+    # JN-10: "min_c = chainage OR max_c = chainage" as explode + equi-join
     ends = groups.withColumn("at", F.explode(F.array("min_c", "max_c")))
     pts = data.select(F.col(RUN).alias("_r"), F.col("chainage").alias("_c"),
                       F.col("geom_lon").alias("_x"), F.col("geom_lat").alias("_y"))
@@ -225,6 +234,7 @@ def frozen_fixes(data: DataFrame) -> DataFrame:
                     .agg(line_agg("_c", "_x", "_y").alias("line"),
                          F.countDistinct("_c").alias("n_anchor"))
                     .where(F.col("n_anchor") == 2))
+    # JN-19: members x anchor lines as an equi-join on the group key
     m = members.join(lines, [RUN, "link_id", "geom_lon", "geom_lat"])
     p1 = P.as_real(F.col("chainage") - F.col("min_c"))
     p2 = P.as_real(F.col("max_c") - F.col("min_c"))

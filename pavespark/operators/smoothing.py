@@ -1,4 +1,4 @@
-"""REP-6: 9-station centred mean of the measures along each run.
+"""REP-6 / WIN-2: 9-station centred mean of the measures along each run.
 
 Frame: 4 rows before .. 4 rows after in chainage order (ties: event_str,
 link_id, picture), over all links of the run. The sum skips NULL neighbours

@@ -48,6 +48,7 @@ def survey_points(data: DataFrame) -> DataFrame:
 
 def survey(data: DataFrame, run_new: str = K.SURVEY_RUN_NEW) -> DataFrame:
     """TAB-2: one row per surveyed link of a run, with codes, km, length and its line."""
+    # FIL-8: no construction link, positive length (NULL link ids drop out as in SQL)
     pts = survey_points(data).where(
         (F.col("link_id") != K.CONSTRUCTION_LINK)
         & (P.as_real(F.regexp_replace("length", " ", "").try_cast("float")) > 0))
@@ -63,7 +64,7 @@ def survey(data: DataFrame, run_new: str = K.SURVEY_RUN_NEW) -> DataFrame:
     order = [P.pg_int("chainage_str").asc_nulls_last()] + _asc(
         "link_id", RUN, "event_name", "ramp_id", "section_id", "km_start", "km_end",
         "lane_no_full", "date")
-    g = global_row_number(g, order, "survey_id", start=2)
+    g = global_row_number(g, order, "survey_id", start=2)  # WIN-4
     dist = length_km("the_geom")
     return g.select(
         "survey_id", F.lit(None).cast("int").alias("subsection_id"), "section_id", "link_id",
@@ -86,6 +87,7 @@ def line_text(line: str = "the_geom") -> Column:
 
 # ------------------------------------------------------------ survey_point_local
 def _avg_measures(prefix: str = "") -> list[Column]:
+    """AGG-7: ``avg(x::real)::numeric(8,2)`` of the nine measures."""
     return [F.avg(F.col(f"{prefix}{m}").cast("float")).cast("decimal(8,2)").alias(m)
             for m in MEASURES]
 
@@ -103,6 +105,7 @@ def point_branch_start(data: DataFrame) -> DataFrame:
              .select(c.alias("b_ch"), mapped.alias("chainages"), F.col("link_id").alias("b_link"),
                      F.col("date").alias("b_date"), F.col(RUN).alias("b_run"),
                      *[F.col(m).alias(f"b_{m}") for m in MEASURES]))
+    # JN-13: event-start neighbourhood join
     j = even.join(b, (F.col("chainage") == F.col("chainages")) & (F.col(RUN) == F.col("b_run"))
                   & (F.col("link_id") == F.col("b_link")) & (F.col("date") == F.col("b_date"))
                   & (P.pg_int("chainage") != P.pg_int("b_ch")))
@@ -125,15 +128,17 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
                  .select(RUN, F.col("_lc").alias("chainage"),
                          *[F.col(f"_l_{m}").cast("double").alias(m) for m in MEASURES],
                          "ramp_id"))
-    b = b_in.unionByName(ahead).distinct()
+    b = b_in.unionByName(ahead).distinct()  # SET-4
     b = b.select(F.col(RUN).alias("_br"), F.col("chainage").alias("_bc"),
                  *[F.col(m).alias(f"b_{m}") for m in MEASURES])
+    # JN-12: the next 5 m station's measures
     j = a.join(b, (F.col(RUN) == F.col("_br")) & (F.col("chainage") == F.col("_bc") - 5), "left")
     g = (j.groupBy("chainage", "link_id", "date", RUN).agg(*_avg_measures("b_"))
           .where(P.on_grid_suffix("chainage")))
     geo = data.select(F.col(RUN).alias("_gr"), F.col("chainage").alias("_gc"),
                       F.col("geom_lon").alias("lon"), F.col("geom_lat").alias("lat"),
                       F.col("ramp_id"))
+    # JN-14: geometry (and ramp id) of the grid point from the station rows at that chainage
     out = g.join(geo, (F.col(RUN) == F.col("_gr")) & (F.col("chainage") == F.col("_gc")))
     return (out.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
                .select("chainage", "link_id", "date", "lon", "lat", RUN, "ramp_id", *MEASURES))
@@ -144,23 +149,25 @@ POINT_TIES = ["survey_id", "lon", "lat", "ramp_id", *MEASURES]
 
 def survey_point_local(data: DataFrame, laser: DataFrame, survey_df: DataFrame) -> DataFrame:
     """TAB-3: start points (branch A) and grid points (branch B), ids and km."""
+    # SET-5: start points (branch A) union grid points (branch B)
     pts = point_branch_start(data).unionByName(point_branch_grid(data, laser)).distinct()
     s = survey_df.select(RUN, "link_id", "survey_id", "survey_code", "run_code", "lane_group",
                          F.col("km_start").alias("s_km_start"))
     # the points feed two row indexes and the global numbering (each reads its input
     # twice): write them once instead of recomputing both branches every time
-    j = materialize(pts.join(s, [RUN, "link_id"], "left"))
+    j = materialize(pts.join(s, [RUN, "link_id"], "left"))  # JN-15
     order = _asc("chainage", *POINT_TIES)
     chunk = F.coalesce(F.floor(F.col("chainage") / 10000), F.lit(1 << 40))
     j = ordered_index(j, [RUN, "date", "link_id"], order, name="order_row", chunk=chunk)
     j = ordered_index(j, [RUN, "date", "survey_id", "link_id"], order, name="_pos", chunk=chunk)
+    # WIN-6: order_row and km = km_start +- 25 * (row number - 1) by lane-group sign
     step = F.col("_pos") * K.REPORT_INTERVAL_M
     km = (F.when(F.col("lane_group") > 0, step + F.col("s_km_start"))
            .when(F.col("lane_group") < 0, F.col("s_km_start") - step))
     j = j.withColumn("km", km).where(F.col("link_id") != K.CONSTRUCTION_LINK)
     gorder = [P.pg_int("km").asc_nulls_last()] + _asc(RUN, "link_id", "chainage", "date",
                                                       *POINT_TIES)
-    j = global_row_number(j, gorder, "survey_point_id", start=2)
+    j = global_row_number(j, gorder, "survey_point_id", start=2)  # WIN-5
     return j.select("survey_point_id", "order_row", "km", "chainage", "link_id", "date",
                     "lon", "lat", RUN, "ramp_id", *MEASURES, "survey_id", "survey_code",
                     "run_code")
@@ -179,11 +186,13 @@ def survey_image(points: DataFrame, data: DataFrame) -> DataFrame:
                 .select(F.col(RUN).alias("_pr"), P.pg_int("chainage_pic").alias("_pk"),
                         "frame_number").distinct())
     key = C.next_station_5m(P.pg_int("chainage"))
+    # JN-16: image-to-point join on the next 5 m station (PRJ-11)
     j = points.join(pics, (F.col(RUN) == F.col("_pr")) & (key == F.col("_pk")), "left")
     fname = F.concat(F.col(RUN), F.lit(K.IMAGE_ROW_TAG), C.frame_text("frame_number"),
                      F.lit(K.IMAGE_EXT))
     j = j.select("survey_point_id", "survey_id", "km", "link_id", "chainage", RUN, "frame_number",
                  "date", "survey_code", "run_code", fname.alias("filename"), "lon", "lat").distinct()
+    # PRJ-10: image directory (NULL-propagating concatenation, as ||)
     directory = F.concat(F.lit(K.IMAGE_DIR_PREFIX), F.left("link_id", F.lit(3)), F.lit("/"),
                          F.col("date").cast("string"), F.lit("/"), F.col("survey_code"),
                          F.lit("/Run"), F.col("run_code"), F.lit("/image/"), F.col("filename"))
@@ -194,7 +203,7 @@ def survey_image(points: DataFrame, data: DataFrame) -> DataFrame:
 
 
 def image_duplicates(images: DataFrame) -> DataFrame:
-    """RPT-10: file names used more than once, and missing file names."""
+    """RPT-10 / AGG-9: file names used more than once, and missing file names."""
     return (images.groupBy(RUN, "filename").agg(F.count("filename").alias("cc"))
                   .where((F.col("cc") > 1) | F.col("filename").isNull()))
 
@@ -207,6 +216,7 @@ def repair_image_names(images: DataFrame) -> DataFrame:
     order = _asc("img_id", "link_id", "survey_id", "filename", "directory")
     d = materialize(ordered_index(d, [RUN], order, name="_i",
                                   chunk=F.coalesce(F.floor(F.col("img_id") / 10000), F.lit(1 << 40))))
+    # WIN-8: lag(img_id) as a join with the previous position
     prev = d.select(F.col(RUN).alias("_pr"), (F.col("_i") + 1).alias("_pi"),
                     F.col("img_id").alias("img_bf"))
     d = d.join(prev, (F.col(RUN) == F.col("_pr")) & (F.col("_i") == F.col("_pi")))
@@ -266,6 +276,7 @@ def pave_table(data: DataFrame, pave: DataFrame, survey_df: DataFrame,
     pv = pave.select(RUN, "chainage_pic", "frame_number", "lon", "lat")
     # images are the many side: attach each image to the intervals containing it,
     # then add back the intervals without any image (left-join semantics)
+    # JN-17: image chainage inside the (unrounded) link bounds
     jj = range_join(pv, ev, "chainage_pic", F.col("event_str"), F.col("event_end"), keys=[RUN],
                     extent=extent)
     unmatched = ev.join(jj.select(RUN, "event_str", "event_end", "event_name", "link_id",
@@ -278,7 +289,7 @@ def pave_table(data: DataFrame, pave: DataFrame, survey_df: DataFrame,
     s = survey_df.select(RUN, "link_id", F.col("date").alias("survey_date"), "survey_id",
                          "lane_group", "lane_no", F.col("date").alias("date"), "km_start",
                          "km_end", "run_code", "survey_code")
-    out = a.join(s, [RUN, "link_id", "survey_date"], "left")
+    out = a.join(s, [RUN, "link_id", "survey_date"], "left")  # JN-15
     return out.select(
         "survey_id", P.pg_int("chainage_pic").alias("chainage_pic"), "event_str", "event_end",
         "link_id", "frame_number", "lane_group", "lane_no", "lon", "lat", "date",
@@ -394,10 +405,12 @@ def survey_pave(pave_df: DataFrame) -> DataFrame:
                      F.lit(K.IMAGE_EXT))
     d = pave_df.withColumn("image_name", fname)
     sub = F.replace(F.split_part(F.col("image_name"), F.lit(" "), F.lit(2)), F.lit(" "), F.lit(""))
+    # PRJ-10: pavement directory
     directory = F.concat(F.lit(K.PAVE_DIR_PREFIX), F.left("link_id", F.lit(3)), F.lit("/"),
                          F.col("date").cast("string"), F.lit("/"), F.col("survey_code"),
                          F.lit("/Run"), F.col("run_code"), F.lit("/pavement"), sub, F.lit("/"),
                          F.col("image_name"))
+    # PRJ-12: km = km_start -+ (chainage_pic - event_str::int) by lane-group sign, 0 -> NULL
     off = F.col("chainage_pic") - P.pg_int("event_str")
     km = (F.when(F.col("lane_group") < 0, F.col("km_start") - off)
            .when(F.col("lane_group") > 0, F.col("km_start") + off))

@@ -11,6 +11,9 @@ Stage order (it is part of the semantics; each repair reads the previous one):
   stations_final -> survey -> survey_point_local -> survey_point, survey_image
                  -> image-name repair
   pave + survey  -> pave_table -> pave gap fill -> pave unfreeze -> survey_pave
+
+SRT-3: ORDER BY inside ``create table ... as`` has no meaning for a set and is not
+reproduced; stage tables are unordered (order only where a report asks for it).
 """
 
 from __future__ import annotations

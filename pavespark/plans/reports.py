@@ -1,4 +1,4 @@
-"""QA reports as DataFrames (the caller decides where to print or write them).
+"""QA reports as DataFrames (SNK-3: the caller decides where to print or write them).
 
 Reports that the multi-run form computed across runs take ``scope``:
 ``"run"`` (default) groups inside each run; ``"all"`` groups over all runs.
@@ -22,7 +22,7 @@ def _scope(scope: str) -> list[str]:
 
 
 def zero_coords(key: DataFrame) -> DataFrame:
-    """RPT-1: keyed links whose start or end coordinate is exactly 0."""
+    """RPT-1 (FIL-9): keyed links whose start or end coordinate is exactly 0."""
     d4 = "decimal(8,4)"
     cond = ((F.col("lon_str") == 0) | (F.col("lon_end") == 0)
             | (F.col("lat_str") == 0) | (F.col("lat_end") == 0))
@@ -52,6 +52,7 @@ def ramp_id_check(data: DataFrame) -> DataFrame:
 
 
 def _grid_coordinate_groups(data: DataFrame, where, having, scope: str) -> DataFrame:
+    """AGG-3 (count ... having) per (link, coordinate); SRT-1 order."""
     g = _scope(scope)
     return (data.where(P.on_grid_suffix("chainage") & where)
                 .groupBy(*g, "link_id", "lon", "lat")
@@ -100,7 +101,7 @@ def lane_consistency(data: DataFrame) -> DataFrame:
              F.col("km_end").asc_nulls_last(), F.col("lane_no").asc_nulls_last(),
              F.col("date").asc_nulls_last()]
     chunk = F.coalesce(F.floor(F.col("km_start") / 100000), F.lit(1 << 40))
-    numbered = ordered_index(links, [RUN], order, name="id", chunk=chunk)
+    numbered = ordered_index(links, [RUN], order, name="id", chunk=chunk)  # WIN-7
     return (numbered.withColumn("id", F.col("id") + 1).withColumn("problem", rule)
                     .where(F.col("problem").isNotNull())
                     .select(RUN, "id", "link_id", "km_start", "km_end", "lane_no", "lane_group",

@@ -55,6 +55,7 @@ def _status_from_candidates(cand: DataFrame) -> DataFrame:
     present = (joined.where(P.gps_present() & F.col("link_id").isNotNull())
                      .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
                      .withColumn("status", F.lit(K.STATUS_NOT_LOST)))
+    # JN-5: links without any lost station (anti join); SET-1: union of both labels
     not_lost = present.join(lost.select(RUN, "link_id").distinct(), [RUN, "link_id"], "left_anti")
     status = lost.unionByName(not_lost)
     return status.withColumn(
@@ -96,6 +97,7 @@ def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default
     c = F.col("chainage")
     status = _status_from_candidates(cand.where(c.between(es - tol, ee + tol)))
     a = cand.where(c.between(P.pg_int("event_str"), P.pg_int("event_end")))
+    # PRJ-2: running km = km_start (without '+') + chainage - event_str
     a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + c - es))
           .withColumn("date", P.survey_date("survey_date"))
           .withColumn("geom_lon", F.col("lon")).withColumn("geom_lat", F.col("lat")))

@@ -21,7 +21,7 @@ def as_real(c) -> Column:
 
 
 def laser_extract(gps: DataFrame, iri: DataFrame, tpl: DataFrame, mpd: DataFrame) -> DataFrame:
-    """SRC-1: stations = GPS left-joined with IRI, rutting and texture on (run, chainage)."""
+    """SRC-1 / JN-1: stations = GPS left-joined with IRI, rutting and texture on (run, chainage)."""
     keys = [RUN, "CHAINAGE"]
     j = (gps.join(iri, keys, "left")
             .join(tpl, keys, "left")

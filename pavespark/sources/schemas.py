@@ -1,4 +1,4 @@
-"""Fixed schemas of the exported and loaded survey tables (never inferred)."""
+"""SRC-7: fixed schemas of the exported and loaded survey tables (never inferred)."""
 
 from pyspark.sql import types as T
 
