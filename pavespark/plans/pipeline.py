@@ -40,10 +40,12 @@ from pavespark.sources.fixtures import Inputs
 class SurveyPipeline:
     STATION_TIES = ("event_str", "chainage_pic", "frame_number")
 
-    def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True):
+    def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True,
+                 record_plans: bool = False):
         self.inputs = inputs
         self.draw = draw
         self.checkpoint = checkpoint
+        self.plans: list[str] | None = [] if record_plans else None
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, layout: str | None = None,
@@ -51,6 +53,8 @@ class SurveyPipeline:
         return cls(fixtures.load(spark, sf_dir, layout), **kw)
 
     def _stage(self, df: DataFrame) -> DataFrame:
+        if self.plans is not None:
+            self.plans.append(df._jdf.queryExecution().executedPlan().toString())
         return materialize(df, self.checkpoint)
 
     # ------------------------------------------------------------------ inputs
