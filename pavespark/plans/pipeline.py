@@ -41,10 +41,17 @@ class SurveyPipeline:
     STATION_TIES = ("event_str", "chainage_pic", "frame_number")
 
     def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True,
-                 record_plans: bool = False):
+                 record_plans: bool = False, pave_gap_mode: str = "reference"):
+        """``draw``: stand-in for the IRI clamp's random draw (PRJ-1, Q-05);
+        ``pave_gap_mode``: ``"reference"`` or ``"window"`` (REP-8, Q-18);
+        ``checkpoint``: write each stage table (lineage cut) or keep it lazy;
+        ``record_plans``: keep each stage's physical plan text in ``self.plans``."""
+        if pave_gap_mode not in ("reference", "window"):
+            raise ValueError("pave_gap_mode must be 'reference' or 'window'")
         self.inputs = inputs
         self.draw = draw
         self.checkpoint = checkpoint
+        self.pave_gap_mode = pave_gap_mode
         self.plans: list[str] | None = [] if record_plans else None
 
     @classmethod
@@ -183,7 +190,7 @@ class SurveyPipeline:
     @cached_property
     def pave_gaps_filled(self) -> DataFrame:
         return self._stage(D.repair_pave_gaps(self.pave_table, self.pave_gps_lost, self.survey,
-                                              extent=self.pave_extent))
+                                              extent=self.pave_extent, mode=self.pave_gap_mode))
 
     @cached_property
     def pave_final(self) -> DataFrame:
