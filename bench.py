@@ -1,8 +1,8 @@
-"""Benchmark: the end-to-end survey pipeline at one scale factor.
+"""Benchmark: the end-to-end survey stage chain at one scale factor.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Runs one pipeline over all runs derived from the directory's tables and
+Runs all stages once over all runs derived from the directory's tables and
 times every stage table as it is materialised (each stage reads the written
 previous stage), then the QA reports. Prints ONE JSON line.
 """
@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pavespark.plans.pipeline import SurveyPipeline  # noqa: E402
+from pavespark.plans.stages import SurveyStages  # noqa: E402
 from pavespark.session import get_spark  # noqa: E402
 from pavespark.sources import fixtures  # noqa: E402
 
@@ -40,7 +40,7 @@ STAGES = [
 ]
 
 
-def reports(p: SurveyPipeline):
+def reports(p: SurveyStages):
     from pavespark.plans import reports as R
     d = p.station_table
     return {
@@ -55,12 +55,12 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
-    # warm-up: JVM JIT and codegen caches, the whole pipeline on the tiny input
-    warm = SurveyPipeline.from_fixtures(spark, "/root/testdata/sf0.001")
+    # warm-up: JVM JIT and codegen caches, all stages on the tiny input
+    warm = SurveyStages.from_fixtures(spark, "/root/testdata/sf0.001")
     for _, get in STAGES:
         get(warm).count()
     t_all = time.time()
-    p = SurveyPipeline.from_fixtures(spark, sf_dir)
+    p = SurveyStages.from_fixtures(spark, sf_dir)
     times = {}
     rows = {}
     for name, get in STAGES:
@@ -76,7 +76,7 @@ def main():
     stations = p.laser.count()
     # the skew case: the same tables with one run holding a third of all stations
     t_hot = time.time()
-    ph = SurveyPipeline(fixtures.load(spark, sf_dir, layout="hot"))
+    ph = SurveyStages(fixtures.load(spark, sf_dir, layout="hot"))
     hot_times = {}
     for name, get in STAGES:
         t0 = time.time()
@@ -85,7 +85,7 @@ def main():
     hot_total = round(time.time() - t_hot, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
-        "metric": "survey_pipeline_total", "value": total, "unit": "sec", "queries": times,
+        "metric": "survey_stages_total", "value": total, "unit": "sec", "queries": times,
         "rows": rows, "stations": stations, "stations_per_sec": round(stations / total, 1),
         "sf": sf, "cpus": cpus, "hot_run_layout_total": hot_total, "hot_run_layout_queries": hot_times,
     }))

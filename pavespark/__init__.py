@@ -9,7 +9,7 @@ Sub-packages:
   sources    exported survey tables, fixed schemas, fixtures from driver data
   functions  column expressions (predicates, code decoding, padding, clamp)
   operators  range joins, islands, ordered windows, polyline geometry, repairs
-  plans      stage tables, QA reports, deliverables, the end-to-end pipeline
+  plans      stage tables, QA reports, deliverables, the end-to-end stage chain
   streaming  (the reference has no streaming surface; see its docstring)
 """
 

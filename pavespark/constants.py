@@ -1,6 +1,6 @@
 """Fixed values.
 
-These must equal the values the survey pipeline has always produced, so that
+These must equal the values the survey processing has always produced, so that
 downstream consumers of the deliverable tables see the same codes and labels.
 They are stated here once, as text, in their natural order.
 """

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pavespark.functions import codes as C
 from pavespark.functions import predicates as P
-from pavespark.plans.pipeline import SurveyPipeline
+from pavespark.plans.stages import SurveyStages
 
 QUERIES: dict = {}
 FLAGSHIP = "survey_point"
@@ -24,40 +24,40 @@ def register(name):
     return deco
 
 
-_PIPES: dict = {}
+_STAGE_SETS: dict = {}
 
 
-def pipe(spark: SparkSession, sf_dir: str) -> SurveyPipeline:
-    """One pipeline per (application, data directory): stages already written by an
+def stages(spark: SparkSession, sf_dir: str) -> SurveyStages:
+    """One stage set per (application, data directory): stages already written by an
     earlier query of the same session are reused, not recomputed."""
     from pavespark.sources.fixtures import layout_name
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), layout_name())
-    if key not in _PIPES:
-        if len(_PIPES) >= 4:
-            _PIPES.pop(next(iter(_PIPES)))
-        _PIPES[key] = SurveyPipeline.from_fixtures(spark, sf_dir)
-    return _PIPES[key]
+    if key not in _STAGE_SETS:
+        if len(_STAGE_SETS) >= 4:
+            _STAGE_SETS.pop(next(iter(_STAGE_SETS)))
+        _STAGE_SETS[key] = SurveyStages.from_fixtures(spark, sf_dir)
+    return _STAGE_SETS[key]
 
 
 # ----------------------------------------------------------------------- sources
 @register("laser_extract")
 def q_laser_extract(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).inputs.laser
+    return stages(spark, sf_dir).inputs.laser
 
 
 @register("key_extract")
 def q_key_extract(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).inputs.key
+    return stages(spark, sf_dir).inputs.key
 
 
 @register("pic_extract")
 def q_pic_extract(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).inputs.pic
+    return stages(spark, sf_dir).inputs.pic
 
 
 @register("pave_extract")
 def q_pave_extract(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).inputs.pave
+    return stages(spark, sf_dir).inputs.pave
 
 
 @register("interchange_roundtrip")
@@ -71,7 +71,7 @@ def q_interchange_roundtrip(spark, sf_dir) -> DataFrame:
     from pavespark.sources import exported, schemas
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/pavespark-interchange-{uuid.uuid4().hex}/access_valuelaser"
-    laser = pipe(spark, sf_dir).laser
+    laser = stages(spark, sf_dir).laser
     exported.write_run_partitioned_csv(laser.select(*[f.name for f in schemas.LASER_CSV.fields]),
                                        path)
     return exported.loaded_laser(
@@ -82,25 +82,25 @@ def q_interchange_roundtrip(spark, sf_dir) -> DataFrame:
 @register("iri_clamp")
 def q_iri_clamp(spark, sf_dir) -> DataFrame:
     from pavespark.functions.measures import iri_clamp
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     return iri_clamp(p.inputs.laser, p.draw).select(
         "file_name", "chainage", "iri_right", "iri_left", "iri_old", "iri")
 
 
 @register("km_position")
 def q_km_position(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).station_table.select("file_name", "link_id", "event_str",
+    return stages(spark, sf_dir).station_table.select("file_name", "link_id", "event_str",
                                                     "chainage", "km2")
 
 
-def _key_links(p: SurveyPipeline) -> DataFrame:
+def _key_links(p: SurveyStages) -> DataFrame:
     from pavespark.plans.station import pave_keys
     return pave_keys(p.inputs.key)
 
 
 @register("lane_group")
 def q_lane_group(spark, sf_dir) -> DataFrame:
-    k = _key_links(pipe(spark, sf_dir))
+    k = _key_links(stages(spark, sf_dir))
     return k.select("file_name", "link_id",
                     C.lane_group("link_id", 6).alias("lane_group_report"),
                     C.lane_group("link_id", 7).alias("lane_group")).distinct()
@@ -108,7 +108,7 @@ def q_lane_group(spark, sf_dir) -> DataFrame:
 
 @register("survey_codes")
 def q_survey_codes(spark, sf_dir) -> DataFrame:
-    k = _key_links(pipe(spark, sf_dir))
+    k = _key_links(stages(spark, sf_dir))
     ks, ke = P.km_int("km_start"), P.km_int("km_end")
     return k.select(
         "file_name", "link_id", "event_str",
@@ -123,19 +123,19 @@ def q_survey_codes(spark, sf_dir) -> DataFrame:
 @register("station_link_join")
 def q_station_link_join(spark, sf_dir) -> DataFrame:
     from pavespark.plans.station import pave_keys, station_link_join
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     j = station_link_join(p.laser, pave_keys(p.key), extent=p.extent)
     return j.select("file_name", "link_id", "event_str", "event_end", "chainage")
 
 
 @register("gps_status")
 def q_gps_status(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).gps_status
+    return stages(spark, sf_dir).gps_status
 
 
 @register("station_table")
 def q_station_table(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).station_table
+    return stages(spark, sf_dir).station_table
 
 
 
@@ -147,43 +147,43 @@ def _reports():
 
 @register("report_zero_coords")
 def q_report_zero_coords(spark, sf_dir) -> DataFrame:
-    return _reports().zero_coords(pipe(spark, sf_dir).inputs.key)
+    return _reports().zero_coords(stages(spark, sf_dir).inputs.key)
 
 
 @register("report_duplicate_links")
 def q_report_duplicate_links(spark, sf_dir) -> DataFrame:
-    return _reports().duplicate_links(pipe(spark, sf_dir).station_table)
+    return _reports().duplicate_links(stages(spark, sf_dir).station_table)
 
 
 @register("report_ramp_id")
 def q_report_ramp_id(spark, sf_dir) -> DataFrame:
-    return _reports().ramp_id_check(pipe(spark, sf_dir).station_table)
+    return _reports().ramp_id_check(stages(spark, sf_dir).station_table)
 
 
 @register("report_gps_lost")
 def q_report_gps_lost(spark, sf_dir) -> DataFrame:
-    return _reports().gps_lost_groups(pipe(spark, sf_dir).station_table)
+    return _reports().gps_lost_groups(stages(spark, sf_dir).station_table)
 
 
 @register("report_gps_duplicates")
 def q_report_gps_duplicates(spark, sf_dir) -> DataFrame:
-    return _reports().gps_duplicates(pipe(spark, sf_dir).station_table)
+    return _reports().gps_duplicates(stages(spark, sf_dir).station_table)
 
 
 @register("report_missing_measures")
 def q_report_missing_measures(spark, sf_dir) -> DataFrame:
-    return _reports().missing_measures(pipe(spark, sf_dir).station_table)
+    return _reports().missing_measures(stages(spark, sf_dir).station_table)
 
 
 @register("report_lane_consistency")
 def q_report_lane_consistency(spark, sf_dir) -> DataFrame:
-    return _reports().lane_consistency(pipe(spark, sf_dir).station_table)
+    return _reports().lane_consistency(stages(spark, sf_dir).station_table)
 
 
 # ------------------------------------------------------------------------ gaps
 @register("gps_gaps")
 def q_gps_gaps(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).gps_lost
+    return stages(spark, sf_dir).gps_lost
 
 
 # --------------------------------------------------------------------- geometry
@@ -194,12 +194,12 @@ def _rep():
 
 @register("event_points")
 def q_event_points(spark, sf_dir) -> DataFrame:
-    return _rep().event_points(pipe(spark, sf_dir).station_table)
+    return _rep().event_points(stages(spark, sf_dir).station_table)
 
 
 @register("event_near_station")
 def q_event_near_station(spark, sf_dir) -> DataFrame:
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     R = _rep()
     return R.event_near_station(R.event_points(p.station_table), p.station_groups,
                                 p.keyed_stations)
@@ -209,7 +209,7 @@ def q_event_near_station(spark, sf_dir) -> DataFrame:
 def q_line_interpolate(spark, sf_dir) -> DataFrame:
     """GEO-5 over whole tables: the point at 37 % of each link's line of present grid stations."""
     from pavespark.operators.geometry import add_point_at, line_agg
-    d = pipe(spark, sf_dir).station_table
+    d = stages(spark, sf_dir).station_table
     lines = (d.where(P.on_grid("chainage") & P.gps_present())
               .groupBy("file_name", "link_id", "event_str")
               .agg(line_agg("chainage", "geom_lon", "geom_lat").alias("line")))
@@ -226,24 +226,24 @@ def _keyed_coords(df: DataFrame, end: str) -> DataFrame:
 
 @register("repair_event_start")
 def q_repair_event_start(spark, sf_dir) -> DataFrame:
-    return _keyed_coords(pipe(spark, sf_dir).events_start_fixed, "str")
+    return _keyed_coords(stages(spark, sf_dir).events_start_fixed, "str")
 
 
 @register("repair_event_end")
 def q_repair_event_end(spark, sf_dir) -> DataFrame:
-    return _keyed_coords(pipe(spark, sf_dir).links_fixed, "end")
+    return _keyed_coords(stages(spark, sf_dir).links_fixed, "end")
 
 
 @register("report_event_mismatch")
 def q_report_event_mismatch(spark, sf_dir) -> DataFrame:
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     R = _rep()
     return R.event_mismatch(R.event_points(p.links_fixed), p.station_groups)
 
 
 @register("report_gap_at_seam")
 def q_report_gap_at_seam(spark, sf_dir) -> DataFrame:
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     return _rep().gap_at_seam(p.gps_lost, p.events_fixed, extent=p.extent)
 
 
@@ -254,19 +254,19 @@ def _station_points(df: DataFrame) -> DataFrame:
 
 @register("repair_gps_gaps")
 def q_repair_gps_gaps(spark, sf_dir) -> DataFrame:
-    return _station_points(pipe(spark, sf_dir).gaps_filled)
+    return _station_points(stages(spark, sf_dir).gaps_filled)
 
 
 @register("repair_gps_frozen")
 def q_repair_gps_frozen(spark, sf_dir) -> DataFrame:
-    return _station_points(pipe(spark, sf_dir).unfrozen)
+    return _station_points(stages(spark, sf_dir).unfrozen)
 
 
 # -------------------------------------------------------------------- smoothing
 @register("smooth_measures")
 def q_smooth_measures(spark, sf_dir) -> DataFrame:
     from pavespark.functions.measures import MEASURES
-    return pipe(spark, sf_dir).stations_final.select("file_name", "link_id", "event_str",
+    return stages(spark, sf_dir).stations_final.select("file_name", "link_id", "event_str",
                                                      "chainage", *MEASURES)
 
 
@@ -278,13 +278,13 @@ def _dl():
 
 @register("survey")
 def q_survey(spark, sf_dir) -> DataFrame:
-    s = pipe(spark, sf_dir).survey
+    s = stages(spark, sf_dir).survey
     return s.withColumn("the_geom", _dl().line_text("the_geom"))
 
 
 @register("link_line")
 def q_link_line(spark, sf_dir) -> DataFrame:
-    s = pipe(spark, sf_dir).survey
+    s = stages(spark, sf_dir).survey
     return s.select("file_name", "survey_id", "link_id", "event_name",
                     F.posexplode("the_geom").alias("seq", "pt")).select(
         "file_name", "survey_id", "link_id", "event_name", "seq",
@@ -294,68 +294,68 @@ def q_link_line(spark, sf_dir) -> DataFrame:
 
 @register("link_length")
 def q_link_length(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey.select("file_name", "survey_id", "link_id", "event_name",
+    return stages(spark, sf_dir).survey.select("file_name", "survey_id", "link_id", "event_name",
                                              "distance_gps")
 
 
 @register("survey_point_local")
 def q_survey_point_local(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey_point_local
+    return stages(spark, sf_dir).survey_point_local
 
 
 @register("point_km")
 def q_point_km(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey_point_local.select("file_name", "link_id", "survey_id",
+    return stages(spark, sf_dir).survey_point_local.select("file_name", "link_id", "survey_id",
                                                          "chainage", "order_row", "km")
 
 
 @register("survey_point")
 def q_survey_point(spark, sf_dir) -> DataFrame:
-    return _dl().survey_point(pipe(spark, sf_dir).survey_point_local)
+    return _dl().survey_point(stages(spark, sf_dir).survey_point_local)
 
 
 @register("survey_image")
 def q_survey_image(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey_image
+    return stages(spark, sf_dir).survey_image
 
 
 @register("report_image_duplicates")
 def q_report_image_duplicates(spark, sf_dir) -> DataFrame:
-    return _dl().image_duplicates(pipe(spark, sf_dir).survey_image)
+    return _dl().image_duplicates(stages(spark, sf_dir).survey_image)
 
 
 @register("repair_image_names")
 def q_repair_image_names(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey_image_fixed
+    return stages(spark, sf_dir).survey_image_fixed
 
 
 @register("image_folders")
 def q_image_folders(spark, sf_dir) -> DataFrame:
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     return _dl().image_folders(p.survey_image_fixed, p.survey_pave)
 
 
 @register("image_copy_manifest")
 def q_image_copy_manifest(spark, sf_dir) -> DataFrame:
-    p = pipe(spark, sf_dir)
+    p = stages(spark, sf_dir)
     return _dl().image_copy_manifest(p.survey_image_fixed, p.survey_pave)
 
 
 # ---------------------------------------------------------------------- pavement
 @register("pave_event_join")
 def q_pave_event_join(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).pave_table.select("file_name", "link_id", "event_str", "event_end",
+    return stages(spark, sf_dir).pave_table.select("file_name", "link_id", "event_str", "event_end",
                                                  "chainage_pic", "frame_number")
 
 
 @register("pave_table")
 def q_pave_table(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).pave_table
+    return stages(spark, sf_dir).pave_table
 
 
 @register("pave_gps_gaps")
 def q_pave_gps_gaps(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).pave_gps_lost
+    return stages(spark, sf_dir).pave_gps_lost
 
 
 def _pave_points(df: DataFrame) -> DataFrame:
@@ -365,14 +365,14 @@ def _pave_points(df: DataFrame) -> DataFrame:
 
 @register("repair_pave_gaps")
 def q_repair_pave_gaps(spark, sf_dir) -> DataFrame:
-    return _pave_points(pipe(spark, sf_dir).pave_gaps_filled)
+    return _pave_points(stages(spark, sf_dir).pave_gaps_filled)
 
 
 @register("repair_pave_frozen")
 def q_repair_pave_frozen(spark, sf_dir) -> DataFrame:
-    return _pave_points(pipe(spark, sf_dir).pave_final)
+    return _pave_points(stages(spark, sf_dir).pave_final)
 
 
 @register("survey_pave")
 def q_survey_pave(spark, sf_dir) -> DataFrame:
-    return pipe(spark, sf_dir).survey_pave
+    return stages(spark, sf_dir).survey_pave

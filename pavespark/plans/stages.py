@@ -1,4 +1,4 @@
-"""End-to-end survey pipeline: each stage table is built once, materialised
+"""End-to-end survey stage chain: each stage table is built once, materialised
 (reliable checkpoint in the cluster's checkpoint folder) and reused by the
 later stages, so every repair reads a written input instead of a growing
 lineage, and a lost executor only recomputes from the last written stage.
@@ -37,7 +37,7 @@ from pavespark.sources import fixtures
 from pavespark.sources.fixtures import Inputs
 
 
-class SurveyPipeline:
+class SurveyStages:
     STATION_TIES = ("event_str", "chainage_pic", "frame_number")
 
     def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True,
@@ -56,7 +56,7 @@ class SurveyPipeline:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, layout: str | None = None,
-                      **kw) -> "SurveyPipeline":
+                      **kw) -> "SurveyStages":
         return cls(fixtures.load(spark, sf_dir, layout), **kw)
 
     def _stage(self, df: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Streaming surface.
 
-The survey pipeline has no streaming operators: every run is a closed batch
+The survey processing has no streaming operators: every run is a closed batch
 (stations along a chainage, no event time), so there is nothing here to
 re-express with Structured Streaming. Runs are processed together as one
-batch job partitioned by run (see plans.pipeline).
+batch job partitioned by run (see plans.stages).
 """

@@ -1,6 +1,6 @@
 """The skew case: one run holds a third of all stations (FIXTURES hot layout).
 
-Runs the pipeline on the sf0.01 tables with that layout and compares the
+Runs all stages on the sf0.01 tables with that layout and compares the
 station-level and deliverable stages with the DuckDB oracle on the same layout.
 The long run crosses index chunks, smoothing blocks and range-join buckets.
 """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pavespark.operators.repair import keyed_stations
 from pavespark.plans import deliverables as D
-from pavespark.plans.pipeline import SurveyPipeline
+from pavespark.plans.stages import SurveyStages
 from pavespark.plans.station import station_table
 from tests.conftest import SF_SMALL
 
@@ -19,7 +19,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def p(spark):
-    return SurveyPipeline.from_fixtures(spark, SF_SMALL, checkpoint=True)
+    return SurveyStages.from_fixtures(spark, SF_SMALL, checkpoint=True)
 
 
 def test_station_table_plan(p):
@@ -61,7 +61,7 @@ def test_runs_are_independent(spark, p):
     run = "20240101 0002"
     one = Inputs(*(t.where(F.col("file_name") == run) for t in
                    (p.inputs.laser, p.inputs.key, p.inputs.pic, p.inputs.pave)))
-    q = SurveyPipeline(one)
+    q = SurveyStages(one)
     cols = ["file_name", "link_id", "event_str", "chainage", "lon", "lat", "iri", "rutting", "texture"]
     a = sorted(tuple(r) for r in q.stations_final.select(*cols).collect())
     b = sorted(tuple(r) for r in p.stations_final.where(F.col("file_name") == run).select(*cols).collect())
@@ -120,7 +120,7 @@ def test_pave_image_beyond_last_station_is_kept(spark):
                                 "chainage_pic double, frame_number string, file_name string")
     pave = spark.createDataFrame([(300.0, "100", 100.503, 13.703, run), (30.0, "10", 100.5003, 13.7003, run)],
                                  "chainage_pic double, frame_number string, lon double, lat double, file_name string")
-    q = SurveyPipeline(Inputs(laser, key, pic, pave))
+    q = SurveyStages(Inputs(laser, key, pic, pave))
     got = sorted(r[0] for r in q.pave_table.select("chainage_pic").collect())
     assert got == [30, 300]
 
@@ -160,18 +160,18 @@ def test_islands_partition_lost_rows(p):
     from pavespark.functions import predicates as P
     from pavespark.operators.linear import lost_islands
     d = p.station_table
-    isl = lost_islands(d, "chainage", SurveyPipeline.STATION_TIES, K.STATION_SPACING_M)
+    isl = lost_islands(d, "chainage", SurveyStages.STATION_TIES, K.STATION_SPACING_M)
     lost = d.where(P.gps_lost()).count()
     assert isl.agg(F.sum("c_p")).first()[0] == lost
     assert isl.where(F.col("meter") != F.col("c_p") * 5).count() == 0
 
 
 def test_every_stage_plan_is_distributed(spark):
-    """All stage tables of the pipeline: no nested-loop or cartesian join, no Python
+    """All stage tables: no nested-loop or cartesian join, no Python
     evaluation; a single-partition exchange only on the small count table of a
     global numbering."""
     import bench
-    q = SurveyPipeline.from_fixtures(spark, SF_SMALL, record_plans=True)
+    q = SurveyStages.from_fixtures(spark, SF_SMALL, record_plans=True)
     for _, get in bench.STAGES:
         get(q)
     assert len(q.plans) >= 16

@@ -18,7 +18,7 @@ from collections import Counter
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import bench  # noqa: E402
-from pavespark.plans.pipeline import SurveyPipeline  # noqa: E402
+from pavespark.plans.stages import SurveyStages  # noqa: E402
 from pavespark.session import get_spark  # noqa: E402
 
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
@@ -44,7 +44,7 @@ def summarize(plan: str) -> dict:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]", 16)
-    p = SurveyPipeline.from_fixtures(spark, sf, record_plans=True)
+    p = SurveyStages.from_fixtures(spark, sf, record_plans=True)
     out = ["# PLANS — physical plan shape of every stage table", "",
            f"Generated by `python tools/plan_report.py {sf}`: the plan Spark builds before "
            "runtime adaptation (static broadcasts disabled), so joins appear as sort-merge "
