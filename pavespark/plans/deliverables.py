@@ -60,10 +60,12 @@ def survey(data: DataFrame, run_new: str = K.SURVEY_RUN_NEW) -> DataFrame:
         "chainage_str", "chainage_end", "event_name", "link_id", "ramp_id",
         F.col("section_id").try_cast("int").alias("section_id"),
         km_s.alias("km_start"), km_e.alias("km_end"),
-        C.lane_no_full().alias("lane_no_full"), "date", "the_geom", RUN)
+        C.lane_no_full().alias("lane_no_full"), "date", "the_geom", RUN,
+        F.col("length").alias("_length_raw"), F.col("lane_no").alias("_lane_no_raw"))
+    # every group column takes part in the order, so ids never depend on arrival order
     order = [P.pg_int("chainage_str").asc_nulls_last()] + _asc(
         "link_id", RUN, "event_name", "ramp_id", "section_id", "km_start", "km_end",
-        "lane_no_full", "date")
+        "lane_no_full", "date", "_length_raw", "_lane_no_raw")
     g = global_row_number(g, order, "survey_id", start=2)  # WIN-4
     dist = length_km("the_geom")
     return g.select(
