@@ -100,39 +100,43 @@ def _eq(a, b, cols):
 
 def interp(name, pts, tgts, gid, tid=()):
     """Point at fraction f along each group's line, segment form.
-    pts: gid + (ch, x, y); tgts: gid + tid + f. Output CTE ``name``: tgts.* + lon, lat."""
+    pts: gid + (ch, x, y); tgts: gid + tid + f. Output CTE ``name``: tgts.* + lon, lat.
+
+    The segment lengths, the total and the running fractions are left folds over the
+    ordered point list (the same operation order as a sequential walk), then the first
+    segment whose running end passes f is blended linearly."""
     g = ", ".join(gid)
-    keys = list(gid) + list(tid)
-    k = ", ".join(f"t.{c}" for c in keys)
+    fold = "lambda a, b: a + b"
     return f""",
-{name}_p AS (SELECT {g}, ch, x, y, row_number() OVER (PARTITION BY {g} ORDER BY ch, x, y) AS seq
-             FROM {pts}),
-{name}_s AS (
-  SELECT a.*, b.x AS x0, b.y AS y0, sqrt((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2) AS len
-  FROM {name}_p a JOIN {name}_p b ON {_eq('a', 'b', gid)} AND b.seq = a.seq - 1),
-{name}_t AS (SELECT {g}, sum(len) AS total FROM {name}_s GROUP BY {g}),
-{name}_c AS (
-  SELECT s.*, s.len / t.total AS fr,
-         sum(s.len / t.total) OVER (PARTITION BY {", ".join('s.' + c for c in gid)} ORDER BY s.seq
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cend
-  FROM {name}_s s JOIN {name}_t t ON {_eq('s', 't', gid)} WHERE t.total > 0),
-{name}_e AS (
-  SELECT {g}, arg_min(x, seq) AS fx, arg_min(y, seq) AS fy, arg_max(x, seq) AS lx,
-         arg_max(y, seq) AS ly, count(*) AS n
-  FROM {name}_p GROUP BY {g}),
+{name}_l AS (
+  SELECT {g}, list(struct_pack(x := x, y := y) ORDER BY ch, x, y) AS pts FROM {pts} GROUP BY {g}),
+{name}_g AS (
+  SELECT *, len(pts) AS n,
+         list_transform(range(1, len(pts)),
+                        lambda i: sqrt((pts[i + 1].x - pts[i].x) ^ 2 + (pts[i + 1].y - pts[i].y) ^ 2)) AS segs
+  FROM {name}_l),
+{name}_g2 AS (
+  SELECT *, list_reduce(list_prepend(CAST(0.0 AS DOUBLE), segs), {fold}) AS total FROM {name}_g),
+{name}_g3 AS (
+  SELECT *, CASE WHEN total > 0 THEN list_transform(segs, lambda s: s / total) END AS frs
+  FROM {name}_g2),
+{name}_g4 AS (
+  SELECT *, list_transform(range(1, n), lambda i: list_reduce(
+           list_prepend(CAST(0.0 AS DOUBLE), list_slice(frs, 1, i - 1)), {fold})) AS cums
+  FROM {name}_g3),
 {name}_h AS (
-  SELECT {k}, arg_min(c.x0 + (t.f - (c.cend - c.fr)) / c.fr * (c.x - c.x0), c.seq) AS hx,
-         arg_min(c.y0 + (t.f - (c.cend - c.fr)) / c.fr * (c.y - c.y0), c.seq) AS hy
-  FROM {tgts} t JOIN {name}_c c ON {_eq('t', 'c', gid)} AND t.f < c.cend AND c.fr > 0
-  GROUP BY {k}),
+  SELECT t.*, q.n, q.pts, q.total, q.frs, q.cums,
+         list_filter(range(1, q.n), lambda i: t.f < q.cums[i] + q.frs[i])[1] AS hi
+  FROM {tgts} t LEFT JOIN {name}_g4 q ON {_eq('t', 'q', gid)}),
 {name} AS (
-  SELECT t.*,
-    CASE WHEN e.n IS NULL THEN NULL WHEN t.f = 0 OR e.n = 1 THEN e.fx WHEN t.f = 1 THEN e.lx
-         WHEN h.hx IS NULL THEN e.lx ELSE h.hx END AS lon,
-    CASE WHEN e.n IS NULL THEN NULL WHEN t.f = 0 OR e.n = 1 THEN e.fy WHEN t.f = 1 THEN e.ly
-         WHEN h.hx IS NULL THEN e.ly ELSE h.hy END AS lat
-  FROM {tgts} t LEFT JOIN {name}_e e ON {_eq('t', 'e', gid)}
-  LEFT JOIN {name}_h h ON {_eq('t', 'h', keys)})"""
+  SELECT * EXCLUDE (n, pts, total, frs, cums, hi),
+    CASE WHEN n IS NULL OR n = 0 THEN NULL WHEN f = 0 OR n = 1 THEN pts[1].x
+         WHEN f = 1 OR total = 0 OR hi IS NULL THEN pts[n].x
+         ELSE pts[hi].x + ((f - cums[hi]) / frs[hi]) * (pts[hi + 1].x - pts[hi].x) END AS lon,
+    CASE WHEN n IS NULL OR n = 0 THEN NULL WHEN f = 0 OR n = 1 THEN pts[1].y
+         WHEN f = 1 OR total = 0 OR hi IS NULL THEN pts[n].y
+         ELSE pts[hi].y + ((f - cums[hi]) / frs[hi]) * (pts[hi + 1].y - pts[hi].y) END AS lat
+  FROM {name}_h)"""
 
 
 def event_pts(name, src):

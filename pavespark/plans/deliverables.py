@@ -82,8 +82,10 @@ def survey(data: DataFrame, run_new: str = K.SURVEY_RUN_NEW) -> DataFrame:
 
 
 def line_text(line: str = "the_geom") -> Column:
-    """Line as text (6 decimals) for reports and comparisons."""
-    pts = F.transform(F.col(line), lambda p: F.format_string("%.6f %.6f", p["lon"], p["lat"]))
+    """Line as text (6 decimals, rounded half away from zero first, so the text never
+    depends on the formatter's own tie rule) for reports and comparisons."""
+    pts = F.transform(F.col(line), lambda p: F.format_string("%.6f %.6f", F.round(p["lon"], 6),
+                                                             F.round(p["lat"], 6)))
     return F.concat(F.lit("LINESTRING("), F.array_join(pts, ","), F.lit(")"))
 
 
