@@ -128,3 +128,79 @@ def test_q16_fraction_outside_unit_interval_gives_no_fix(spark):
     lost2 = lost.withColumn("new_p_min", F.lit(99.0))
     assert gap_fixes(lost, data).count() == 0   # no anchor in [114, 126]
     assert gap_fixes(lost2, data).count() == 0  # anchors 100, 105 -> fraction 4 > 1
+
+
+def test_q13_global_ids_start_at_two_nulls_last(spark):
+    from pavespark.operators.windows import global_row_number
+    df = spark.createDataFrame([(None, "a"), (3, "b"), (1, "c"), (3, "a")], "k int, t string")
+    out = {(r["k"], r["t"]): r["id"] for r in
+           global_row_number(df, [F.col("k").asc_nulls_last(), F.col("t").asc_nulls_last()], "id",
+                             start=2).collect()}
+    assert out == {(1, "c"): 2, (3, "a"): 3, (3, "b"): 4, (None, "a"): 5}
+
+
+def test_q17_frozen_gps_pairs_members_with_own_group(spark):
+    from pavespark.operators.repair import frozen_fixes
+    cols = ("file_name string, link_id string, chainage double, lon double, lat double, "
+            "geom_lon double, geom_lat double, status string")
+    rows = []
+    for c in range(0, 200, 25):
+        x, y = 100.5 + c * 1e-5, 13.7 + c * 1e-5
+        if c in (50, 75, 100):          # frozen on one coordinate
+            x, y = 100.5005, 13.7005
+        rows.append(("r", "A", float(c), x, y, x, y, K.STATUS_LOST))
+    d = spark.createDataFrame(rows, cols)
+    fx = {r["chainage"]: (r["new_lon"], r["new_lat"]) for r in frozen_fixes(d).collect()}
+    assert sorted(fx) == [50.0, 75.0, 100.0]
+    # anchors at 25 and 125: points at fractions 0.25, 0.5, 0.75 between them
+    a, b = (100.5 + 25e-5, 13.7 + 25e-5), (100.5 + 125e-5, 13.7 + 125e-5)
+    for c, f in ((50.0, 0.25), (75.0, 0.5), (100.0, 0.75)):
+        assert abs(fx[c][0] - (a[0] + f * (b[0] - a[0]))) < 1e-9
+    # the same frozen coordinate on a link whose status is not lost: not repaired
+    d2 = d.withColumn("status", F.lit(K.STATUS_NOT_LOST))
+    assert frozen_fixes(d2).count() == 0
+
+
+def test_q20_q29_grid_point_takes_next_station_and_raw_look_ahead(spark):
+    from pavespark.functions.measures import MEASURES
+    cols = ["file_name", "link_id", "date", "event_str", "event_end", "chainage", "ramp_id",
+            "geom_lon", "geom_lat", *MEASURES]
+    types = ["string", "string", "date", "double", "double", "double", "string", "double", "double"] \
+        + ["decimal(8,2)"] * 9
+    schema = ", ".join(f"{c} {t}" for c, t in zip(cols, types))
+    import datetime
+    day = datetime.date(2024, 1, 1)
+
+    def row(link, s, e, c, v):
+        return ("r", link, day, s, e, c, None, 100.5, 13.7, *[Decimal(v)] * 9)
+    # link A 0..100, link B 100..200: station 100 is in both; A's grid point 100 takes the
+    # next station 105 from B (smoothed value 5.00) and from the raw laser (9.00) -> mean 7.00
+    data = spark.createDataFrame(
+        [row("A", 0.0, 100.0, c, "1.00") for c in (95.0, 100.0)]
+        + [row("B", 100.0, 200.0, c, "5.00") for c in (100.0, 105.0)], schema)
+    laser = spark.createDataFrame(
+        [("r", 105.0, *[9.0] * 3, *[Decimal("9.00")] * 6)],
+        "file_name string, chainage double, iri_right double, iri_left double, iri double, "
+        "iri_lane decimal(8,2), rutt_right decimal(8,2), rutt_left decimal(8,2), rutting decimal(8,2), "
+        "texture decimal(8,2), etd_texture decimal(8,2)")
+    pts = {(r["link_id"], r["chainage"]): r for r in D.point_branch_grid(data, laser).collect()}
+    assert pts[("A", 100.0)]["iri"] == Decimal("7.00")
+    # the next-station set is keyed by chainage only (as in the reference), so B's grid
+    # point at the same chainage sees the same two rows
+    assert pts[("B", 100.0)]["iri"] == Decimal("7.00")
+    assert ("A", 95.0) not in pts  # not a grid station
+
+
+def test_q31_gap_anchor_from_neighbouring_link(spark):
+    from pavespark.operators.repair import gap_fixes
+    cols = "file_name string, link_id string, chainage double, lon double, geom_lon double, geom_lat double, status string"
+    d = spark.createDataFrame(
+        [("r", "A", 95.0, 100.5, 100.5, 13.7, K.STATUS_LOST),      # anchor before the gap, link A
+         ("r", "B", 105.0, 100.6, 100.6, 13.8, K.STATUS_LOST)],    # anchor after the gap, link B
+        cols)
+    lost = spark.createDataFrame([("r", 100.0, 100.0, 100.0, 1, 5, "A", None, 0, 94.0, 106.0)],
+                                 "file_name string, min double, max double, chainage double, c_p long, "
+                                 "meter long, link_id string, date date, grp2 long, new_p_min double, "
+                                 "new_p_max double")
+    fx = gap_fixes(lost, d).collect()
+    assert len(fx) == 1 and abs(fx[0]["new_lon"] - 100.55) < 1e-9 and abs(fx[0]["new_lat"] - 13.75) < 1e-9
