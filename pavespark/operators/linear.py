@@ -32,9 +32,20 @@ def island_ids(df: DataFrame, x: str, ties: Sequence[str], chunk_m: float = 1000
     return d.withColumn("grp2", F.col("_rn1") - F.col("_rn2")).drop("_rn1", "_rn2")
 
 
-def lost_islands(df: DataFrame, x: str, ties: Sequence[str], spacing: int) -> DataFrame:
-    """AGG-4: min / max / count of each island of lost rows per (run, link, date)."""
-    lost = island_ids(df, x, ties).where(P.gps_lost())
+def lost_islands(df: DataFrame, x: str, ties: Sequence[str], spacing: int,
+                 chunk_m: float = 10000.0, link: str = "link_id", date: str = "date") -> DataFrame:
+    """AGG-4: min / max / count of each island of lost rows per (run, link, date).
+
+    The position along the link needs every row; the position within the
+    (link, coordinate) partition is only used for lost rows, and a lost
+    coordinate's partition holds lost rows only, so it is computed on that
+    subset (exact, and one full-table shuffle less than ``island_ids``)."""
+    order = [F.col(x).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
+    chunk = F.coalesce(F.floor(F.col(x) / chunk_m), F.lit(1 << 40))
+    d = ordered_index(df, [RUN, date, link], order, name="_rn1", chunk=chunk)
+    lost = ordered_index(d.where(P.gps_lost()), [RUN, "lat", "lon", link], order, name="_rn2",
+                         chunk=chunk)
+    lost = lost.withColumn("grp2", F.col("_rn1") - F.col("_rn2")).drop("_rn1", "_rn2")
     return (lost.groupBy(RUN, "link_id", "date", "grp2")
                 .agg(F.min(x).alias("min"), F.max(x).alias("max"),
                      F.count(F.lit(1)).alias("c_p"))
