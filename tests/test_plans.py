@@ -33,8 +33,6 @@ def test_station_table_plan(p):
 
 
 def test_repair_and_smoothing_plans(p):
-    for df in (p.events_start_fixed, p.gaps_filled, p.unfrozen, p.stations_final):
-        pass
     from pavespark.operators.repair import repair_gps_frozen, repair_gps_gaps
     from pavespark.operators.smoothing import smooth_measures
     for df in (repair_gps_gaps(p.events_fixed, p.gps_lost), repair_gps_frozen(p.gaps_filled),
