@@ -267,18 +267,25 @@ def link_table(data: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 
 
 def attach_link_coords(data: DataFrame, links: DataFrame) -> DataFrame:
-    """Write repaired keyed coordinates back to every station of the link
-    (one null-safe join on the original key columns)."""
+    """Write repaired keyed coordinates back to every station of the link: a left
+    join with the *changed* links only (null-safe on the original key columns), so
+    the correction side is small and the station table is not reshuffled."""
     ident = [c for c in links.columns if not c.startswith("_o_") and c not in LINK_COORDS]
-    l = links.select(*[F.col(c).alias(f"_l_{c}") for c in ident],
-                     *[F.col(f"_o_{c}").alias(f"_l_o_{c}") for c in LINK_COORDS],
-                     *[F.col(c).alias(f"_l_n_{c}") for c in LINK_COORDS])
+    changed = None
+    for c in LINK_COORDS:
+        e = ~F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+        changed = e if changed is None else changed | e
+    l = links.where(changed).select(
+        *[F.col(c).alias(f"_l_{c}") for c in ident],
+        *[F.col(f"_o_{c}").alias(f"_l_o_{c}") for c in LINK_COORDS],
+        *[F.col(c).alias(f"_l_n_{c}") for c in LINK_COORDS], F.lit(True).alias("_l_hit"))
     cond = None
     for c in ident:
         e = F.col(c).eqNullSafe(F.col(f"_l_{c}"))
         cond = e if cond is None else cond & e
     for c in LINK_COORDS:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_l_o_{c}"))
-    j = data.join(l, cond, "inner")
-    return j.select(*[F.col(f"_l_n_{c}").alias(c) if c in LINK_COORDS else F.col(c)
-                      for c in data.columns])
+    j = data.join(l, cond, "left")
+    hit = F.col("_l_hit").isNotNull()
+    return j.select(*[F.when(hit, F.col(f"_l_n_{c}")).otherwise(F.col(c)).alias(c)
+                      if c in LINK_COORDS else F.col(c) for c in data.columns])

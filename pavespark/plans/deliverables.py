@@ -126,7 +126,10 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
                          "ramp_id")
     raw = laser.select(F.col(RUN).alias("_lr"), F.col("chainage").alias("_lc"),
                        *[F.col(m).alias(f"_l_{m}") for m in MEASURES])
-    ahead = (data.join(raw, (F.col(RUN) == F.col("_lr"))
+    # only a link's last stations can have a next station beyond its end
+    # (next = chainage + 5 > event_end); filtering first keeps the join small
+    tail = data.where(F.col("chainage") + 5 > F.col("event_end"))
+    ahead = (tail.join(raw, (F.col(RUN) == F.col("_lr"))
                        & (F.col("chainage") == F.col("_lc") - 5))
                  .where(F.col("_lc") > F.col("event_end"))
                  .select(RUN, F.col("_lc").alias("chainage"),
@@ -139,7 +142,7 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     j = a.join(b, (F.col(RUN) == F.col("_br")) & (F.col("chainage") == F.col("_bc") - 5), "left")
     g = (j.groupBy("chainage", "link_id", "date", RUN).agg(*_avg_measures("b_"))
           .where(P.on_grid_suffix("chainage")))
-    geo = data.select(F.col(RUN).alias("_gr"), F.col("chainage").alias("_gc"),
+    geo = data.where(P.on_grid_suffix("chainage")).select(F.col(RUN).alias("_gr"), F.col("chainage").alias("_gc"),
                       F.col("geom_lon").alias("lon"), F.col("geom_lat").alias("lat"),
                       F.col("ramp_id"))
     # JN-14: geometry (and ramp id) of the grid point from the station rows at that chainage
