@@ -99,7 +99,8 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataF
     no_run = type(schema)([f for f in schema.fields if f.name != RUN])
     df = (spark.read.schema(no_run).option("header", "false").option("nullValue", "")
           .csv(f"{root.rstrip('/')}/survey_data/*/*/{table}.csv"))
-    path = F.url_decode(F.col("_metadata.file_path"))
+    # file paths are URIs: %20 for blanks; a literal '+' must survive the decoding
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))
 
 

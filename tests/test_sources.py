@@ -61,3 +61,14 @@ def test_partitioned_csv_keeps_numeric_run_names_as_text(spark):
     back = exported.read_run_partitioned_csv(spark, path, PIC_CSV)
     assert dict(back.dtypes)["file_name"] == "string"
     assert sorted(tuple(r) for r in back.collect()) == [(5.0, "1", "20240101"), (10.0, None, "20240102")]
+
+
+def test_run_folder_names_keep_plus_and_blank(spark):
+    root = tempfile.mkdtemp(prefix="pavespark-names-")
+    for run in ("12+000 a", "b"):
+        folder = os.path.join(root, "survey_data", "20240101", f"{run}_edit")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "access_pic.csv"), "w") as fh:
+            fh.write("5.0,1\n")
+    df = exported.read_run_folder(spark, root, "access_pic", schemas.PIC_CSV)
+    assert sorted(r[0] for r in df.select("file_name").collect()) == ["12+000 a", "b"]
