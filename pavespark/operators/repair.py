@@ -183,6 +183,8 @@ def gap_at_seam(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
 
 
 def gap_fixes(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
+    """REP-4 core: fraction (lost - first anchor) / (last - first) along the window's
+    anchor line; no correction for a zero span or a fraction outside [0, 1] (Q-16)."""
     w = gap_windows(gps_lost, data, extent)
     p2 = P.as_real(F.col("chainage_end") - F.col("chainage_str"))
     w = (w.where(p2 > 0)
