@@ -17,6 +17,7 @@ from pavespark import constants as K
 from pavespark.functions import predicates as P
 from pavespark.operators.geometry import add_point_at, line_agg
 from pavespark.operators.joins import near_join, range_join
+from pavespark.operators.windows import null_safe_join
 
 RUN = "file_name"
 EVENT_COLS = ["event_name", "link_id", "section_id", "km_start", "km_end", "length", "lane_no",
@@ -157,18 +158,27 @@ def repair_event_coords(data: DataFrame, laser: DataFrame, groups: DataFrame, en
 
 
 # ------------------------------------------------------------------------ gaps
+ISLAND = [RUN, "link_id", "date", "grp2", "min", "max"]
+
+
 def gap_windows(gps_lost: DataFrame, data: DataFrame, extent=None) -> DataFrame:
     """Valid stations of lost-status links inside each gap window, per lost station.
-    Anchors match by run only: at a seam they may belong to the neighbouring link."""
+    Anchors match by run only: at a seam they may belong to the neighbouring link.
+
+    The window belongs to the island, not to the lost station, so the anchors are
+    range-joined to the distinct islands (one interval each, linear in gap length)
+    and then attached to the island's lost stations; grouping by the lost station
+    keeps the multiplicity of a group that spans two islands."""
     # FIL-7 anchors: lon != 0, geometry latitude > 0, link status lost
     anchors = (data.where((F.col("lon") != 0) & (F.col("geom_lat") > 0)
                           & (F.col("status") == K.STATUS_LOST))
                    .select(RUN, F.col("chainage").alias("b"), "geom_lon", "geom_lat"))
-    a = gps_lost.select(RUN, F.col("chainage").alias("gps_lost_ch"), "c_p", "meter", "link_id",
-                        "date", "new_p_min", "new_p_max")
+    islands = gps_lost.select(*ISLAND, "new_p_min", "new_p_max").distinct()
     # JN-9: gap-window join, by run only (anchors may belong to the neighbouring link)
-    j = range_join(anchors, a, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN],
-                   extent=extent)
+    per_island = range_join(anchors, islands, "b", F.col("new_p_min"), F.col("new_p_max"),
+                            keys=[RUN], extent=extent).drop("new_p_min", "new_p_max")
+    a = gps_lost.select(*ISLAND, F.col("chainage").alias("gps_lost_ch"), "c_p", "meter")
+    j = null_safe_join(a, per_island, ISLAND)  # a NULL date is still one island
     return (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date")
              .agg(F.min("b").alias("chainage_str"), F.max("b").alias("chainage_end"),
                   line_agg("b", "geom_lon", "geom_lat").alias("line")))

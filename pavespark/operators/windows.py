@@ -4,7 +4,7 @@
 Two exact methods:
 
 * value chunks (``chunk`` given): the rows are cut into chunks by a column
-  that is monotone in the order (e.g. ``floor(chainage / 1000)``). Each chunk
+  that is monotone in the order (e.g. ``floor(chainage / 10000)``). Each chunk
   is numbered by a window partitioned by (group, chunk) -- bounded size --
   and offsets come from a small count table (one row per group and chunk).
   Deterministic; used along chainage inside runs.
@@ -36,7 +36,8 @@ def _cols(xs):
     return [F.col(c) if isinstance(c, str) else c for c in xs]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL matches NULL (``<=>``); right keys dropped."""
     ren = {k: f"_r_{k}" for k in keys}
     r = right
     for k, v in ren.items():
@@ -66,7 +67,7 @@ def ordered_index(df: DataFrame, part: Sequence[str], order: Sequence[Column | s
                                 F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
         w = Window.partitionBy(*part, "_chunk").orderBy(*ocols)
         d = d.withColumn("_rn", F.row_number().over(w) - 1)
-        out = _null_safe_join(d, offsets, part + ["_chunk"])
+        out = null_safe_join(d, offsets, part + ["_chunk"])
         return out.withColumn(name, F.col("_off") + F.col("_rn")).drop("_chunk", "_off", "_rn")
 
     n = num_partitions or _num_partitions(df)
@@ -80,7 +81,7 @@ def ordered_index(df: DataFrame, part: Sequence[str], order: Sequence[Column | s
     w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *part, "_mid0",
                             F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    out = _null_safe_join(ranged, offsets, ["_pid"] + part)
+    out = null_safe_join(ranged, offsets, ["_pid"] + part)
     return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_mid0"))
                .drop("_pid", "_mid", "_mid0", "_off"))
 

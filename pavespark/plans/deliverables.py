@@ -19,7 +19,7 @@ from pavespark.operators.geometry import add_point_at, length_km, line_agg
 from pavespark.operators.joins import range_join
 from pavespark.operators.linear import gap_rows, lost_islands
 from pavespark.operators.repair import _one_per_key, _real_fraction, apply_corrections
-from pavespark.operators.windows import global_row_number, ordered_index
+from pavespark.operators.windows import null_safe_join, global_row_number, ordered_index
 from pavespark.session import materialize
 
 RUN = "file_name"
@@ -343,11 +343,17 @@ def pave_gap_fixes(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
     survey line of the window images' link (Q-18 reference mode)."""
     b = pave_df.where(F.col("survey_id").isNotNull()).select(
         RUN, F.col("chainage_pic").alias("b"), F.col("survey_id").alias("b_survey"))
-    a = lost.select(RUN, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter", "link_id",
-                    "date", "new_p_min", "new_p_max")
-    j = range_join(b, a, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN], extent=extent)
+    # window images per island (one interval per island, linear in gap length), reduced to
+    # min/max per island and survey, then attached to the island's lost images
+    isl = [RUN, "link_id", "date", "grp2", "min", "max"]
+    islands = lost.select(*isl, "new_p_min", "new_p_max").distinct()
+    per_island = (range_join(b, islands, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN],
+                             extent=extent)
+                  .groupBy(*isl, "b_survey").agg(F.min("b").alias("_bmin"), F.max("b").alias("_bmax")))
+    a = lost.select(*isl, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter")
+    j = null_safe_join(a, per_island, isl)  # images without a survey have a NULL date
     g = (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date", "b_survey")
-          .agg(F.min("b").alias("chainage_str"), F.max("b").alias("chainage_end")))
+          .agg(F.min("_bmin").alias("chainage_str"), F.max("_bmax").alias("chainage_end")))
     p2 = P.as_real(F.col("chainage_end") - F.col("chainage_str"))
     g = (g.where(p2 > 0)
           .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),

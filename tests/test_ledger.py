@@ -204,3 +204,16 @@ def test_q31_gap_anchor_from_neighbouring_link(spark):
                                  "new_p_max double")
     fx = gap_fixes(lost, d).collect()
     assert len(fx) == 1 and abs(fx[0]["new_lon"] - 100.55) < 1e-9 and abs(fx[0]["new_lat"] - 13.75) < 1e-9
+
+
+def test_gap_window_with_null_date_island(spark):
+    from pavespark.operators.repair import gap_windows
+    cols = "file_name string, link_id string, chainage double, lon double, geom_lon double, geom_lat double, status string"
+    d = spark.createDataFrame([("r", "A", 95.0, 100.5, 100.5, 13.7, K.STATUS_LOST),
+                               ("r", "A", 105.0, 100.6, 100.6, 13.8, K.STATUS_LOST)], cols)
+    lost = spark.createDataFrame([("r", 100.0, 100.0, 100.0, 1, 5, "A", None, 0, 94.0, 106.0)],
+                                 "file_name string, min double, max double, chainage double, c_p long, "
+                                 "meter long, link_id string, date date, grp2 long, new_p_min double, "
+                                 "new_p_max double")
+    w = gap_windows(lost, d).collect()
+    assert len(w) == 1 and w[0]["chainage_str"] == 95.0 and w[0]["chainage_end"] == 105.0
