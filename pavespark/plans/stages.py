@@ -32,7 +32,7 @@ from pavespark.operators.linear import gap_rows, lost_islands
 from pavespark.operators.smoothing import smooth_measures
 from pavespark.plans import deliverables as D
 from pavespark.plans import station as ST
-from pavespark.session import materialize
+from pavespark.session import materialize, plan_text
 from pavespark.sources import fixtures
 from pavespark.sources.fixtures import Inputs
 
@@ -61,7 +61,7 @@ class SurveyStages:
 
     def _stage(self, df: DataFrame) -> DataFrame:
         if self.plans is not None:
-            self.plans.append(df._jdf.queryExecution().executedPlan().toString())
+            self.plans.append(plan_text(df, "simple"))
         return materialize(df, self.checkpoint)
 
     # ------------------------------------------------------------------ inputs

@@ -7,6 +7,8 @@ chosen when nothing is configured and Spark runs in local mode (tests).
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import tempfile
 
@@ -80,3 +82,11 @@ def env_flag(name: str, default: bool) -> bool:
     if v is None:
         return default
     return v.lower() not in ("0", "false", "no", "")
+
+
+def plan_text(df: DataFrame, mode: str = "extended") -> str:
+    """The text ``df.explain(mode)`` prints (physical plan included)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
