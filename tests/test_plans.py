@@ -14,7 +14,8 @@ BAD = ("BroadcastNestedLoopJoin", "CartesianProduct")
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    from pavespark.session import plan_text
+    return plan_text(df, "simple")
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,8 @@ def test_station_table_plan(p):
         assert b not in s
     assert "SinglePartition" not in s
     # the events scan reads two columns only
-    assert "ReadSchema: struct<event_id:bigint,value:double>" in df._jdf.queryExecution().toString()
+    from pavespark.session import plan_text
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in plan_text(df)
 
 
 def test_repair_and_smoothing_plans(p):

@@ -49,7 +49,8 @@ def test_write_stage_partitioned_by_run(spark):
     assert back.count() == inp.laser.count()
     # partition pruning: one run's folder only
     one = back.where(F.col("file_name") == "20240101 0001")
-    assert "PartitionFilters: [isnotnull(file_name" in one._jdf.queryExecution().executedPlan().toString()
+    from pavespark.session import plan_text
+    assert "PartitionFilters: [isnotnull(file_name" in plan_text(one, "simple")
     assert one.count() == 500
 
 
