@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pavespark.sources import schemas as S
+
 RUN = "file_name"
 
 
@@ -126,6 +128,44 @@ def loaded_laser(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
+def _widen_and_trim(df: DataFrame) -> DataFrame:
+    """FLOAT -> DOUBLE (values unchanged), char(n) text right-trimmed once."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if t == "float":
+            out.append(as_real(f.name).alias(f.name))
+        elif t == "string" and f.name != RUN:
+            out.append(F.rtrim(F.col(f.name)).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+TABLE_FOLDERS = {"laser": "access_valuelaser", "key": "access_key", "pic": "access_pic",
+                 "pave": "access_distress_pic"}
+
+
+def load_tables(spark: SparkSession, root: str):
+    """The four loaded tables of all runs below ``root`` (``<table>/file_name=<run>/*.csv``,
+    header-less, fixed schemas), as ``fixtures.Inputs``."""
+    from pavespark.sources.fixtures import Inputs
+    base = root.rstrip("/")
+    schemas = {"laser": S.LASER_CSV, "key": S.KEY_CSV, "pic": S.PIC_CSV, "pave": S.PAVE_CSV}
+    tables = {name: _widen_and_trim(read_run_partitioned_csv(
+        spark, f"{base}/{folder}", schemas[name])) for name, folder in TABLE_FOLDERS.items()}
+    return Inputs(**tables)
+
+
+def write_tables(inputs, root: str) -> None:
+    """Write the four loaded tables in the layout ``load_tables`` reads (SNK-2)."""
+    schemas = {"laser": S.LASER_CSV, "key": S.KEY_CSV, "pic": S.PIC_CSV, "pave": S.PAVE_CSV}
+    for name, folder in TABLE_FOLDERS.items():
+        df = getattr(inputs, name)
+        write_run_partitioned_csv(df.select(*[f.name for f in schemas[name].fields]),
+                                  f"{root.rstrip('/')}/{folder}")
+
+
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-1: materialise a derived table as Parquet partitioned by run."""
     df.write.mode(mode).partitionBy(RUN).parquet(path)
