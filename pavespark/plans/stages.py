@@ -44,7 +44,9 @@ class SurveyStages:
                  record_plans: bool = False, pave_gap_mode: str = "reference"):
         """``draw``: stand-in for the IRI clamp's random draw (PRJ-1, Q-05);
         ``pave_gap_mode``: ``"reference"`` or ``"window"`` (REP-8, Q-18);
-        ``checkpoint``: write each stage table (lineage cut) or keep it lazy;
+        ``checkpoint``: write each stage table (lineage cut). ``False`` keeps stages lazy,
+        which is only for inspecting one stage: the whole chain as one plan re-expands every
+        earlier stage per use and does not plan in bounded memory;
         ``record_plans``: keep each stage's physical plan text in ``self.plans``."""
         if pave_gap_mode not in ("reference", "window"):
             raise ValueError("pave_gap_mode must be 'reference' or 'window'")

@@ -217,3 +217,38 @@ def test_gap_window_with_null_date_island(spark):
                                  "new_p_max double")
     w = gap_windows(lost, d).collect()
     assert len(w) == 1 and w[0]["chainage_str"] == 95.0 and w[0]["chainage_end"] == 105.0
+
+
+def test_snk4_snk5_paths(spark):
+    img = spark.createDataFrame(
+        [("s22/cu_survey/100/2024-01-01/CC10000000201/Run1/image/20240101 0001-ROW-0-00100.jpg",
+          "20240101 0001-ROW-0-00100.jpg")], "directory string, filename string")
+    pave = spark.createDataFrame(
+        [("cu_survey/100/2024-01-01/CC10000000201/Run1/pavement0001-PAVE-0-00001.jpg/"
+          "20240101 0001-PAVE-0-00001.jpg", "20240101 0001-PAVE-0-00001.jpg")],
+        "directory string, filename string")
+    folders = sorted(tuple(r) for r in D.image_folders(img, pave).collect())
+    assert folders == [
+        ("pave", "mkdir", "E:\\s22\\pave\\image\\cu_survey\\100\\2024-01-01\\CC10000000201\\Run1\\"
+                          "pavement0001-PAVE-0-00001.jpg\\20240101 0001-PAVE-0-00001.jpg\\image"),
+        ("row", "mkdir", "E:\\s22\\row\\image\\s22\\cu_survey\\100\\2024-01-01\\CC10000000201\\Run1\\image")]
+    man = {r["kind"]: r for r in D.image_copy_manifest(img, pave).collect()}
+    assert man["row"]["source"] == "E:\\20240101\\20240101\\ROW-0\\20240101 0001-ROW-0-00100.jpg"
+    assert man["row"]["target"] == ("E:\\s22\\row\\image\\s22\\cu_survey\\100\\2024-01-01\\CC10000000201\\Run1"
+                                    "\\image20240101 0001-ROW-0-00100.jpg")
+
+
+def test_q12_duplicate_links_scope(spark):
+    d = spark.createDataFrame([("r1", 0.0, 475.0, "X"), ("r2", 1000.0, 1475.0, "X"), ("r1", 0.0, 475.0, "Y")],
+                              "file_name string, event_str double, event_end double, link_id string")
+    assert R.duplicate_links(d).count() == 0                       # per run: no duplicate
+    allruns = R.duplicate_links(d, scope="all").collect()          # across runs (multi-run form)
+    assert [(r["link_id"], r["cc"]) for r in allruns] == [("X", 2)]
+
+
+def test_survey_run_new_parameter(spark):
+    from pavespark.plans.stages import SurveyStages
+    from tests.conftest import SF_SMALL
+    q = SurveyStages.from_fixtures(spark, SF_SMALL)
+    s = D.survey(q.stations_final, run_new="BTS22")
+    assert {r[0] for r in s.select("run_new").distinct().collect()} == {"BTS22"}
