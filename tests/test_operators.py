@@ -131,3 +131,51 @@ def test_ellipsoidal_length(spark):
     r = {x["g"]: x["m"] for x in df.groupBy("g").agg(line_agg().alias("l"))
          .select("g", length_m("l").alias("m")).collect()}
     assert abs(r["a"] - 110.64) < 0.05 and abs(r["b"] - 108.17) < 0.05
+
+
+def _vincenty_m(lon1, lat1, lon2, lat2):
+    """Geodesic distance on WGS84 (Vincenty inverse), metres -- reference for the test."""
+    import math
+    a, f = 6378137.0, 1 / 298.257223563
+    b = a * (1 - f)
+    L = math.radians(lon2 - lon1)
+    U1, U2 = math.atan((1 - f) * math.tan(math.radians(lat1))), math.atan((1 - f) * math.tan(math.radians(lat2)))
+    sinU1, cosU1, sinU2, cosU2 = math.sin(U1), math.cos(U1), math.sin(U2), math.cos(U2)
+    lam = L
+    for _ in range(200):
+        sl, cl = math.sin(lam), math.cos(lam)
+        sin_s = math.hypot(cosU2 * sl, cosU1 * sinU2 - sinU1 * cosU2 * cl)
+        if sin_s == 0:
+            return 0.0
+        cos_s = sinU1 * sinU2 + cosU1 * cosU2 * cl
+        sig = math.atan2(sin_s, cos_s)
+        sin_a = cosU1 * cosU2 * sl / sin_s
+        cos2a = 1 - sin_a ** 2
+        c2sm = cos_s - 2 * sinU1 * sinU2 / cos2a if cos2a else 0.0
+        C = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
+        prev, lam = lam, L + (1 - C) * f * sin_a * (sig + C * sin_s * (c2sm + C * cos_s * (-1 + 2 * c2sm ** 2)))
+        if abs(lam - prev) < 1e-13:
+            break
+    u2 = cos2a * (a * a - b * b) / (b * b)
+    A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
+    B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
+    ds = B * sin_s * (c2sm + B / 4 * (cos_s * (-1 + 2 * c2sm ** 2) - B / 6 * c2sm * (-3 + 4 * sin_s ** 2) * (-3 + 4 * c2sm ** 2)))
+    return b * A * (sig - ds)
+
+
+def test_q19_length_matches_geodesic(spark):
+    rnd = random.Random(19)
+    rows, want = [], {}
+    for g in range(30):
+        lat0, lon0 = rnd.uniform(-60, 60), rnd.uniform(-170, 170)
+        pts = [(lon0, lat0)]
+        for _ in range(20):  # 25 m-ish steps in random directions
+            lon, lat = pts[-1]
+            pts.append((lon + rnd.uniform(-2.5e-4, 2.5e-4), lat + rnd.uniform(-2.5e-4, 2.5e-4)))
+        want[g] = sum(_vincenty_m(*pts[i], *pts[i + 1]) for i in range(len(pts) - 1))
+        rows += [(g, float(i), x, y) for i, (x, y) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "g int, chainage double, lon double, lat double")
+    got = {r["g"]: r["m"] for r in df.groupBy("g").agg(line_agg().alias("l"))
+           .select("g", length_m("l").alias("m")).collect()}
+    for g, m in want.items():
+        assert abs(got[g] - m) < 0.01, (g, got[g], m)   # far below the 1 m of numeric(8,3) km
