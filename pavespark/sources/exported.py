@@ -79,8 +79,9 @@ def pave_extract(video_pave: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SRC-5 / SRC-6
-# run folder = second path component below survey_data, text before "_edit"
-RUN_FROM_PATH = r"survey_data/[^/]+/([^/]+?)(?:_edit[^/]*)?/"
+# run folder = the folder below survey_data/<date>/ (or survey_data/<date>/process/ in the
+# multi-run layout), text before "_edit"
+RUN_FROM_PATH = r"survey_data/[^/]+/(?:process/)?([^/]+?)(?:_edit[^/]*)?/"
 
 
 def read_loaded_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -90,9 +91,12 @@ def read_loaded_csv(spark: SparkSession, path: str, schema) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
-def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
+def read_run_folder(spark: SparkSession, root: str, table: str, schema,
+                    layout: str = "run") -> DataFrame:
     """SRC-6: every run below ``<root>/survey_data/<date>/<run>[_edit...]/<table>.csv``
-    (a file, or a folder of part files as Spark writes them).
+    (``layout="run"``, one run per execution) or ``.../<date>/process/<run>/<table>.csv``
+    (``layout="process"``, the all-runs-of-a-folder form); a file, or a folder of part
+    files as Spark writes them.
 
     One distributed read; the run name is taken from each file's path, so a
     folder with thousands of runs is still a single scan.
@@ -100,7 +104,8 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema) -> DataF
     cols = [f.name for f in schema.fields if f.name != RUN]
     no_run = type(schema)([f for f in schema.fields if f.name != RUN])
     df = (spark.read.schema(no_run).option("header", "false").option("nullValue", "")
-          .csv(f"{root.rstrip('/')}/survey_data/*/*/{table}.csv"))
+          .csv(f"{root.rstrip('/')}/survey_data/*/{'process/' if layout == 'process' else ''}*/"
+               f"{table}.csv"))
     # file paths are URIs: %20 for blanks; a literal '+' must survive the decoding
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))

@@ -93,3 +93,16 @@ def test_tables_roundtrip_and_deliverables(spark):
     sp = spark.read.parquet(f"{base}/out/survey_point")
     assert sp.count() == a.count()
     assert spark.read.parquet(f"{base}/out/survey").where(F.size("the_geom") > 1).count() > 0
+
+
+def test_run_folder_process_layout(spark):
+    root = tempfile.mkdtemp(prefix="pavespark-proc-")
+    for run in ("20240101 0001", "20240101 0002"):
+        folder = os.path.join(root, "survey_data", "20240101", "process", run)
+        os.makedirs(folder)
+        with open(os.path.join(folder, "access_pic.csv"), "w") as fh:
+            fh.write("5.0,1\n10.0,2\n")
+    df = exported.read_run_folder(spark, root, "access_pic", schemas.PIC_CSV, layout="process")
+    got = sorted((r["file_name"], r["chainage_pic"]) for r in df.collect())
+    assert got == [("20240101 0001", 5.0), ("20240101 0001", 10.0),
+                   ("20240101 0002", 5.0), ("20240101 0002", 10.0)]
