@@ -54,7 +54,7 @@ def reports(p: SurveyStages):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", cpus * 2)))
     # warm-up: JVM JIT and codegen caches, all stages on the tiny input
     warm = SurveyStages.from_fixtures(spark, "/root/testdata/sf0.001")
     for _, get in STAGES:
