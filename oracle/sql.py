@@ -109,7 +109,9 @@ def interp(name, pts, tgts, gid, tid=()):
     fold = "lambda a, b: a + b"
     return f""",
 {name}_l AS (
-  SELECT {g}, list(struct_pack(x := x, y := y) ORDER BY ch, x, y) AS pts FROM {pts} GROUP BY {g}),
+  SELECT {g}, list(struct_pack(x := x, y := y) ORDER BY ch, x, y)
+                FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS pts
+  FROM {pts} GROUP BY {g}),
 {name}_g AS (
   SELECT *, len(pts) AS n,
          list_transform(range(1, len(pts)),

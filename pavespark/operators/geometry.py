@@ -30,8 +30,12 @@ def point_struct(chainage, lon, lat) -> Column:
 
 def line_agg(chainage="chainage", lon="lon", lat="lat") -> Column:
     """AGG-5 / GEO-4: ordered line of a group's points (ST_MakeLine ... ORDER BY chainage);
-    SRT-4: the order inside the aggregate is ``array_sort``."""
-    return F.array_sort(F.collect_list(point_struct(chainage, lon, lat)))
+    SRT-4: the order inside the aggregate is ``array_sort``. A point with a NULL
+    coordinate is a NULL geometry, which the line aggregate skips."""
+    def c(x):
+        return F.col(x) if isinstance(x, str) else x
+    ok = c(lon).isNotNull() & c(lat).isNotNull()
+    return F.array_sort(F.collect_list(F.when(ok, point_struct(chainage, lon, lat))))
 
 
 def add_point_at(df: DataFrame, line: str, fraction, out: str) -> DataFrame:

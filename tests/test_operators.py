@@ -179,3 +179,11 @@ def test_q19_length_matches_geodesic(spark):
            .select("g", length_m("l").alias("m")).collect()}
     for g, m in want.items():
         assert abs(got[g] - m) < 0.01, (g, got[g], m)   # far below the 1 m of numeric(8,3) km
+
+
+def test_line_agg_skips_null_points(spark):
+    df = spark.createDataFrame([("g", 0.0, 1.0, 2.0), ("g", 5.0, None, 2.5), ("g", 10.0, 3.0, 4.0)],
+                               "g string, chainage double, lon double, lat double")
+    r = df.groupBy("g").agg(line_agg().alias("l"), F.min("chainage").alias("c0")).first()
+    assert [(p["chainage"], p["lon"]) for p in r["l"]] == [(0.0, 1.0), (10.0, 3.0)]
+    assert r["c0"] == 0.0
