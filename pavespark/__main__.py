@@ -19,8 +19,11 @@ from pavespark.sources.exported import load_tables
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="pavespark")
-    ap.add_argument("--tables", required=True)
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--tables", required=True,
+                    help="folder with access_valuelaser/, access_key/, access_pic/, "
+                         "access_distress_pic/ (header-less CSV, file_name=<run>/ partitions)")
+    ap.add_argument("--out", required=True,
+                    help="output folder for the deliverable tables (Parquet by run)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--pave-gap-mode", default="reference", choices=("reference", "window"))
     a = ap.parse_args(argv)
