@@ -286,10 +286,14 @@ def pave_table(data: DataFrame, pave: DataFrame, survey_df: DataFrame,
     # JN-17: image chainage inside the (unrounded) link bounds
     jj = range_join(pv, ev, "chainage_pic", F.col("event_str"), F.col("event_end"), keys=[RUN],
                     extent=extent)
-    unmatched = ev.join(jj.select(RUN, "event_str", "event_end", "event_name", "link_id",
-                                  "survey_date").distinct(),
-                        [RUN, "event_str", "event_end", "event_name", "link_id", "survey_date"],
-                        "left_anti")
+    ev_keys = [RUN, "event_str", "event_end", "event_name", "link_id", "survey_date",
+               "lat_str", "lat_end", "lon_str", "lon_end"]
+    seen = jj.select(*[F.col(k).alias(f"_s_{k}") for k in ev_keys]).distinct()
+    cond = None
+    for k in ev_keys:  # null-safe: a link with a NULL date or name is still one interval
+        e = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+        cond = e if cond is None else cond & e
+    unmatched = ev.join(seen, cond, "left_anti")
     for cname in ["chainage_pic", "frame_number", "lon", "lat"]:
         unmatched = unmatched.withColumn(cname, F.lit(None).cast(pv.schema[cname].dataType))
     a = jj.unionByName(unmatched.select(*jj.columns))

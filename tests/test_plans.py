@@ -187,3 +187,18 @@ def test_every_stage_plan_is_distributed(spark):
         assert plan_text.count("Exchange SinglePartition") == len(good)
         singles += len(good)
     assert singles > 0  # the global numberings (survey_id, survey_point_id) were checked
+
+
+def test_pave_link_with_null_date_gets_no_empty_row(spark):
+    from pavespark.plans import deliverables as Dl
+    ev = spark.createDataFrame(
+        [(0.0, 400.0, "link 0", "L", None, 13.7, 13.7, 100.5, 100.5, "r")],
+        "event_str double, event_end double, event_name string, link_id string, date date, "
+        "lat_str double, lat_end double, lon_str double, lon_end double, file_name string")
+    pave = spark.createDataFrame([(30.0, "10", 100.5003, 13.7003, "r"), (60.0, "20", 100.5006, 13.7006, "r")],
+                                 "chainage_pic double, frame_number string, lon double, lat double, file_name string")
+    survey = spark.createDataFrame([], "file_name string, link_id string, date date, survey_id long, "
+                                       "lane_group int, lane_no int, km_start int, km_end int, "
+                                       "run_code string, survey_code string")
+    out = Dl.pave_table(ev, pave, survey)
+    assert sorted(r[0] for r in out.select("chainage_pic").collect()) == [30, 60]
