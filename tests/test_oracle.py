@@ -29,3 +29,13 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "survey_point_id" in df.columns
+
+
+@pytest.mark.parametrize("name", ["survey", "survey_point_local", "repair_image_names", "gps_gaps",
+                                  "smooth_measures"])
+def test_queries_are_stable(spark, name):
+    """Same schema on every call, same rows on every evaluation (ids included)."""
+    a = QUERIES[name](spark, SF_SMALL)
+    b = QUERIES[name](spark, SF_SMALL)
+    assert a.schema == b.schema
+    assert spark_rows(a) == spark_rows(a) == spark_rows(b)
