@@ -106,3 +106,21 @@ def test_run_folder_process_layout(spark):
     got = sorted((r["file_name"], r["chainage_pic"]) for r in df.collect())
     assert got == [("20240101 0001", 5.0), ("20240101 0001", 10.0),
                    ("20240101 0002", 5.0), ("20240101 0002", 10.0)]
+
+
+def test_load_tables_trims_char_padding(spark):
+    """Loaded text comes from char(n) columns: trailing blanks are removed once on load."""
+    base = tempfile.mkdtemp(prefix="pavespark-pad-")
+    key = os.path.join(base, "access_key", "file_name=r1")
+    os.makedirs(key)
+    with open(os.path.join(key, "part-0.csv"), "w") as fh:
+        fh.write("0,475,01,pavetype.           ,link 0   ,10000000201L1CC01   ,1,12+000,12+475,0.475,"
+                 "1,2024-01-01,13.7,13.7,100.5,100.5,\n")
+    for name in ("access_valuelaser", "access_pic", "access_distress_pic"):
+        os.makedirs(os.path.join(base, name, "file_name=r1"))
+        open(os.path.join(base, name, "file_name=r1", "part-0.csv"), "w").close()
+    inp = exported.load_tables(spark, base)
+    r = inp.key.first()
+    assert (r["event_type"], r["event_name"], r["link_id"], r["file_name"]) == \
+        ("pavetype.", "link 0", "10000000201L1CC01", "r1")
+    assert r["ramp_id"] is None and dict(inp.key.dtypes)["event_str"] == "double"
