@@ -203,18 +203,20 @@ class SurveyStages:
         return self._stage(D.survey_pave(self.pave_final))
 
     # ------------------------------------------------------------------ sink
-    DELIVERABLES = ("stations_final", "survey", "survey_point_local", "survey_image_fixed",
-                    "pave_final", "survey_pave")
+    # output table name -> final stage (after every repair of that table)
+    DELIVERABLES = {"station_table": "stations_final", "survey": "survey",
+                    "survey_point_local": "survey_point_local", "survey_image": "survey_image_fixed",
+                    "pave_table": "pave_final", "survey_pave": "survey_pave"}
 
     def write_deliverables(self, out_dir: str, mode: str = "errorifexists") -> list[str]:
-        """SNK-1: write the deliverable tables as Parquet partitioned by run; also the
+        """SNK-1: write the final deliverable tables as Parquet partitioned by run; also the
         survey points in their published projection (TAB-4)."""
         from pavespark.sources.exported import write_stage
         base = out_dir.rstrip("/")
         written = []
-        for name in self.DELIVERABLES:
-            write_stage(getattr(self, name), f"{base}/{name}", mode=mode)
-            written.append(name)
+        for table, stage in self.DELIVERABLES.items():
+            write_stage(getattr(self, stage), f"{base}/{table}", mode=mode)
+            written.append(table)
         write_stage(D.survey_point(self.survey_point_local), f"{base}/survey_point", mode=mode)
         written.append("survey_point")
         return written
