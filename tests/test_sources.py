@@ -124,3 +124,14 @@ def test_load_tables_trims_char_padding(spark):
     assert (r["event_type"], r["event_name"], r["link_id"], r["file_name"]) == \
         ("pavetype.", "link 0", "10000000201L1CC01", "r1")
     assert r["ramp_id"] is None and dict(inp.key.dtypes)["event_str"] == "double"
+
+
+def test_cli_main(spark, capsys):
+    from pavespark.__main__ import main
+    base = tempfile.mkdtemp(prefix="pavespark-main-")
+    exported.write_tables(load(spark, SF_SMALL), f"{base}/tables")
+    main(["--tables", f"{base}/tables", "--out", f"{base}/out"])
+    out = capsys.readouterr().out
+    for table in ("station_table", "survey", "survey_point", "survey_image", "pave_table", "survey_pave"):
+        assert f"/out/{table}\n" in out
+        assert spark.read.parquet(f"{base}/out/{table}").count() > 0
