@@ -142,7 +142,8 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     j = a.join(b, (F.col(RUN) == F.col("_br")) & (F.col("chainage") == F.col("_bc") - 5), "left")
     g = (j.groupBy("chainage", "link_id", "date", RUN).agg(*_avg_measures("b_"))
           .where(P.on_grid_suffix("chainage")))
-    geo = data.where(P.on_grid_suffix("chainage")).select(F.col(RUN).alias("_gr"), F.col("chainage").alias("_gc"),
+    geo = data.where(P.on_grid_suffix("chainage")).select(
+                      F.col(RUN).alias("_gr"), F.col("chainage").alias("_gc"),
                       F.col("geom_lon").alias("lon"), F.col("geom_lat").alias("lat"),
                       F.col("ramp_id"))
     # JN-14: geometry (and ramp id) of the grid point from the station rows at that chainage
