@@ -2,7 +2,7 @@
 
 500 events make one run (run r = event_id div 500, station i = event_id % 500,
 w = round(value*100)). Only integer arithmetic is used until one final
-division, so the DuckDB oracle (oracle/fixtures.py) derives equal values.
+division, so the DuckDB oracle (survey_oracle/fixtures.py) derives equal values.
 Planted cases: GPS gaps (short, long, at a link end, links without loss),
 frozen GPS, IRI above the clamp limit, missing measures and pictures,
 off-grid link starts, a boundary station in two links, a reused link id,

@@ -5,7 +5,7 @@ correlated ranges, windows without partition tricks), independent of the
 Spark operators, so agreement means both readings match.
 """
 
-from oracle.fixtures import FIXTURE_CTES
+from survey_oracle.fixtures import FIXTURE_CTES
 
 GRID = "({c} % 25 = 0)"
 LOST = "({p}lon = 0 OR {p}lat = 0)"

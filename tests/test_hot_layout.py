@@ -8,7 +8,7 @@ The long run crosses index chunks, smoothing blocks and range-join buckets.
 import pytest
 
 import __spark_entry__ as entry
-from oracle.fixtures import ev_cte
+from survey_oracle.fixtures import ev_cte
 from tests.util import duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.01"
