@@ -117,7 +117,8 @@ def event_mismatch(events: DataFrame, groups: DataFrame, grid_only: bool = False
     out = (pairs.groupBy("chainage", "direction", "event_name", "link_id", "lon", "lat", RUN)
                 .agg(F.min("g_min").alias("chainage_data"))
                 .select(RUN, "chainage", "chainage_data", "direction", "event_name", "link_id"))
-    out = out.where(P.on_grid("chainage")) if grid_only else out
+    # multi-run form: only 25 m positions by the printed suffix (FIL-3, so not 0)
+    out = out.where(P.on_grid_suffix("chainage")) if grid_only else out
     return out.orderBy(RUN, "chainage", "link_id")
 
 

@@ -252,3 +252,17 @@ def test_survey_run_new_parameter(spark):
     q = SurveyStages.from_fixtures(spark, SF_SMALL)
     s = D.survey(q.stations_final, run_new="BTS22")
     assert {r[0] for r in s.select("run_new").distinct().collect()} == {"BTS22"}
+
+
+def test_rpt6_grid_only_uses_suffix_form(spark):
+    from pavespark.operators.repair import event_mismatch
+    ev = spark.createDataFrame(
+        [(0.0, "str", "n", "L", 100.5, 13.7, "r"), (25.0, "end", "n", "L", 100.6, 13.8, "r"),
+         (30.0, "end", "n", "M", 100.7, 13.9, "r")],
+        "chainage double, direction string, event_name string, link_id string, lon double, lat double, "
+        "file_name string")
+    groups = spark.createDataFrame([("r", 100.5, 13.7, -10.0, 0.0), ("r", 100.6, 13.8, 10.0, 10.0),
+                                    ("r", 100.7, 13.9, 10.0, 10.0)],
+                                   "file_name string, lon double, lat double, g_min double, g_max double")
+    assert sorted(r["chainage"] for r in event_mismatch(ev, groups).collect()) == [0.0, 25.0, 30.0]
+    assert [r["chainage"] for r in event_mismatch(ev, groups, grid_only=True).collect()] == [25.0]
