@@ -11,6 +11,7 @@ import contextlib
 import io
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,11 +78,16 @@ def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def env_flag(name: str, default: bool) -> bool:
-    v = os.environ.get(name)
-    if v is None:
-        return default
-    return v.lower() not in ("0", "false", "no", "")
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table below the shared checkpoint folder and read it back.
+
+    Cuts lineage as :func:`materialize` does, and readers keep column pruning, filter
+    pushdown and file statistics. Rows may come back in other partitions.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def plan_text(df: DataFrame, mode: str = "extended") -> str:
