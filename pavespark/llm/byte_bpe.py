@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pavespark.llm.common import TwoGenerationCache, text_or_empty
+from pavespark.llm.common import TwoGenerationCache, groups, text_or_empty
 
 # Classes of code points.
 LETTER, NUMBER, OTHER, SHORT, LONG, LEAD, LAST, SPACE, END = range(9)
@@ -169,19 +169,6 @@ def boundaries(texts: list[str], window: int = 1 << 20) -> list[np.ndarray]:
     return [found[np.searchsorted(found, a):b] - a for a, b in zip(first, cuts.tolist(), strict=True)]
 
 
-def groups(texts: list[str], size: int = 1 << 21) -> Iterator[list[str]]:
-    """Consecutive texts of about ``size`` code points together; a longer text stands alone."""
-    block, total = [], 0
-    for text in texts:
-        if block and total + len(text) > size:
-            yield block
-            block, total = [], 0
-        block.append(text)
-        total += len(text)
-    if block:
-        yield block
-
-
 class ByteBpe:
     """Ranks of a vocabulary file with one base64 token and its rank a line."""
 

@@ -46,6 +46,19 @@ def frames(rows: Iterable[tuple], columns: list[str], size: int = 4096) -> Itera
         yield pd.DataFrame.from_records(block, columns=columns)
 
 
+def groups(texts: list[str], size: int = 1 << 21) -> Iterator[list[str]]:
+    """Consecutive texts of about ``size`` code points together; a longer text stands alone."""
+    block, total = [], 0
+    for text in texts:
+        if block and total + len(text) > size:
+            yield block
+            block, total = [], 0
+        block.append(text)
+        total += len(text)
+    if block:
+        yield block
+
+
 class TwoGenerationCache(dict):
     """A bounded memo of ``make``: entries unused for a whole generation are forgotten.
 

@@ -16,6 +16,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pavespark.llm.bpe_count import token_counts
 
@@ -30,6 +36,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
     "op9_bpe_count": op9_bpe_count,
     "op10_byte_bpe": op10_byte_bpe,
 }
