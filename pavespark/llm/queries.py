@@ -22,6 +22,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_topk_bnb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.topk_bnb import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pavespark.llm.bpe_count import token_counts
 
@@ -37,8 +43,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
+    "op7_topk_bnb": op7_topk_bnb,
     "op9_bpe_count": op9_bpe_count,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk_bnb": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, len(q) AS n, unnest(q) AS x, unnest(range(len(q))) AS i FROM v),
+        scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+            FROM parts a JOIN parts b ON a.i = b.i AND a.n = b.n AND a.vec_id <> b.vec_id
+            WHERE a.vec_id % 20 = 0 GROUP BY ALL),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM scored)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
