@@ -28,6 +28,12 @@ def op7_topk_bnb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pavespark.llm.bpe_count import token_counts
 
@@ -44,11 +50,38 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op7_topk_bnb": op7_topk_bnb,
+    "op8_near_dup": op8_near_dup,
     "op9_bpe_count": op9_bpe_count,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_near_dup": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle,
+                   least(len(words), 5) AS k
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+                  FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.k = b.k AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+            HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+        reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM w
+            UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+        SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.y) AS component_id,
+               w.doc_id = min(reach.y) AS kept
+        FROM w JOIN reach ON reach.x = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+        GROUP BY w.doc_id
+    """,
     "op7_topk_bnb": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
