@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pavespark.llm.common import table
+from pavespark.llm.common import crc_remainder, table
+from pavespark.llm.langid import Model
 
 
 def vocabulary(name: str) -> str:
@@ -22,6 +24,43 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """Weights from the labels of the three quarters that are not held out."""
+    from pavespark.llm.toxicity import trained
+
+    known = labels.where(crc_remainder(4) != 2).select("doc_id", F.col("toxic").alias("label"))
+    return trained(documents, known)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.toxicity import scored
+
+    documents = table(spark, sf_dir, "documents")
+    weights = toxicity_model(documents, table(spark, sf_dir, "labels"))
+    return scored(documents, weights, crc_remainder(4) == 2)
+
+
+def language_model(documents: DataFrame) -> Model:
+    """A model from the two thirds of the rows that are not held out."""
+    from pavespark.llm.langid import trained
+
+    known = documents.where("text IS NOT NULL AND lang IS NOT NULL").where(crc_remainder(3) != 1)
+    return trained(known.select("doc_id", "text", "lang"))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.langid import identified
+
+    documents = table(spark, sf_dir, "documents")
+    return identified(documents, language_model(documents), crc_remainder(3) == 1)
+
+
+def op6_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.weak_rules import judged
+
+    return judged(table(spark, sf_dir, "documents"))
+
+
 def op7_topk_bnb(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pavespark.llm.topk_bnb import top_k
 
@@ -48,7 +87,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_packing": op4_packing,
+    "op5_langid": op5_langid,
+    "op6_weak_rules": op6_weak_rules,
     "op7_topk_bnb": op7_topk_bnb,
     "op8_near_dup": op8_near_dup,
     "op9_bpe_count": op9_bpe_count,
