@@ -18,6 +18,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.pii_crf import found, trained
+
+    documents = table(spark, sf_dir, "documents")
+    return found(documents, trained(documents))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pavespark.llm.packing import packed
 
@@ -88,6 +95,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_pii_crf": op3_pii_crf,
     "op4_packing": op4_packing,
     "op5_langid": op5_langid,
     "op6_weak_rules": op6_weak_rules,
