@@ -43,22 +43,34 @@ class ChunkIds:
 
     MARK = "<|endoftext|>"
 
-    def __init__(self, path: str, bound: int = 600_000):
+    def __init__(self, path: str, bound: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(self.MARK)
+        # two generations: what is not met again for ``bound`` entries is forgotten
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bound = bound
 
+    def library_ids(self, text: str) -> np.ndarray:
+        coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(coded[0].ids, "<u4")
+
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.library_ids(text).tobytes()
+
+    def recalled(self, chunks: set[str]) -> set[str]:
+        """Those of ``chunks`` that neither generation knows; the older one's move up."""
+        new = chunks.difference(self.known)
+        again = new & self.older.keys()
+        self.known.update((c, self.older[c]) for c in again)
+        return new - again
 
     def learn(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 2048):
             block = chunks[at:at + 2048]
-            joined = self.MARK.join(block)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+            ids = self.library_ids(self.MARK.join(block))
             data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
             starts = [0, *(c + 4 for c in cuts)]
             for chunk, a, b in zip(block, starts, [*cuts, len(data)], strict=True):
@@ -82,12 +94,12 @@ class ChunkIds:
         for block in groups(texts):
             chunks = [white_space_chunks(t) for t in block]
             if len(self.known) > self.bound:
-                self.known.clear()
-            new = set(itertools.chain.from_iterable(chunks)).difference(self.known)
+                self.older, self.known = self.known, {}
+            new = self.recalled(set(itertools.chain.from_iterable(chunks)))
             special = {c for c in new if "<|" in c}
             parts = {c: self.core(c) for c in new - special}
             cores = set(parts.values())
-            self.learn(list(cores.difference(self.known)))
+            self.learn(list(self.recalled(cores)))
             for chunk, core in parts.items():
                 tail = chunk[len(core):]
                 self.known[chunk] = self.known[core] + (self.tail(tail) if tail else b"")
