@@ -185,7 +185,7 @@ def trained(rows: DataFrame, per_language: int = 1500) -> Model:
         out += [(-3 - i, [], x) for i, x in enumerate(model.languages)]
         return pd.DataFrame(out, columns=["bucket", "w", "language"])
 
-    found = (sample.select("lang", "text", "at").groupBy(F.lit(0))
+    found = (sample.select("lang", "text", "at").groupBy(F.lit("all").alias("rows"))
              .applyInPandas(learn, "bucket long, w array<double>, language string").collect())
     languages = [r["language"] for r in sorted(found, key=lambda r: -r["bucket"]) if r["bucket"] <= -3]
     model = Model(languages, np.zeros((1 << BITS, len(languages))), np.zeros(len(languages)), idf, 1.0)
@@ -199,14 +199,19 @@ def trained(rows: DataFrame, per_language: int = 1500) -> Model:
     return model
 
 
-def identified(docs: DataFrame, model: Model, held_out: Column, id_column: str = "doc_id",
-               text_column: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score."""
+def prediction(model: Model, text_column: str = "text") -> Column:
+    """A column of (lang_pred, score)."""
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
+    return predict(text_or_empty(text_column))
+
+
+def identified(docs: DataFrame, model: Model, held_out: Column, id_column: str = "doc_id",
+               text_column: str = "text") -> DataFrame:
+    """Per row: doc_id, held_out, lang_pred, score."""
     found = docs.select(F.col(id_column).alias("doc_id"), held_out.alias("held_out"),
-                        predict(text_or_empty(text_column)).alias("p"))
+                        prediction(model, text_column).alias("p"))
     return found.select("doc_id", "held_out", "p.*")

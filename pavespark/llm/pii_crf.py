@@ -303,7 +303,7 @@ def trained(docs: DataFrame, sample_rows: int = 3000) -> dict[str, float]:
         part = part.sort_values(["spread", "doc_id", "text"])
         return pd.DataFrame(fit(part["text"].tolist()).items(), columns=["feature", "weight"])
 
-    found = sample.groupBy(F.lit(0)).applyInPandas(learn, "feature string, weight double")
+    found = sample.groupBy(F.lit("all").alias("rows")).applyInPandas(learn, "feature string, weight double")
     return {r["feature"]: r["weight"] for r in found.collect()}
 
 

@@ -165,20 +165,25 @@ def trained(docs: DataFrame, labels: DataFrame, sample_size: int = 12_000) -> di
         return pd.DataFrame(fit(part["text"].tolist(), part["label"].tolist()).items(),
                             columns=["feature", "weight"])
 
-    found = rows.groupBy(F.lit(0)).applyInPandas(learn, "feature string, weight double")
+    found = rows.groupBy(F.lit("all").alias("rows")).applyInPandas(learn, "feature string, weight double")
     return {r["feature"]: r["weight"] for r in found.collect()}
 
 
-def scored(docs: DataFrame, weights: dict[str, float], held_out: Column, threshold: float = 0.3,
-           id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, score, predicted."""
+def scores(weights: dict[str, float], text_column: str = "text") -> Column:
+    """A column of scores."""
 
     @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
+    def of_texts(texts: pd.Series) -> pd.Series:
         if not weights:
             return pd.Series(np.zeros(len(texts)))
         return pd.Series([score(t, weights) for t in texts], dtype="float64")
 
+    return of_texts(text_or_empty(text_column))
+
+
+def scored(docs: DataFrame, weights: dict[str, float], held_out: Column, threshold: float = 0.3,
+           id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: doc_id, held_out, score, predicted."""
     found = docs.select(F.col(id_column).alias("doc_id"), held_out.alias("held_out"),
-                        scores(text_or_empty(text_column)).alias("score"))
+                        scores(weights, text_column).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
