@@ -8,10 +8,58 @@ and read again as the next stage's ``docs``. All but the last return the columns
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pavespark.llm import langid, near_dup, pii_crf, queries, toxicity
+from pavespark.llm.common import table
+from pavespark.llm.packing import packed
 from pavespark.session import written
 
-STAGES: list = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without a letter or without a language of at least ``LEAST_LANGUAGE``."""
+    found = langid.prediction(queries.language_model(docs))
+    return docs.where((found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= LEAST_LANGUAGE))
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts that score ``MOST_TOXIC`` or more; null and empty texts score low."""
+    weights = queries.toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.scores(weights) < MOST_TOXIC)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies, and one row of each id.
+
+    Rows without an id belong to no group and stay.
+    """
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        single = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        docs = written(single.union(docs.where("doc_id IS NULL")))
+    dropped = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts the kind of the data in place of every span found; counts characters anew."""
+    masked = pii_crf.masked(docs, pii_crf.trained(docs))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packed(docs, queries.vocabulary("word_bpe_49k.json"))
+
+
+LEAST_LANGUAGE, MOST_TOXIC = 0.3, 0.3
+
+STAGES = [
+    ("language", language),
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
 # The models of the stages cannot be stated in SQL; tests/llm compares each stage with a
 # plain version.
