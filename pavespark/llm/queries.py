@@ -31,6 +31,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.warc_index import capture_index
+
+    return capture_index(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_seq")
+
+
 def toxicity_model(documents: DataFrame, labels: DataFrame) -> dict[str, float]:
     """Weights from the labels of the three quarters that are not held out."""
     from pavespark.llm.toxicity import trained
@@ -94,6 +101,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_index": op1_warc_index,
     "op2_toxicity": op2_toxicity,
     "op3_pii_crf": op3_pii_crf,
     "op4_packing": op4_packing,
@@ -106,6 +114,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url,
+                   octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+        k AS (
+            SELECT *, max(page_id) OVER (PARTITION BY html) AS original,
+                   array_to_string(list_reverse(string_split(lower(regexp_extract(url,
+                       '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^#]*)', 1)), '.')), ',') || ')' ||
+                   regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^#]*)', 2) AS url_key
+            FROM p)
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END
+                   AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to,
+               url_key, row_number() OVER (ORDER BY url_key, page_id) - 1 AS capture_seq
+        FROM k
+    """,
     "op8_near_dup": """
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(
