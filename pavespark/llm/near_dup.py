@@ -2,12 +2,14 @@
 
 A text's set holds its distinct five-word shingles (words lower-cased in A-Z only; a text of
 fewer words has its whole sequence as the one shingle). Texts of equal word sequence form a
-class with one representative. Of each representative 128 MinHash samples are drawn; 32 keys
-of four samples each (a pair at similarity 0.75 shares none with probability 5e-6) say which
-representatives may be linked, and the samples are folded into a parity bitmap of 512 bits.
-The count of set bits in the XOR of two bitmaps estimates the similarity; pairs estimated
-below 0.55 (over four standard errors below the threshold) or of too different sizes are not
-looked at again, all others are compared on their full sets.
+class with one representative. Of each representative 128 MinHash values are drawn; 32 keys
+of four values each (a pair at similarity 0.75 shares none with probability 5e-6) say which
+representatives may be linked. The 1024 smallest hashes of a set, its bottom MinHash sample
+(the whole set, if that is smaller), are folded into a parity bitmap of 2048 bits. The count
+of set bits in the XOR of two bitmaps estimates how many samples differ, and with the set
+sizes the similarity. Pairs estimated more than ``WHOLE_MARGIN`` (both sets are whole in
+their samples) or ``SAMPLE_MARGIN`` below the threshold, five standard errors each, or of too
+different sizes are not looked at again; all others are compared on their full sets.
 
 No key's members are paired with each other at once. First every member meets the smallest
 one of its key; components follow. Then only keys whose members still lie in several
@@ -33,13 +35,14 @@ from pavespark.session import written
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
+VALUES = BANDS * ROWS
+SAMPLE = 1024
+SKETCH_BITS = 2048
+WHOLE_MARGIN, SAMPLE_MARGIN = 0.05, 0.1
 _random = np.random.default_rng(20240807)
-MULTIPLIERS = (_random.integers(0, 1 << 32, SAMPLES, np.uint64) | np.uint64(1)).astype(np.uint32)
+MULTIPLIERS = (_random.integers(0, 1 << 32, VALUES, np.uint64) | np.uint64(1)).astype(np.uint32)
 WORD_FACTORS = _random.integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 BAND_FACTORS = _random.integers(0, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-SAMPLE_SALTS = _random.integers(0, 1 << 63, SAMPLES, np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,10 +71,10 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def samples(hashes: np.ndarray, step: int = 1 << 14) -> np.ndarray:
+def least_values(hashes: np.ndarray, step: int = 1 << 14) -> np.ndarray:
     """The smallest value of the set under each of the permutations."""
     folded = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, np.iinfo(np.uint32).max, np.uint32)
+    least = np.full(VALUES, np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(folded), step):
         values = MULTIPLIERS[:, None] * folded[None, at:at + step]
         np.minimum(least, values.min(axis=1), out=least)
@@ -83,17 +86,25 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return mixed(bands + mixed(np.arange(1, BANDS + 1, dtype=np.uint64))).view(np.int64)
 
 
-def odd_sketch(least: np.ndarray) -> bytes:
-    """Bit b is set if an odd number of (sample, value) pairs hash to b."""
-    bits = mixed(least.astype(np.uint64) ^ SAMPLE_SALTS) % np.uint64(SKETCH_BITS)
+def odd_sketch(hashes: np.ndarray) -> bytes:
+    """Bit b is set if an odd number of samples hash to b; the samples are the smallest
+    hashes of the sorted set."""
+    bits = mixed(hashes[:SAMPLE]) % np.uint64(SKETCH_BITS)
     odd = (np.bincount(bits.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
     return np.packbits(odd).tobytes()
 
 
-def estimate(differing: np.ndarray) -> np.ndarray:
-    """Similarity from the number of bits in which two sketches differ."""
-    free = np.maximum(1 - 2 * differing / SKETCH_BITS, 1e-9)
-    return 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(free)
+def estimate(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray) -> np.ndarray:
+    """Similarity from the set sizes and the number of bits in which the sketches differ.
+
+    Samples are shared if common to both sets and below the smaller of the two sample
+    limits, which reach the share ``reach`` of all hashes.
+    """
+    k_a, k_b = np.minimum(n_a, SAMPLE), np.minimum(n_b, SAMPLE)
+    reach = np.minimum(k_a / n_a, k_b / n_b)
+    apart = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * differing / SKETCH_BITS, 1e-9))
+    common = np.clip((k_a + k_b - apart) / (2 * reach), 0, np.minimum(n_a, n_b))
+    return common / (n_a + n_b - common)
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -106,9 +117,8 @@ def features(docs: DataFrame) -> DataFrame:
             words = words_of(text)
             own = shingles(words)
             if len(own):
-                least = samples(own)
                 out.append((len(own), xxhash.xxh3_128_digest(b" ".join(words)),
-                            band_keys(least), odd_sketch(least)))
+                            band_keys(least_values(own)), odd_sketch(own)))
             else:
                 out.append((0, None, None, None))
         return pd.DataFrame(out, columns=["n_shingles", "sequence", "bands", "sketch"])
@@ -116,11 +126,11 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", describe("text").alias("f")).select("doc_id", "f.*")
 
 
-def alike(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray, percent: int,
-          margin: float) -> np.ndarray:
+def alike(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes and sketches leave the threshold possible."""
     sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    return sizes & (estimate(differing) >= percent / 100 - margin)
+    margin = np.where(np.maximum(n_a, n_b) <= SAMPLE, WHOLE_MARGIN, SAMPLE_MARGIN)
+    return sizes & (estimate(n_a, n_b, differing) >= percent / 100 - margin)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -175,7 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def pairs_across(members: DataFrame, percent: int, margin: float, block: int = 256) -> DataFrame:
+def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFrame:
     """Pairs (a < b) of members of a key that lie in different components and may be linked.
 
     ``members``: key, rep, component, n, sketch. A key's members are dealt to blocks, and
@@ -203,7 +213,7 @@ def pairs_across(members: DataFrame, percent: int, margin: float, block: int = 2
                 ys = ys[rep[ys] > rep[x]]
             if len(ys):
                 differing = np.bitwise_count(sketch[ys] ^ sketch[x]).sum(axis=1)
-                good = ys[alike(n[ys], n[x], differing, percent, margin)]
+                good = ys[alike(n[ys], n[x], differing, percent)]
                 out += [(min(rep[x], r), max(rep[x], r)) for r in rep[good].tolist()]
         return out
 
@@ -228,7 +238,7 @@ def pairs_across(members: DataFrame, percent: int, margin: float, block: int = 2
             .mapInPandas(stream, "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, margin: float = 0.2,
+def near_duplicates(docs: DataFrame, percent: int = 75,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"),
@@ -251,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, margin: float = 0.2,
     def possible(n_a: pd.Series, n_b: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
         x, y = (np.frombuffer(b"".join(s), np.uint64).reshape(len(s), -1) for s in (a, b))
         return pd.Series(alike(n_a.to_numpy(), n_b.to_numpy(),
-                               np.bitwise_count(x ^ y).sum(axis=1), percent, margin))
+                               np.bitwise_count(x ^ y).sum(axis=1), percent))
 
     side = {s: sketches.select(F.col("rep").alias(s), F.col("n").alias("n_" + s),
                                F.col("sketch").alias("s_" + s)) for s in "ab"}
@@ -260,13 +270,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, margin: float = 0.2,
     edges = written(confirmed(near, docs, percent))
     labels = components(edges)
 
-    placed = (members.join(sketches, "rep")
-              .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("key", "rep", F.coalesce("component", "rep").alias("component"), "n", "sketch"))
-    placed = written(placed)
+    placed = written(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+                     .select("key", "rep", F.coalesce("component", "rep").alias("component")))
     open_keys = (placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                  .where("x < y").select("key"))
-    late = written(pairs_across(placed.join(open_keys, "key", "left_semi"), percent, margin))
+    open_members = placed.join(open_keys, "key", "left_semi").join(sketches, "rep")
+    late = written(pairs_across(open_members, percent))
     more = written(confirmed(late, docs, percent))
     if not more.isEmpty():
         labels = components(edges.union(more))
