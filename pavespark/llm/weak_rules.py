@@ -3,7 +3,8 @@
 Every rule votes good, bad or abstains on a whole text. The corpus is reduced to the counts
 of its vote patterns (at most 3 ** number of rules, whatever its size); expectation
 maximisation over them estimates how often each rule votes what on good and on bad texts,
-and the prior share of good texts. A text is kept if it passes the two base limits and its
+and the prior share of good texts. Texts below the base limits are decided already and take
+no part in that. A text is kept if it passes the two base limits and its
 posterior probability of being good reaches ``threshold``.
 
 Null texts have no words. A text below the base limits is never kept. Rows, repeated ones
@@ -12,6 +13,9 @@ too, count one by one. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,7 +62,8 @@ def duplicate_lines(text: str) -> tuple[int, int]:
 
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_upper", "n_digits", "n_letters"]
+            "n_lines", "n_upper", "n_digits", "n_letters", "n_symbol_runs", "n_calls", "n_other"]
+SYMBOL_RUNS = re.compile(f"[{re.escape(SYMBOLS)}]+")
 
 
 def measures(text: str) -> tuple[int, ...]:
@@ -69,8 +74,10 @@ def measures(text: str) -> tuple[int, ...]:
     upper = int(np.count_nonzero((points >= 65) & (points <= 90)))
     lower = int(np.count_nonzero((points >= 97) & (points <= 122)))
     digits = int(np.count_nonzero((points >= 48) & (points <= 57)))
+    beyond_latin = int(np.count_nonzero(points >= 0xAA))
     return (len(words), word_chars, sum(map(text.count, SYMBOLS)), same, repeated_words(words),
-            lines, upper, digits, upper + lower)
+            lines, upper, digits, upper + lower, len(SYMBOL_RUNS.findall(text)), text.count("!"),
+            max(0, word_chars - upper - lower - beyond_latin))
 
 
 def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -88,8 +95,11 @@ def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 # Name, share that is voted on, votes bad from here on, votes good up to there.
 SHARES = [
     ("symbols", "n_symbols / n_words", 0.10, 0.02),
+    ("symbol_runs", "n_symbol_runs / n_words", 0.08, 0.02),
+    ("other_characters", "n_other / word_chars", 0.12, 0.07),
+    ("calls", "n_calls / n_words", 0.10, 0.01),
     ("duplicate_lines", "n_dup_lines / n_lines", 0.30, 0.0),
-    ("repeats", "n_repeat_words / n_words", 0.20, 0.02),
+    ("repeats", "n_repeat_words / n_words", 0.30, 0.05),
     ("capitals", "n_upper / n_letters", 0.40, 0.12),
     ("digits", "n_digits / word_chars", 0.20, 0.03),
 ]
@@ -108,28 +118,24 @@ def votes() -> dict[str, F.Column]:
     return {k: F.coalesce(v, F.lit(ABSTAIN)) for k, v in out.items()}
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200,
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500,
              prior: float = 4.0) -> np.ndarray:
     """Posterior probability of good for every vote pattern (rows of 0, 1, 2).
 
-    Starts from the share of good votes; ``prior`` pseudo-counts lean each rule to voting
-    rightly, which also fixes which of the two classes is called good.
+    Starts with doubt about every text that some rule calls bad, then estimates for every
+    rule how often it votes good on good and on bad texts; abstentions say nothing. Pseudo-
+    counts lean each rule to voting rightly, which also fixes which class is called good.
     """
-    n_rules = patterns.shape[1]
-    good_votes, bad_votes = (patterns == GOOD).sum(axis=1), (patterns == BAD).sum(axis=1)
-    posterior = (good_votes + 1) / (good_votes + bad_votes + 2)
-    # pseudo-counts for (bad, abstain, good) on bad and on good texts
-    lean = prior * np.array([[0.6, 0.2, 0.2], [0.05, 0.2, 0.75]])
+    voted, good_vote = patterns != ABSTAIN, patterns == GOOD
+    posterior = np.where((patterns == BAD).any(axis=1), 0.1, 0.95)
     for _ in range(rounds):
-        share = float((counts * posterior).sum() + 4) / float(counts.sum() + 5)
-        log = np.log(np.array([1 - share, share]))[:, None] + np.zeros(len(patterns))
-        for j in range(n_rules):
-            chance = np.empty((2, 3))
-            for y, weight in enumerate((counts * (1 - posterior), counts * posterior)):
-                chance[y] = np.bincount(patterns[:, j], weight, 3) + lean[y]
-                chance[y] /= chance[y].sum()
-            log += np.log(chance)[:, patterns[:, j]]
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
+        weights = np.stack([counts * (1 - posterior), counts * posterior])
+        share = (weights[1].sum() + prior) / (counts.sum() + 2 * prior)
+        lean = prior * np.array([[0.5], [0.98]])
+        says_good = (weights @ good_vote + lean) / (weights @ voted + prior)  # class x rule
+        log = np.log(says_good) @ good_vote.T + np.log(1 - says_good) @ (voted & ~good_vote).T
+        odds = log[1] - log[0] + math.log(share / (1 - share))
+        new = 1 / (1 + np.exp(np.clip(-odds, -500, 500)))
         if np.abs(new - posterior).max(initial=0) < 1e-9:
             return new
         posterior = new
@@ -143,14 +149,16 @@ def judged(docs: DataFrame, threshold: float = 0.5, id_column: str = "doc_id",
     spark = docs.sparkSession
     rules = votes()
     pattern = F.array(*(v.cast("int") for v in rules.values()))
-    voted = written(measured(docs, id_column, text_column).withColumn("votes", pattern))
-    seen = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
+    voted = written(measured(docs, id_column, text_column)
+                    .withColumn("votes", pattern).withColumn("base_failed", failed))
+    seen = (voted.groupBy("votes")
+            .agg(F.count_if(~F.col("base_failed")).cast("double").alias("n")).collect())
     patterns = np.array([r["votes"] for r in seen], np.int64).reshape(-1, len(rules))
     posterior = estimate(patterns, np.array([r["n"] for r in seen], float))
     table = spark.createDataFrame([(r["votes"], float(p)) for r, p in zip(seen, posterior, strict=True)],
                                   "votes array<int>, posterior double")
-    failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
     # at most 3 ** rules rows, at any size of the corpus
     return voted.join(F.broadcast(table), "votes").select(
-        "doc_id", *MEASURES[:5], failed.alias("base_failed"),
-        (~failed & (F.col("posterior") >= threshold)).alias("kept"), "posterior")
+        "doc_id", *MEASURES[:5], "base_failed",
+        (~F.col("base_failed") & (F.col("posterior") >= threshold)).alias("kept"), "posterior")
