@@ -10,7 +10,6 @@ Sub-packages:
   functions  column expressions (predicates, code decoding, padding, clamp)
   operators  range joins, islands, ordered windows, polyline geometry, repairs
   plans      stage tables, QA reports, deliverables, the end-to-end stage chain
-  streaming  (the reference has no streaming surface; see its docstring)
 
 Entry points: ``plans.stages.SurveyStages`` (all stages, in order, each written
 once), ``python -m pavespark`` (tables in, deliverables out), and

@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import argparse
 
-from pavespark.plans.stages import SurveyStages
+from pavespark.plans.stages import FORMS, SurveyStages
 from pavespark.session import get_spark
-from pavespark.sources.exported import load_tables
+from pavespark.sources.exported import load_run_folder, load_tables
 
 
 def main(argv=None) -> None:
@@ -26,9 +26,16 @@ def main(argv=None) -> None:
                     help="output folder for the deliverable tables (Parquet by run)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--pave-gap-mode", default="reference", choices=("reference", "window"))
+    ap.add_argument("--layout", default="partitioned", choices=("partitioned", "run", "process"),
+                    help="partitioned: as above; run, process: <tables>/survey_data/<date>/"
+                         "[process/]<run>/<table>.csv")
+    ap.add_argument("--form", default="run", choices=FORMS,
+                    help="folder: only stations with a picture count for GPS status and events")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
-    stages = SurveyStages(load_tables(spark, a.tables), pave_gap_mode=a.pave_gap_mode)
+    tables = (load_tables(spark, a.tables) if a.layout == "partitioned"
+              else load_run_folder(spark, a.tables, a.layout))
+    stages = SurveyStages(tables, pave_gap_mode=a.pave_gap_mode, form=a.form)
     for name in stages.write_deliverables(a.out):
         print(f"wrote {a.out.rstrip('/')}/{name}")
 

@@ -55,6 +55,7 @@ SURFACE_CC = "CC"   # -> survey_type 1
 
 # --- fixed values: deliverable literals ---------------------------------------------
 SURVEY_REMARK = "CU_survey"
+SURVEY_RUN_NEW_FOLDER = "BTS22"
 SURVEY_RUN_NEW = "S22"
 IMAGE_DIR_PREFIX = "s22/cu_survey/"
 IMAGE_ROW_TAG = "-ROW-0-"

@@ -107,7 +107,3 @@ def length_km(line) -> Column:
     """``(st_length(line::geography)/1000)::numeric(8,3)``."""
     return (length_m(line) / 1000).cast("decimal(8,3)")
 
-
-def with_point(df: DataFrame, struct_col: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    return (df.withColumn(lon, F.col(f"{struct_col}.lon"))
-              .withColumn(lat, F.col(f"{struct_col}.lat")).drop(struct_col))

@@ -22,16 +22,6 @@ from pavespark.operators.windows import ordered_index
 RUN = "file_name"
 
 
-def island_ids(df: DataFrame, x: str, ties: Sequence[str], chunk_m: float = 10000.0,
-               link: str = "link_id", date: str = "date") -> DataFrame:
-    """WIN-1: ``grp2`` = row_number(run, date, link by x) - row_number(run, lat, lon, link by x)."""
-    order = [F.col(x).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
-    chunk = F.coalesce(F.floor(F.col(x) / chunk_m), F.lit(1 << 40))
-    d = ordered_index(df, [RUN, date, link], order, name="_rn1", chunk=chunk)
-    d = ordered_index(d, [RUN, "lat", "lon", link], order, name="_rn2", chunk=chunk)
-    return d.withColumn("grp2", F.col("_rn1") - F.col("_rn2")).drop("_rn1", "_rn2")
-
-
 def lost_islands(df: DataFrame, x: str, ties: Sequence[str], spacing: int,
                  chunk_m: float = 10000.0, link: str = "link_id", date: str = "date") -> DataFrame:
     """AGG-4: min / max / count of each island of lost rows per (run, link, date).
@@ -39,7 +29,7 @@ def lost_islands(df: DataFrame, x: str, ties: Sequence[str], spacing: int,
     The position along the link needs every row; the position within the
     (link, coordinate) partition is only used for lost rows, and a lost
     coordinate's partition holds lost rows only, so it is computed on that
-    subset (exact, and one full-table shuffle less than ``island_ids``)."""
+    subset (exact, and one full-table shuffle less)."""
     order = [F.col(x).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
     chunk = F.coalesce(F.floor(F.col(x) / chunk_m), F.lit(1 << 40))
     d = ordered_index(df, [RUN, date, link], order, name="_rn1", chunk=chunk)

@@ -27,15 +27,22 @@ def register(name):
 _STAGE_SETS: dict = {}
 
 
-def stages(spark: SparkSession, sf_dir: str) -> SurveyStages:
-    """One stage set per (application, data directory): stages already written by an
-    earlier query of the same session are reused, not recomputed."""
-    from pavespark.sources.fixtures import layout_name
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), layout_name())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files, as one row."""
+    files = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("file_size"), F.max("file_modification_time"),
+                           F.bit_xor(F.xxhash64("file_path"))).first())
+
+
+def stages(spark: SparkSession, sf_dir: str, layout: str = "uniform", form: str = "run") -> SurveyStages:
+    """One stage set per (application, input files, layout, form): stages already written
+    by an earlier query of the same session are reused while the input files are the same."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir), layout, form)
     if key not in _STAGE_SETS:
         if len(_STAGE_SETS) >= 4:
             _STAGE_SETS.pop(next(iter(_STAGE_SETS)))
-        _STAGE_SETS[key] = SurveyStages.from_fixtures(spark, sf_dir)
+        _STAGE_SETS[key] = SurveyStages.from_fixtures(spark, sf_dir, layout, form=form)
     return _STAGE_SETS[key]
 
 
@@ -241,6 +248,45 @@ def q_report_event_mismatch(spark, sf_dir) -> DataFrame:
     return R.event_mismatch(R.event_points(p.links_fixed), p.station_groups)
 
 
+@register("gps_status_folder")
+def q_gps_status_folder(spark, sf_dir) -> DataFrame:
+    """AGG-1 in the folder form: only stations with a picture count."""
+    return stages(spark, sf_dir, form="folder").gps_status
+
+
+@register("station_table_folder")
+def q_station_table_folder(spark, sf_dir) -> DataFrame:
+    return stages(spark, sf_dir, form="folder").station_table
+
+
+@register("report_event_mismatch_folder")
+def q_report_event_mismatch_folder(spark, sf_dir) -> DataFrame:
+    """RPT-6 in the folder form: keyed stations with a picture, 25 m positions only."""
+    p = stages(spark, sf_dir, form="folder")
+    R = _rep()
+    return R.event_mismatch(R.event_points(p.links_fixed), p.station_groups, grid_only=True)
+
+
+@register("survey_folder")
+def q_survey_folder(spark, sf_dir) -> DataFrame:
+    """TAB-2 over the folder form's stations, with its run name."""
+    s = stages(spark, sf_dir, form="folder").survey
+    return s.withColumn("the_geom", _dl().line_text("the_geom"))
+
+
+@register("stage_roundtrip")
+def q_stage_roundtrip(spark, sf_dir) -> DataFrame:
+    """SNK-1: the station table written as Parquet by run and read back."""
+    import uuid
+
+    from pavespark.session import ensure_checkpoint_dir
+    from pavespark.sources import exported
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pavespark-stage-{uuid.uuid4().hex}"
+    laser = stages(spark, sf_dir).laser
+    exported.write_stage(laser, path)
+    return spark.read.schema(laser.schema).parquet(path).select(*laser.columns)
+
+
 @register("report_gap_at_seam")
 def q_report_gap_at_seam(spark, sf_dir) -> DataFrame:
     p = stages(spark, sf_dir)

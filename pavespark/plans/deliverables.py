@@ -103,8 +103,8 @@ def point_branch_start(data: DataFrame) -> DataFrame:
                         F.col("lon_str").alias("lon"), F.col("lat_str").alias("lat"), RUN)
                 .distinct())
     c, es, ee = F.col("chainage"), F.col("event_str"), F.col("event_end")
-    mapped = (F.when(es - c >= 0, es).when(c - es < 5, es).when(ee - c >= 0, ee)
-               .when(c - ee < 5, ee))
+    # the first bound of the link that is less than 5 m behind the station
+    mapped = F.get(F.filter(F.array(es, ee), lambda bound: c - bound < 5), F.lit(0))
     b = (data.where(es.between(c - 6, c + 6) | ee.between(c - 4, c + 4))
              .select(c.alias("b_ch"), mapped.alias("chainages"), F.col("link_id").alias("b_link"),
                      F.col("date").alias("b_date"), F.col(RUN).alias("b_run"),

@@ -37,17 +37,26 @@ from pavespark.sources import fixtures
 from pavespark.sources.fixtures import Inputs
 
 
+FORMS = ("run", "folder")
+
+
 class SurveyStages:
-    STATION_TIES = ("event_str", "chainage_pic", "frame_number")
+    # date and status tell apart the rows of a link with two survey dates
+    STATION_TIES = ("event_str", "chainage_pic", "frame_number", "date", "status")
 
     def __init__(self, inputs: Inputs, draw=default_draw, checkpoint: bool = True,
-                 record_plans: bool = False, pave_gap_mode: str = "reference"):
+                 record_plans: bool = False, pave_gap_mode: str = "reference", form: str = "run"):
         """``draw``: stand-in for the IRI clamp's random draw (PRJ-1, Q-05);
         ``pave_gap_mode``: ``"reference"`` or ``"window"`` (REP-8, Q-18);
         ``checkpoint``: write each stage table (lineage cut). ``False`` keeps stages lazy,
         which is only for inspecting one stage: the whole chain as one plan re-expands every
         earlier stage per use and does not plan in bounded memory;
+        ``form``: ``"run"``, or ``"folder"``, where only stations with a picture count for the
+        GPS status and as keyed stations, and surveys carry the folder form's run name;
         ``record_plans``: keep each stage's physical plan text in ``self.plans``."""
+        if form not in FORMS:
+            raise ValueError(f"form must be one of {FORMS}")
+        self.form = form
         if pave_gap_mode not in ("reference", "window"):
             raise ValueError("pave_gap_mode must be 'reference' or 'window'")
         self.inputs = inputs
@@ -97,11 +106,13 @@ class SurveyStages:
     @cached_property
     def station_table(self) -> DataFrame:
         return self._stage(ST.station_table(self.laser, self.key, self.pic, self.draw,
-                                            extent=self.extent))
+                                            extent=self.extent,
+                                            need_picture=self.form == "folder"))
 
     @cached_property
     def gps_status(self) -> DataFrame:
-        return ST.gps_status(self.laser, self.pic, self.key, extent=self.extent)
+        return ST.gps_status(self.laser, self.pic, self.key, extent=self.extent,
+                             need_picture=self.form == "folder")
 
     @cached_property
     def gps_lost(self) -> DataFrame:
@@ -116,7 +127,10 @@ class SurveyStages:
     # ------------------------------------------------------------------ repairs
     @cached_property
     def keyed_stations(self) -> DataFrame:
-        return R.keyed_stations(self.laser, self.key, extent=self.extent)
+        laser = self.laser
+        if self.form == "folder":
+            laser = ST.attach_pictures(laser, self.pic).where(F.col("chainage_pic").isNotNull())
+        return R.keyed_stations(laser, self.key, extent=self.extent)
 
     @cached_property
     def station_groups(self) -> DataFrame:
@@ -166,7 +180,8 @@ class SurveyStages:
     # ------------------------------------------------------------------ deliverables
     @cached_property
     def survey(self) -> DataFrame:
-        return self._stage(D.survey(self.stations_final))
+        name = K.SURVEY_RUN_NEW_FOLDER if self.form == "folder" else K.SURVEY_RUN_NEW
+        return self._stage(D.survey(self.stations_final, name))
 
     @cached_property
     def survey_point_local(self) -> DataFrame:

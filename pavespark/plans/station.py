@@ -7,6 +7,7 @@ join) -> JN-6 with AGG-1 (GPS-loss status per link).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pavespark import constants as K
@@ -49,15 +50,18 @@ def _status_from_candidates(cand: DataFrame) -> DataFrame:
     """AGG-1 over station x link candidates already restricted to [event_str-5, event_end+5]."""
     joined = cand.where(P.on_grid("chainage")).withColumn("date", P.survey_date("survey_date"))
     keys = [RUN, "date", "link_id"]
-    lost = (joined.where(P.gps_lost() & F.col("link_id").isNotNull())
-                  .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-                  .withColumn("status", F.lit(K.STATUS_LOST)))
-    present = (joined.where(P.gps_present() & F.col("link_id").isNotNull())
-                     .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-                     .withColumn("status", F.lit(K.STATUS_NOT_LOST)))
-    # JN-5: links without any lost station (anti join); SET-1: union of both labels
-    not_lost = present.join(lost.select(RUN, "link_id").distinct(), [RUN, "link_id"], "left_anti")
-    status = lost.unionByName(not_lost)
+    counts = (joined.where(F.col("link_id").isNotNull()).groupBy(*keys)
+                    .agg(F.count_if(P.gps_lost()).alias("lost"),
+                         F.count_if(P.gps_present()).alias("present")))
+    # JN-5 / SET-1 on the small table of counts: dates with lost stations, and all dates with
+    # present ones of links without any lost station
+    link_lost = F.max("lost").over(W.partitionBy(RUN, "link_id"))
+    status = (counts.withColumn("link_lost", link_lost)
+                    .where("lost > 0 OR (link_lost = 0 AND present > 0)")
+                    .select(*keys, F.when(F.col("lost") > 0, F.col("lost"))
+                            .otherwise(F.col("present")).alias("count"),
+                            F.when(F.col("lost") > 0, F.lit(K.STATUS_LOST))
+                            .otherwise(F.lit(K.STATUS_NOT_LOST)).alias("status")))
     return status.withColumn(
         "status_type",
         F.when((F.col("status") == K.STATUS_LOST) & (F.col("count") > K.MAX_LOST_GRID_STATIONS),
@@ -65,26 +69,31 @@ def _status_from_candidates(cand: DataFrame) -> DataFrame:
 
 
 def gps_status(laser: DataFrame, pic: DataFrame, key: DataFrame,
-               extent: DataFrame | None = None) -> DataFrame:
+               extent: DataFrame | None = None, need_picture: bool = False) -> DataFrame:
     """AGG-1: lost 25 m stations per (run, date, link) within the key range +-5 m.
 
     Links with lost stations get the lost status and their count; links
     without any get the not-lost status with their count of present stations.
     More than 10 lost stations -> "do not proceed" (the row is kept).
+    ``need_picture``: only stations with a picture count (folder form).
     """
     cand = station_link_join(attach_pictures(laser, pic), pave_keys(key),
                              tolerance=K.STATUS_TOLERANCE_M, rounded=False, extent=extent)
-    return _status_from_candidates(cand)
+    return _status_from_candidates(_pictured(cand, need_picture))
+
+
+def _pictured(cand: DataFrame, need_picture: bool) -> DataFrame:
+    return cand.where(F.col("chainage_pic").isNotNull()) if need_picture else cand
 
 
 def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default_draw,
-                  extent: DataFrame | None = None) -> DataFrame:
+                  extent: DataFrame | None = None, need_picture: bool = False) -> DataFrame:
     """TAB-1 ``data_suvey``. ``geom_lon/geom_lat`` carry the point geometry.
 
     One range join of the stations against the links over the union of both
     bounds ([rint(event_str), rint(event_end)] for the table, +-5 m unrounded for
-    the GPS status), so the station table is shuffled once for both uses; the
-    clamp changes only IRI, which the status does not read.
+    the GPS status). Spark plans it once for the rows and once for the status counts,
+    which keep only what they read. ``need_picture``: see ``gps_status``.
     """
     if extent is None:
         extent = run_extent(laser)
@@ -95,7 +104,7 @@ def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default
     hi = F.greatest(P.pg_int("event_end").cast("double"), ee + tol)
     cand = range_join(stations, pave_keys(key), "chainage", lo, hi, keys=[RUN], extent=extent)
     c = F.col("chainage")
-    status = _status_from_candidates(cand.where(c.between(es - tol, ee + tol)))
+    status = _status_from_candidates(_pictured(cand.where(c.between(es - tol, ee + tol)), need_picture))
     a = cand.where(c.between(P.pg_int("event_str"), P.pg_int("event_end")))
     # PRJ-2: running km = km_start (without '+') + chainage - event_str
     a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + c - es))

@@ -96,16 +96,23 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema,
     """SRC-6: every run below ``<root>/survey_data/<date>/<run>[_edit...]/<table>.csv``
     (``layout="run"``, one run per execution) or ``.../<date>/process/<run>/<table>.csv``
     (``layout="process"``, the all-runs-of-a-folder form); a file, or a folder of part
-    files as Spark writes them.
+    files as Spark writes them. In the process layout every file holds the run name in the
+    run column's place, which counts; in the run layout only the station file does, and the
+    run comes from the path. A value that does not fit its column fails the read.
 
     One distributed read; the run name is taken from each file's path, so a
     folder with thousands of runs is still a single scan.
     """
     cols = [f.name for f in schema.fields if f.name != RUN]
-    no_run = type(schema)([f for f in schema.fields if f.name != RUN])
-    df = (spark.read.schema(no_run).option("header", "false").option("nullValue", "")
-          .csv(f"{root.rstrip('/')}/survey_data/*/{'process/' if layout == 'process' else ''}*/"
+    if layout == "process" or table == TABLE_FOLDERS["laser"]:
+        stored = schema
+    else:
+        stored = type(schema)([f for f in schema.fields if f.name != RUN])
+    df = (spark.read.schema(stored).option("header", "false").option("nullValue", "")
+          .option("mode", "FAILFAST").csv(f"{root.rstrip('/')}/survey_data/*/{'process/' if layout == 'process' else ''}*/"
                f"{table}.csv"))
+    if layout == "process":
+        return df.select(*cols, F.rtrim(RUN).alias(RUN))
     # file paths are URIs: %20 for blanks; a literal '+' must survive the decoding
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))
@@ -162,6 +169,14 @@ def load_tables(spark: SparkSession, root: str):
     return Inputs(**tables)
 
 
+def load_run_folder(spark: SparkSession, root: str, layout: str = "run"):
+    """The four loaded tables of all runs below ``root`` in a layout of ``read_run_folder``."""
+    from pavespark.sources.fixtures import Inputs
+    schemas = {"laser": S.LASER_CSV, "key": S.KEY_CSV, "pic": S.PIC_CSV, "pave": S.PAVE_CSV}
+    return Inputs(**{name: _widen_and_trim(read_run_folder(spark, root, table, schemas[name], layout))
+                     for name, table in TABLE_FOLDERS.items()})
+
+
 def write_tables(inputs, root: str) -> None:
     """Write the four loaded tables in the layout ``load_tables`` reads (SNK-2)."""
     schemas = {"laser": S.LASER_CSV, "key": S.KEY_CSV, "pic": S.PIC_CSV, "pave": S.PAVE_CSV}
@@ -172,7 +187,12 @@ def write_tables(inputs, root: str) -> None:
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK-1: materialise a derived table as Parquet partitioned by run."""
+    """SNK-1: materialise a derived table as Parquet partitioned by run.
+
+    Rows are dealt by run and 10 km chunk first: a task writes few runs, and a long run is
+    written by several tasks."""
+    if "chainage" in df.columns:
+        df = df.repartition(F.col(RUN), F.floor(F.col("chainage") / 10_000))
     df.write.mode(mode).partitionBy(RUN).parquet(path)
 
 

@@ -12,7 +12,6 @@ key rows.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +25,18 @@ E = F.expr
 LAYOUTS = ("uniform", "hot")
 
 
+def padded(number: str, width: int) -> str:
+    """SQL text of a number with leading zeros; longer numbers keep all digits, which
+    ``lpad`` alone would cut."""
+    text = f"cast({number} as string)"
+    return f"lpad({text}, greatest({width}, length({text})), '0')"
+
+
 def layout_name(layout: str | None = None) -> str:
     """``uniform``: 500 stations per run. ``hot``: every third 500-event block joins
     run 1, which then holds a third of all stations along one long chainage (the
     skew case: one run, one key, a third of all rows)."""
-    name = layout or os.environ.get("PAVESPARK_LAYOUT", "uniform")
+    name = layout or "uniform"
     if name not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     return name
@@ -49,7 +55,7 @@ def events(spark: SparkSession, sf_dir: str, layout: str | None = None) -> DataF
         E(r).alias("r"),
         E(i).alias("i"),
         E("cast(round(value * 100) as bigint)").alias("w"),
-        E(f"concat('20240101 ', lpad(cast(({r}) + 1 as string), 4, '0'))").alias("file_name"),
+        E(f"concat('20240101 ', {padded(f'({r}) + 1', 4)})").alias("file_name"),
     )
 
 
@@ -99,7 +105,7 @@ def mpd(ev: DataFrame) -> DataFrame:
         "file_name")
 
 
-LINK_ID_K = ("concat(case when {k} % 2 = 0 then '1' else '3' end, lpad(cast(q as string), 4, '0'), "
+LINK_ID_K = ("concat(case when {k} % 2 = 0 then '1' else '3' end, " + padded("q", 4) + ", "
              "lpad(cast({k} as string), 2, '0'), '0201', case when {k} < 3 then 'L' else 'R' end, "
              "cast(1 + (q + {k}) % 6 as string), case when (q + {k}) % 2 = 0 then 'CC' else 'AC' end, "
              "'01')")

@@ -74,9 +74,3 @@ PAVE_CSV = T.StructType([
     T.StructField("lat", T.DoubleType()),
     T.StructField("file_name", T.StringType()),
 ])
-
-MEASURES = ["iri_right", "iri_left", "iri", "iri_lane", "rutt_right", "rutt_left",
-            "rutting", "texture", "etd_texture"]
-DECIMAL_MEASURES = ["iri_lane", "rutt_right", "rutt_left", "rutting", "texture", "etd_texture"]
-KEY_TEXT_COLS = ["event_num", "event_type", "event_name", "link_id", "section_id", "km_start",
-                 "km_end", "length", "lane_no", "survey_date"]

@@ -18,8 +18,12 @@ def lat(p):
     return f"((13700000 + 12 * ({p})) / 1e6)"
 
 
+def digits(number, width):
+    return f"lpad(CAST({number} AS VARCHAR), CAST(greatest({width}, length(CAST({number} AS VARCHAR))) AS INTEGER), '0')"
+
+
 def link(k):
-    return (f"(CASE WHEN {k} % 2 = 0 THEN '1' ELSE '3' END || lpad(CAST(q AS VARCHAR), 4, '0') || "
+    return (f"(CASE WHEN {k} % 2 = 0 THEN '1' ELSE '3' END || {digits('q', 4)} || "
             f"lpad(CAST({k} AS VARCHAR), 2, '0') || '0201' || CASE WHEN {k} < 3 THEN 'L' ELSE 'R' END || "
             f"CAST(1 + (q + {k}) % 6 AS VARCHAR) || CASE WHEN (q + {k}) % 2 = 0 THEN 'CC' ELSE 'AC' END || '01')")
 
@@ -39,9 +43,8 @@ PS = f"ceil({EV_STR} / 5)"
 PE = f"(ceil({EV_END} / 5) + CASE WHEN k = 3 THEN 1 ELSE 0 END)"
 
 def layout_ri(layout=None):
-    """Run and station index per event for a layout (default: PAVESPARK_LAYOUT)."""
-    import os
-    if (layout or os.environ.get("PAVESPARK_LAYOUT", "uniform")) == "hot":
+    """Run and station index per event for a layout (default: uniform)."""
+    if layout == "hot":
         hot = "((event_id // 500) % 3 = 0)"
         return (f"(CASE WHEN {hot} THEN 0 ELSE event_id // 500 END)",
                 f"(CASE WHEN {hot} THEN ((event_id // 500) // 3) * 500 + event_id % 500 "
@@ -55,7 +58,7 @@ def ev_cte(layout=None):
 ev AS (
   SELECT event_id AS e, {r} AS r, {i} AS i,
          CAST(round(value * 100) AS BIGINT) AS w,
-         '20240101 ' || lpad(CAST({r} + 1 AS VARCHAR), 4, '0') AS file_name
+         '20240101 ' || {digits(f'({r} + 1)', 4)} AS file_name
   FROM events),"""
 
 

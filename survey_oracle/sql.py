@@ -77,7 +77,7 @@ def q(*fragments, select: str) -> str:
     return "WITH " + FIXTURE_CTES + "".join(fragments) + "\n" + select
 
 ORD = ("chainage NULLS LAST, event_str NULLS LAST, chainage_pic NULLS LAST, "
-       "frame_number NULLS LAST")
+       "frame_number NULLS LAST, date NULLS LAST, status NULLS LAST")
 GAP_CTES = f""",
 isl AS (
   SELECT *, row_number() OVER (PARTITION BY file_name, date, link_id ORDER BY {ORD})

@@ -26,7 +26,9 @@ def duck_sf01():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_hot_layout_matches_oracle(spark, duck_sf01, monkeypatch, name):
-    monkeypatch.setenv("PAVESPARK_LAYOUT", "hot")
+    from pavespark.plans import catalog
+    uniform = catalog.stages
+    monkeypatch.setattr(catalog, "stages", lambda s, d, form="run": uniform(s, d, "hot", form))
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql()[name].replace(ev_cte("uniform"), ev_cte("hot"))
     assert ev_cte("hot") in sql

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pavespark.sources import exported, schemas
@@ -101,13 +103,44 @@ def test_run_folder_process_layout(spark):
         folder = os.path.join(root, "survey_data", "20240101", "process", run)
         os.makedirs(folder)
         with open(os.path.join(folder, "access_pic.csv"), "w") as fh:
-            fh.write("5.0,1\n10.0,2\n")
+            fh.write(f"5.0,1,{run}\n10.0,2,{run}\n")
+        with open(os.path.join(folder, "access_key.csv"), "w") as fh:
+            fh.write(f"0,475,01,pavetype.,link 0,1L1,1,12+000,12+475,0.475,1,2024-01-01,13.7,13.7,"
+                     f"100.5,100.5,{run},RP9\n")
+    key = exported.read_run_folder(spark, root, "access_key", schemas.KEY_CSV, layout="process")
+    assert sorted((r["file_name"], r["ramp_id"]) for r in key.collect()) == [
+        ("20240101 0001", "RP9"), ("20240101 0002", "RP9")]
     df = exported.read_run_folder(spark, root, "access_pic", schemas.PIC_CSV, layout="process")
     got = sorted((r["file_name"], r["chainage_pic"]) for r in df.collect())
     assert got == [("20240101 0001", 5.0), ("20240101 0001", 10.0),
                    ("20240101 0002", 5.0), ("20240101 0002", 10.0)]
 
 
+def test_run_folder_run_layout_key_and_bad_values(spark):
+    root = tempfile.mkdtemp(prefix="pavespark-run-")
+    folder = os.path.join(root, "survey_data", "20240101", "r1_edit")
+    os.makedirs(folder)
+    row = "{},475,01,pavetype.,link 0,1L1,1,12+000,12+475,0.475,1,2024-01-01,13.7,13.7,100.5,100.5,RP9\n"
+    with open(os.path.join(folder, "access_key.csv"), "w") as fh:
+        fh.write(row.format(0))
+    key = exported.read_run_folder(spark, root, "access_key", schemas.KEY_CSV).first()
+    assert (key["file_name"], key["ramp_id"], key["event_str"]) == ("r1", "RP9", 0.0)
+    with open(os.path.join(folder, "access_key.csv"), "w") as fh:
+        fh.write(row.format("abc"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE|FAILFAST"):
+        exported.read_run_folder(spark, root, "access_key", schemas.KEY_CSV).collect()
+
+
+def test_run_and_link_names_keep_all_digits(spark):
+    """Runs from 10,000 on must not share a name with shorter-numbered ones."""
+    from pavespark.sources.fixtures import LINK_ID_K, padded
+    runs = spark.createDataFrame([(r,) for r in (0, 999, 9999, 10000, 100009)], "q long")
+    names = [x[0] for x in runs.selectExpr(padded("q + 1", 4)).collect()]
+    assert names == ["0001", "1000", "10000", "10001", "100010"]
+    links = {x[0] for x in runs.selectExpr(LINK_ID_K.format(k="1")).collect()}
+    assert len(links) == 5
+
+
 def test_load_tables_trims_char_padding(spark):
     """Loaded text comes from char(n) columns: trailing blanks are removed once on load."""
     base = tempfile.mkdtemp(prefix="pavespark-pad-")
