@@ -1,7 +1,7 @@
 """Session creation and lineage cutting.
 
-Stage tables are materialised with reliable ``checkpoint()`` into the shared
-folder the cluster names in ``spark.checkpoint.dir``. A private folder is only
+Stage tables are written as Parquet below the shared folder the cluster names in
+``spark.checkpoint.dir``. A private folder is only
 chosen when nothing is configured and Spark runs in local mode (tests).
 """
 
@@ -67,22 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Cut lineage: write the stage reliably and continue from the written copy.
-
-    Reliable checkpoints survive executor loss (unlike local checkpoints).
-    """
-    if not enabled:
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table below the shared checkpoint folder and read it back.
 
-    Cuts lineage as :func:`materialize` does, and readers keep column pruning, filter
-    pushdown and file statistics. Rows may come back in other partitions.
+    Readers keep column pruning, filter pushdown and file statistics, which a checkpoint
+    loses. Rows may come back in other partitions. The files stay until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
@@ -90,6 +79,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
+    """Cut lineage: write the stage and continue from the written copy, which survives the
+    loss of executors. ``enabled=False`` leaves the stage lazy."""
+    return written(df) if enabled else df
+
+
 def plan_text(df: DataFrame, mode: str = "extended") -> str:
     """The text ``df.explain(mode)`` prints (physical plan included)."""
     buf = io.StringIO()
