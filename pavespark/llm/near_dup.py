@@ -188,15 +188,16 @@ def components(edges: DataFrame) -> DataFrame:
 def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFrame:
     """Pairs (a < b) of members of a key that lie in different components and may be linked.
 
-    ``members``: key, rep, component, n, sketch. A key's members are dealt to blocks, and
-    every two blocks meet in a group of their own, so no task needs a whole key.
+    ``members``: key, rep, component, n, sketch, bands. A key's members are dealt to blocks,
+    and every two blocks meet in a group of their own, so no task needs a whole key. Of the
+    keys that a pair shares only the first one gives it, so every pair comes once.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (members.join(sizes, "key").withColumn("own", own)
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-             .select("key", "i", "j", "own", "rep", "component", "n", "sketch"))
+             .select("key", "i", "j", "own", "rep", "component", "n", "sketch", "bands"))
     columns = dealt.columns
 
     def meet(group: pd.DataFrame) -> list[tuple[int, int]]:
@@ -204,6 +205,7 @@ def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFram
             return []
         rep, comp, n = (group[c].to_numpy() for c in ("rep", "component", "n"))
         sketch = np.frombuffer(b"".join(group["sketch"]), np.uint64).reshape(len(group), -1)
+        key, bands = group["key"].iloc[0], np.stack(group["bands"].to_numpy())
         left = np.flatnonzero(group["own"].to_numpy() == group["i"].iloc[0])
         right = np.flatnonzero(group["own"].to_numpy() == group["j"].iloc[0])
         out = []
@@ -211,6 +213,8 @@ def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFram
             ys = right[(comp[right] != comp[x])]
             if group["i"].iloc[0] == group["j"].iloc[0]:
                 ys = ys[rep[ys] > rep[x]]
+            shared = bands[ys] == bands[x]
+            ys = ys[bands[x][shared.argmax(axis=1)] == key] if len(ys) else ys
             if len(ys):
                 differing = np.bitwise_count(sketch[ys] ^ sketch[x]).sum(axis=1)
                 good = ys[alike(n[ys], n[x], differing, percent)]
@@ -235,7 +239,7 @@ def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFram
         yield from frames(rows(), ["a", "b"])
 
     return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInPandas(stream, "a long, b long").distinct())
+            .mapInPandas(stream, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75,
@@ -253,7 +257,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
               .where("least < most").select("key", "least"))
     members = written(keyed.join(shared, "key"))
 
-    sketches = reps.select("rep", "n", "sketch").dropDuplicates(["rep"])
+    sketches = reps.select("rep", "n", "sketch", "bands").dropDuplicates(["rep"])
     first = members.where("rep > least").select(F.col("least").alias("a"),
                                                 F.col("rep").alias("b")).distinct()
 

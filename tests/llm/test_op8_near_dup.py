@@ -90,10 +90,13 @@ def test_components_of_long_paths(spark):
 def test_pairs_across_misses_no_pair_in_blocks(spark):
     """Members of one key in many components, all equal: every pair across has to come."""
     sketch = near_dup.odd_sketch(np.arange(50, dtype=np.uint64))
-    rows = [(7, i, i % 10, 50, sketch) for i in range(45)] + [(8, 100, 1, 50, sketch), (8, 101, 1, 50, sketch)]
-    members = spark.createDataFrame(rows, "key long, rep long, component long, n long, sketch binary")
-    found = {tuple(r) for r in near_dup.pairs_across(members, 75, block=8).collect()}
-    assert found == {(i, j) for i in range(45) for j in range(i + 1, 45) if i % 10 != j % 10}
+    rows = [(7, i, i % 10, 50, sketch, [6, 7, 9]) for i in range(45)]
+    rows += [(9, *r[1:]) for r in rows]  # a later key that all share, too
+    rows = [(k, i, c, n, s, [i, 7, 9]) for k, i, c, n, s, _ in rows]
+    rows += [(8, 100, 1, 50, sketch, [8, 0, 0]), (8, 101, 1, 50, sketch, [8, 1, 1])]
+    members = spark.createDataFrame(rows, "key long, rep long, component long, n long, sketch binary, bands array<long>")
+    found = [tuple(r) for r in near_dup.pairs_across(members, 75, block=8).collect()]
+    assert sorted(found) == [(i, j) for i in range(45) for j in range(i + 1, 45) if i % 10 != j % 10]
 
 
 @pytest.mark.parametrize("n", [20, 300, 900, 6000])
