@@ -50,6 +50,9 @@ def captures(pages: DataFrame) -> DataFrame:
     originals = (made.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest")
                  .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("n"))
                  .where("n > 1").select("digest", "original"))
+    # written, so its size is known: Spark broadcasts it only below its limit, and only
+    # beyond that are the payloads shuffled
+    originals = written(originals)
     refers = F.when(~F.col("original").eqNullSafe(F.col("page_id")), F.col("original"))
     return made.join(originals, "digest", "left").withColumn("refers_to", refers)
 
