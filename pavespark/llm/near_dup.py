@@ -133,11 +133,8 @@ def alike(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray, percent: int)
     return sizes & (estimate(n_a, n_b, differing) >= percent / 100 - margin)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(docs.join(ids, "doc_id", "left_semi")
-                    .groupBy("doc_id").agg(F.min("text").alias("text")))
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold; ``texts``: doc_id, text."""
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, text_a: pd.Series, text_b: pd.Series) -> pd.Series:
@@ -256,6 +253,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
     shared = (keyed.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
               .where("least < most").select("key", "least"))
     members = written(keyed.join(shared, "key"))
+    # only representatives that share a key can be in a pair; their texts are gathered once
+    ids = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = written(docs.join(ids, "doc_id", "left_semi")
+                    .groupBy("doc_id").agg(F.min("text").alias("text")))
 
     sketches = reps.select("rep", "n", "sketch", "bands").dropDuplicates(["rep"])
     first = members.where("rep > least").select(F.col("least").alias("a"),
@@ -271,7 +272,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
                                F.col("sketch").alias("s_" + s)) for s in "ab"}
     near = written(first.join(side["b"], "b").join(side["a"], "a")
                    .where(possible("n_a", "n_b", "s_a", "s_b")).select("a", "b"))
-    edges = written(confirmed(near, docs, percent))
+    edges = written(confirmed(near, texts, percent))
     labels = components(edges)
 
     placed = written(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -280,7 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
                  .where("x < y").select("key"))
     open_members = placed.join(open_keys, "key", "left_semi").join(sketches, "rep")
     late = written(pairs_across(open_members, percent))
-    more = written(confirmed(late, docs, percent))
+    more = written(confirmed(late, texts, percent))
     if not more.isEmpty():
         labels = components(edges.union(more))
 
