@@ -7,7 +7,9 @@ weights of group names together and towards what they add by themselves: nothing
 neutral mention does not raise a score.
 
 The classifier is fitted on at most ``sample_size`` labelled rows in one task of bounded
-size, and scores every whole text. Null texts are scored as empty ones: the intercept alone.
+size, and scores every whole text. Every sampled row stands for as many rows as its label has
+for each one sampled, so the shares of the labels, and with them the meaning of a score, are
+those of all labelled rows, however many there are. Null texts are scored as empty ones: the intercept alone.
 With no label to learn from every score is 0. Repeated rows are scored one by one.
 """
 
@@ -108,14 +110,18 @@ class Rows:
 
 
 def fit(texts: list[str], labels: list[int], most: int = 6000, least_texts: int = 2,
-        least_gain: float = 4.0, ridge: float = 0.1, balance: float = 5.0, steps: int = 300) -> dict[str, float]:
+        least_gain: float = 4.0, ridge: float = 0.1, balance: float = 5.0, steps: int = 300,
+        stands_for: list[float] | None = None) -> dict[str, float]:
     """Weights by feature; '' is the intercept.
 
     Minimises the log loss, plus ``ridge`` times the squared weights, plus ``balance`` times
-    the squared differences of scores between texts and their counterfactuals.
+    the squared differences of scores between texts and their counterfactuals. ``stands_for``
+    tells how many rows each text stands for (one, if None); only the proportions count.
     """
     words = [words_in(t) for t in texts]
     y = np.array(labels, float)
+    share = np.ones(len(y)) if stands_for is None else np.array(stands_for, float)
+    share = share / share.mean() if len(y) else share
     names = chosen(words, y.astype(int), most, least_texts, least_gain)
     column = {f: i for i, f in enumerate(names)}
 
@@ -123,16 +129,17 @@ def fit(texts: list[str], labels: list[int], most: int = 6000, least_texts: int
         return Rows([[column[f] for f in features_of(s) if f in column] for s in sets], len(names))
 
     x = coded(words)
-    swapped = [(w, c) for i, w in enumerate(words) if (c := counterfactual(w, i))]
-    before, after = coded([w for w, _ in swapped]), coded([c for _, c in swapped])
+    swapped = [(w, c, share[i]) for i, w in enumerate(words) if (c := counterfactual(w, i))]
+    before, after = coded([w for w, _, _ in swapped]), coded([c for _, c, _ in swapped])
+    swapped_share = np.array([a for _, _, a in swapped])
     w, b = np.zeros(len(names)), 0.0
     m, v, t = np.zeros(len(names) + 1), np.zeros(len(names) + 1), 0
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x.times(w) + b, -30, 30)))
-        error = p - y
+        error = share * (p - y)
         gradient = x.transposed_times(error) + 2 * ridge * w
         if swapped:
-            gap = before.times(w) - after.times(w)
+            gap = swapped_share * (before.times(w) - after.times(w))
             gradient += 2 * balance * (before.transposed_times(gap) - after.transposed_times(gap))
         g = np.append(gradient, error.sum()) / max(1, len(y))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -152,17 +159,23 @@ def score(text: str, weights: dict[str, float]) -> float:
 
 def trained(docs: DataFrame, labels: DataFrame, sample_size: int = 12_000) -> dict[str, float]:
     """Weights from ``labels`` (doc_id, label) of ``docs`` (doc_id, text): of either label the
-    first ``sample_size`` / 2 by a hash of the id."""
+    first ``sample_size`` / 2 by a hash of the id, weighted by the label's count over its
+    sampled count."""
+    bound = sample_size // 2
+    known = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
-              .withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample_size // 2))
-    # at most sample_size rows of two numbers
+    sample = (known.join(F.broadcast(sizes), "label")
+              .withColumn("at", F.row_number().over(order)).where(F.col("at") <= bound))
+    stands_for = F.col("n") / F.least("n", F.lit(bound))
+    # at most sample_size rows of four numbers
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(
-        F.broadcast(sample.select("doc_id", "label", "at")), "doc_id")
+        F.broadcast(sample.select("doc_id", "label", "at", stands_for.alias("stands_for"))), "doc_id")
 
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["label", "at", "text"])
-        return pd.DataFrame(fit(part["text"].tolist(), part["label"].tolist()).items(),
+        return pd.DataFrame(fit(part["text"].tolist(), part["label"].tolist(),
+                                stands_for=part["stands_for"].tolist()).items(),
                             columns=["feature", "weight"])
 
     found = rows.groupBy(F.lit("all").alias("rows")).applyInPandas(learn, "feature string, weight double")

@@ -75,6 +75,27 @@ def test_toxicity_query_parts(spark, make_docs, labelled, odd_docs, no_docs):
     assert {r["score"] for r in toxicity.scored(odd_docs, none, F.lit(True)).collect()} == {0.0}
 
 
+def test_scores_keep_their_meaning_when_one_label_is_over_the_bound(spark, make_docs):
+    rng = random.Random(14)
+    labels = [int(i % 10 == 0) for i in range(1200)]
+    texts = []
+    for y in labels:
+        words = sentence(rng, 20).split()
+        if rng.random() < (0.5 if y else 0.05):  # about half of the texts with the word are toxic
+            words.append("zorgal")
+        texts.append(" ".join(words))
+    known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, label int")
+    docs = make_docs(texts)
+    whole = toxicity.trained(docs, known)
+    # all 120 toxic rows, 150 of 1080 clean ones
+    bounded = toxicity.trained(docs, known, sample_size=300)
+    for found in (whole, bounded):
+        # plain words that a small sample takes for signs are left out
+        with_word, without = toxicity.score("zorgal", found), toxicity.score("", found)
+        assert with_word == pytest.approx(0.53, abs=0.15) and without < 0.15
+        assert np.mean([toxicity.score(t, found) for t in texts]) == pytest.approx(0.1, abs=0.04)
+
+
 # --- operator 5
 
 
