@@ -39,6 +39,7 @@ VALUES = BANDS * ROWS
 SAMPLE = 1024
 SKETCH_BITS = 2048
 WHOLE_MARGIN, SAMPLE_MARGIN = 0.05, 0.1
+ERRORS = 5.5
 _random = np.random.default_rng(20240807)
 MULTIPLIERS = (_random.integers(0, 1 << 32, VALUES, np.uint64) | np.uint64(1)).astype(np.uint32)
 WORD_FACTORS = _random.integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,11 +127,29 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", describe("text").alias("f")).select("doc_id", "f.*")
 
 
+def margin(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """How far the estimate of a pair at the threshold may lie below it.
+
+    The sample of the larger set is a draw without replacement of which ``share`` is common
+    to both sets; the bits in which the sketches differ spread it further.
+    """
+    most, t = np.maximum(n_a, n_b), percent / 100
+    k_a, k_b, k = (np.minimum(n, SAMPLE) for n in (n_a, n_b, most))
+    reach = np.minimum(k_a / n_a, k_b / n_b)
+    common = t * (n_a + n_b) / (1 + t)
+    share = np.minimum(common / most, 1)
+    drawn = k * share * (1 - share) * (most - k) / np.maximum(most - 1, 1)
+    apart = np.maximum(k_a + k_b - 2 * common * reach, 0)
+    even = np.exp(-2 * apart / SKETCH_BITS)
+    bits = np.maximum(SKETCH_BITS / 4 * (1 - even ** 2) - apart * even ** 2, 0)
+    error = np.sqrt(drawn + bits / (4 * even ** 2)) / reach * (n_a + n_b) / (n_a + n_b - common) ** 2
+    return np.maximum(np.where(most <= SAMPLE, WHOLE_MARGIN, SAMPLE_MARGIN), ERRORS * error)
+
+
 def alike(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes and sketches leave the threshold possible."""
     sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    margin = np.where(np.maximum(n_a, n_b) <= SAMPLE, WHOLE_MARGIN, SAMPLE_MARGIN)
-    return sizes & (estimate(n_a, n_b, differing) >= percent / 100 - margin)
+    return sizes & (estimate(n_a, n_b, differing) >= percent / 100 - margin(n_a, n_b, percent))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
