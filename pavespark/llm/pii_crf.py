@@ -293,10 +293,11 @@ def all_spans(text: str, weights: dict[str, float], sure: float = 0.9) -> tuple[
 def trained(docs: DataFrame, sample_rows: int = 3000) -> dict[str, float]:
     """Weights from at most ``sample_rows`` texts that hold a digit or an at-sign, the first
     by a hash of the id among those that hold one."""
-    total = docs.count()
+    holding = docs.where(F.col("text").rlike("[0-9@]"))
+    total = holding.count()
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
-    near = docs.where(spread.cast("double") * max(1, total) <= 1_000_003.0 * 4 * sample_rows)
-    sample = (near.select("text", spread.alias("spread"), "doc_id").where(F.col("text").rlike("[0-9@]"))
+    near = holding.where(spread.cast("double") * max(1, total) <= 1_000_003.0 * 4 * sample_rows)
+    sample = (near.select("text", spread.alias("spread"), "doc_id")
               .orderBy("spread", "doc_id", "text").limit(sample_rows))
 
     def learn(part: pd.DataFrame) -> pd.DataFrame:

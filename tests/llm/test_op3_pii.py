@@ -103,6 +103,14 @@ def test_found(spark, make_docs, private, odd_docs, no_docs):
     assert pii_crf.trained(no_docs) == {}
 
 
+def test_sample_is_full_where_few_texts_hold_data(make_docs, monkeypatch):
+    texts = [f"call +1 (300) 555-0{i}" if i % 50 == 0 else "nothing here" for i in range(100, 3100)]
+    docs = make_docs(texts)  # 60 texts hold a digit
+    # the sample goes to a task of its own; its size is told by a weight
+    monkeypatch.setattr(pii_crf, "fit", lambda found: {"n": float(len(found))})
+    assert pii_crf.trained(docs, sample_rows=20) == {"n": 20.0}
+
+
 def test_masked(make_docs):
     docs = make_docs(["to a@b.co and 10.0.0.1", None, "é +1 (800) 555-0100; 4111111111111111"])
     rows = {r["doc_id"]: r["text"] for r in pii_crf.masked(docs, {}).collect()}
