@@ -1,5 +1,5 @@
 """End-to-end survey stage chain: each stage table is built once, materialised
-(reliable checkpoint in the cluster's checkpoint folder) and reused by the
+(as Parquet in the cluster's checkpoint folder) and reused by the
 later stages, so every repair reads a written input instead of a growing
 lineage, and a lost executor only recomputes from the last written stage.
 
