@@ -100,6 +100,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                               vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pavespark.llm.license_scan import scanned
+
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_index": op1_warc_index,
     "op2_toxicity": op2_toxicity,
@@ -111,8 +129,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dup": op8_near_dup,
     "op9_bpe_count": op9_bpe_count,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_license_scan": op13_license_scan,
 }
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def license_sql() -> str:
+    """Every block of every text against every template, without an index or a filter."""
+    from pavespark.llm import license_scan as ls
+
+    def strings(words: list[bytes]) -> str:
+        return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+    named = ", ".join(f"({strings(ls.words_of(p))}, '{label}')" for p, label in ls.PHRASES)
+    templates = []
+    for number, (label, text) in enumerate(ls.TEMPLATES):
+        words = ls.words_of(text)
+        templates.append(f"({number}, '{label}', {strings(sorted(set(words)))}, "
+                         f"{1 << (len(words) - 1).bit_length()}, {ls.needed(len(set(words)), ls.THRESHOLD)})")
+    return f"""
+        WITH w AS (
+            SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM documents),
+        named(phrase, label) AS (VALUES {named}),
+        templates(number, label, own, size, need) AS (VALUES {", ".join(templates)}),
+        base AS (
+            SELECT id, i - 1 AS place, label
+            FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS i FROM w), named
+            WHERE words[i] = phrase[1] AND list_slice(words, i, i + len(phrase) - 1) = phrase),
+        blocks AS (
+            SELECT id, size, list_distinct(list_slice(words, k * size + 1, (k + 2) * size)) AS block
+            FROM (SELECT id, words, size, unnest(range(0, greatest(1, (len(words) + size - 1) // size))) AS k
+                  FROM w, (SELECT DISTINCT size FROM templates))),
+        met AS (
+            SELECT id, label, max(len(list_intersect(block, own)) / len(own)) AS share
+            FROM blocks JOIN templates USING (size)
+            WHERE len(list_intersect(block, own)) >= need GROUP BY ALL),
+        said AS (SELECT id, label FROM base UNION SELECT id, label FROM met)
+        SELECT doc_id, len(words) AS n_words,
+               (SELECT count(*) FROM base b WHERE b.id = w.id) AS n_base,
+               (SELECT min(place) FROM base b WHERE b.id = w.id) AS first_word,
+               (SELECT max(place) FROM base b WHERE b.id = w.id) AS last_word,
+               coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM base b WHERE b.id = w.id), '')
+                   AS base_labels,
+               coalesce((SELECT string_agg(label, ',' ORDER BY label) FROM said s WHERE s.id = w.id), '') AS labels,
+               CASE WHEN EXISTS (SELECT 1 FROM base b WHERE b.id = w.id) THEN 1.0::DOUBLE
+                    ELSE coalesce((SELECT max(share) FROM met m WHERE m.id = w.id), 0)::DOUBLE END AS score
+        FROM w
+    """
+
+
 ORACLE: dict[str, str] = {
     "op1_warc_index": """
         WITH p AS (
@@ -173,4 +244,39 @@ ORACLE: dict[str, str] = {
             FROM scored)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op12_source_divergence": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+        t AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(
+                text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+        kinds AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        cells AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+            FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        p AS (
+            SELECT *, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+            FROM cells JOIN kinds USING (lang)),
+        q AS (
+            SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN kinds USING (lang)),
+        far AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+              FROM found)
+        WHERE part = 'pair' OR rank <= 50
+    """,
+    "op13_license_scan": license_sql(),
 }

@@ -13,6 +13,22 @@ def sentence(rng: random.Random, n: int) -> str:
     return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n))
 
 
+@pytest.fixture(scope="session")
+def sf_small():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def sf_duck(sf_small):
+    """DuckDB with the small tables as views."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_small}/{name}.parquet')")
+    return con
+
+
 @pytest.fixture(scope="session")
 def rng():
     return random.Random(17)
