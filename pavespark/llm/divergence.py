@@ -171,8 +171,10 @@ def pair_sums(kept: DataFrame, groups: DataFrame, least: int = 1 << 15, most: in
         base = there.sort_values("number")["base"].to_numpy(np.int64)
         found = scattered(postings["number"].to_numpy(np.int64), pd.factorize(postings["term"])[0],
                           postings["p"].to_numpy(np.int64), base)
-        return pd.DataFrame({"lang": key[0], "number": list(found), "acc": list(found.values())},
-                            columns=["lang", "number", "acc"])
+        # a slice that no term fell into gives no rows, of the same types
+        return pd.DataFrame({"lang": pd.Series([key[0]] * len(found), dtype=object),
+                             "number": pd.Series(list(found), dtype="int32"),
+                             "acc": pd.Series(list(found.values()), dtype=object)})
 
     found = own.groupBy("lang", "slice").cogroup(everywhere.groupBy("lang", "slice")).applyInPandas(
         scatter, "lang string, number int, acc array<long>")

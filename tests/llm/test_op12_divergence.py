@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 
 from pavespark.llm import divergence as dv
-from pavespark.llm import queries
 
 TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n string, item string, value string, base string"
@@ -95,11 +94,3 @@ def test_scatter_in_small_steps():
             if g != h:
                 value = 30 * abs(base[g] - base[h]) + whole[g][h] + whole[h][g]
                 assert value == np.abs(table[g] - table[h]).sum()
-
-
-def test_sql(spark, sf_duck, sf_small):
-    got = sorted(tuple(r) for r in queries.QUERIES["op12_source_divergence"](spark, sf_small)
-                 .select("lang", "source", "part", "item", "value", "rank").collect())
-    want = sf_duck.execute("SELECT lang, source, part, item, value, rank FROM ("
-                           + queries.ORACLE["op12_source_divergence"] + ")").fetchall()
-    assert got == sorted(want) and len(got) > 400
