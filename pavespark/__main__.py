@@ -15,6 +15,9 @@ import argparse
 from pavespark.plans.stages import FORMS, SurveyStages
 from pavespark.session import get_spark
 from pavespark.sources.exported import load_run_folder, load_tables
+from pavespark.sources.raw import load_raw_folder
+
+LAYOUTS = ("partitioned", "run", "process", "raw", "raw-parquet")
 
 
 def main(argv=None) -> None:
@@ -26,15 +29,22 @@ def main(argv=None) -> None:
                     help="output folder for the deliverable tables (Parquet by run)")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--pave-gap-mode", default="reference", choices=("reference", "window"))
-    ap.add_argument("--layout", default="partitioned", choices=("partitioned", "run", "process"),
+    ap.add_argument("--layout", default="partitioned", choices=LAYOUTS,
                     help="partitioned: as above; run, process: <tables>/survey_data/<date>/"
-                         "[process/]<run>/<table>.csv")
+                         "[process/]<run>/<table>.csv; raw, raw-parquet: the seven tables of every "
+                         "run as exported, <tables>/survey_data/<date>/<run>_edit/GPS_Processed_<run>.csv ...")
+    ap.add_argument("--encoding", default="UTF-8", help="character set of raw CSV exports")
     ap.add_argument("--form", default="run", choices=FORMS,
                     help="folder: only stations with a picture count for GPS status and events")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
-    tables = (load_tables(spark, a.tables) if a.layout == "partitioned"
-              else load_run_folder(spark, a.tables, a.layout))
+    if a.layout == "partitioned":
+        tables = load_tables(spark, a.tables)
+    elif a.layout.startswith("raw"):
+        tables = load_raw_folder(spark, a.tables, "parquet" if a.layout == "raw-parquet" else "csv",
+                                 encoding=a.encoding)
+    else:
+        tables = load_run_folder(spark, a.tables, a.layout)
     stages = SurveyStages(tables, pave_gap_mode=a.pave_gap_mode, form=a.form)
     for name in stages.write_deliverables(a.out):
         print(f"wrote {a.out.rstrip('/')}/{name}")

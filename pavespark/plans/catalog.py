@@ -85,6 +85,63 @@ def q_interchange_roundtrip(spark, sf_dir) -> DataFrame:
         exported.read_run_partitioned_csv(spark, path, schemas.LASER_CSV))
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder below the cluster's checkpoint directory."""
+    import uuid
+
+    from pavespark.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pavespark-{name}-{uuid.uuid4().hex}"
+
+
+_RAW_EXPORTS: dict = {}
+
+
+def _raw_inputs(spark, sf_dir):
+    """SRC-1..4 over the seven raw tables of every run, written in the van's export layout and
+    read back from there (one export per session and input files)."""
+    from pavespark.sources import fixtures, raw
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir))
+    if key not in _RAW_EXPORTS:
+        root = _scratch(spark, "raw")
+        raw.write_raw_tables(fixtures.raw_tables(spark, sf_dir), root, "20240101")
+        _RAW_EXPORTS[key] = root
+    return raw.load_raw_folder(spark, _RAW_EXPORTS[key])
+
+
+def _register_raw_extract(table: str):
+    @register(f"raw_{table}_extract")
+    def q_raw_extract(spark, sf_dir) -> DataFrame:
+        return getattr(_raw_inputs(spark, sf_dir), table)
+
+
+for _table in ("laser", "key", "pic", "pave"):
+    _register_raw_extract(_table)
+
+
+@register("run_folder_discovery")
+def q_run_folder_discovery(spark, sf_dir) -> DataFrame:
+    """SRC-6: the station and picture files of every run of a dated folder, found in one scan
+    each; the run comes from the path."""
+    from pavespark.sources import exported, raw, schemas
+    p = stages(spark, sf_dir)
+    root = _scratch(spark, "runs")
+    found = []
+    for table, schema, df in (("access_valuelaser", schemas.LASER_CSV, p.laser),
+                              ("access_pic", schemas.PIC_CSV, p.pic)):
+        columns = [f.name for f in schema.fields]
+        if table == exported.TABLE_FOLDERS["laser"]:  # the station files hold the run, too
+            df = df.withColumn("held", F.col("file_name"))
+            columns = [*columns[:-1], "held", "file_name"]
+        raw.write_by_run(df.select(*columns), f"{root}/_{table}", lambda run, t=table:
+                         f"{root}/survey_data/20240101/{run}_edit/{t}.csv", header=False)
+        x = "chainage" if "chainage" in columns else "chainage_pic"
+        rows = exported.read_run_folder(spark, root, table, schema)
+        found.append(rows.groupBy("file_name").agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n"),
+            F.min(x).cast("double").alias("first"), F.max(x).cast("double").alias("last")))
+    return found[0].unionByName(found[1])
+
+
 # ------------------------------------------------------------------ projections
 @register("iri_clamp")
 def q_iri_clamp(spark, sf_dir) -> DataFrame:

@@ -184,6 +184,14 @@ class Inputs:
     pave: DataFrame
 
 
+def raw_tables(spark: SparkSession, sf_dir: str, layout: str | None = None):
+    """The seven exported tables of all runs, as ``raw.RawTables``."""
+    from pavespark.sources.raw import RawTables
+    ev = events(spark, sf_dir, layout)
+    return RawTables(gps=gps(ev), iri=iri(ev), tpl=tpl(ev), mpd=mpd(ev), keycode=keycode(ev),
+                     video_row=video_row(ev), video_pave=video_pave(ev))
+
+
 def load(spark: SparkSession, sf_dir: str, layout: str | None = None) -> Inputs:
     ev = events(spark, sf_dir, layout)
     return Inputs(
