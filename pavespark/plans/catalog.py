@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pavespark.functions import codes as C
 from pavespark.functions import predicates as P
 from pavespark.plans.stages import SurveyStages
+from pavespark.session import materialize
 
 QUERIES: dict = {}
 FLAGSHIP = "survey_point"
@@ -272,14 +273,15 @@ def q_event_near_station(spark, sf_dir) -> DataFrame:
 @register("line_interpolate")
 def q_line_interpolate(spark, sf_dir) -> DataFrame:
     """GEO-5 over whole tables: the point at 37 % of each link's line of present grid stations."""
-    from pavespark.operators.geometry import add_point_at, line_agg
+    from pavespark.operators.geometry import line_agg
+    from pavespark.operators.lines import points_on_lines
     d = stages(spark, sf_dir).station_table
-    lines = (d.where(P.on_grid("chainage") & P.gps_present())
-              .groupBy("file_name", "link_id", "event_str")
-              .agg(line_agg("chainage", "geom_lon", "geom_lat").alias("line")))
-    lines = add_point_at(lines, "line", F.lit(0.37), "pt")
-    return lines.select("file_name", "link_id", "event_str", F.col("pt.lon").alias("lon"),
-                        F.col("pt.lat").alias("lat"))
+    lines = materialize(d.where(P.on_grid("chainage") & P.gps_present())
+                        .groupBy("file_name", "link_id", "event_str")
+                        .agg(line_agg("chainage", "geom_lon", "geom_lat").alias("line")))
+    keys = ["file_name", "link_id", "event_str"]
+    found = points_on_lines(lines.select(*keys), lines, keys, F.lit(0.37), line="line")
+    return found.select(*keys, F.col("pt.lon").alias("lon"), F.col("pt.lat").alias("lat"))
 
 
 # ---------------------------------------------------------------------- repairs
@@ -471,6 +473,15 @@ def q_repair_pave_gaps(spark, sf_dir) -> DataFrame:
     return _pave_points(stages(spark, sf_dir).pave_gaps_filled)
 
 
+@register("repair_pave_gaps_window")
+def q_repair_pave_gaps_window(spark, sf_dir) -> DataFrame:
+    """REP-8 along the window's own valid images (``mode="window"``)."""
+    from pavespark.plans import deliverables as D
+    p = stages(spark, sf_dir)
+    return _pave_points(D.repair_pave_gaps(p.pave_table, p.pave_gps_lost, p.survey,
+                                           extent=p.pave_extent, mode="window"))
+
+
 @register("repair_pave_frozen")
 def q_repair_pave_frozen(spark, sf_dir) -> DataFrame:
     return _pave_points(stages(spark, sf_dir).pave_final)

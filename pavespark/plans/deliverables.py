@@ -15,9 +15,10 @@ from pavespark import constants as K
 from pavespark.functions import codes as C
 from pavespark.functions import predicates as P
 from pavespark.functions.measures import MEASURES
-from pavespark.operators.geometry import add_point_at, length_km, line_agg
+from pavespark.operators.geometry import length_km, line_agg
 from pavespark.operators.joins import range_join
 from pavespark.operators.linear import gap_rows, lost_islands
+from pavespark.operators.lines import points_on_lines
 from pavespark.operators.repair import _one_per_key, _real_fraction, apply_corrections
 from pavespark.operators.windows import null_safe_join, global_row_number, ordered_index
 from pavespark.session import materialize
@@ -321,22 +322,32 @@ def pave_gps_lost(pave_df: DataFrame, extent=None) -> DataFrame:
     return gap_rows(islands, targets, "chainage_pic", K.PAVE_GAP_MARGIN_M, extent=extent)
 
 
+ISLAND = [RUN, "link_id", "date", "grp2", "min", "max"]
+
+
+def _per_island(lost: DataFrame, images: DataFrame, extent=None) -> DataFrame:
+    """``images`` (RUN, b, ...) inside each island's window: one interval per island, so the
+    join is linear in gap length."""
+    islands = lost.select(*ISLAND, "new_p_min", "new_p_max").distinct()
+    return range_join(images, islands, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN],
+                      extent=extent).drop("new_p_min", "new_p_max")
+
+
 def pave_gap_fixes_window(pave_df: DataFrame, lost: DataFrame, extent=None) -> DataFrame:
-    """REP-8, ``mode="window"``: interpolate along the window's own images with valid
+    """REP-8, ``mode="window"``: interpolate along the island window's own images with valid
     GPS, like the station gap fill (fraction of the valid images' span)."""
     b = (pave_df.where(F.col("chainage_pic").isNotNull() & P.gps_valid())
                 .select(RUN, F.col("chainage_pic").alias("b"), "geom_lon", "geom_lat"))
-    a = lost.select(RUN, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter", "link_id",
-                    "date", "new_p_min", "new_p_max")
-    j = range_join(b, a, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN], extent=extent)
-    g = (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date")
-          .agg(F.min("b").alias("chainage_str"), F.max("b").alias("chainage_end"),
-               line_agg("b", "geom_lon", "geom_lat").alias("line")))
-    g = (g.where(P.as_real(F.col("chainage_end") - F.col("chainage_str")) > 0)
-          .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
+    lines = materialize(_per_island(lost, b, extent).groupBy(*ISLAND).agg(
+        F.min("b").alias("chainage_str"), F.max("b").alias("chainage_end"),
+        line_agg("b", "geom_lon", "geom_lat").alias("line")))
+    span = P.as_real(F.col("chainage_end") - F.col("chainage_str"))
+    a = lost.select(*ISLAND, F.col("chainage_pic").alias("gps_lost_ch"), "c_p")
+    g = null_safe_join(a, lines.drop("line").where(span > 0), ISLAND)
+    g = (g.withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
                                           F.col("chainage_end") - F.col("chainage_str")))
           .where((F.col("f") >= 0) & (F.col("f") <= 1)))
-    g = add_point_at(g, "line", "f", "pt")
+    g = points_on_lines(g, lines.where(span > 0).select(*ISLAND, "line"), ISLAND, "f", line="line")
     fixes = g.select(RUN, "date", "link_id", "gps_lost_ch", "c_p",
                      F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "date", "link_id", "gps_lost_ch"], ["c_p", "new_lon", "new_lat"])
@@ -348,25 +359,22 @@ def pave_gap_fixes(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
     survey line of the window images' link (Q-18 reference mode)."""
     b = pave_df.where(F.col("survey_id").isNotNull()).select(
         RUN, F.col("chainage_pic").alias("b"), F.col("survey_id").alias("b_survey"))
-    # window images per island (one interval per island, linear in gap length), reduced to
-    # min/max per island and survey, then attached to the island's lost images
-    isl = [RUN, "link_id", "date", "grp2", "min", "max"]
-    islands = lost.select(*isl, "new_p_min", "new_p_max").distinct()
-    per_island = (range_join(b, islands, "b", F.col("new_p_min"), F.col("new_p_max"), keys=[RUN],
-                             extent=extent)
-                  .groupBy(*isl, "b_survey").agg(F.min("b").alias("_bmin"), F.max("b").alias("_bmax")))
-    a = lost.select(*isl, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter")
-    j = null_safe_join(a, per_island, isl)  # images without a survey have a NULL date
+    # window images per island, reduced to min/max per island and survey, then attached to the
+    # island's lost images
+    per_island = (_per_island(lost, b, extent).groupBy(*ISLAND, "b_survey")
+                  .agg(F.min("b").alias("_bmin"), F.max("b").alias("_bmax")))
+    a = lost.select(*ISLAND, F.col("chainage_pic").alias("gps_lost_ch"), "c_p", "meter")
+    j = null_safe_join(a, per_island, ISLAND)  # images without a survey have a NULL date
     g = (j.groupBy(RUN, "gps_lost_ch", "c_p", "meter", "link_id", "date", "b_survey")
           .agg(F.min("_bmin").alias("chainage_str"), F.max("_bmax").alias("chainage_end")))
     p2 = P.as_real(F.col("chainage_end") - F.col("chainage_str"))
     g = (g.where(p2 > 0)
           .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
                                           F.col("chainage_end") - F.col("chainage_str"))))
-    lines = survey_df.select(F.col("survey_id").alias("b_survey"), "the_geom",
-                             F.col("link_id").alias("s_link"))
-    g = g.join(lines, "b_survey").where((F.col("f") >= 0) & (F.col("f") <= 1))
-    g = add_point_at(g, "the_geom", "f", "pt")
+    links = survey_df.select(F.col("survey_id").alias("b_survey"), F.col("link_id").alias("s_link"))
+    g = g.join(links, "b_survey").where((F.col("f") >= 0) & (F.col("f") <= 1))
+    g = points_on_lines(g, survey_df.select(F.col("survey_id").alias("b_survey"), "the_geom"),
+                        ["b_survey"], "f")
     fixes = g.select(RUN, "date", "link_id", "gps_lost_ch",
                      (F.col("s_link") != F.col("link_id")).alias("other_link"), "b_survey", "c_p",
                      F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
@@ -399,12 +407,11 @@ def pave_frozen_fixes(pave_df: DataFrame, survey_df: DataFrame) -> DataFrame:
                   .where(F.col("n") > 1).select(RUN, "geom_lon", "geom_lat").distinct())
     m = (pres.join(frozen, [RUN, "geom_lon", "geom_lat"], "left_semi")
              .select(RUN, "link_id", "chainage_pic", "event_str", "event_end").distinct())
-    lines = survey_df.select(RUN, "link_id", "survey_id", "the_geom")
-    j = m.join(lines, [RUN, "link_id"])
+    j = m.join(survey_df.select(RUN, "link_id", "survey_id"), [RUN, "link_id"])
     p1 = P.as_real(F.col("chainage_pic") - F.col("event_str"))
     p2 = P.as_real(F.col("event_end") - F.col("event_str"))
     j = j.withColumn("f", P.as_real(F.try_divide(p1, p2))).where((F.col("f") > 0) & (F.col("f") < 1))
-    j = add_point_at(j, "the_geom", "f", "pt")
+    j = points_on_lines(j, survey_df.select("survey_id", "the_geom"), ["survey_id"], "f")
     fixes = j.select(RUN, "link_id", "event_str", "chainage_pic", "survey_id",
                      F.col("pt.lon").alias("new_lon"), F.col("pt.lat").alias("new_lat"))
     return _one_per_key(fixes, [RUN, "link_id", "event_str", "chainage_pic"],
