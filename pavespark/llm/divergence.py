@@ -24,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pavespark.llm.common import frames
 from pavespark.session import written
 
 ONE, PRIOR = 1_000_000_000, 5
@@ -47,24 +47,26 @@ def terms(text: str) -> Iterator[list[bytes]]:
         at = end
 
 
-def term_counts(docs: DataFrame, held: int = 200_000) -> DataFrame:
+def term_counts(docs: DataFrame, held: int = 400_000) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents with it), one row a combination."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[tuple[str, str], Counter] = {}
         with_term: dict[tuple[str, str], Counter] = {}
         size = 0
 
-        def rows():
+        def counted() -> Iterator[pa.RecordBatch]:
             for (lang, source), found in n.items():
-                there = with_term[lang, source]
-                for term, k in found.items():
-                    yield lang, source, term.decode("utf-8", "replace"), k, there[term]
+                if found:
+                    there = with_term[lang, source]
+                    own = [pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(found.values(), pa.int64()),
+                           pa.array(map(there.__getitem__, found), pa.int64())]
+                    group = [pa.repeat(pa.scalar(name, pa.string()), len(found)) for name in (lang, source)]
+                    yield pa.RecordBatch.from_arrays(group + own, ["lang", "source", "term", "n", "docs"])
             n.clear()
             with_term.clear()
 
-        names = ["lang", "source", "term", "n", "docs"]
         for batch in batches:
-            for lang, source, text in batch.itertuples(index=False):
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found, there = n.setdefault((lang, source), Counter()), with_term.setdefault((lang, source), Counter())
                 size -= len(found)
                 own: set[bytes] = set()
@@ -74,11 +76,11 @@ def term_counts(docs: DataFrame, held: int = 200_000) -> DataFrame:
                 there.update(own)
                 size += len(found)
                 if size >= held:
-                    yield from frames(rows(), names)
+                    yield from counted()
                     size = 0
-        yield from frames(rows(), names)
+        yield from counted()
 
-    raw = docs.select("lang", "source", "text").mapInPandas(
+    raw = docs.select("lang", "source", "text").mapInArrow(
         count, "lang string, source string, term string, n long, docs long")
     # tasks have counted already; dealt by term, all later steps of a term stay in place
     return (raw.repartition("lang", "term").groupBy("lang", "term", "source")
