@@ -7,9 +7,9 @@ Arithmetic is in integer hundredths, rounded half away from zero once, so
 no double rounding: side values = S/9, the means ``iri`` and ``rutting`` =
 (S_left + S_right)/18 from the unrounded sides.
 
-The frame runs on a distributed row index (value chunks along chainage) in
-fixed-size blocks with a 4-row halo, so a very long run is spread over many
-tasks instead of one window partition.
+The frame runs in chunks along chainage, joined at their seams by the few rows at each
+chunk's ends (``rolling_sums``): one shuffle of the stations, and a very long run is spread
+over many tasks instead of one window partition.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pavespark.operators.windows import ordered_index, rows_frame
+from pavespark.operators.windows import rolling_sums
 
 RUN = "file_name"
 SIDE_MEASURES = ["iri_right", "iri_left", "iri_lane", "rutt_right", "rutt_left", "texture",
@@ -39,24 +39,19 @@ def from_cents(c: Column) -> Column:
     return (c.cast("decimal(12,0)") / 100).cast("decimal(8,2)")
 
 
-def smooth_measures(data: DataFrame, before: int = 4, after: int = 4, block: int = 4096,
+def smooth_measures(data: DataFrame, before: int = 4, after: int = 4,
                     chunk_m: float = 10000.0) -> DataFrame:
-    order = [F.col(c).asc_nulls_last() for c in ORDER]
     chunk = F.coalesce(F.floor(F.col("chainage") / chunk_m), F.lit(1 << 40))
-    d = ordered_index(data, [RUN], order, name="_sidx", chunk=chunk)
-    for m in SIDE_MEASURES:
-        d = d.withColumn(f"_c_{m}", cents(m))
-    aggs = {f"_s_{m}": (lambda w, m=m: F.sum(f"_c_{m}").over(w)) for m in SIDE_MEASURES}
-    d = rows_frame(d, [RUN], "_sidx", before, after, aggs, block=block)
+    d = rolling_sums(data, [RUN], ORDER, chunk, before, after,
+                     {f"_s_{m}": cents(m) for m in SIDE_MEASURES})
     n = before + after + 1
-    out = d
+    out = d.select("*", *(F.col(m).isNotNull().alias(f"_n_{m}") for m in SIDE_MEASURES))
     for m in SIDE_MEASURES:
         out = out.withColumn(m, F.when(F.col(m).isNotNull(),
                                        from_cents(round_div(F.col(f"_s_{m}"), n))))
     for mean, (left, right) in {"iri": ("iri_left", "iri_right"),
                                 "rutting": ("rutt_left", "rutt_right")}.items():
-        both = F.col(f"_c_{left}").isNotNull() & F.col(f"_c_{right}").isNotNull()
+        both = F.col(f"_n_{left}") & F.col(f"_n_{right}")
         out = out.withColumn(mean, F.when(both, from_cents(
             round_div(F.col(f"_s_{left}") + F.col(f"_s_{right}"), 2 * n))))
-    drop = [c for c in out.columns if c.startswith("_c_") or c.startswith("_s_")] + ["_sidx"]
-    return out.drop(*drop).select(*data.columns)
+    return out.select(*data.columns)

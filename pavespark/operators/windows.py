@@ -14,8 +14,8 @@ Two exact methods:
   in-partition order are fixed), then numbered locally plus per-partition
   offsets. Used for global ids.
 
-``rows_frame``: aggregate over a ROWS frame [-before, +after] along that
-index in fixed-size index blocks with a halo of copied neighbour rows. Exact.
+``rolling_sums``: sums over a ROWS frame [-before, +after] in one shuffle by value
+chunks; frames reach over a chunk's seams by the edge rows of its neighbours. Exact.
 """
 
 from __future__ import annotations
@@ -86,24 +86,54 @@ def ordered_index(df: DataFrame, part: Sequence[str], order: Sequence[Column | s
                .drop("_pid", "_mid", "_mid0", "_off"))
 
 
-def rows_frame(df: DataFrame, part: Sequence[str], idx: str, before: int, after: int,
-               aggs: dict, block: int = 4096) -> DataFrame:
-    """Add columns ``aggs`` = {name: fn(window_spec) -> Column} over ROWS
-    [idx-before, idx+after] within ``part``; blocks of ``block`` rows + halo."""
-    b = F.floor(F.col(idx) / block)
-    off = F.col(idx) % block
-    targets = F.array(
-        F.struct(b.alias("_blk"), F.lit(True).alias("_own")),
-        F.when(off < after, F.struct((b - 1).alias("_blk"), F.lit(False).alias("_own"))),
-        F.when(off >= block - before, F.struct((b + 1).alias("_blk"), F.lit(False).alias("_own"))),
-    )
-    copies = (df.withColumn("_t", F.explode(F.filter(targets, lambda t: t.isNotNull())))
-                .withColumn("_blk", F.col("_t._blk")).withColumn("_own", F.col("_t._own"))
-                .drop("_t"))
-    w = Window.partitionBy(*part, "_blk").orderBy(idx).rowsBetween(-before, after)
-    for name, fn in aggs.items():
-        copies = copies.withColumn(name, fn(w))
-    return copies.where("_own").drop("_blk", "_own")
+def rolling_sums(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk: Column, before: int,
+                 after: int, sums: dict[str, Column]) -> DataFrame:
+    """Add each ``sums`` = {name: value} summed over ROWS [-before, +after] within ``part`` by
+    ``order`` (ascending, NULLs last; NULL values count as 0). Exact for whole numbers.
+
+    ``chunk`` is monotone in the order. The rows are shuffled once, by (part, chunk), and each
+    chunk adds up its own rows. What a frame has beyond a seam comes from the edges of the chunks
+    around it: the first and last rows of every chunk, which each map task has reduced to a few
+    before they are shuffled. ``part`` columns must not be NULL.
+    """
+    part, names = list(part), list(sums)
+    d = df.withColumn("_chunk", chunk)
+    for name, value in sums.items():
+        d = d.withColumn(name, F.coalesce(value, F.lit(0)).cast("bigint"))
+    up = [F.col(c).asc_nulls_last() for c in order]
+    down = [F.col(c).desc_nulls_first() for c in order]
+    key = [*part, "_chunk"]
+
+    def edge(sort: list[Column], rows: int, sign: int) -> DataFrame:
+        """Up to ``rows`` rows at one end of every chunk, as one array in order."""
+        n = F.row_number().over(Window.partitionBy(*key).orderBy(*sort))
+        found = d.select(*key, *order, *names).withColumn("_n", n).where(F.col("_n") <= rows)
+        return found.groupBy(*key).agg(F.sort_array(F.collect_list(
+            F.struct((sign * F.col("_n")).alias("_n"), *names))).alias("_e"))
+
+    along = Window.partitionBy(*part).orderBy("_chunk")
+    # every chunk has a row at least, so as many chunks as rows reach far enough
+    earlier = F.flatten(F.collect_list("_e").over(along.rowsBetween(-max(before, 1), -1)))
+    later = F.flatten(F.collect_list("_e").over(along.rowsBetween(1, max(after, 1))))
+    edges = (edge(down, max(before, 1), -1).select(*key, earlier.alias("_earlier"))
+             .join(edge(up, max(after, 1), 1).select(*key, later.alias("_later")), key))
+
+    w = Window.partitionBy(*key).orderBy(*up)
+    d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
+        "_left", F.count(F.lit(1)).over(Window.partitionBy(*key)) - F.col("_rn"))
+    for name in names:
+        d = d.withColumn(f"_s_{name}", F.sum(name).over(w.rowsBetween(-before, after)))
+    d = d.join(edges, key)
+    short, size = (F.lit(before + 1) - F.col("_rn")).cast("int"), F.size("_earlier")
+    ahead = F.slice("_later", F.lit(1), F.greatest(F.lit(0), (F.lit(after) - F.col("_left")).cast("int")))
+    behind = F.slice("_earlier", F.greatest(F.lit(1), size - short + 1), F.greatest(F.lit(0), short))
+
+    def total(rows: Column, name: str) -> Column:
+        return F.aggregate(rows, F.lit(0).cast("bigint"), lambda acc, e: acc + e[name])
+
+    return d.select(*(c for c in df.columns if c not in names), *(
+        (F.col(f"_s_{name}") + F.when(short > 0, total(behind, name)).otherwise(0)
+         + F.when(F.col("_left") < after, total(ahead, name)).otherwise(0)).alias(name) for name in names))
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pavespark.operators.geometry import add_point_at, length_m, line_agg
 from pavespark.operators.joins import near_join, range_join
 from pavespark.operators.smoothing import smooth_measures
-from pavespark.operators.windows import global_row_number, ordered_index, rows_frame
+from pavespark.operators.windows import global_row_number, ordered_index, rolling_sums
 
 
 def test_range_join_equals_brute_force(spark):
@@ -65,16 +65,44 @@ def test_ordered_index_equals_row_number(spark):
     assert sorted(ids) == list(range(2, 2 + df.count()))
 
 
-def test_rows_frame_equals_window(spark):
+def test_rolling_sums_equal_the_window(spark):
+    """Chunks of many, few and single rows; runs of every length; null values and positions."""
     rnd = random.Random(5)
-    rows = [("r" + str(i % 2), i, None if rnd.random() < 0.1 else rnd.randint(0, 1000)) for i in range(700)]
-    df = spark.createDataFrame(rows, "file_name string, idx long, v long")
-    w = Window.partitionBy("file_name").orderBy("idx").rowsBetween(-4, 4)
-    ref = df.withColumn("want", F.sum("v").over(w))
-    d = ref.withColumn("idx", F.row_number().over(Window.partitionBy("file_name").orderBy("idx")) - 1)
-    got = rows_frame(d, ["file_name"], "idx", 4, 4, {"got": lambda ww: F.sum("v").over(ww)}, block=16)
-    assert got.count() == 700
-    assert got.where(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+    rows = [("r" + str(i % 2), float(rnd.randint(0, 3000)), i, None if rnd.random() < 0.1 else rnd.randint(0, 1000))
+            for i in range(700)]
+    rows += [(f"short{n}", 100.0 * i, i, i + 1) for n in range(1, 7) for i in range(n)]
+    rows += [("none", None, i, 5) for i in range(12)]
+    df = spark.createDataFrame(rows, "file_name string, x double, t long, v long")
+    w = Window.partitionBy("file_name").orderBy(F.col("x").asc_nulls_last(), "t")
+    for width, before, after in ((10.0, 4, 4), (100.0, 4, 4), (1e6, 4, 4), (7.0, 2, 5), (50.0, 0, 3), (50.0, 3, 0)):
+        ref = df.withColumn("want", F.coalesce(F.sum("v").over(w.rowsBetween(-before, after)), F.lit(0)))
+        chunk = F.coalesce(F.floor(F.col("x") / width), F.lit(1 << 40))
+        got = rolling_sums(ref, ["file_name"], ["x", "t"], chunk, before, after, {"got": F.col("v")})
+        assert got.count() == len(rows)
+        assert got.where(~F.col("got").eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_islands_do_not_depend_on_chunks(spark):
+    """The same islands whether a link is one chunk or hundreds; nulls in dates and coordinates."""
+    from pavespark.operators.linear import lost_islands
+    rnd = random.Random(9)
+    rows = []
+    for run in ("a", "b"):
+        for link in ("x", "y"):
+            for i in range(300):
+                lost = (i // 7) % 3 == 0 or rnd.random() < 0.05
+                lat, lon = (0.0, rnd.choice([0.0, 0.0, 1.0, None])) if lost else (13.0 + i, 100.0)
+                rows.append((run, link, rnd.choice(["d1", "d2", None]), 5.0 * i, lat, lon, rnd.randint(0, 9) * 1000 + i))
+    df = spark.createDataFrame(rows, "file_name string, link_id string, date string, chainage double, lat double, "
+                                     "lon double, tie int")
+    along = Window.partitionBy("file_name", "date", "link_id").orderBy("chainage", "tie")
+    same = Window.partitionBy("file_name", "lat", "lon", "link_id").orderBy("chainage", "tie")
+    want = (df.withColumn("grp2", F.row_number().over(along) - F.row_number().over(same)).where("lat = 0 OR lon = 0")
+            .groupBy("file_name", "link_id", "date", "grp2")
+            .agg(F.min("chainage").alias("min"), F.max("chainage").alias("max"), F.count("*").alias("c_p")))
+    for width in (1e6, 100.0, 5.0):
+        got = lost_islands(df, "chainage", ["tie"], 5, chunk_m=width)
+        assert sorted(map(str, got.drop("meter").collect())) == sorted(map(str, want.collect()))
 
 
 def test_q07_smoothing_edges_and_nulls(spark):

@@ -202,3 +202,26 @@ def test_pave_link_with_null_date_gets_no_empty_row(spark):
                                        "run_code string, survey_code string")
     out = Dl.pave_table(ev, pave, survey)
     assert sorted(r[0] for r in out.select("chainage_pic").collect()) == [30, 60]
+
+
+def _exchanged(df):
+    """Columns of each exchange of a plan that deals rows (not counts or edges) out."""
+    import re
+
+    from pavespark.session import plan_text
+    text = plan_text(df, "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+
+
+def test_smoothing_shuffles_the_stations_once(p):
+    from pavespark.operators.smoothing import smooth_measures
+    moved = _exchanged(smooth_measures(p.unfrozen))
+    assert sum("geom_lon#" in columns for columns in moved) == 1
+
+
+def test_islands_shuffle_the_stations_once(p):
+    from pavespark import constants as K
+    from pavespark.operators.linear import lost_islands
+    moved = _exchanged(lost_islands(p.station_table, "chainage", SurveyStages.STATION_TIES, K.STATION_SPACING_M))
+    # later ones carry lost rows with their number, or counts
+    assert sum("frame_number#" in columns and "_n1#" not in columns for columns in moved) == 1
