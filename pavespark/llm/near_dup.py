@@ -17,7 +17,9 @@ components are taken up, in blocks, and only pairs across components are checked
 inside a component could change nothing, so no component loses a link.
 
 Texts that are null or have no word are empty and linked with nothing. Rows without an id are
-linked with nothing, have no component and are kept. Repeated rows get the same component.
+linked with nothing, have no component and are kept. Repeated rows get the same component. An
+id that stands for several texts is one document with the links of all of them; n_shingles is
+each row's own, and a row without words is linked with nothing even so.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pavespark.llm.common import ascii_words, frames
+from pavespark.operators.windows import global_row_number
 from pavespark.session import written
 
 SHINGLE = 5
@@ -258,26 +261,72 @@ def pairs_across(members: DataFrame, percent: int, block: int = 256) -> DataFram
             .mapInPandas(stream, "a long, b long"))
 
 
+def sequence_of(text: F.Column) -> F.Column:
+    """Digest of a text's words; null if it has none."""
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        lists = map(words_of, texts)
+        return pd.Series([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in lists], dtype=object)
+
+    return digest(text)
+
+
+def numbered_texts(docs: DataFrame, name: str, id_column: str = "doc_id",
+                   text_column: str = "text") -> DataFrame:
+    """``docs`` with a number for every row, in the order of the ids; of rows with the same id
+    and words only that with the smallest text stays. Rows without an id stay, without a number."""
+    known = docs.where(F.col(id_column).isNotNull()).withColumn("_s", sequence_of(F.col(text_column)))
+    rows = known.groupBy(F.col(id_column).alias("_i"), "_s").agg(
+        F.min_by(F.struct(*docs.columns), F.coalesce(text_column, F.lit(""))).alias("_r"))
+    numbered = global_row_number(rows, ["_i", F.col("_s").asc_nulls_last()], name).select("_r.*", name)
+    return numbered.unionByName(docs.where(F.col(id_column).isNull())
+                                .withColumn(name, F.lit(None).cast(dict(numbered.dtypes)[name])))
+
+
+def representatives(described: DataFrame, split: bool) -> DataFrame:
+    """sequence, rep, n, bands, sketch: one row a word sequence; rep is its smallest id. With
+    ``split`` ids, sequences that would share one get numbers that are no id."""
+    reps = written(described.where("doc_id IS NOT NULL AND sequence IS NOT NULL")
+                   .groupBy("sequence").agg(
+                       F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+                       F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    if not split:
+        return reps
+    beyond = reps.agg(F.max("rep")).first()[0]
+    shared = reps.groupBy("rep").count().where("count > 1").select("rep")
+    numbers = global_row_number(reps.join(shared, "rep", "left_semi").select("rep", "sequence"),
+                                ["rep", "sequence"], "number", start=beyond + 1).select("sequence", "number")
+    return written(reps.join(numbers, "sequence", "left")
+                   .withColumn("rep", F.coalesce("number", "rep")).drop("number"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        F.col(text_column).alias("text"))
     described = written(features(docs))
-    reps = written(described.where("doc_id IS NOT NULL AND sequence IS NOT NULL")
-                   .groupBy("sequence").agg(
-                       F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                       F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    known = described.where("doc_id IS NOT NULL AND sequence IS NOT NULL").select("doc_id", "sequence")
+    several = written(known.groupBy("doc_id").agg(F.min("sequence").alias("x"), F.max("sequence").alias("y"))
+                      .where("x <> y").select("doc_id"))
+    split = not several.isEmpty()
+    reps = representatives(described, split)
     keyed = reps.select(F.explode("bands").alias("key"), "rep")
     shared = (keyed.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
               .where("least < most").select("key", "least"))
     members = written(keyed.join(shared, "key"))
     # only representatives that share a key can be in a pair; their texts are gathered once
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = written(docs.join(ids, "doc_id", "left_semi")
-                    .groupBy("doc_id").agg(F.min("text").alias("text")))
-
-    sketches = reps.select("rep", "n", "sketch", "bands").dropDuplicates(["rep"])
+    own = docs.join(several, "doc_id", "left_anti") if split else docs
+    texts = own.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    if split:  # an id does not say which of its texts is meant
+        told = (docs.join(several, "doc_id", "left_semi").withColumn("sequence", sequence_of(F.col("text")))
+                .groupBy("sequence").agg(F.min("text").alias("text")).join(reps, "sequence")
+                .select(F.col("rep").alias("doc_id"), "text").join(ids, "doc_id", "left_semi"))
+        texts = texts.join(told, "doc_id", "left_anti").unionByName(told)
+    texts = written(texts)
+
+    sketches = reps.select("rep", "n", "sketch", "bands")
     first = members.where("rep > least").select(F.col("least").alias("a"),
                                                 F.col("rep").alias("b")).distinct()
 
@@ -291,7 +340,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
                                F.col("sketch").alias("s_" + s)) for s in "ab"}
     near = written(first.join(side["b"], "b").join(side["a"], "a")
                    .where(possible("n_a", "n_b", "s_a", "s_b")).select("a", "b"))
-    edges = written(confirmed(near, texts, percent))
+    edges = confirmed(near, texts, percent)
+    if split:  # the texts of one id belong together
+        nodes = known.join(several, "doc_id", "left_semi").distinct().join(reps.select("sequence", "rep"), "sequence")
+        least = nodes.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        edges = edges.unionByName(nodes.join(least, "doc_id").where("a < rep").select("a", F.col("rep").alias("b")))
+    edges = written(edges)
     labels = components(edges)
 
     placed = written(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -307,7 +361,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75,
     classes = (reps.select("sequence", "rep")
                .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                .select("sequence", F.coalesce("component", "rep").alias("component")))
-    found = described.select("doc_id", "n_shingles", "sequence").join(classes, "sequence", "left")
+    rows = described.select("doc_id", "n_shingles", "sequence")
+    found = rows.where("sequence IS NOT NULL").join(classes, "sequence", "left")
+    if split:  # numbers that are no id may name components
+        found = written(found)
+        smallest = found.groupBy("component").agg(F.min("doc_id").alias("smallest"))
+        found = found.join(smallest, "component", "left").withColumn("component", F.col("smallest"))
+    empty = rows.where("sequence IS NULL").withColumn("component", F.lit(None).cast("long"))
+    columns = ["doc_id", "n_shingles", "component"]
+    found = found.select(*columns).unionByName(empty.select(*columns))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -18,28 +18,28 @@ def sets_of(text):
 
 
 def brute(rows):
-    """(doc_id, n_shingles, component, kept) of (doc_id, text) rows by all pairs."""
-    sets = {}
-    for i, t in rows:
-        if i is not None:
-            sets[i] = min((sets_of(t) for j, t in rows if j == i), key=lambda s: (not s, sorted(s)))
-    ids = sorted(sets)
-    root = {i: i for i in ids}
+    """(doc_id, n_shingles, component, kept) of (doc_id, text) rows: all pairs of all rows."""
+    sets = [(i, sets_of(t)) for i, t in rows if i is not None]
+    root = {i: i for i, _ in sets}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for x in ids:
-        for y in ids:
-            if x < y and sets[x] and sets[y]:
-                both = len(sets[x] & sets[y])
-                if 100 * both >= 75 * len(sets[x] | sets[y]):
-                    a, b = find(x), find(y)
+    for i, x in sets:
+        for j, y in sets:
+            if i < j and x and y:
+                both = len(x & y)
+                if 100 * both >= 75 * len(x | y):
+                    a, b = find(i), find(j)
                     root[max(a, b)] = min(a, b)
-    return sorted(((i, len(sets_of(t)), None if i is None else find(i),
-                    i is None or i == find(i)) for i, t in rows), key=str)
+    out = []
+    for i, t in rows:
+        own = sets_of(t)
+        component = None if i is None else find(i) if own else i
+        out.append((i, len(own), component, i == component))
+    return sorted(out, key=str)
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +68,35 @@ def test_equals_all_pairs(make_docs, copies):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute(list(zip(ids, copies, strict=True)))
 
 
+def test_ids_with_several_texts(make_docs):
+    """An id's texts all count, whether they share their smallest id with others or not."""
+    rng = random.Random(3)
+    a, b, c, d = (sentence(rng, n) for n in (20, 25, 40, 60))
+    rows = [(1, a), (1, b), (2, a + " ta"), (3, b + " ko"), (4, c), (9, c), (9, d), (7, d), (7, None), (8, d + " vo"),
+            (20, sentence(rng, 30)), (20, sentence(rng, 30)), (20, ""), (21, "ta re"), (21, "re ta"), (30, "TA re")]
+    found = near_dup.near_duplicates(make_docs([t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
+    by = {(r["doc_id"], r["n_shingles"]): r for r in found}
+    assert by[3, 22]["component_id"] == 1 and by[8, 57]["component_id"] == 4 and by[30, 1]["component_id"] == 21
+
+
+def test_many_texts_share_ids(make_docs, copies):
+    """Two or three texts under every id, over all kinds of copies."""
+    ids = [i % 37 for i in range(len(copies))]
+    found = near_dup.near_duplicates(make_docs(copies, ids)).collect()
+    assert sorted(map(tuple, found), key=str) == brute(list(zip(ids, copies, strict=True)))
+
+
+def test_numbered_texts(make_docs):
+    rows = [(5, "b a"), (5, "B  A"), (5, "c"), (None, "x"), (None, "x"), (2, None), (2, ""), (7, "b a")]
+    got = near_dup.numbered_texts(make_docs([t for _, t in rows], [i for i, _ in rows]), "row")
+    found = sorted(((r["row"], r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert [(i, t) for n, i, t in found if n is None] == [(None, "x")] * 2
+    kept = sorted((n, i) for n, i, t in found if n is not None)
+    assert [i for _, i in kept] == [2, 5, 5, 7] and len({n for n, _ in kept}) == 4
+    assert {t for _, i, t in found if i == 5} == {"B  A", "c"} and got.columns[-1] == "row"
+
+
 def test_null_ids_repeated_rows_and_no_rows(make_docs, no_docs):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (9, text.upper()), (7, "else"), (None, None)]
