@@ -29,16 +29,18 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, and one row of each id.
+    """Keeps one document of each group of near copies.
 
-    Rows without an id belong to no group and stay.
+    Rows of one id with different texts are documents of their own here; of rows with the same
+    id and words one stays. Rows without an id belong to no group and stay.
     """
+    columns, key = docs.columns, "doc_id"
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if not repeated.isEmpty():
-        single = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        docs = written(single.union(docs.where("doc_id IS NULL")))
-    dropped = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+        key = "near_dup_row"
+        docs = written(near_dup.numbered_texts(docs, key))
+    dropped = near_dup.near_duplicates(docs, id_column=key).where("NOT kept").select(F.col("doc_id").alias(key))
+    return docs.join(dropped, key, "left_anti").select(columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
