@@ -5,8 +5,8 @@ any input size. A configuration is a multiset of length classes that fits one se
 program "as few sequences as possible, every class covered" is solved by multiplicative
 weights: classes covered least weigh most, and the next configuration is the one of largest
 weight, found by dynamic programming over the knapsack. Multiplicities are rounded down to
-what the histogram holds; pieces left over, and the short ones kept back as fillers, go by
-best fit into the room that is left, then into new sequences.
+what the histogram holds; pieces left over go by best fit into the room that is left, then
+into new sequences.
 
 The plan says which ranks of a length go to which sequences; the pieces find their place by
 their rank in parallel. Null texts count as empty (one end mark). Repeated rows are packed
@@ -31,6 +31,8 @@ from pavespark.llm.bpe_count import white_space_chunks
 from pavespark.llm.common import frames, groups, text_or_empty
 from pavespark.session import written
 
+FIRST_ODD = "\u0130"  # from here on lower-casing and letters differ between libraries
+LONGEST_KEPT = 64  # code points of a chunk that is remembered
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -48,6 +50,10 @@ class ChunkIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(self.MARK)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         # two generations: what is not met again for ``bound`` entries is forgotten
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -68,21 +74,33 @@ class ChunkIds:
         return new - again
 
     def learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 2048):
-            block = chunks[at:at + 2048]
+        """Encodes unknown chunks many at a time. Chunks of plain letters are a word each, so a
+        blank between them is enough: a word's last token bears the end mark."""
+        words, others = [], []
+        for chunk in chunks:
+            (words if chunk.isalpha() and max(chunk) < FIRST_ODD else others).append(chunk)
+        for at in range(0, len(words), 256):
+            block = words[at:at + 256]
+            ids = self.library_ids(" ".join(block))
+            self.keep(block, ids, [0, *(np.flatnonzero(self.ends_word[ids]) + 1).tolist()], 0)
+        for at in range(0, len(others), 256):
+            block = others[at:at + 256]
             ids = self.library_ids(self.MARK.join(block))
-            data, cuts = ids.tobytes(), (np.flatnonzero(ids == self.mark) * 4).tolist()
-            starts = [0, *(c + 4 for c in cuts)]
-            for chunk, a, b in zip(block, starts, [*cuts, len(data)], strict=True):
-                self.known[chunk] = data[a:b]
+            self.keep(block, ids, [0, *(np.flatnonzero(ids == self.mark) + 1).tolist(), len(ids) + 1], 1)
+
+    def keep(self, block: list[str], ids: np.ndarray, starts: list[int], between: int) -> None:
+        data = ids.tobytes()
+        for chunk, a, b in zip(block, starts[:-1], starts[1:], strict=True):
+            self.known[chunk] = data[4 * a:4 * (b - between)]
 
     @staticmethod
     def core(chunk: str) -> str:
         """``chunk`` without closing dots and commas, which are words of their own after a
         letter, and in lower case where the vocabulary's own lower-casing gives the same."""
         core = chunk.rstrip(".,")
-        core = core if core and core[-1].isalpha() and core[-1] < "\u0130" else chunk
-        return core.lower() if max(core) < "\u0130" else core
+        if not core or core[-1] >= FIRST_ODD or not core[-1].isalpha():
+            core = chunk
+        return core.lower() if core.isascii() or max(core) < FIRST_ODD else core
 
     def tail(self, tail: str) -> bytes:
         if tail not in self.known:
@@ -107,6 +125,10 @@ class ChunkIds:
                 self.known[chunk] = self.ids(chunk)
             for own in chunks:
                 yield b"".join(map(self.known.__getitem__, own))
+            for chunk in new:  # long chunks hardly come back, and the memo's bytes are bounded
+                if len(chunk) > LONGEST_KEPT:
+                    self.known.pop(chunk, None)
+                    self.known.pop(parts.get(chunk, chunk), None)
 
 
 @functools.cache
@@ -165,19 +187,18 @@ def best_configuration(values: np.ndarray, sizes: np.ndarray, room: int) -> list
     return out
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, room: int, rate: float = 0.25,
-                   target: float = 4.0, rounds: int = 2500) -> list[tuple[list[int], float]]:
+def configurations(sizes: np.ndarray, demand: np.ndarray, room: int, rate: float = 1.0,
+                   target: float = 4.0) -> list[tuple[list[int], float]]:
     """A fractional cover of ``demand`` by configurations, by multiplicative weights.
 
     Each round takes the configuration of largest weight as often as covers ``rate`` of the
     scarcest class in it; a class loses weight with its cover. Ends when every class is
-    covered ``target`` times, or after ``rounds``; multiplicities are scaled back by that.
+    covered ``target`` times; multiplicities are scaled back by the least cover, so that every
+    class stays covered.
     """
     cover = np.zeros(len(sizes))
     taken: dict[tuple[int, ...], float] = {}
-    for _ in range(rounds):
-        if cover.min() >= target:
-            break
+    while cover.min() < target:
         weights = np.exp(-(cover - cover.min())) / demand
         config = best_configuration(weights, sizes, room)
         classes, counts = np.unique(config, return_counts=True)
@@ -185,59 +206,69 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, room: int, rate: float
         cover[classes] += times * counts / demand[classes]
         key = tuple(config)
         taken[key] = taken.get(key, 0.0) + times
-    scale = max(float(np.median(cover)), 1e-9)
+    scale = float(cover.min())
     return sorted(((list(k), x / scale) for k, x in taken.items()), key=lambda p: (-p[1], p[0]))
 
 
 class Plan:
-    """Groups of equal sequences: (how many, lengths in each); rank ranges of every length."""
+    """Groups of equal sequences: (how many, lengths in each); rank ranges of every length.
+
+    ``grain`` is the unit of the program: a class holds the lengths that round to the same
+    number of units (256 classes of 16 tokens at a capacity of 4096, at any input). Pieces of
+    a configuration are chosen by their exact lengths, so rounding never overfills a sequence.
+    ``least`` is a bound that no packing beats, ``program`` the value of the fractional cover.
+    """
 
-    def __init__(self, histogram: dict[int, int], capacity: int, grain: int = 8,
-                 filler: int = 128):
+    def __init__(self, histogram: dict[int, int], capacity: int, grain: int = 16):
         self.capacity = capacity
         self.left = {n: c for n, c in histogram.items() if c > 0}
+        self.least = max(-(-sum(n * c for n, c in self.left.items()) // capacity),
+                         sum(c for n, c in self.left.items() if 2 * n > capacity))
+        self.program = 0.0
         self.groups: list[tuple[int, list[int]]] = []
         if self.left.get(capacity):
             self.groups.append((self.left.pop(capacity), [capacity]))
-        self.fill_by_configurations(grain, filler)
+        self.fill_by_configurations(grain)
         self.fill_by_best_fit()
 
-    def fill_by_configurations(self, grain: int, filler: int) -> None:
-        if len(self.left) <= 128:
-            grain = 1  # few lengths: no rounding is needed
+    def fill_by_configurations(self, grain: int) -> None:
         by_class: dict[int, list[int]] = {}
         for n in sorted(self.left, reverse=True):
-            if n > filler:
-                by_class.setdefault(-(-n // grain), []).append(n)
+            by_class.setdefault(max(1, (n + grain // 2) // grain), []).append(n)
         if not by_class:
             return
         sizes = np.array(sorted(by_class))
         demand = np.array([sum(self.left[n] for n in by_class[s]) for s in sizes.tolist()], float)
-        for config, x in configurations(sizes, demand, self.capacity // grain):
-            lists = [by_class[int(sizes[k])] for k in config]
-            need = {k: config.count(k) for k in set(config)}
-            times = min([round(x), *(sum(self.left.get(n, 0) for n in by_class[int(sizes[k])]) // c
-                                     for k, c in need.items())])
-            while times > 0:
-                # as many sequences as the longest remaining length of each class lasts for
-                lengths = [next(n for n in own if self.left.get(n)) for own in lists]
+        found = configurations(sizes, demand, max(self.capacity // grain, int(sizes[-1])))
+        self.program = sum(x for _, x in found)
+        for config, x in found:
+            classes = [by_class[int(sizes[k])] for k in sorted(config, reverse=True)]
+            times = round(x)
+            while times > 0 and (lengths := self.chosen(classes)):
                 uses = {n: lengths.count(n) for n in lengths}
+                # as many sequences as these lengths last for
                 run = min([times, *(self.left[n] // c for n, c in uses.items())])
-                if not run:  # a class's longest length is short of one: mix it with the next
-                    lengths = self.mixed(lists)
-                    uses, run = {n: lengths.count(n) for n in lengths}, 1
                 for n, c in uses.items():
                     self.left[n] -= run * c
                 self.groups.append((run, lengths))
                 times -= run
 
-    def mixed(self, lists: list[list[int]]) -> list[int]:
+    def chosen(self, classes: list[list[int]]) -> list[int] | None:
+        """A length of each class, the longest that leaves room for the shortest of the
+        others; None if what is left of them does not fit."""
+        shortest = [next((n for n in reversed(own) if self.left[n]), None) for own in classes]
+        if None in shortest:
+            return None
+        room, rest, out = self.capacity, sum(shortest), []
         spent: dict[int, int] = {}
-        out = []
-        for own in lists:
-            n = next(n for n in own if self.left.get(n, 0) > spent.get(n, 0))
+        for own, low in zip(classes, shortest, strict=True):
+            rest -= low
+            n = next((n for n in own if n + rest <= room and self.left[n] > spent.get(n, 0)), None)
+            if n is None:
+                return None
             spent[n] = spent.get(n, 0) + 1
             out.append(n)
+            room -= n
         return out
 
     def fill_by_best_fit(self) -> None:
