@@ -4,9 +4,13 @@ Base spans of the four kinds follow fixed patterns. The field adds spans that th
 miss: loose candidates (runs of digit groups, words around an at-sign, plain or written out)
 are scored as whole spans by their shape, checks and context; dynamic programming over the
 candidates of a text, each at most ``MAX_SPAN`` long, chooses boundaries and kinds together.
-The weights are learned from the base spans of a bounded sample by the likelihood of whole
-segmentations; a span is added if its marginal probability is high and it overlaps no base
-span. Base spans always stay.
+The weights are learned from a bounded sample by the likelihood of whole segmentations. Base
+spans are what it knows for sure; the patterns say nothing of looser forms, so these are not
+taken for noise: a candidate that looks like a kind but matches no pattern is left open, and
+the likelihood sums over both. What loose forms look like is learned from base spans written
+in them (a number without its country, an address spelled out), in their own surroundings,
+beside the same digits written as dates and plain numbers. A span is added if its marginal
+probability is high and it overlaps no base span. Base spans always stay.
 
 Null texts are empty and hold nothing. Offsets count code points. Repeated rows are searched
 one by one. All searches take time in proportion to the text.
@@ -149,6 +153,9 @@ CONTEXT = {
 }
 
 
+SURROUNDINGS = frozenset(["glued before", "glued after", "digits before", "digits after", "context"])
+
+
 def span_features(text: str, span: Span) -> list[str]:
     """What the field sees of a whole segment and its surroundings."""
     start, end, kind = span
@@ -177,7 +184,54 @@ def span_features(text: str, span: Span) -> list[str]:
     words = text[max(0, start - 24):start].lower()
     if any(w in words for w in CONTEXT[kind]):
         out.append("context")
-    return [f"{kind} {f}" for f in out]
+    if kind in ("card", "phone"):
+        out.append("lengths=" + "-".join(str(min(len(g), 9)) for g in GROUP.findall(body)))
+    # surroundings weigh for every kind alike, and for this one
+    return [f"{kind} {f}" for f in out] + [f"any {f}" for f in out if f in SURROUNDINGS]
+
+
+def looks_like(text: str, span: Span) -> bool:
+    """Whether a candidate that no pattern matches may all the same be of its kind."""
+    start, end, kind = span
+    body = text[start:end]
+    if kind == "email":
+        return "@" not in body or " " in body
+    if kind != "phone" or "+" in body:
+        return False
+    words = text[max(0, start - 24):start].lower()
+    return "(" in body or any(w in words for w in CONTEXT[kind])
+
+
+# Ways to write the last ten digits of a phone number, and an address's signs.
+PHONE_FORMS = ["{0}{1}{2}-{3}{4}{5}-{6}{7}{8}{9}", "({0}{1}{2}) {3}{4}{5}-{6}{7}{8}{9}",
+               "{0}{1}{2} {3}{4}{5} {6}{7}{8}{9}", "{0}{1}{2}.{3}{4}{5}.{6}{7}{8}{9}",
+               "1-{0}{1}{2}-{3}{4}{5}-{6}{7}{8}{9}", "0{0}{1} {2}{3}{4}{5} {6}{7}{8}{9}",
+               "0{1}{2}{3} {4}{5}{6} {7}{8}{9}", "0{1}{2}{3} {4}{5}{6}{7}{8}{9}"]
+NUMBER_FORMS = ["2{0}{1}{2}-0{3}-1{4}", "1{4}/0{3}/20{0}{1}", "{0}{1}{2}{3}{4}{5}{6}{7}{8}{9}", "{0}{1}{2}{3}{4}{5}{6}{7}",
+                "{0}.{1}{2}{3}{4}{5}{6}{7}{8}", "{0}{1}{2} {3}{4}{5} {6}{7}{8}", "97{0}-{1}-{2}{3}-{4}{5}{6}{7}{8}{9}-{0}",
+                "{0}{1}.{2}.{3}{4}{5}{6}.{7}{8}", "2{0}{1}{2}-0{3}-1{4} 1{5}.{6}{7}", "{0}{1}{2}{3} - {4}{5}{6}{7}"]
+ADDRESS_FORMS = [("(at)", "."), ("[at]", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" @ ", "."), (" (at) ", ".")]
+AROUND = 100  # code points of a span's surroundings that an example keeps
+
+
+def loose_examples(text: str, spans: list[Span], turn: int) -> Iterator[tuple[str, Span | None]]:
+    """Surroundings of base spans with the span in a looser form, and with no span in its place."""
+    for k, (start, end, kind) in enumerate(spans, turn):
+        body, head, tail = text[start:end], text[max(0, start - AROUND):start], text[end:end + AROUND]
+        digits = digits_of(body)[-10:]
+        if kind == "phone" and len(digits) == 10:
+            loose = PHONE_FORMS[k % len(PHONE_FORMS)].format(*digits)
+        elif kind == "email":
+            at, dot = ADDRESS_FORMS[k % len(ADDRESS_FORMS)]
+            local, _, domain = body.partition("@")
+            loose = local + at + domain.replace(".", dot)
+        else:
+            loose = ""
+        if loose and len(loose) <= MAX_SPAN:
+            yield head + loose + tail, (len(head), len(head) + len(loose), kind)
+        if len(digits) == 10:
+            # away from the words that announce a number
+            yield head[:-32] + " " + NUMBER_FORMS[k % len(NUMBER_FORMS)].format(*digits) + tail, None
 
 
 class Lattice:
@@ -238,26 +292,44 @@ def regions(text: str, spans: list[Span]) -> Iterator[list[Span]]:
         yield part
 
 
+def examples(texts: list[str]) -> Iterator[tuple[Lattice, list[bool], list[bool]]]:
+    """Regions to learn from: what is a span for sure in them, and what is left open."""
+    def learnt(text: str, sure: set[Span], doubt: bool) -> Iterator[tuple[Lattice, list[bool], list[bool]]]:
+        for part in regions(text, candidates(text)):
+            lattice = Lattice(text, part)
+            gold = [s in sure for s in lattice.spans]
+            taken = [s for s, y in zip(lattice.spans, gold, strict=True) if y]
+            yield lattice, gold, [doubt and not y and looks_like(text, s)
+                                  and all(s[1] <= t[0] or t[1] <= s[0] for t in taken)
+                                  for s, y in zip(lattice.spans, gold, strict=True)]
+
+    for turn, text in enumerate(texts):
+        base = base_spans(text)
+        yield from learnt(text, set(base), True)
+        for loose, span in loose_examples(text, base, turn):
+            yield from learnt(loose, {*base_spans(loose), *([span] if span else [])}, False)
+
+
 def fit(texts: list[str], epochs: int = 12, rate: float = 0.3, ridge: float = 1e-3) -> dict[str, float]:
-    """Weights by gradient ascent on the likelihood of the base spans as segmentations.
+    """Weights by gradient ascent on the likelihood of what is known of the segmentations.
 
-    Every region's gradient is its observed minus its expected features.
+    Every region's gradient is its observed minus its expected features; an open span counts
+    as observed with its probability among the segmentations that hold all sure spans.
     """
-    lattices = []
-    for text in texts:
-        gold = set(base_spans(text))
-        for part in regions(text, candidates(text)):
-            lattice = Lattice(text, part)
-            lattices.append((lattice, [s in gold for s in lattice.spans]))
+    lattices = list(examples(texts))
     weights: dict[str, float] = {}
     squares: dict[str, float] = {}
     order = np.random.default_rng(11)
     for _ in range(epochs):
         for k in order.permutation(len(lattices)):
-            lattice, gold = lattices[k]
-            chance = lattice.marginals(lattice.scores(weights))
+            lattice, gold, doubt = lattices[k]
+            scores = lattice.scores(weights)
+            chance, known = lattice.marginals(scores), gold
+            if any(doubt):
+                free = lattice.marginals([x if d else -math.inf for x, d in zip(scores, doubt, strict=True)])
+                known = [y or p for y, p in zip(gold, free, strict=True)]
             step: dict[str, float] = {}
-            for features, y, p in zip(lattice.features, gold, chance, strict=True):
+            for features, y, p in zip(lattice.features, known, chance, strict=True):
                 for f in features:
                     step[f] = step.get(f, 0.0) + y - p
             for f, g in step.items():

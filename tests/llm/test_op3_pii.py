@@ -43,7 +43,10 @@ def test_base_spans_equal_the_patterns():
         text = "".join(rng.choice("aB1207.-_%+@@..  ()é4") for _ in range(rng.randint(0, 34)))
         assert pii_crf.base_spans(text) == brute(text), text
     cards = "4111-1111 1111 1111 x 4111111111111112 0.0.0.0 256.1.1.1 1.2.3.4.5.6.7.8 " + "0" * 5000 + ".1.1.1"
-    assert pii_crf.base_spans(cards) == brute(cards.replace("0" * 5000, "0" * 4000)) or pii_crf.base_spans(cards)
+    zeros = "0" * 5000 + ".1.1.1"  # more digits than Python turns into a number
+    short = cards.replace(zeros, "0" * 4000 + ".1.1.1")
+    shift = [(a, b - 1000 * (b > len(short) - 10), k) for a, b, k in pii_crf.base_spans(cards)]
+    assert shift == brute(short) and len(shift) > 4
 
 
 def test_lattice_against_all_segmentations():
@@ -80,6 +83,54 @@ def test_field_learns_and_keeps_base_spans(private):
     assert [k for _, _, k in spans] == ["email"]
 
 
+def test_open_candidates_are_summed_over():
+    """An open span's share of the gradient is its probability beside the sure ones."""
+    lattice = pii_crf.Lattice("1" * 30, [(0, 4, "card"), (2, 6, "phone"), (8, 12, "phone"), (10, 14, "ip")])
+    scores = [0.3, -0.2, 0.7, 0.1]
+    free = lattice.marginals([s if d else -math.inf for s, d in zip(scores, [False, False, True, False], strict=True)])
+    assert free == pytest.approx([0, 0, math.exp(0.7) / (1 + math.exp(0.7)), 0])
+
+
+def planted(rng, n):
+    """Texts with loose forms (their spans known), and with numbers that are none of them."""
+    words = ["we met there", "the report says", "see page", "results of", "and then", "in total", "as before"]
+    calls = ["call me at", "phone", "tel.", "my mobile is", "fax", "reach us by phone"]
+    writes = ["write to", "contact", "mail", "e-mail me:"]
+    out = []
+    for _ in range(n):
+        d = "".join(str(rng.randrange(1, 10)) for _ in range(12))
+        name = rng.choice(["anna", "j.doe", "info", "max_m"])
+        kind, before, body = rng.choice([
+            ("phone", rng.choice(calls), rng.choice([f"{d[:3]}-{d[3:6]}-{d[6:10]}", f"({d[:3]}) {d[3:6]}-{d[6:10]}", f"1-800-{d[3:6]}-{d[6:10]}",
+                                                     f"0{d[:2]} {d[2:6]} {d[6:10]}", f"{d[:3]} {d[3:6]} {d[6:10]}", f"0{d[:3]} {d[3:9]}"])),
+            ("email", rng.choice(writes), rng.choice([f"{name} (at) example (dot) com", f"{name} [at] mail.example.org", f"{name}(at)site.net",
+                                                      f"{name} @ example.com"])),
+            (None, rng.choice(words), rng.choice([f"20{d[:2]}-0{d[2]}-1{d[3]}", f"{d[:2]}.{d[2:6]}", f"{d[:8]}", f"{d[0]},{d[1:4]},{d[4:7]}", f"{d[:2]}:{d[2:4]}",
+                                                  f"1{d[0]}/0{d[1]}/20{d[2:4]}", f"{d[0]}.{d[1]}.{d[2]}", f"${d[:4]}.{d[4:6]}", f"{d[:4]} to {d[4:8]}", f"{d[:11]}"]))])
+        head = f"{rng.choice(words)} today, {before} "
+        out.append((head + body + rng.choice([" or so.", ", thanks", " later on"]), (len(head), len(head) + len(body), kind) if kind else None))
+    return out
+
+
+def test_recall_and_precision_on_forms_that_no_pattern_matches():
+    """Learned from base spans only; the planted forms are this test's own."""
+    rng = random.Random(8)
+    corpus = []
+    for i in range(250):
+        a, b, c = (rng.randrange(200, 999) for _ in range(3))
+        data = rng.choice([f"call +1 ({a}) {b}-{c}1", f"phone: +44 20 {a}1 {b}2", f"my number +49 {a} {b} {c}7", f"mail u{a}@mail{b}.example.com now",
+                           f"contact x.{a}@site.org", f"on 2023-0{a % 9 + 1}-{b % 20 + 10} there were {c}{a} of {b}", f"order {a}{b}{c} shipped"])
+        corpus.append(f"some words here {data} and more {i}.")
+    weights = pii_crf.fit(corpus)
+    found = right = wanted = 0
+    for text, span in planted(rng, 600):
+        base, spans = pii_crf.all_spans(text, weights)
+        assert base == brute(text) and set(base) <= set(spans)
+        added = set(spans) - set(base)
+        found, wanted, right = found + len(added), wanted + bool(span), right + (span in added)
+    assert right >= 0.8 * wanted and right >= 0.9 * found, (right, wanted, found)
+
+
 def test_long_texts_take_linear_time(private):
     weights = pii_crf.fit(private[:40])
     for text in ("a" * 200_000, "1" * 100_000, "@" * 50_000, "+1(" * 20_000, "1.1." * 10_000, "a." * 50_000 + "@"):
