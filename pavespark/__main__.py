@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 
+from pavespark.plans.lifecycle import StageStore, files_fingerprint
 from pavespark.plans.stages import FORMS, SurveyStages
 from pavespark.session import get_spark
 from pavespark.sources.exported import load_run_folder, load_tables
@@ -36,6 +37,11 @@ def main(argv=None) -> None:
     ap.add_argument("--encoding", default="UTF-8", help="character set of raw CSV exports")
     ap.add_argument("--form", default="run", choices=FORMS,
                     help="folder: only stations with a picture count for GPS status and events")
+    ap.add_argument("--work", default=None,
+                    help="folder on shared storage for the stages: a run that was stopped goes on "
+                         "after its last complete stage if inputs and options are the same")
+    ap.add_argument("--keep-stages", action="store_true",
+                    help="leave the stages in --work after a finished run")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     if a.layout == "partitioned":
@@ -45,9 +51,19 @@ def main(argv=None) -> None:
                                  encoding=a.encoding)
     else:
         tables = load_run_folder(spark, a.tables, a.layout)
-    stages = SurveyStages(tables, pave_gap_mode=a.pave_gap_mode, form=a.form)
-    for name in stages.write_deliverables(a.out):
+    store = None
+    if a.work:
+        store = StageStore(spark, a.work, files_fingerprint(
+            spark, a.tables, layout=a.layout, form=a.form, pave_gap_mode=a.pave_gap_mode, encoding=a.encoding))
+    stages = SurveyStages(tables, pave_gap_mode=a.pave_gap_mode, form=a.form, store=store)
+    for name in stages.write_deliverables(a.out, mode="overwrite" if store else "errorifexists"):
         print(f"wrote {a.out.rstrip('/')}/{name}")
+    if store:
+        if store.resumed:
+            print(f"went on after {', '.join(store.resumed)}")
+        store.metrics().write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/stage_metrics")
+        if not a.keep_stages:
+            store.clear()
 
 
 if __name__ == "__main__":

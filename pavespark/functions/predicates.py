@@ -42,6 +42,18 @@ def gps_valid(lon="lon", lat="lat") -> Column:
     return (_c(lat) != 0) & (_c(lon) != 0)
 
 
+def zero_key_coords() -> Column:
+    """FIL-9: a keyed link whose start or end coordinate is exactly 0."""
+    zero = [F.col(c) == 0 for c in ("lon_str", "lon_end", "lat_str", "lat_end")]
+    return F.col("link_id").isNotNull() & (zero[0] | zero[1] | zero[2] | zero[3])
+
+
+def missing_measures() -> Column:
+    """RPT-8: no iri, rutting or texture, or no picture on a grid station."""
+    return (F.col("iri").isNull() | F.col("rutting").isNull() | F.col("texture").isNull()
+            | (F.col("frame_number").isNull() & on_grid("chainage")))
+
+
 def pave_event(c="event_type") -> Column:
     """FIL-1: pavement events only (blanks inside the code are ignored)."""
     return F.regexp_replace(_c(c), " ", "") == PAVE_EVENT_TYPE

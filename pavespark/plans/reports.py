@@ -24,9 +24,7 @@ def _scope(scope: str) -> list[str]:
 def zero_coords(key: DataFrame) -> DataFrame:
     """RPT-1 (FIL-9): keyed links whose start or end coordinate is exactly 0."""
     d4 = "decimal(8,4)"
-    cond = ((F.col("lon_str") == 0) | (F.col("lon_end") == 0)
-            | (F.col("lat_str") == 0) | (F.col("lat_end") == 0))
-    return key.where(F.col("link_id").isNotNull() & cond).select(
+    return key.where(P.zero_key_coords()).select(
         RUN, "event_str", "event_end", "link_id", "km_start", "km_end", "lane_no",
         F.col("lat_str").cast(d4).alias("lat_str"), F.col("lat_end").cast(d4).alias("lat_end"),
         F.col("lon_str").cast(d4).alias("lon_str"), F.col("lon_end").cast(d4).alias("lon_end"))
@@ -78,9 +76,7 @@ def gps_duplicates(data: DataFrame, scope: str = "run") -> DataFrame:
 
 def missing_measures(data: DataFrame) -> DataFrame:
     """RPT-8: missing iri / rutting / texture, or a missing picture on a grid station."""
-    cond = (F.col("iri").isNull() | F.col("rutting").isNull() | F.col("texture").isNull()
-            | (F.col("frame_number").isNull() & P.on_grid("chainage")))
-    return data.where(cond).select(RUN, "link_id", "chainage", "iri", "rutting", "texture",
+    return data.where(P.missing_measures()).select(RUN, "link_id", "chainage", "iri", "rutting", "texture",
                                    "frame_number")
 
 

@@ -29,8 +29,6 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # let Spark remove stage checkpoints once their DataFrames are garbage-collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,14 +65,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes what ``written`` wrote inside, at the end; scopes nest."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the file system it lies on."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table below the shared checkpoint folder and read it back.
 
     Readers keep column pruning, filter pushdown and file statistics, which a checkpoint
-    loses. Rows may come back in other partitions. The files stay until the folder is cleared.
+    loses. Rows may come back in other partitions. The files stay until the innermost
+    ``scratch`` scope ends, or else until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
