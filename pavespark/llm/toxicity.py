@@ -164,9 +164,13 @@ def trained(docs: DataFrame, labels: DataFrame, sample_size: int = 12_000) -> di
     bound = sample_size // 2
     known = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").distinct()
     sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (known.join(F.broadcast(sizes), "label")
-              .withColumn("at", F.row_number().over(order)).where(F.col("at") <= bound))
+    # about twice the rows asked for by a hash of the id, thinned where they lie, then exactly
+    # the first by that hash: no task gets a whole label's rows
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
+    near = known.join(F.broadcast(sizes), "label").where(
+        spread * F.col("n") <= 1_000_003 * (2 * bound + 50))
+    order = W.partitionBy("label").orderBy(spread, "doc_id")
+    sample = near.withColumn("at", F.row_number().over(order)).where(F.col("at") <= bound)
     stands_for = F.col("n") / F.least("n", F.lit(bound))
     # at most sample_size rows of four numbers
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(
