@@ -46,10 +46,17 @@ class ChunkIds:
     MARK = "<|endoftext|>"
 
     def __init__(self, path: str, bound: int = 500_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(self.MARK)
+        # the same model for lower-case words of plain letters: they have nothing to normalise,
+        # and a blank is all that parts them
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         suffix = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -59,8 +66,8 @@ class ChunkIds:
         self.older: dict[str, bytes] = {}
         self.bound = bound
 
-    def library_ids(self, text: str) -> np.ndarray:
-        coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+    def library_ids(self, text: str, tokenizer=None) -> np.ndarray:
+        coded = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)
         return np.array(coded[0].ids, "<u4")
 
     def ids(self, text: str) -> bytes:
@@ -73,18 +80,18 @@ class ChunkIds:
         self.known.update((c, self.older[c]) for c in again)
         return new - again
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encodes unknown chunks many at a time. Chunks of plain letters are a word each, so a
-        blank between them is enough: a word's last token bears the end mark."""
-        words, others = [], []
-        for chunk in chunks:
-            (words if chunk.isalpha() and max(chunk) < FIRST_ODD else others).append(chunk)
+    def learn_words(self, words: list[str]) -> None:
+        """Encodes unknown words of plain letters many at a time. A blank between them is
+        enough: a word's last token bears the end mark."""
         for at in range(0, len(words), 256):
             block = words[at:at + 256]
-            ids = self.library_ids(" ".join(block))
+            ids = self.library_ids(" ".join(block), self.plain)
             self.keep(block, ids, [0, *(np.flatnonzero(self.ends_word[ids]) + 1).tolist()], 0)
-        for at in range(0, len(others), 256):
-            block = others[at:at + 256]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encodes other unknown chunks many at a time."""
+        for at in range(0, len(chunks), 256):
+            block = chunks[at:at + 256]
             ids = self.library_ids(self.MARK.join(block))
             self.keep(block, ids, [0, *(np.flatnonzero(ids == self.mark) + 1).tolist(), len(ids) + 1], 1)
 
@@ -107,6 +114,24 @@ class ChunkIds:
             self.known[tail] = self.ids(tail)
         return self.known[tail]
 
+    def learn_all(self, new: set[str]) -> None:
+        """Makes every chunk of ``new`` known: words of plain letters at once, other chunks by
+        their cores and tails."""
+        words = [c for c in new if c.isalpha() and c.islower() and max(c) < FIRST_ODD]
+        self.learn_words(words)
+        new = new.difference(words)
+        special = {c for c in new if "<|" in c}
+        parts = {c: self.core(c) for c in new - special}
+        cores = self.recalled(set(parts.values()))
+        words = [c for c in cores if c.isalpha() and c.islower() and max(c) < FIRST_ODD]
+        self.learn_words(words)
+        self.learn(list(cores.difference(words)))
+        for chunk, core in parts.items():
+            tail = chunk[len(core):]
+            self.known[chunk] = self.known[core] + (self.tail(tail) if tail else b"")
+        for chunk in special:
+            self.known[chunk] = self.ids(chunk)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids, as little-endian unsigned 32-bit integers."""
         for block in groups(texts):
@@ -114,21 +139,13 @@ class ChunkIds:
             if len(self.known) > self.bound:
                 self.older, self.known = self.known, {}
             new = self.recalled(set(itertools.chain.from_iterable(chunks)))
-            special = {c for c in new if "<|" in c}
-            parts = {c: self.core(c) for c in new - special}
-            cores = set(parts.values())
-            self.learn(list(self.recalled(cores)))
-            for chunk, core in parts.items():
-                tail = chunk[len(core):]
-                self.known[chunk] = self.known[core] + (self.tail(tail) if tail else b"")
-            for chunk in special:
-                self.known[chunk] = self.ids(chunk)
+            self.learn_all(new)
             for own in chunks:
                 yield b"".join(map(self.known.__getitem__, own))
-            for chunk in new:  # long chunks hardly come back, and the memo's bytes are bounded
-                if len(chunk) > LONGEST_KEPT:
-                    self.known.pop(chunk, None)
-                    self.known.pop(parts.get(chunk, chunk), None)
+            # long chunks hardly come back, and the memo's bytes are bounded
+            for chunk in [c for c in new if len(c) > LONGEST_KEPT]:
+                self.known.pop(chunk, None)
+                self.known.pop(self.core(chunk), None)
 
 
 @functools.cache
