@@ -111,6 +111,14 @@ def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     return written(df) if enabled else df
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that grows with the input: the join shuffles both sides by its keys,
+    whatever the session's broadcast threshold. The planner knows a table's files, not its rows:
+    compressed files or pruned columns of less than the threshold can be millions of rows,
+    which would all pass through the driver."""
+    return df.hint("merge")
+
+
 def plan_text(df: DataFrame, mode: str = "extended") -> str:
     """The text ``df.explain(mode)`` prints (physical plan included)."""
     buf = io.StringIO()

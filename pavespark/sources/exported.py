@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pavespark.session import growing
 from pavespark.sources import schemas as S
 
 RUN = "file_name"
@@ -25,9 +26,9 @@ def as_real(c) -> Column:
 def laser_extract(gps: DataFrame, iri: DataFrame, tpl: DataFrame, mpd: DataFrame) -> DataFrame:
     """SRC-1 / JN-1: stations = GPS left-joined with IRI, rutting and texture on (run, chainage)."""
     keys = [RUN, "CHAINAGE"]
-    j = (gps.join(iri, keys, "left")
-            .join(tpl, keys, "left")
-            .join(mpd, keys, "left"))
+    j = (gps.join(growing(iri), keys, "left")
+            .join(growing(tpl), keys, "left")
+            .join(growing(mpd), keys, "left"))
     dec = "decimal(8,2)"
     return j.select(
         as_real("CHAINAGE").alias("chainage"),
@@ -118,11 +119,23 @@ def read_run_folder(spark: SparkSession, root: str, table: str, schema,
     return df.select(*cols, F.regexp_extract(path, RUN_FROM_PATH, 1).alias(RUN))
 
 
+# tasks put their files in place themselves: with a folder per run, moving them one by one at
+# the end of the job keeps the driver busy longer than all tasks. Only for new folders.
+COMMIT_IN_TASKS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
+def by_run(df: DataFrame) -> DataFrame:
+    """Rows dealt by run and 10 km chunk: a task writes few runs, and a long run is written by
+    several tasks. Each run's folder gets a file per chunk, not one from every task."""
+    at = next((c for c in ("chainage", "chainage_pic") if c in df.columns), None)
+    return df.repartition(F.col(RUN), *([F.floor(F.col(at) / 10_000)] if at else []))
+
+
 def write_run_partitioned_csv(df: DataFrame, path: str) -> None:
     """SNK-2 for many runs: one distributed write, one folder per run
     (``<path>/file_name=<run>/part-*.csv``)."""
-    (df.write.mode("errorifexists").partitionBy(RUN).option("header", "false")
-       .option("nullValue", "").csv(path))
+    (by_run(df).write.mode("errorifexists").partitionBy(RUN).options(**COMMIT_IN_TASKS)
+     .option("header", "false").option("nullValue", "").csv(path))
 
 
 def read_run_partitioned_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -189,10 +202,9 @@ def write_tables(inputs, root: str) -> None:
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-1: materialise a derived table as Parquet partitioned by run.
 
-    Rows are dealt by run and 10 km chunk first: a task writes few runs, and a long run is
-    written by several tasks."""
+    Rows are dealt by run and 10 km chunk first (``by_run``)."""
     if "chainage" in df.columns:
-        df = df.repartition(F.col(RUN), F.floor(F.col("chainage") / 10_000))
+        df = by_run(df)
     df.write.mode(mode).partitionBy(RUN).parquet(path)
 
 

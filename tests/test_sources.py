@@ -168,3 +168,31 @@ def test_cli_main(spark, capsys):
     for table in ("station_table", "survey", "survey_point", "survey_image", "pave_table", "survey_pave"):
         assert f"/out/{table}\n" in out
         assert spark.read.parquet(f"{base}/out/{table}").count() > 0
+
+
+def test_each_run_is_written_by_one_task(spark):
+    """Rows of many runs lie in every partition; a run's folder still gets one file, not one
+    from each of them."""
+    from pavespark.sources.schemas import PIC_CSV
+    path = os.path.join(tempfile.mkdtemp(prefix="pavespark-part-"), "pic")
+    want = [(5.0 * i, str(i), f"run {r}") for i in range(40) for r in range(3)]
+    df = spark.createDataFrame(want, PIC_CSV).repartition(8)
+    exported.write_run_partitioned_csv(df, path)
+    for r in range(3):
+        files = [n for n in os.listdir(os.path.join(path, f"file_name=run {r}")) if n.endswith(".csv")]
+        assert len(files) == 1
+    back = exported.read_run_partitioned_csv(spark, path, PIC_CSV)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(want)
+
+
+def test_stations_are_not_broadcast_by_a_guess_of_their_size(spark):
+    """The tables joined to stations grow with them: no join of theirs passes through the driver,
+    also where a session lets small files be broadcast."""
+    from pavespark.session import plan_text
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(10 << 20))
+    try:
+        assert "Broadcast" not in plan_text(load(spark, SF_SMALL).laser, "simple")
+    finally:
+        spark.conf.set(key, before)
