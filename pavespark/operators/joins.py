@@ -16,6 +16,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pavespark.session import growing
+
 
 def _bucket_array(lo: Column, hi: Column, width: float) -> Column:
     blo, bhi = F.floor(lo / width), F.floor(hi / width)
@@ -38,7 +40,7 @@ def range_join(points: DataFrame, intervals: DataFrame, x: Column | str, lo: Col
     iv = intervals.withColumn("_lo", lo).withColumn("_hi", hi)
     blo, bhi = F.col("_lo"), F.col("_hi")
     if extent is not None:
-        iv = iv.join(extent, list(keys), "left")
+        iv = iv.join(growing(extent), list(keys), "left")
         blo = F.greatest(blo, F.col("_xmin"))
         bhi = F.least(bhi, F.col("_xmax"))
         iv = iv.withColumn("_b", F.explode(_bucket_array(blo, bhi, width))).drop("_xmin", "_xmax")
@@ -56,7 +58,7 @@ def range_join(points: DataFrame, intervals: DataFrame, x: Column | str, lo: Col
     cond = cond & ((F.col("_x") < F.col("_hi")) if hi_open else (F.col("_x") <= F.col("_hi")))
     if residual is not None:
         cond = cond & residual
-    out = pt.join(iv, cond, how)
+    out = pt.join(growing(iv), cond, how)
     return out.drop("_x", "_b", "_rb", "_lo", "_hi", *rkeys.values())
 
 
@@ -86,5 +88,5 @@ def near_join(small: DataFrame, big: DataFrame, eps: float, keys: Sequence[str],
     for k, r in rk.items():
         cond = cond & (F.col(k) == F.col(r))
     dist = F.sqrt((F.col(sx) - F.col(bx)) ** 2 + (F.col(sy) - F.col(by)) ** 2)
-    out = s.join(b, cond & (dist <= eps), how)
+    out = s.join(growing(b), cond & (dist <= eps), how)
     return out.drop(cx, cy, "_bcx", "_bcy", *rk.values())

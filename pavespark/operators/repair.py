@@ -18,6 +18,7 @@ from pavespark.functions import predicates as P
 from pavespark.operators.geometry import add_point_at, line_agg
 from pavespark.operators.joins import near_join, range_join
 from pavespark.operators.windows import null_safe_join
+from pavespark.session import growing
 
 RUN = "file_name"
 EVENT_COLS = ["event_name", "link_id", "section_id", "km_start", "km_end", "length", "lane_no",
@@ -43,7 +44,7 @@ def apply_corrections(data: DataFrame, corr: DataFrame, on: dict,
     for dcol, ccol in on.items():
         e = F.col(dcol) == F.col(ren[ccol])
         cond = e if cond is None else cond & e
-    j = data.join(c, cond, "left")
+    j = data.join(growing(c), cond, "left")
     hit = F.col("_c__hit").isNotNull()
     out = j
     for dcol, expr in assign.items():
@@ -102,10 +103,10 @@ def event_near_station(events: DataFrame, groups: DataFrame, stations: DataFrame
         RUN, "chainage", "g_lon", "g_lat").distinct()
     st = stations.select(F.col(RUN).alias("_r"), F.col("chainage").alias("_c"),
                          F.col("lon").alias("_x"), F.col("lat").alias("_y"))
-    nxt = (need.join(st, (F.col(RUN) == F.col("_r")) & (F.col("g_lon") == F.col("_x"))
+    nxt = (need.join(growing(st), (F.col(RUN) == F.col("_r")) & (F.col("g_lon") == F.col("_x"))
                      & (F.col("g_lat") == F.col("_y")) & (F.col("_c") > F.col("chainage")))
                .groupBy(RUN, "chainage", "g_lon", "g_lat").agg(F.min("_c").alias("g_next")))
-    cand = (other.join(nxt, [RUN, "chainage", "g_lon", "g_lat"], "left")
+    cand = (other.join(growing(nxt), [RUN, "chainage", "g_lon", "g_lat"], "left")
                  .withColumn("_m", F.when(F.col("g_min") != F.col("chainage"), F.col("g_min"))
                              .otherwise(F.col("g_next"))))
     return cand.groupBy(*ev_keys).agg(F.min("_m").alias("chainage_data"))
@@ -233,7 +234,7 @@ def frozen_fixes(data: DataFrame) -> DataFrame:
                   .where(F.col("n") > 1).select(RUN, "geom_lon", "geom_lat").distinct())
     # JN-11: geometry equi-join (as a semi join on the coordinate)
     members = (grid.where(F.col("status") == K.STATUS_LOST)
-                   .join(frozen, [RUN, "geom_lon", "geom_lat"], "left_semi")
+                   .join(growing(frozen), [RUN, "geom_lon", "geom_lat"], "left_semi")
                    .select(RUN, "link_id", "chainage", "geom_lon", "geom_lat").distinct())
     groups = (members.groupBy(RUN, "link_id", "geom_lon", "geom_lat")
                      .agg((F.min("chainage") - K.REPORT_INTERVAL_M).alias("min_c"),
@@ -242,13 +243,13 @@ def frozen_fixes(data: DataFrame) -> DataFrame:
     ends = groups.withColumn("at", F.explode(F.array("min_c", "max_c")))
     pts = data.select(F.col(RUN).alias("_r"), F.col("chainage").alias("_c"),
                       F.col("geom_lon").alias("_x"), F.col("geom_lat").alias("_y"))
-    anchors = ends.join(pts, (F.col(RUN) == F.col("_r")) & (F.col("at") == F.col("_c")))
+    anchors = ends.join(growing(pts), (F.col(RUN) == F.col("_r")) & (F.col("at") == F.col("_c")))
     lines = (anchors.groupBy(RUN, "link_id", "geom_lon", "geom_lat", "min_c", "max_c")
                     .agg(line_agg("_c", "_x", "_y").alias("line"),
                          F.countDistinct("_c").alias("n_anchor"))
                     .where(F.col("n_anchor") == 2))
     # JN-19: members x anchor lines as an equi-join on the group key
-    m = members.join(lines, [RUN, "link_id", "geom_lon", "geom_lat"])
+    m = members.join(growing(lines), [RUN, "link_id", "geom_lon", "geom_lat"])
     p1 = P.as_real(F.col("chainage") - F.col("min_c"))
     p2 = P.as_real(F.col("max_c") - F.col("min_c"))
     m = m.where((p1 > 0) & (p1 < p2)).withColumn("f", P.as_real(p1 / p2))
@@ -298,7 +299,7 @@ def attach_link_coords(data: DataFrame, links: DataFrame) -> DataFrame:
         cond = e if cond is None else cond & e
     for c in LINK_COORDS:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_l_o_{c}"))
-    j = data.join(l, cond, "left")
+    j = data.join(growing(l), cond, "left")
     hit = F.col("_l_hit").isNotNull()
     return j.select(*[F.when(hit, F.col(f"_l_n_{c}")).otherwise(F.col(c)).alias(c)
                       if c in LINK_COORDS else F.col(c) for c in data.columns])

@@ -25,7 +25,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pavespark.session import materialize
+from pavespark.session import growing, materialize
 
 
 def _num_partitions(df: DataFrame) -> int:
@@ -36,8 +36,9 @@ def _cols(xs):
     return [F.col(c) if isinstance(c, str) else c for c in xs]
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join on ``keys`` where NULL matches NULL (``<=>``); right keys dropped."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], grows: bool = True) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL matches NULL (``<=>``); right keys dropped.
+    ``grows=False``: ``right`` has a bounded number of rows and may be broadcast."""
     ren = {k: f"_r_{k}" for k in keys}
     r = right
     for k, v in ren.items():
@@ -46,7 +47,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     for k, v in ren.items():
         c = F.col(k).eqNullSafe(F.col(v))
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "inner").drop(*ren.values())
+    return left.join(growing(r) if grows else r, cond, "inner").drop(*ren.values())
 
 
 def ordered_index(df: DataFrame, part: Sequence[str], order: Sequence[Column | str],
@@ -81,7 +82,8 @@ def ordered_index(df: DataFrame, part: Sequence[str], order: Sequence[Column | s
     w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *part, "_mid0",
                             F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    out = null_safe_join(ranged, offsets, ["_pid"] + part)
+    # without groups there is a row per range partition, which stays small
+    out = null_safe_join(ranged, offsets, ["_pid"] + part, grows=bool(part))
     return (out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_mid0"))
                .drop("_pid", "_mid", "_mid0", "_off"))
 
@@ -116,14 +118,14 @@ def rolling_sums(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk
     earlier = F.flatten(F.collect_list("_e").over(along.rowsBetween(-max(before, 1), -1)))
     later = F.flatten(F.collect_list("_e").over(along.rowsBetween(1, max(after, 1))))
     edges = (edge(down, max(before, 1), -1).select(*key, earlier.alias("_earlier"))
-             .join(edge(up, max(after, 1), 1).select(*key, later.alias("_later")), key))
+             .join(growing(edge(up, max(after, 1), 1).select(*key, later.alias("_later"))), key))
 
     w = Window.partitionBy(*key).orderBy(*up)
     d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
         "_left", F.count(F.lit(1)).over(Window.partitionBy(*key)) - F.col("_rn"))
     for name in names:
         d = d.withColumn(f"_s_{name}", F.sum(name).over(w.rowsBetween(-before, after)))
-    d = d.join(edges, key)
+    d = d.join(growing(edges), key)
     short, size = (F.lit(before + 1) - F.col("_rn")).cast("int"), F.size("_earlier")
     ahead = F.slice("_later", F.lit(1), F.greatest(F.lit(0), (F.lit(after) - F.col("_left")).cast("int")))
     behind = F.slice("_earlier", F.greatest(F.lit(1), size - short + 1), F.greatest(F.lit(0), short))

@@ -21,7 +21,7 @@ from pavespark.operators.linear import gap_rows, lost_islands
 from pavespark.operators.lines import points_on_lines
 from pavespark.operators.repair import _one_per_key, _real_fraction, apply_corrections
 from pavespark.operators.windows import null_safe_join, global_row_number, ordered_index
-from pavespark.session import materialize
+from pavespark.session import growing, materialize
 
 RUN = "file_name"
 SURVEY_GROUP = ["event_name", "link_id", "ramp_id", "section_id", "km_start", "km_end", "length",
@@ -111,7 +111,7 @@ def point_branch_start(data: DataFrame) -> DataFrame:
                      F.col("date").alias("b_date"), F.col(RUN).alias("b_run"),
                      *[F.col(m).alias(f"b_{m}") for m in MEASURES]))
     # JN-13: event-start neighbourhood join
-    j = even.join(b, (F.col("chainage") == F.col("chainages")) & (F.col(RUN) == F.col("b_run"))
+    j = even.join(growing(b), (F.col("chainage") == F.col("chainages")) & (F.col(RUN) == F.col("b_run"))
                   & (F.col("link_id") == F.col("b_link")) & (F.col("date") == F.col("b_date"))
                   & (P.pg_int("chainage") != P.pg_int("b_ch")))
     return j.groupBy("chainage", "link_id", "date", "lon", "lat", RUN, "ramp_id").agg(
@@ -130,7 +130,7 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     # only a link's last stations can have a next station beyond its end
     # (next = chainage + 5 > event_end); filtering first keeps the join small
     tail = data.where(F.col("chainage") + 5 > F.col("event_end"))
-    ahead = (tail.join(raw, (F.col(RUN) == F.col("_lr"))
+    ahead = (tail.join(growing(raw), (F.col(RUN) == F.col("_lr"))
                        & (F.col("chainage") == F.col("_lc") - 5))
                  .where(F.col("_lc") > F.col("event_end"))
                  .select(RUN, F.col("_lc").alias("chainage"),
@@ -140,7 +140,7 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     b = b.select(F.col(RUN).alias("_br"), F.col("chainage").alias("_bc"),
                  *[F.col(m).alias(f"b_{m}") for m in MEASURES])
     # JN-12: the next 5 m station's measures
-    j = a.join(b, (F.col(RUN) == F.col("_br")) & (F.col("chainage") == F.col("_bc") - 5), "left")
+    j = a.join(growing(b), (F.col(RUN) == F.col("_br")) & (F.col("chainage") == F.col("_bc") - 5), "left")
     g = (j.groupBy("chainage", "link_id", "date", RUN).agg(*_avg_measures("b_"))
           .where(P.on_grid_suffix("chainage")))
     geo = data.where(P.on_grid_suffix("chainage")).select(
@@ -148,7 +148,7 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
                       F.col("geom_lon").alias("lon"), F.col("geom_lat").alias("lat"),
                       F.col("ramp_id"))
     # JN-14: geometry (and ramp id) of the grid point from the station rows at that chainage
-    out = g.join(geo, (F.col(RUN) == F.col("_gr")) & (F.col("chainage") == F.col("_gc")))
+    out = g.join(growing(geo), (F.col(RUN) == F.col("_gr")) & (F.col("chainage") == F.col("_gc")))
     return (out.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
                .select("chainage", "link_id", "date", "lon", "lat", RUN, "ramp_id", *MEASURES))
 
@@ -164,7 +164,7 @@ def survey_point_local(data: DataFrame, laser: DataFrame, survey_df: DataFrame)
                          F.col("km_start").alias("s_km_start"))
     # the points feed two row indexes and the global numbering (each reads its input
     # twice): write them once instead of recomputing both branches every time
-    j = materialize(pts.join(s, [RUN, "link_id"], "left"))  # JN-15
+    j = materialize(pts.join(growing(s), [RUN, "link_id"], "left"))  # JN-15
     order = _asc("chainage", *POINT_TIES)
     chunk = F.coalesce(F.floor(F.col("chainage") / 10000), F.lit(1 << 40))
     j = ordered_index(j, [RUN, "date", "link_id"], order, name="order_row", chunk=chunk)
@@ -196,7 +196,7 @@ def survey_image(points: DataFrame, data: DataFrame) -> DataFrame:
                         "frame_number").distinct())
     key = C.next_station_5m(P.pg_int("chainage"))
     # JN-16: image-to-point join on the next 5 m station (PRJ-11)
-    j = points.join(pics, (F.col(RUN) == F.col("_pr")) & (key == F.col("_pk")), "left")
+    j = points.join(growing(pics), (F.col(RUN) == F.col("_pr")) & (key == F.col("_pk")), "left")
     fname = F.concat(F.col(RUN), F.lit(K.IMAGE_ROW_TAG), C.frame_text("frame_number"),
                      F.lit(K.IMAGE_EXT))
     j = j.select("survey_point_id", "survey_id", "km", "link_id", "chainage", RUN, "frame_number",
@@ -221,14 +221,14 @@ def repair_image_names(images: DataFrame) -> DataFrame:
     """REP-10: of two duplicated file names less than 25 m apart, the later image's
     last frame digit 0 -> 3 and 5 -> 7 (other digits: unchanged)."""
     dup = image_duplicates(images).where(F.col("cc") > 1).select(RUN, "filename")
-    d = images.join(dup, [RUN, "filename"], "left_semi")
+    d = images.join(growing(dup), [RUN, "filename"], "left_semi")
     order = _asc("img_id", "link_id", "survey_id", "filename", "directory")
     d = materialize(ordered_index(d, [RUN], order, name="_i",
                                   chunk=F.coalesce(F.floor(F.col("img_id") / 10000), F.lit(1 << 40))))
     # WIN-8: lag(img_id) as a join with the previous position
     prev = d.select(F.col(RUN).alias("_pr"), (F.col("_i") + 1).alias("_pi"),
                     F.col("img_id").alias("img_bf"))
-    d = d.join(prev, (F.col(RUN) == F.col("_pr")) & (F.col("_i") == F.col("_pi")))
+    d = d.join(growing(prev), (F.col(RUN) == F.col("_pr")) & (F.col("_i") == F.col("_pi")))
     d = d.where(F.col("img_id") - F.col("img_bf") < K.REPORT_INTERVAL_M)
     digit = F.substring(F.reverse(F.col("filename")), 5, 1).try_cast("int")
     new_digit = F.when(digit == 0, F.lit(K.IMAGE_RENAME_DIGITS[0])).when(
@@ -295,14 +295,14 @@ def pave_table(data: DataFrame, pave: DataFrame, survey_df: DataFrame,
     for k in ev_keys:  # null-safe: a link with a NULL date or name is still one interval
         e = F.col(k).eqNullSafe(F.col(f"_s_{k}"))
         cond = e if cond is None else cond & e
-    unmatched = ev.join(seen, cond, "left_anti")
+    unmatched = ev.join(growing(seen), cond, "left_anti")
     for cname in ["chainage_pic", "frame_number", "lon", "lat"]:
         unmatched = unmatched.withColumn(cname, F.lit(None).cast(pv.schema[cname].dataType))
     a = jj.unionByName(unmatched.select(*jj.columns))
     s = survey_df.select(RUN, "link_id", F.col("date").alias("survey_date"), "survey_id",
                          "lane_group", "lane_no", F.col("date").alias("date"), "km_start",
                          "km_end", "run_code", "survey_code")
-    out = a.join(s, [RUN, "link_id", "survey_date"], "left")  # JN-15
+    out = a.join(growing(s), [RUN, "link_id", "survey_date"], "left")  # JN-15
     return out.select(
         "survey_id", P.pg_int("chainage_pic").alias("chainage_pic"), "event_str", "event_end",
         "link_id", "frame_number", "lane_group", "lane_no", "lon", "lat", "date",
@@ -372,7 +372,7 @@ def pave_gap_fixes(pave_df: DataFrame, lost: DataFrame, survey_df: DataFrame,
           .withColumn("f", _real_fraction(F.col("gps_lost_ch") - F.col("chainage_str"),
                                           F.col("chainage_end") - F.col("chainage_str"))))
     links = survey_df.select(F.col("survey_id").alias("b_survey"), F.col("link_id").alias("s_link"))
-    g = g.join(links, "b_survey").where((F.col("f") >= 0) & (F.col("f") <= 1))
+    g = g.join(growing(links), "b_survey").where((F.col("f") >= 0) & (F.col("f") <= 1))
     g = points_on_lines(g, survey_df.select(F.col("survey_id").alias("b_survey"), "the_geom"),
                         ["b_survey"], "f")
     fixes = g.select(RUN, "date", "link_id", "gps_lost_ch",
@@ -405,9 +405,9 @@ def pave_frozen_fixes(pave_df: DataFrame, survey_df: DataFrame) -> DataFrame:
     pres = pave_df.where(F.col("chainage_pic").isNotNull() & P.gps_present())
     frozen = (pres.groupBy(RUN, "link_id", "geom_lon", "geom_lat").agg(F.count(F.lit(1)).alias("n"))
                   .where(F.col("n") > 1).select(RUN, "geom_lon", "geom_lat").distinct())
-    m = (pres.join(frozen, [RUN, "geom_lon", "geom_lat"], "left_semi")
+    m = (pres.join(growing(frozen), [RUN, "geom_lon", "geom_lat"], "left_semi")
              .select(RUN, "link_id", "chainage_pic", "event_str", "event_end").distinct())
-    j = m.join(survey_df.select(RUN, "link_id", "survey_id"), [RUN, "link_id"])
+    j = m.join(growing(survey_df.select(RUN, "link_id", "survey_id")), [RUN, "link_id"])
     p1 = P.as_real(F.col("chainage_pic") - F.col("event_str"))
     p2 = P.as_real(F.col("event_end") - F.col("event_str"))
     j = j.withColumn("f", P.as_real(F.try_divide(p1, p2))).where((F.col("f") > 0) & (F.col("f") < 1))

@@ -14,6 +14,7 @@ from pavespark import constants as K
 from pavespark.functions import predicates as P
 from pavespark.functions.measures import default_draw, iri_clamp
 from pavespark.operators.joins import range_join, run_extent
+from pavespark.session import growing
 
 RUN = "file_name"
 
@@ -32,7 +33,7 @@ def pave_keys(key: DataFrame) -> DataFrame:
 def attach_pictures(laser: DataFrame, pic: DataFrame) -> DataFrame:
     """JN-2: stations left-joined with the camera index on ``chainage = chainage_pic::int``."""
     p = pic.withColumn("_pk", P.pg_int("chainage_pic").cast("double"))
-    return (laser.join(p.withColumnRenamed(RUN, "_prun"),
+    return (laser.join(growing(p.withColumnRenamed(RUN, "_prun")),
                        (F.col(RUN) == F.col("_prun")) & (F.col("chainage") == F.col("_pk")), "left")
                  .drop("_prun", "_pk"))
 
@@ -110,6 +111,6 @@ def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default
     a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + c - es))
           .withColumn("date", P.survey_date("survey_date"))
           .withColumn("geom_lon", F.col("lon")).withColumn("geom_lat", F.col("lat")))
-    out = a.join(status.select(RUN, "link_id", "status", "status_type"), [RUN, "link_id"], "inner")
+    out = a.join(growing(status.select(RUN, "link_id", "status", "status_type")), [RUN, "link_id"], "inner")
     return out.select("km2", "date", *KEY_COLS, *LASER_COLS, RUN, "chainage_pic", "frame_number",
                       "geom_lon", "geom_lat", "status", "status_type")

@@ -225,3 +225,31 @@ def test_islands_shuffle_the_stations_once(p):
     moved = _exchanged(lost_islands(p.station_table, "chainage", SurveyStages.STATION_TIES, K.STATION_SPACING_M))
     # later ones carry lost rows with their number, or counts
     assert sum("frame_number#" in columns and "_n1#" not in columns for columns in moved) == 1
+
+
+def test_growing_tables_are_not_broadcast_by_a_guess_of_their_size(spark):
+    """Joins of tables that grow with the stations shuffle both sides in a session that lets
+    files below 10 MB be broadcast: compressed, they can hold millions of rows."""
+    import tempfile
+
+    from pavespark.operators.joins import near_join, range_join
+    from pavespark.operators.repair import apply_corrections
+    from pavespark.operators.windows import null_safe_join, ordered_index
+    from pavespark.session import plan_text
+    folder = tempfile.mkdtemp(prefix="pavespark-join-")
+    for name in ("a", "b"):
+        spark.range(50).selectExpr("cast(id % 3 as string) file_name", f"cast(id as double) {name}").write.parquet(f"{folder}/{name}")
+    a, b = (spark.read.parquet(f"{folder}/{name}") for name in ("a", "b"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(10 << 20))
+    try:
+        for joined in (range_join(a, b, "a", F.col("b") - 1, F.col("b") + 1),
+                       near_join(a, b, 0.5, ["file_name"], "a", "a", "b", "b"),
+                       null_safe_join(a, b, ["file_name"]),
+                       apply_corrections(a, b, {"file_name": "file_name", "a": "b"}, {"a": lambda g: g("b") + 1}),
+                       ordered_index(a, ["file_name"], ["a"], chunk=F.floor(F.col("a") / 10))):
+            assert "Broadcast" not in plan_text(joined, "simple")
+            assert joined.count() >= 50
+    finally:
+        spark.conf.set(key, before)
