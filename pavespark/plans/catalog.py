@@ -97,22 +97,24 @@ def _scratch(spark, name: str) -> str:
 _RAW_EXPORTS: dict = {}
 
 
-def _raw_inputs(spark, sf_dir):
-    """SRC-1..4 over the seven raw tables of every run, written in the van's export layout and
-    read back from there (one export per session and input files)."""
+def _raw_export(spark, sf_dir, extract: str) -> str:
+    """The raw tables that ``extract`` is made of, of every run, written in the van's export
+    layout (one export per session, input files and table)."""
     from pavespark.sources import fixtures, raw
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir))
-    if key not in _RAW_EXPORTS:
-        root = _scratch(spark, "raw")
-        raw.write_raw_tables(fixtures.raw_tables(spark, sf_dir), root, "20240101")
-        _RAW_EXPORTS[key] = root
-    return raw.load_raw_folder(spark, _RAW_EXPORTS[key])
+    root, done = _RAW_EXPORTS.setdefault(key, (_scratch(spark, "raw"), set()))
+    for table in (t for t in raw.EXTRACTS[extract][0] if t not in done):
+        raw.write_raw_tables(fixtures.raw_tables(spark, sf_dir), root, "20240101", tables=[table])
+        done.add(table)
+    return root
 
 
 def _register_raw_extract(table: str):
     @register(f"raw_{table}_extract")
     def q_raw_extract(spark, sf_dir) -> DataFrame:
-        return getattr(_raw_inputs(spark, sf_dir), table)
+        """One of SRC-1..4, read back from the export."""
+        from pavespark.sources import raw
+        return raw.load_raw_extract(spark, _raw_export(spark, sf_dir, table), table)
 
 
 for _table in ("laser", "key", "pic", "pave"):

@@ -123,3 +123,36 @@ def test_cli_from_raw_tables(spark, exported_root):
     cols = ["file_name", "link_id", "chainage", "km", "iri", "lon", "lat", "survey_point_id"]
     got = spark.read.parquet(f"{out}/survey_point_local")
     assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+
+
+def test_an_extract_exports_and_lists_its_own_tables(spark):
+    """The picture index of every run needs one of the seven tables."""
+    import glob
+    from urllib.parse import urlparse
+
+    from pavespark.plans import catalog
+    sf_dir = tempfile.mkdtemp(prefix="pavespark-rawown-")
+    spark.createDataFrame([(500 * r + i, 1.5) for r in range(3) for i in range(4)],
+                          "event_id long, value double").write.parquet(f"{sf_dir}/events.parquet")
+    before = set(catalog._RAW_EXPORTS)
+    got = catalog.QUERIES["raw_pic_extract"](spark, sf_dir)
+    assert sorted(map(tuple, got.select("file_name", "chainage_pic").collect())) == [
+        (f"20240101 000{r + 1}", 5.0 * i) for r in range(3) for i in range(4)]
+    (key,) = set(catalog._RAW_EXPORTS) - before
+    root = urlparse(catalog._RAW_EXPORTS[key][0]).path
+    names = {os.path.basename(p)[:16] for p in glob.glob(f"{root}/survey_data/*/*/*")}
+    assert names == {"Video_Processed_"}
+    # the other tables follow into the same folders when an extract needs them
+    assert catalog.QUERIES["raw_laser_extract"](spark, sf_dir).count() == 12
+    assert catalog._RAW_EXPORTS[key][1] == {"video_row", "gps", "iri", "tpl", "mpd"}
+
+
+def test_header_comes_from_the_first_run_that_has_the_table(spark):
+    """Names with characters of patterns are taken as they are; runs without the table are passed."""
+    root = tempfile.mkdtemp(prefix="pavespark-rawfirst-")
+    export(root, "a", "mpd", "CHAINAGE,LANE_MPD", ["5,1"])
+    export(root, "b [1] {x}", "gps", "ID,LATITUDE,CHAINAGE,LONGITUDE", ["7,13.7,0,100.5"])
+    export(root, "c", "gps", "ID,LATITUDE,CHAINAGE,LONGITUDE", ["8,13.8,5,100.6"])
+    assert "GPS_Processed_b" in raw._first_place(spark, root, "gps", "csv", "*")
+    got = sorted(map(tuple, raw.read_raw_table(spark, root, "gps").select("LATITUDE", "file_name").collect()))
+    assert got == [(13.7, "b [1] {x}"), (13.8, "c")]
