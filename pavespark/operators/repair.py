@@ -32,9 +32,15 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
 
 
 def apply_corrections(data: DataFrame, corr: DataFrame, on: dict,
-                      assign: dict) -> DataFrame:
+                      assign: dict, among: Column | None = None) -> DataFrame:
     """JN-18 (update ... from): left-join corrections; ``on`` = {data_col: corr_col};
-    ``assign`` = {data_col: fn(getter) -> Column over the correction columns}."""
+    ``assign`` = {data_col: fn(getter) -> Column over the correction columns};
+    ``among``: true for every row that a correction can meet (a condition on its ``on``
+    columns): the other rows are not shuffled."""
+    rest = None
+    if among is not None:
+        among = F.coalesce(among, F.lit(False))
+        data, rest = data.where(among), data.where(~among)
     c = corr.withColumn("_hit", F.lit(True))
     ren = {}
     for col in c.columns:
@@ -49,7 +55,8 @@ def apply_corrections(data: DataFrame, corr: DataFrame, on: dict,
     out = j
     for dcol, expr in assign.items():
         out = out.withColumn(dcol, F.when(hit, expr(lambda n: F.col(ren[n]))).otherwise(F.col(dcol)))
-    return out.select(*data.columns)
+    out = out.select(*data.columns)
+    return out if rest is None else out.unionByName(rest)
 
 
 # ----------------------------------------------------------------- event points
@@ -218,7 +225,8 @@ def repair_gps_gaps(data: DataFrame, gps_lost: DataFrame, extent=None) -> DataFr
     """REP-4: lost 25 m stations take the point interpolated along their gap window."""
     fixes = gap_fixes(gps_lost, data, extent)
     return apply_corrections(data, fixes, {RUN: RUN, "date": "date", "link_id": "link_id",
-                                           "chainage": "gps_lost_ch"}, _set_point())
+                                           "chainage": "gps_lost_ch"}, _set_point(),
+                             among=P.on_grid("chainage"))
 
 
 # --------------------------------------------------------------------- unfreeze
@@ -239,9 +247,10 @@ def frozen_fixes(data: DataFrame) -> DataFrame:
     groups = (members.groupBy(RUN, "link_id", "geom_lon", "geom_lat")
                      .agg((F.min("chainage") - K.REPORT_INTERVAL_M).alias("min_c"),
                           (F.max("chainage") + K.REPORT_INTERVAL_M).alias("max_c")))
-    # JN-10: "min_c = chainage OR max_c = chainage" as explode + equi-join
+    # JN-10: "min_c = chainage OR max_c = chainage" as explode + equi-join; a grid step beside
+    # a grid station is on the grid
     ends = groups.withColumn("at", F.explode(F.array("min_c", "max_c")))
-    pts = data.select(F.col(RUN).alias("_r"), F.col("chainage").alias("_c"),
+    pts = data.where(P.on_grid("chainage")).select(F.col(RUN).alias("_r"), F.col("chainage").alias("_c"),
                       F.col("geom_lon").alias("_x"), F.col("geom_lat").alias("_y"))
     anchors = ends.join(growing(pts), (F.col(RUN) == F.col("_r")) & (F.col("at") == F.col("_c")))
     lines = (anchors.groupBy(RUN, "link_id", "geom_lon", "geom_lat", "min_c", "max_c")
@@ -263,7 +272,7 @@ def repair_gps_frozen(data: DataFrame) -> DataFrame:
     """REP-5: frozen grid stations of lost-status links are re-placed by interpolation."""
     fixes = frozen_fixes(data)
     return apply_corrections(data, fixes, {RUN: RUN, "link_id": "link_id", "chainage": "chainage"},
-                             _set_point())
+                             _set_point(), among=P.on_grid("chainage"))
 
 
 # ------------------------------------------------------- link-level event repair
@@ -283,7 +292,9 @@ def link_table(data: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 def attach_link_coords(data: DataFrame, links: DataFrame) -> DataFrame:
     """Write repaired keyed coordinates back to every station of the link: a left
     join with the *changed* links only (null-safe on the original key columns), so
-    the correction side is small and the station table is not reshuffled."""
+    the correction side is small. The rows meet by a hash of those columns, as all
+    stations of a link are equal in them: sorting by the columns themselves would compare
+    every one of them for each pair."""
     ident = [c for c in links.columns if not c.startswith("_o_") and c not in LINK_COORDS]
     changed = None
     for c in LINK_COORDS:
@@ -299,7 +310,9 @@ def attach_link_coords(data: DataFrame, links: DataFrame) -> DataFrame:
         cond = e if cond is None else cond & e
     for c in LINK_COORDS:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_l_o_{c}"))
-    j = data.join(growing(l), cond, "left")
+    l = l.withColumn("_l_h", F.xxhash64(*(f"_l_{c}" for c in ident), *(f"_l_o_{c}" for c in LINK_COORDS)))
+    by_hash = F.xxhash64(*ident, *LINK_COORDS) == F.col("_l_h")
+    j = data.join(growing(l), by_hash & cond, "left")
     hit = F.col("_l_hit").isNotNull()
     return j.select(*[F.when(hit, F.col(f"_l_n_{c}")).otherwise(F.col(c)).alias(c)
                       if c in LINK_COORDS else F.col(c) for c in data.columns])

@@ -99,12 +99,15 @@ def rolling_sums(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk
     before they are shuffled. ``part`` columns must not be NULL.
     """
     part, names = list(part), list(sums)
-    d = df.withColumn("_chunk", chunk)
-    for name, value in sums.items():
-        d = d.withColumn(name, F.coalesce(value, F.lit(0)).cast("bigint"))
+    key = [*part, "_chunk"]
+
+    def valued(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({name: F.coalesce(v, F.lit(0)).cast("bigint") for name, v in sums.items()})
+
+    rows = df.withColumn("_chunk", chunk)
+    d = valued(rows)
     up = [F.col(c).asc_nulls_last() for c in order]
     down = [F.col(c).desc_nulls_first() for c in order]
-    key = [*part, "_chunk"]
 
     def edge(sort: list[Column], rows: int, sign: int) -> DataFrame:
         """Up to ``rows`` rows at one end of every chunk, as one array in order."""
@@ -121,7 +124,8 @@ def rolling_sums(df: DataFrame, part: Sequence[str], order: Sequence[str], chunk
              .join(growing(edge(up, max(after, 1), 1).select(*key, later.alias("_later"))), key))
 
     w = Window.partitionBy(*key).orderBy(*up)
-    d = d.withColumn("_rn", F.row_number().over(w)).withColumn(
+    # the values are worked out where the rows have been dealt to, not shuffled with them
+    d = valued(rows.repartition(*key)).withColumn("_rn", F.row_number().over(w)).withColumn(
         "_left", F.count(F.lit(1)).over(Window.partitionBy(*key)) - F.col("_rn"))
     for name in names:
         d = d.withColumn(f"_s_{name}", F.sum(name).over(w.rowsBetween(-before, after)))

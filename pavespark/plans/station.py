@@ -91,26 +91,23 @@ def station_table(laser: DataFrame, key: DataFrame, pic: DataFrame, draw=default
                   extent: DataFrame | None = None, need_picture: bool = False) -> DataFrame:
     """TAB-1 ``data_suvey``. ``geom_lon/geom_lat`` carry the point geometry.
 
-    One range join of the stations against the links over the union of both
-    bounds ([rint(event_str), rint(event_end)] for the table, +-5 m unrounded for
-    the GPS status). Spark plans it once for the rows and once for the status counts,
-    which keep only what they read. ``need_picture``: see ``gps_status``.
+    The stations are range-joined with the links twice: within +-5 m (unrounded) for the
+    counts of the GPS status, which keep only what they read, and within
+    [rint(event_str), rint(event_end)] for the rows. The status joins the links before they
+    meet the stations, so the whole rows are not shuffled once more for it.
+    ``need_picture``: see ``gps_status``.
     """
     if extent is None:
         extent = run_extent(laser)
     stations = attach_pictures(iri_clamp(laser, draw), pic)
-    tol = K.STATUS_TOLERANCE_M
-    es, ee = F.col("event_str"), F.col("event_end")
-    lo = F.least(P.pg_int("event_str").cast("double"), es - tol)
-    hi = F.greatest(P.pg_int("event_end").cast("double"), ee + tol)
-    cand = range_join(stations, pave_keys(key), "chainage", lo, hi, keys=[RUN], extent=extent)
-    c = F.col("chainage")
-    status = _status_from_candidates(_pictured(cand.where(c.between(es - tol, ee + tol)), need_picture))
-    a = cand.where(c.between(P.pg_int("event_str"), P.pg_int("event_end")))
+    links = pave_keys(key)
+    cand = station_link_join(stations, links, tolerance=K.STATUS_TOLERANCE_M, rounded=False, extent=extent)
+    status = _status_from_candidates(_pictured(cand, need_picture))
+    links = links.join(growing(status.select(RUN, "link_id", "status", "status_type")), [RUN, "link_id"], "inner")
+    a = station_link_join(stations, links, extent=extent)
     # PRJ-2: running km = km_start (without '+') + chainage - event_str
-    a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + c - es))
+    a = (a.withColumn("km2", P.as_real(P.km_int("km_start") + F.col("chainage") - F.col("event_str")))
           .withColumn("date", P.survey_date("survey_date"))
           .withColumn("geom_lon", F.col("lon")).withColumn("geom_lat", F.col("lat")))
-    out = a.join(growing(status.select(RUN, "link_id", "status", "status_type")), [RUN, "link_id"], "inner")
-    return out.select("km2", "date", *KEY_COLS, *LASER_COLS, RUN, "chainage_pic", "frame_number",
+    return a.select("km2", "date", *KEY_COLS, *LASER_COLS, RUN, "chainage_pic", "frame_number",
                       "geom_lon", "geom_lat", "status", "status_type")

@@ -253,3 +253,53 @@ def test_growing_tables_are_not_broadcast_by_a_guess_of_their_size(spark):
             assert joined.count() >= 50
     finally:
         spark.conf.set(key, before)
+
+
+def test_status_joins_the_links_before_they_meet_the_stations(p):
+    moved = _exchanged(station_table(p.laser, p.key, p.pic))
+    assert any("iri_left#" in columns for columns in moved)
+    assert not any("iri_left#" in columns and "km_start#" in columns for columns in moved)
+
+
+def test_repairs_shuffle_grid_stations_only(p):
+    from pavespark.operators.repair import repair_gps_frozen, repair_gps_gaps
+    for df in (repair_gps_gaps(p.events_fixed, p.gps_lost), repair_gps_frozen(p.gaps_filled)):
+        assert "Union" in plan(df)  # the other stations stay where they are
+        assert sum("texture#" in columns for columns in _exchanged(df)) == 1
+
+
+def test_corrections_among_some_rows_are_those_among_all(spark):
+    from pavespark.operators.repair import apply_corrections
+    data = spark.createDataFrame([("r", 25.0, 1), ("r", 25.0, 2), ("r", 27.0, 3), ("r", None, 4), (None, 50.0, 5),
+                                  ("r", 50.0, 6)], "file_name string, chainage double, v int")
+    fixes = spark.createDataFrame([("r", 25.0, 9), ("r", 50.0, None), ("r", None, 7)], "file_name string, at double, new int")
+
+    def rows(**among):
+        found = apply_corrections(data, fixes, {"file_name": "file_name", "chainage": "at"}, {"v": lambda g: g("new")}, **among)
+        return sorted(map(str, found.collect()))
+
+    assert rows(among=F.col("chainage") % 25 == 0) == rows()
+    assert len(rows()) == 6
+
+
+def test_point_grid_looks_only_at_stations_after_the_grid(p):
+    s = plan(D.point_branch_grid(p.stations_final, p.laser))
+    assert "- 5.0) % 25" in s
+
+
+def test_smoothing_shuffles_stations_without_the_summed_values(p):
+    from pavespark.operators.smoothing import smooth_measures
+    moved = [columns for columns in _exchanged(smooth_measures(p.unfrozen)) if "geom_lon#" in columns]
+    assert len(moved) == 1 and "_s_iri_left#" not in moved[0]
+
+
+def test_repaired_links_meet_their_stations_by_one_hash(spark):
+    from pavespark.operators.repair import LINK_COORDS, attach_link_coords, link_table
+    rows = [("r", "L", None, 1.0, 2.0, 3.0, 4.0, c) for c in (0, 5)] + [("r", None, "x", 1.0, 2.0, 3.0, 4.0, 10)]
+    data = spark.createDataFrame(rows, "file_name string, link_id string, date string, lat_str double, "
+                                       "lat_end double, lon_str double, lon_end double, c int")
+    links = link_table(data, ["link_id", *LINK_COORDS]).withColumn(
+        "lat_str", F.when(F.col("date").isNull(), 9.0).otherwise(F.col("lat_str")))
+    found = attach_link_coords(data, links)
+    assert "xxhash64" in plan(found)
+    assert sorted((r["c"], r["lat_str"]) for r in found.collect()) == [(0, 9.0), (5, 9.0), (10, 1.0)]
