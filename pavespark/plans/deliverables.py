@@ -122,6 +122,8 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
     """TAB-3 branch B: 25 m grid stations take the mean of the *next* 5 m station's
     measures (in-link smoothed rows, or raw laser rows just past the link end)."""
     inlink = data.where(F.col("chainage").between(F.col("event_str"), F.col("event_end")))
+    # only grid stations are kept at the end, so only stations next to one are looked at
+    after_grid = P.on_grid_suffix(F.col("chainage") - 5)
     a = inlink.select("chainage", "event_str", "event_end", "link_id", "date", RUN)
     b_in = inlink.select(RUN, "chainage", *[F.col(m).cast("double").alias(m) for m in MEASURES],
                          "ramp_id")
@@ -136,7 +138,7 @@ def point_branch_grid(data: DataFrame, laser: DataFrame) -> DataFrame:
                  .select(RUN, F.col("_lc").alias("chainage"),
                          *[F.col(f"_l_{m}").cast("double").alias(m) for m in MEASURES],
                          "ramp_id"))
-    b = b_in.unionByName(ahead).distinct()  # SET-4
+    b = b_in.unionByName(ahead).where(after_grid).distinct()  # SET-4
     b = b.select(F.col(RUN).alias("_br"), F.col("chainage").alias("_bc"),
                  *[F.col(m).alias(f"b_{m}") for m in MEASURES])
     # JN-12: the next 5 m station's measures
