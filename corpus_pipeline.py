@@ -50,10 +50,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs, queries.vocabulary("word_bpe_49k.json"))
+    # the Python workers of the stages before are still there and keep what they took, so the
+    # memo is smaller than where packing runs alone
+    return packed(docs, queries.vocabulary("word_bpe_49k.json"), memo=PACKING_MEMO)
 
 
 LEAST_LANGUAGE, MOST_TOXIC = 0.3, 0.3
+PACKING_MEMO = 100_000
 
 STAGES = [
     ("language", language),

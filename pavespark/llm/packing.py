@@ -32,6 +32,7 @@ from pavespark.llm.common import frames, groups, text_or_empty
 from pavespark.session import written
 
 FIRST_ODD = "\u0130"  # from here on lower-casing and letters differ between libraries
+MEMO = 500_000  # chunks remembered a generation
 LONGEST_KEPT = 64  # code points of a chunk that is remembered
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -45,7 +46,7 @@ class ChunkIds:
 
     MARK = "<|endoftext|>"
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str, bound: int = MEMO):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -134,7 +135,8 @@ class ChunkIds:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids, as little-endian unsigned 32-bit integers."""
-        for block in groups(texts):
+        # a block's chunks are remembered together, so it is kept in proportion to the memo
+        for block in groups(texts, min(1 << 21, 4 * self.bound)):
             chunks = [white_space_chunks(t) for t in block]
             if len(self.known) > self.bound:
                 self.older, self.known = self.known, {}
@@ -149,19 +151,20 @@ class ChunkIds:
 
 
 @functools.cache
-def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def chunk_ids(path: str, memo: int) -> ChunkIds:
+    return ChunkIds(path, memo)
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1,
-                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """A row for every piece of at most ``capacity`` ids of every document and its end mark."""
+                 id_column: str = "doc_id", text_column: str = "text", memo: int = MEMO) -> DataFrame:
+    """A row for every piece of at most ``capacity`` ids of every document and its end mark.
+    ``memo``: chunks that a Python worker remembers a generation, for speed only."""
 
     def cut(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end, size = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
         def rows(block):
-            coded = chunk_ids(vocabulary).encode(block["text"].tolist())
+            coded = chunk_ids(vocabulary, memo).encode(block["text"].tolist())
             # ids stay objects: a null id must not turn the others into floats
             for doc_id, ids in zip(block["doc_id"].astype(object), coded, strict=True):
                 ids += end
@@ -376,6 +379,6 @@ def places(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
 
 def packed(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1,
-           id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+           id_column: str = "doc_id", text_column: str = "text", memo: int = MEMO) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return places(token_pieces(docs, vocabulary, capacity, end_id, id_column, text_column), capacity)
+    return places(token_pieces(docs, vocabulary, capacity, end_id, id_column, text_column, memo), capacity)
