@@ -18,30 +18,62 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pavespark.llm.bpe_count import white_space_chunks
 from pavespark.llm.common import frames, groups, text_or_empty
 from pavespark.session import written
 
-FIRST_ODD = "\u0130"  # from here on lower-casing and letters differ between libraries
+# up to U+012F libraries agree on lower-casing and letters
+LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f"
+PLAIN = re.compile(f"[{LETTERS}]+")
+FAR_BLANKS = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MEMO = 500_000  # chunks remembered a generation
 LONGEST_KEPT = 64  # code points of a chunk that is remembered
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def near_blanks(text: str) -> str:
+    """``text`` with a blank for every white space beyond ASCII."""
+    if not text.isascii():
+        for far in FAR_BLANKS:
+            text = text.replace(far, " ")
+    return text
+
+
+def parted(chunks: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Per chunk its core, whether a tail was taken off, and the tails taken off.
+
+    A tail is closing dots and commas, which are words of their own after a letter. Cores are
+    in lower case where the vocabulary's own lower-casing gives the same. A chunk that may
+    hold a special token is its own core.
+    """
+    trimmed = pc.utf8_rtrim(chunks, ".,")
+    lettered = pc.match_substring_regex(trimmed, f"[{LETTERS}]$")
+    special = pc.match_substring(chunks, "<|")
+    closed = pc.and_(pc.and_not(lettered, special),
+                     pc.less(pc.binary_length(trimmed), pc.binary_length(chunks)))
+    cores = pc.if_else(closed, trimmed, chunks)
+    as_is = pc.or_(special, pc.match_substring_regex(cores, r"[^\x00-\x{12f}]"))
+    tails = pc.extract_regex(chunks.filter(closed), "(?P<tail>[.,]+)$")
+    return pc.if_else(as_is, cores, pc.utf8_lower(cores)), closed, pc.struct_field(tails, "tail")
+
+
 class ChunkIds:
-    """Ids of texts by the tokenizers library, remembered by white-space-free chunk.
+    """Ids of texts by the tokenizers library, remembered by core of a white-space-free chunk.
 
     No token and no merge reaches over white space, so a text's ids are those of its chunks.
-    Unknown chunks are encoded together, a special token between them telling them apart.
+    The distinct chunks of a block of texts are looked up once; unknown ones are encoded
+    together, a special token between them telling them apart.
     """
 
     MARK = "<|endoftext|>"
@@ -74,13 +106,6 @@ class ChunkIds:
     def ids(self, text: str) -> bytes:
         return self.library_ids(text).tobytes()
 
-    def recalled(self, chunks: set[str]) -> set[str]:
-        """Those of ``chunks`` that neither generation knows; the older one's move up."""
-        new = chunks.difference(self.known)
-        again = new & self.older.keys()
-        self.known.update((c, self.older[c]) for c in again)
-        return new - again
-
     def learn_words(self, words: list[str]) -> None:
         """Encodes unknown words of plain letters many at a time. A blank between them is
         enough: a word's last token bears the end mark."""
@@ -101,53 +126,54 @@ class ChunkIds:
         for chunk, a, b in zip(block, starts[:-1], starts[1:], strict=True):
             self.known[chunk] = data[4 * a:4 * (b - between)]
 
-    @staticmethod
-    def core(chunk: str) -> str:
-        """``chunk`` without closing dots and commas, which are words of their own after a
-        letter, and in lower case where the vocabulary's own lower-casing gives the same."""
-        core = chunk.rstrip(".,")
-        if not core or core[-1] >= FIRST_ODD or not core[-1].isalpha():
-            core = chunk
-        return core.lower() if core.isascii() or max(core) < FIRST_ODD else core
-
-    def tail(self, tail: str) -> bytes:
-        if tail not in self.known:
-            self.known[tail] = self.ids(tail)
-        return self.known[tail]
-
-    def learn_all(self, new: set[str]) -> None:
-        """Makes every chunk of ``new`` known: words of plain letters at once, other chunks by
-        their cores and tails."""
-        words = [c for c in new if c.isalpha() and c.islower() and max(c) < FIRST_ODD]
-        self.learn_words(words)
-        new = new.difference(words)
-        special = {c for c in new if "<|" in c}
-        parts = {c: self.core(c) for c in new - special}
-        cores = self.recalled(set(parts.values()))
-        words = [c for c in cores if c.isalpha() and c.islower() and max(c) < FIRST_ODD]
+    def learn_all(self, new: list[str]) -> None:
+        """Makes every core or tail of ``new`` known; those of the older generation move up."""
+        words, others = [], []
+        for chunk in new:
+            ids = self.older.get(chunk)
+            if ids is not None:
+                self.known[chunk] = ids
+            elif PLAIN.fullmatch(chunk):
+                words.append(chunk)
+            elif "<|" in chunk:
+                self.known[chunk] = self.ids(chunk)
+            else:
+                others.append(chunk)
         self.learn_words(words)
-        self.learn(list(cores.difference(words)))
-        for chunk, core in parts.items():
-            tail = chunk[len(core):]
-            self.known[chunk] = self.known[core] + (self.tail(tail) if tail else b"")
-        for chunk in special:
-            self.known[chunk] = self.ids(chunk)
+        self.learn(others)
+
+    def distinct_ids(self, chunks: pa.Array) -> pa.Array:
+        """Ids of distinct chunks, as little-endian unsigned 32-bit integers."""
+        cores, closed, tails = parted(chunks)
+        coded = pa.concat_arrays([cores, tails]).dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, parts))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        new = [parts[i] for i in unknown]
+        self.learn_all(new)
+        for i, part in zip(unknown, new, strict=True):
+            found[i] = self.known[part]
+            if len(part) > LONGEST_KEPT:  # hardly comes back, and the memo's bytes are bounded
+                del self.known[part]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        closing = pc.replace_with_mask(pa.repeat(pa.scalar(b"", pa.large_binary()), len(chunks)),
+                                       closed, ids[len(chunks):])
+        return pc.binary_join_element_wise(ids[:len(chunks)], closing, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids, as little-endian unsigned 32-bit integers."""
         # a block's chunks are remembered together, so it is kept in proportion to the memo
-        for block in groups(texts, min(1 << 21, 4 * self.bound)):
-            chunks = [white_space_chunks(t) for t in block]
+        for block in groups(texts, min(1 << 22, 8 * self.bound)):
+            chunks = pc.ascii_split_whitespace(pa.array(map(near_blanks, block), pa.large_string()))
+            coded = chunks.flatten().dictionary_encode()
             if len(self.known) > self.bound:
                 self.older, self.known = self.known, {}
-            new = self.recalled(set(itertools.chain.from_iterable(chunks)))
-            self.learn_all(new)
-            for own in chunks:
-                yield b"".join(map(self.known.__getitem__, own))
-            # long chunks hardly come back, and the memo's bytes are bounded
-            for chunk in [c for c in new if len(c) > LONGEST_KEPT]:
-                self.known.pop(chunk, None)
-                self.known.pop(self.core(chunk), None)
+            ids = self.distinct_ids(coded.dictionary).take(coded.indices)
+            data = memoryview(ids.buffers()[2] or b"")
+            # of every chunk's first byte, taken at every text's first chunk
+            starts = np.frombuffer(ids.buffers()[1], np.int64)[chunks.offsets.to_numpy()].tolist()
+            for a, b in itertools.pairwise(starts):
+                yield bytes(data[a:b])
 
 
 @functools.cache
