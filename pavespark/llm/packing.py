@@ -202,6 +202,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
         for block in blocks:
             for out in frames(rows(block), ["doc_id", "piece", "start", "length", "ids_crc32"]):
                 yield out.astype({"doc_id": "Int64"})
+            # the worker lives on in other stages
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        text_or_empty(text_column).alias("text")).mapInPandas(cut, PIECES)
